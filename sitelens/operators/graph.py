@@ -52,9 +52,10 @@ def crawl_depths(edges: DataFrame, sites: DataFrame, broadcast_rows: int = BROAD
         n = f.count()
         if n == 0:
             break
-        side = F.broadcast(f) if n <= broadcast_rows else f
-        cand = e.join(side, (e["site_id"] == f["site_id"]) & (e["src"] == f["norm_url"])) \
-            .select(e["site_id"], e["dst"].alias("norm_url"), f["limit"]).distinct()
+        side = (F.broadcast(f) if n <= broadcast_rows else f).alias("f")
+        cand = e.alias("e").join(side, (F.col("e.site_id") == F.col("f.site_id")) & (F.col("e.src") == F.col("f.norm_url"))) \
+            .select(F.col("e.site_id").alias("site_id"), F.col("e.dst").alias("norm_url"), F.col("f.limit").alias("limit")) \
+            .distinct()
         seen = levels[0].select("site_id", "norm_url")
         for lv in levels[1:]:
             seen = seen.unionByName(lv.select("site_id", "norm_url"))
