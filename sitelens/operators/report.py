@@ -22,9 +22,10 @@ def broken_links(page_links: DataFrame, link_status: DataFrame, match: str = "ex
     """
     key = "link" if match == "exact" else "link_norm"
     bad = link_status.filter(S.is_broken(F.col("status_code"), F.col("error"))) \
-        .select("site_id", F.col("norm_url").alias("_k"), F.col("url").alias("status_url"), "status_code", "error")
-    j = page_links.join(bad, (page_links["site_id"] == bad["site_id"]) & (page_links[key] == bad["_k"]))
-    return j.select(page_links["site_id"], "page_norm", "pos", "link", "status_url", "status_code", "error")
+        .select(F.col("site_id").alias("_s"), F.col("norm_url").alias("_k"), F.col("url").alias("status_url"),
+                "status_code", "error")
+    j = page_links.join(bad, (F.col("site_id") == F.col("_s")) & (F.col(key) == F.col("_k")))
+    return j.select("site_id", "page_norm", "pos", "link", "status_url", "status_code", "error")
 
 
 def asset_inventory(page_assets: DataFrame, asset_status: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.functions import urls as U
+from sitelens.functions import status as S
+from sitelens.session import ensure_checkpoint_dir
 from sitelens.operators import extract as X
 from sitelens.operators import graph as G
 from sitelens.operators import outcomes as O
@@ -36,10 +37,18 @@ class Audit:
 
 def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact") -> Audit:
     caps = O.apply_deadline(captures, sites)
-    outcomes = O.resolve_attempts(caps.filter(F.col("kind") == "page"), sites)
-    won = outcomes.filter(F.col("win_attempt").isNotNull())
-    extracted = X.extract_pages(won.select("site_id", "norm_url", "body", "content_type"), url_col="norm_url")
-    extracted = extracted.select("site_id", "norm_url", "links", "assets", "seo")
+    page_caps = caps.filter(F.col("kind") == "page")
+    # outcome per URL without bodies: the body column is pruned from this scan and shuffle
+    outcomes = O.resolve_attempts(page_caps.drop("body"), sites)
+    # extraction runs map-side on every winning capture; only the small extracted arrays of the
+    # attempt that won are kept (semi join), so no body ever crosses a shuffle
+    cand = O.with_norm(page_caps.filter(S.is_win(F.col("status_code"), F.col("error"))))
+    cand = X.extract_pages(cand.select("site_id", "norm_url", "attempt", "body", "content_type"), url_col="norm_url")
+    winners = outcomes.select("site_id", "norm_url", F.col("win_attempt").alias("attempt"))
+    extracted = cand.select("site_id", "norm_url", "attempt", "links", "assets", "seo") \
+        .join(winners, ["site_id", "norm_url", "attempt"], "left_semi").drop("attempt")
+    ensure_checkpoint_dir(extracted.sparkSession)
+    extracted = extracted.checkpoint()
     links = X.page_links(extracted.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"])
     assets = X.page_assets(extracted.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"])
     depths = G.crawl_depths(links.select("site_id", F.col("page_norm").alias("src"), "link"), sites)

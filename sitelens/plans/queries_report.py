@@ -1 +1,187 @@
-"""placeholder"""
+"""Report queries: R1-R9, F8, F9 -- the whole audit over captures of the synthetic site."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sitelens.functions import urls as U
+from sitelens.operators import report as R
+from sitelens.plans.audit import audit_report, run_audit
+from sitelens.plans.catalog import register
+from sitelens.plans.queries_graph import BFS_CTE, CUTOFF_S, DEPTH, _HOST
+from sitelens.sources import captures as C
+from sitelens.sources import fixtures as FX
+
+GENERATED_AT = "2024-01-02 00:00:00"
+_PRB = FX.duck(FX.PROBES_SQL)
+_APRB = FX.duck(FX.ASSET_PROBES_SQL)
+_WA = FX.duck(FX.WEB_ASSETS_SQL)
+_HEAD_OK = "(head_status IS NOT NULL AND head_status NOT IN (405, 501))"
+
+
+def _caps(spark, sf_dir):
+    return C.fixture_captures(FX.web_pages(spark, sf_dir), FX.probes(spark, sf_dir), FX.asset_probes(spark, sf_dir))
+
+
+def _audit(spark, sf_dir, match="exact", deadline=None):
+    return run_audit(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH, deadline=deadline), match)
+
+
+# Oracle side: the crawl only expands pages that were fetched as HTML (not 503-exhausted, not PDF)
+# and, with a cut-off, only pages captured before it.
+def _bfs(expand_cond: str) -> str:
+    return BFS_CTE.replace("e AS (SELECT src, link FROM l WHERE", f"e AS (SELECT src, link FROM l WHERE {expand_cond} AND")
+
+
+_EXPANDS = "(page_id % 17 <> 16 AND page_id % 29 <> 28)"
+_CRAWL = _bfs(_EXPANDS)
+_LINK_STATUS = f"""
+ls AS (SELECT url,
+              CASE WHEN {_HEAD_OK} THEN head_status WHEN get_status IS NOT NULL THEN get_status ELSE 0 END AS status_code,
+              CASE WHEN {_HEAD_OK} OR get_status IS NOT NULL THEN ''
+                   ELSE 'both HEAD and GET requests failed: connection reset' END AS error
+       FROM ({_PRB}) p)"""
+_CRAWLED_LINKS = f"""
+cl AS (SELECT l.src, l.pos, l.link, d.depth FROM l JOIN d ON l.src = d.url WHERE {_EXPANDS.replace('page_id', 'l.page_id')})"""
+
+
+_CHECKED = f"""
+ck AS (SELECT * FROM cl WHERE NOT (cl.depth + 1 < {DEPTH} AND {_HOST.replace('link', 'cl.link')} = 'site.example')),
+fc AS (SELECT norm, link AS first_url FROM (
+         SELECT regexp_replace(link, '/+$', '') AS norm, link,
+                row_number() OVER (PARTITION BY regexp_replace(link, '/+$', '') ORDER BY depth, src, pos) AS rn FROM ck) k
+       WHERE rn = 1)"""
+
+
+def _broken_oracle(link_key: str) -> str:
+    return f"""
+WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS}, {_CHECKED}
+SELECT ck.src AS page_norm, CAST(ck.pos AS INT) AS pos, ck.link, fc.first_url AS status_url,
+       CAST(ls.status_code AS INT) AS status_code, ls.error
+FROM ck JOIN ls ON {link_key.replace('cl.', 'ck.')} = ls.url JOIN fc ON fc.norm = ls.url
+WHERE (ls.status_code >= 400 OR ls.error <> '')"""
+
+
+@register("broken_links", oracle=_broken_oracle("cl.link"))
+def broken_links(spark, sf_dir):
+    """R1 + R2 (exact): broken links per crawled page; the status table is probed with the raw link."""
+    a = _audit(spark, sf_dir)
+    return a.broken.select("page_norm", "pos", "link", "status_url", "status_code", "error")
+
+
+@register("broken_links_normalized", oracle=_broken_oracle("regexp_replace(cl.link, '/+$', '')"))
+def broken_links_normalized(spark, sf_dir):
+    """R2 (normalized): the intended lookup by canonical link; trailing-slash spellings match too."""
+    a = _audit(spark, sf_dir, match="normalized")
+    return a.broken.select("page_norm", "pos", "link", "status_url", "status_code", "error")
+
+
+@register("broken_links_lineitem", oracle="""
+SELECT l.l_orderkey AS page_id, l.l_linenumber AS pos, 'http://parts.example/p/' || CAST(l.l_partkey AS VARCHAR) AS link,
+       404 AS status_code
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+WHERE p.p_partkey % 7 = 0""")
+def broken_links_lineitem(spark, sf_dir):
+    """R2 at scale: every lineitem is a link observation (page = order, link = part), part statuses."""
+    li = FX.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    part = FX.table(spark, sf_dir, "part").select("p_partkey")
+    links = li.select(F.lit("parts").alias("site_id"), F.col("l_orderkey").alias("page_norm"),
+                      F.col("l_linenumber").alias("pos"),
+                      F.concat(F.lit("http://parts.example/p/"), F.col("l_partkey").cast("string")).alias("link"))
+    status = part.select(F.lit("parts").alias("site_id"),
+                         F.concat(F.lit("http://parts.example/p/"), F.col("p_partkey").cast("string")).alias("norm_url"),
+                         F.lit(None).cast("string").alias("url"),
+                         F.when(F.col("p_partkey") % 7 == 0, F.lit(404)).otherwise(F.lit(200)).alias("status_code"),
+                         F.lit("").alias("error"))
+    b = R.broken_links(links, status)
+    return b.select(F.col("page_norm").alias("page_id"), "pos", "link", "status_code")
+
+
+_ASSET_STATUS = f"""
+ast AS (SELECT url, CASE WHEN {_HEAD_OK} THEN head_status WHEN get_status IS NOT NULL THEN get_status ELSE 0 END AS st,
+               head_status, head_length, get_status, get_length, get_body_bytes FROM ({_APRB}) a),
+asz AS (SELECT url, st AS status_code,
+               CASE WHEN {_HEAD_OK} AND st BETWEEN 200 AND 299 THEN coalesce(head_length, -1)
+                    WHEN NOT {_HEAD_OK} AND get_status IS NOT NULL AND st BETWEEN 200 AND 299
+                      THEN CASE WHEN coalesce(get_length, -1) >= 0 THEN get_length ELSE coalesce(get_body_bytes, 0) END
+                    ELSE 0 END AS size_bytes,
+               CASE WHEN {_HEAD_OK} OR get_status IS NOT NULL
+                    THEN CASE WHEN st BETWEEN 200 AND 299 THEN '' ELSE 'HTTP ' || CAST(st AS VARCHAR) END
+                    ELSE 'request failed: connection reset' END AS error FROM ast)"""
+
+
+@register("asset_inventory", oracle=f"""
+WITH RECURSIVE {_CRAWL}, {_ASSET_STATUS},
+pa AS (SELECT 'http://site.example/p/' || CAST(a.page_id AS STRING) AS page_norm, a.asset_url, a.type
+       FROM ({_WA}) a JOIN d ON d.url = 'http://site.example/p/' || CAST(a.page_id AS STRING)
+       WHERE {_EXPANDS.replace('page_id', 'a.page_id')}),
+inv AS (SELECT pa.page_norm, pa.asset_url AS url, pa.type, CAST(coalesce(asz.status_code, 0) AS INT) AS status_code,
+               CAST(coalesce(asz.size_bytes, 0) AS BIGINT) AS size_bytes, coalesce(asz.error, '') AS error
+        FROM pa LEFT JOIN asz ON pa.asset_url = asz.url)
+SELECT page_norm, CAST(row_number() OVER (PARTITION BY page_norm ORDER BY type, url) - 1 AS INT) AS ord,
+       url, type, status_code, size_bytes, error FROM inv""")
+def asset_inventory(spark, sf_dir):
+    """R3 + R4: every asset of every crawled page with its status, ordered by (type, url) within the page."""
+    a = _audit(spark, sf_dir)
+    nested = R.nest_pages(a.pages, a.broken, a.inventory)
+    return nested.select("page_norm", F.posexplode("assets").alias("ord", "x")).select(
+        "page_norm", "ord", "x.url", "x.type", "x.status_code", "x.size_bytes", "x.error")
+
+
+def _page_rows_oracle(cond_fetched: str) -> str:
+    return f"""
+SELECT d.url, CAST(d.depth AS INT) AS depth,
+       CAST(CASE WHEN NOT {cond_fetched} THEN 0 WHEN p % 17 = 16 THEN 0 WHEN p % 13 = 12 THEN 404 ELSE 200 END AS INT) AS http_status,
+       CASE WHEN {cond_fetched} AND p % 17 <> 16 AND p % 13 <> 12 THEN 'ok' ELSE 'error' END AS status,
+       CASE WHEN NOT {cond_fetched} THEN 'context canceled' WHEN p % 17 = 16 THEN 'HTTP 503 (retriable)' ELSE '' END AS error,
+       {cond_fetched} AND p % 29 <> 28 AND p % 17 <> 16 AS has_title,
+       CASE WHEN {cond_fetched} AND p % 29 <> 28 AND p % 17 <> 16 THEN 'T' || CAST(p AS VARCHAR) || ' & co' ELSE '' END AS title
+FROM (SELECT url, depth, CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) AS p FROM d) d"""
+
+
+@register("page_rows", oracle=f"WITH RECURSIVE {_CRAWL} " + _page_rows_oracle("TRUE"))
+def page_rows(spark, sf_dir):
+    """F8 (+F2, X5): one row per crawled page: final URL, depth, status, error, title."""
+    p = _audit(spark, sf_dir).pages
+    return p.select("url", "depth", "http_status", "status", "error", "seo.has_title", "seo.title")
+
+
+_CUT = f"(page_id * 2 + CASE WHEN page_id % 17 = 16 THEN 1 ELSE 0 END <= {CUTOFF_S})"
+
+
+@register("partial_results", oracle=f"WITH RECURSIVE {_bfs(_EXPANDS + ' AND ' + _CUT)} "
+          + _page_rows_oracle(f"(p * 2 + CASE WHEN p % 17 = 16 THEN 1 ELSE 0 END <= {CUTOFF_S})"))
+def partial_results(spark, sf_dir):
+    """a cut-off mid-crawl: finished pages stay, reached-but-unfetched pages become 'context canceled'."""
+    p = _audit(spark, sf_dir, deadline=f"2024-01-01 00:00:{CUTOFF_S:02d}").pages
+    return p.select("url", "depth", "http_status", "status", "error", "seo.has_title", "seo.title")
+
+
+@register("report_pages", oracle=f"""
+WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS},
+br AS (SELECT cl.src, count(*) AS n FROM cl JOIN ls ON cl.link = ls.url
+       WHERE NOT (cl.depth + 1 < {DEPTH} AND {_HOST.replace('link', 'cl.link')} = 'site.example')
+         AND (ls.status_code >= 400 OR ls.error <> '') GROUP BY cl.src),
+rows AS (SELECT d.url, d.depth, CAST(regexp_extract(d.url, '([0-9]+)$', 1) AS BIGINT) AS p FROM d)
+SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS INT) AS ord, rows.url, CAST(rows.depth AS INT) AS depth,
+       CASE WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 'ok' ELSE 'error' END AS status,
+       CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 0 END AS INT) AS n_broken,
+       CAST(CASE WHEN p % 17 = 16 OR p % 29 = 28 THEN 0 ELSE 5 END AS INT) AS n_assets,
+       'http://site.example/p/0' AS root_url, CAST({DEPTH} AS INT) AS report_depth,
+       TIMESTAMP '{GENERATED_AT}' AS generated_at
+FROM rows LEFT JOIN br ON br.src = rows.url""")
+def report_pages(spark, sf_dir):
+    """R5 + R6 + R8 + R9: the nested per-site report, flattened back to (ord, page...) for comparison."""
+    rep = audit_report(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH), GENERATED_AT)
+    return rep.select("root_url", F.col("depth").alias("report_depth"), "generated_at",
+                      F.posexplode("pages").alias("ord", "p")).select(
+        "ord", "p.url", "p.depth", "p.status", F.size("p.broken_links").alias("n_broken"),
+        F.size("p.assets").alias("n_assets"), "root_url", "report_depth", "generated_at") \
+        .withColumn("n_broken", F.when(F.col("n_broken") >= 0, F.col("n_broken")))
+
+
+@register("report_json")
+def report_json(spark, sf_dir):
+    """R7 + S4: one JSON document per site (field names and omission rules of the reference)."""
+    rep = audit_report(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH), GENERATED_AT)
+    return R.report_json(rep)
