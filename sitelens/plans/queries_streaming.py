@@ -1 +1,81 @@
-"""placeholder"""
+"""Streaming queries: T1-T4 replayed with Trigger.AvailableNow and compared with batch results."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sitelens.operators import extract as X
+from sitelens.operators import outcomes as O
+from sitelens.plans.catalog import register
+from sitelens.plans.queries_extract import _PAGE_HREFS
+from sitelens.plans.queries_graph import BFS_CTE, DEPTH, site_links
+from sitelens.plans.duck import path_encode
+from sitelens.sources import captures as C
+from sitelens.sources import fixtures as FX
+from sitelens.streaming import jobs as T
+
+
+@register("stream_claims", oracle="""
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS site_id, event_type AS norm_url FROM events""")
+def stream_claims(spark, sf_dir):
+    """First claim per (site, canonical URL) over a replay of the request log."""
+    schema = FX.table(spark, sf_dir, "events").schema
+    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    log = ev.select(F.col("user_id").cast("string").alias("site_id"), F.col("event_type").alias("url"),
+                    F.col("ts").alias("fetched_at"))
+    path = T.stream_claims(log, T.scratch(spark, "claims"))
+    return spark.read.parquet(path).select("site_id", "norm_url")
+
+
+@register("stream_extract", oracle=f"""
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY min(i)) - 1 AS INT) AS pos, link
+FROM (SELECT page_id, i, origin || {path_encode('href')} AS link FROM ({_PAGE_HREFS}) h) t
+GROUP BY page_id, link""")
+def stream_extract(spark, sf_dir):
+    """Extraction on arrival (links, assets, SEO tables per micro-batch); links compared."""
+    schema = FX.table(spark, sf_dir, "pages").schema
+    pages = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf_dir)
+    paths = T.stream_extract(pages.withColumnRenamed("html", "body"), T.scratch(spark, "extract"), ["page_id"],
+                             ctype_col=None)
+    return spark.read.parquet(paths["links"]).select("page_id", "pos", "link")
+
+
+_PRB = FX.duck(FX.PROBES_SQL)
+_WL = FX.duck(FX.WEB_LINKS_SQL)
+_HEAD_OK = "(head_status IS NOT NULL AND head_status NOT IN (405, 501))"
+
+
+@register("stream_broken_links", oracle=f"""
+WITH ls AS (SELECT url,
+              CASE WHEN {_HEAD_OK} THEN head_status WHEN get_status IS NOT NULL THEN get_status ELSE 0 END AS status_code,
+              CASE WHEN {_HEAD_OK} OR get_status IS NOT NULL THEN ''
+                   ELSE 'both HEAD and GET requests failed: connection reset' END AS error
+            FROM ({_PRB}) p)
+SELECT 'http://site.example/p/' || CAST(w.page_id AS STRING) AS page_norm, CAST(w.pos AS INT) AS pos, w.link,
+       CAST(ls.status_code AS INT) AS status_code, ls.error
+FROM ({_WL}) w JOIN ls ON w.link = ls.url WHERE ls.status_code >= 400 OR ls.error <> ''""")
+def stream_broken_links(spark, sf_dir):
+    """Stream of probe captures joined with static page links; broken pairs emitted once."""
+    root = T.scratch(spark, "broken")
+    caps = C.fixture_captures(FX.web_pages(spark, sf_dir), FX.probes(spark, sf_dir), FX.asset_probes(spark, sf_dir))
+    caps.filter(F.col("kind") == "link").select("site_id", "url", "method", "status_code", "error", "fetched_at") \
+        .write.parquet(f"{root}/incoming")
+    stream = spark.readStream.schema(spark.read.parquet(f"{root}/incoming").schema).parquet(f"{root}/incoming")
+    links = X.page_links(site_links(spark, sf_dir), ["site_id", "page_norm"])
+    out = T.stream_broken_links(links, stream, root)
+    return spark.read.parquet(out).select("page_norm", "pos", "link", "status_code", "error")
+
+
+@register("frontier_rounds", oracle=f"""
+WITH RECURSIVE {BFS_CTE}
+SELECT url AS norm_url, CAST(depth AS INT) AS depth FROM d""")
+def frontier_rounds(spark, sf_dir):
+    """T4: micro-batches of page captures grow the edge table; newly reachable URLs emitted per round."""
+    root = T.scratch(spark, "frontier")
+    wp = FX.web_pages(spark, sf_dir).select(F.lit(FX.SITE_ID).alias("site_id"), "page_id", "url",
+                                            F.col("html").alias("body"))
+    wp.repartition(4, "page_id").write.parquet(f"{root}/incoming")
+    stream = spark.readStream.schema(spark.read.parquet(f"{root}/incoming").schema) \
+        .option("maxFilesPerTrigger", 1).parquet(f"{root}/incoming")
+    out = T.frontier_rounds(stream, C.fixture_sites(spark, DEPTH), root, ["site_id"])
+    return spark.read.parquet(out).groupBy("norm_url").agg(F.min("depth").alias("depth"))
