@@ -43,6 +43,15 @@ _USERINFO_RE = r"^[A-Za-z0-9\-._:~!$&'()*+,;=%@]*$"
 _HOST_CHARS_RE = r"^(?:[A-Za-z0-9\-_.~!$&'()*+,;=:\[\]<>\"]|%25|%[89A-Fa-f][0-9A-Fa-f]|[^\x00-\x7F])*$"
 _BAD_PCT_RE = r"%(?![0-9A-Fa-f]{2})"
 _DOT_SEGMENT_RE = r"(^|/)\.\.?(/|$)"
+# Fast paths (exact special cases of the general algorithm, checked with one cheap regex each).
+# A canonical http(s) URL without port, query, fragment, trailing or doubled slash, with a
+# validly-encoded path and no '%' is its own normal form.
+_CANON_RE = r"^https?://[a-z0-9\-.]+(/[A-Za-z0-9\-_.~$&+,:;=@!'()*]+)*$"
+# Root-relative reference without query, fragment, '%' or control characters.
+_FAST_PATH_REF_RE = r"^/(?!/)[^?#%\x00-\x1f\x7f]*$"
+# Absolute http(s) reference with a plain host, optional port, path without query/fragment/'%'.
+_FAST_ABS_REF_RE = r"^([hH][tT][tT][pP][sS]?)://([A-Za-z0-9\-.]+(?::[0-9]*)?)(/[^?#%\x00-\x1f\x7f]*)?$"
+_ORIGIN_RE = r"^([a-z][a-z0-9+.\-]*://[^/?#]*)"
 
 
 def _lit(v) -> Column:
@@ -234,15 +243,19 @@ def normalize_parts(u: UrlParts) -> Column:
     return F.when(u.valid, F.when(u.is_opaque, opaque).otherwise(main))
 
 
-def normalize_url(c: Column) -> Column:
-    """Canonical form of a URL, NULL when it does not parse."""
-    return let(F.struct(c.alias("raw"), split_url(c).alias("p")),
+def normalize_url(c: Column | str) -> Column:
+    """Canonical form of a URL, NULL when it does not parse (a column name is memoised)."""
+    if isinstance(c, str):
+        from sitelens.functions.memo import memo
+        return memo(("normalize_url", c), lambda: normalize_url(F.col(c)))
+    full = let(F.struct(c.alias("raw"), split_url(c).alias("p")),
                lambda s: normalize_parts(parts_of(s["raw"], s["p"])))
+    return F.when(c.rlike(_CANON_RE), c).otherwise(full)
 
 
-def normalize_or_keep(c: Column) -> Column:
+def normalize_or_keep(c: Column | str) -> Column:
     """Canonical form, or the input when it does not parse."""
-    return F.coalesce(normalize_url(c), c)
+    return F.coalesce(normalize_url(c), F.col(c) if isinstance(c, str) else c)
 
 
 def host_of(c: Column) -> Column:
@@ -254,8 +267,11 @@ def host_of(c: Column) -> Column:
     return let(F.struct(c.alias("raw"), split_url(c).alias("p")), body)
 
 
-def same_domain(root: Column, link: Column) -> Column:
+def same_domain(root: Column | str, link: Column | str) -> Column:
     """Exact, case-sensitive host:port equality; false when either side does not parse."""
+    if isinstance(root, str) and isinstance(link, str):
+        from sitelens.functions.memo import memo
+        return memo(("same_domain", root, link), lambda: same_domain(F.col(root), F.col(link)))
     return F.coalesce(host_of(root) == host_of(link), F.lit(False))
 
 
@@ -316,8 +332,21 @@ def resolve_url(base: Column, ref: Column, base_split: Column | None = None) ->
     ``base_split`` (``split_url(base)`` materialised once per page) when resolving many references.
     """
     bs = split_url(base) if base_split is None else base_split
-    return let(F.struct(base.alias("b"), bs.alias("bp"), ref.alias("r"), split_url(ref).alias("rp")),
+    full = let(F.struct(base.alias("b"), bs.alias("bp"), ref.alias("r"), split_url(ref).alias("rp")),
                lambda s: _resolve(parts_of(s["b"], s["bp"]), parts_of(s["r"], s["rp"]), s["b"], s["r"]))
+    origin = F.regexp_extract(base, _ORIGIN_RE, 1)
+    no_dots = ~ref.rlike(_DOT_SEGMENT_RE)
+    fast_rel = ref.rlike(_FAST_PATH_REF_RE) & no_dots & (origin != "")
+    fast_abs = ref.rlike(_FAST_ABS_REF_RE) & no_dots
+    fast_frag = ref.startswith("#") & ~ref.rlike(_BAD_PCT_RE) & ~ref.rlike(_CTL_RE) & ~base.contains("/.")
+    abs_out = F.concat(F.lower(F.regexp_extract(ref, _FAST_ABS_REF_RE, 1)), _lit("://"),
+                       F.regexp_extract(ref, _FAST_ABS_REF_RE, 2),
+                       _enc(F.regexp_extract(ref, _FAST_ABS_REF_RE, 3), PATH_KEEP))
+    return F.when(base.isNull(), F.lit(None).cast("string")) \
+        .when(fast_rel, F.concat(origin, _enc(ref, PATH_KEEP))) \
+        .when(fast_abs, abs_out) \
+        .when(fast_frag, base) \
+        .otherwise(full)
 
 
 def _resolve(b: UrlParts, r: UrlParts, base: Column, ref: Column) -> Column:

@@ -12,10 +12,14 @@ from pyspark.sql import functions as F
 
 from sitelens.functions import html as H
 from sitelens.functions import urls as U
+from sitelens.functions.memo import memo
 
-_EMPTY_SEO = F.struct(F.lit(False).alias("has_title"), F.lit("").alias("title"),
-                      F.lit(False).alias("has_description"), F.lit("").alias("description"),
-                      F.lit(False).alias("has_h1"))
+
+
+def _empty_seo():
+    return F.struct(F.lit(False).alias("has_title"), F.lit("").alias("title"),
+                    F.lit(False).alias("has_description"), F.lit("").alias("description"),
+                    F.lit(False).alias("has_h1"))
 
 
 def _resolve_all(base: Column, refs: Column, base_split: Column) -> Column:
@@ -57,12 +61,18 @@ def extract_pages(df: DataFrame, url_col: str = "url", body_col: str = "body", c
     media = H.media_of(F.col(ctype_col)) if ctype_col else F.lit("html")
     d = df.withColumns({
         "media": media,
-        "_base": U.normalize_url(F.col(url_col)),
+        "_base": U.normalize_url(url_col),
         "_body": F.coalesce(H.cap_text_bytes(F.col(body_col), cap), F.lit("")),
     })
     d = d.withColumn("_bsplit", U.split_url(F.col("_base")))
     d = d.withColumn("_stripped", F.when(F.col("media") == "html", H.strip_markup(F.col("_body"))))
-    d = d.withColumn("_tags", F.when(F.col("media") == "html", H.start_tags(F.col("_stripped"))))
+    d = d.withColumn("_tags", memo(("start_tags",), lambda: F.when(F.col("media") == "html",
+                                                                   H.start_tags(F.col("_stripped")))))
+    return d.withColumns(memo(("extract_outputs",), _extract_outputs)) \
+        .drop("_body", "_stripped", "_tags", "_base", "_bsplit")
+
+
+def _extract_outputs() -> dict:
     base, tags, stripped, bsplit = F.col("_base"), F.col("_tags"), F.col("_stripped"), F.col("_bsplit")
     links = _resolve_all(base, link_refs(tags), bsplit)
     assets = F.transform(_resolve_all(base, asset_refs(tags), bsplit),
@@ -76,24 +86,25 @@ def extract_pages(df: DataFrame, url_col: str = "url", body_col: str = "body", c
                        F.lit(False).alias("has_description"), F.lit("").alias("description"), F.lit(False).alias("has_h1"))
     is_html = F.col("media") == "html"
     empty_assets = F.array().cast("array<struct<url:string,type:string>>")
-    return d.withColumns({
+    return {
         "links": F.when(is_html & base.isNotNull(), links).otherwise(F.array().cast("array<string>")),
         "assets": F.when(is_html & base.isNotNull(), assets).otherwise(empty_assets),
-        "seo": F.when(is_html, html_seo).when(F.col("media") == "xml", xml_seo).otherwise(_EMPTY_SEO),
-    }).drop("_body", "_stripped", "_tags", "_base", "_bsplit")
+        "seo": F.when(is_html, html_seo).when(F.col("media") == "xml", xml_seo).otherwise(_empty_seo()),
+    }
 
 
 def page_links(pages: DataFrame, keys: list[str], page_col: str = "page_norm") -> DataFrame:
     """Explode ``links`` into (keys..., pos, link, link_norm); position = first occurrence order."""
     out = pages.select(*keys, F.posexplode("links").alias("pos", "link"))
-    return out.withColumn("link_norm", U.normalize_or_keep(F.col("link")))
+    return out.withColumn("link_norm", U.normalize_or_keep("link"))
 
 
 def page_assets(pages: DataFrame, keys: list[str]) -> DataFrame:
     """Explode ``assets`` into (keys..., pos, asset_url, asset_norm, type)."""
     out = pages.select(*keys, F.posexplode("assets").alias("pos", "a"))
-    return out.select(*keys, "pos", F.col("a.url").alias("asset_url"),
-                      U.normalize_or_keep(F.col("a.url")).alias("asset_norm"), F.col("a.type").alias("type"))
+    return out.select(*keys, "pos",
+                      F.col("a.url").alias("_u"), F.col("a.type").alias("type")) \
+        .withColumn("asset_norm", U.normalize_or_keep("_u")).withColumnRenamed("_u", "asset_url")
 
 
 def extract_seo_xml(df: DataFrame, body_col: str = "body") -> DataFrame:

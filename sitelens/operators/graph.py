@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions import urls as U
 from sitelens.operators.canonical import dedupe_first
-from sitelens.session import ensure_checkpoint_dir
+from sitelens.session import cut_lineage, ensure_checkpoint_dir
 
 BROADCAST_FRONTIER_ROWS = 200_000
 
@@ -26,8 +26,8 @@ def _site_opts(sites: DataFrame) -> DataFrame:
 def crawlable_edges(edges: DataFrame, sites: DataFrame) -> DataFrame:
     """Edges that may become page tasks: same host as the site's root URL; dst = canonical link."""
     e = edges.join(_site_opts(sites), "site_id")
-    e = e.filter(U.same_domain(F.col("root_url"), F.col("link")))
-    return e.select("site_id", "src", F.coalesce(U.normalize_url(F.col("link")), F.lit("")).alias("dst")).distinct()
+    e = e.filter(U.same_domain("root_url", "link"))
+    return e.select("site_id", "src", F.coalesce(U.normalize_url("link"), F.lit("")).alias("dst")).distinct()
 
 
 def crawl_depths(edges: DataFrame, sites: DataFrame, broadcast_rows: int = BROADCAST_FRONTIER_ROWS,
@@ -41,17 +41,15 @@ def crawl_depths(edges: DataFrame, sites: DataFrame, broadcast_rows: int = BROAD
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = crawlable_edges(edges, sites).repartition(n_parts, "site_id", "src").checkpoint()
+    e = cut_lineage(crawlable_edges(edges, sites).repartition(n_parts, "site_id", "src"))
     opts = _site_opts(sites)
-    frontier = opts.select("site_id", F.coalesce(U.normalize_url(F.col("root_url")), F.lit("")).alias("norm_url"),
-                           F.lit(0).alias("depth"), "limit").checkpoint()
+    frontier = cut_lineage(opts.select("site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"),
+                                       F.lit(0).alias("depth"), "limit"))
     levels = [frontier]
     d = 0
-    while True:
+    n = frontier.filter(F.col("limit") > 1).count()
+    while n > 0:
         f = frontier.filter(F.col("limit") > d + 1)
-        n = f.count()
-        if n == 0:
-            break
         side = (F.broadcast(f) if n <= broadcast_rows else f).alias("f")
         cand = e.alias("e").join(side, (F.col("e.site_id") == F.col("f.site_id")) & (F.col("e.src") == F.col("f.norm_url"))) \
             .select(F.col("e.site_id").alias("site_id"), F.col("e.dst").alias("norm_url"), F.col("f.limit").alias("limit")) \
@@ -59,11 +57,12 @@ def crawl_depths(edges: DataFrame, sites: DataFrame, broadcast_rows: int = BROAD
         seen = levels[0].select("site_id", "norm_url")
         for lv in levels[1:]:
             seen = seen.unionByName(lv.select("site_id", "norm_url"))
-        new = cand.join(seen, ["site_id", "norm_url"], "left_anti") \
-            .select("site_id", "norm_url", F.lit(d + 1).alias("depth"), "limit").checkpoint()
+        new = cut_lineage(cand.join(seen, ["site_id", "norm_url"], "left_anti")
+                          .select("site_id", "norm_url", F.lit(d + 1).alias("depth"), "limit"))
         levels.append(new)
         frontier = new
         d += 1
+        n = frontier.filter(F.col("limit") > d + 1).count()
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
@@ -77,7 +76,7 @@ def classify_links(links: DataFrame, depths: DataFrame, sites: DataFrame) -> Dat
     """
     j = links.join(depths.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"]) \
         .join(_site_opts(sites), "site_id")
-    crawl = (F.col("limit") > F.col("depth") + 1) & U.same_domain(F.col("root_url"), F.col("link"))
+    crawl = (F.col("limit") > F.col("depth") + 1) & U.same_domain("root_url", "link")
     return j.withColumn("action", F.when(crawl, F.lit("crawl")).otherwise(F.lit("check"))).drop("root_url", "limit")
 
 
@@ -88,7 +87,7 @@ def link_worklist(classified: DataFrame) -> DataFrame:
     on worker timing.
     """
     c = classified.filter(F.col("action") == "check").withColumn(
-        "norm_url", F.coalesce(U.normalize_url(F.col("link")), F.lit("")))
+        "norm_url", F.coalesce(U.normalize_url("link"), F.lit("")))
     first = dedupe_first(c.select("site_id", "norm_url", "depth", "page_norm", "pos", "link"),
                          ["site_id", "norm_url"], ["depth", "page_norm", "pos"])
     return first.select("site_id", "norm_url", F.col("link").alias("url"))
@@ -105,7 +104,7 @@ def asset_worklist(assets: DataFrame, depths: DataFrame) -> DataFrame:
 def external_links(links: DataFrame, sites: DataFrame) -> DataFrame:
     """Links whose host differs from the root's host (checked, never crawled)."""
     j = links.join(sites.select("site_id", "root_url"), "site_id")
-    return j.filter(~U.same_domain(F.col("root_url"), F.col("link"))).drop("root_url")
+    return j.filter(~U.same_domain("root_url", "link")).drop("root_url")
 
 
 def unfetched_frontier(depths: DataFrame, fetched: DataFrame) -> DataFrame:

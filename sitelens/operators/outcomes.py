@@ -18,7 +18,7 @@ _KEYS = ["site_id", "norm_url"]
 
 
 def with_norm(df: DataFrame, url_col: str = "url") -> DataFrame:
-    return df.withColumn("norm_url", F.coalesce(U.normalize_url(F.col(url_col)), F.lit("")))
+    return df.withColumn("norm_url", F.coalesce(U.normalize_url(url_col), F.lit("")))
 
 
 def resolve_attempts(attempts: DataFrame, sites: DataFrame) -> DataFrame:
@@ -51,8 +51,11 @@ def resolve_attempts(attempts: DataFrame, sites: DataFrame) -> DataFrame:
         *([F.col("w.fetched_at").alias("fetched_at")] if "fetched_at" in carry else []),
         *([F.col("w.content_type").alias("content_type")] if "content_type" in carry else []),
         *([F.col("w.body").alias("body")] if "body" in carry else []),
-        *([F.when(ok, F.coalesce(U.normalize_url(F.col("w.final_url")), F.col("norm_url")))
-           .otherwise(F.col("norm_url")).alias("page_url")] if "final_url" in carry else []))
+        *([F.col("w.final_url").alias("_final")] if "final_url" in carry else []))
+    if "final_url" in carry:
+        out = out.withColumn("page_url", F.when(F.col("http_status") > 0, F.coalesce(U.normalize_url("_final"),
+                                                                                  F.col("norm_url")))
+                             .otherwise(F.col("norm_url"))).drop("_final")
     return out
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions import status as S
-from sitelens.session import ensure_checkpoint_dir
+from sitelens.session import cut_lineage
 from sitelens.operators import extract as X
 from sitelens.operators import graph as G
 from sitelens.operators import outcomes as O
@@ -47,8 +47,7 @@ def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact") -> Au
     winners = outcomes.select("site_id", "norm_url", F.col("win_attempt").alias("attempt"))
     extracted = cand.select("site_id", "norm_url", "attempt", "links", "assets", "seo") \
         .join(winners, ["site_id", "norm_url", "attempt"], "left_semi").drop("attempt")
-    ensure_checkpoint_dir(extracted.sparkSession)
-    extracted = extracted.checkpoint()
+    extracted = cut_lineage(extracted)
     links = X.page_links(extracted.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"])
     assets = X.page_assets(extracted.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"])
     depths = G.crawl_depths(links.select("site_id", F.col("page_norm").alias("src"), "link"), sites)

@@ -53,3 +53,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="sitelens-ckpt-", dir=os.environ.get("SITELENS_SCRATCH", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+def cut_lineage(df):
+    """Reliable checkpoint that computes ``df`` once: persist, write the checkpoint files from the
+    persisted blocks, then release them.  Files land in the shared ``spark.checkpoint.dir``."""
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
