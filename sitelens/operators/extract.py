@@ -93,15 +93,26 @@ def _extract_outputs() -> dict:
     }
 
 
+def explode_positions(df: DataFrame, keys: list[str], array_col: str, names: tuple[str, str]) -> DataFrame:
+    """(keys..., pos, value) rows of an array column.
+
+    ``posexplode_outer`` + a filter on the generated position: plain ``posexplode`` makes the
+    optimizer infer ``size(array) > 0`` and push it below the projection, which would evaluate the
+    whole extraction expression a second time.
+    """
+    out = df.select(*keys, F.posexplode_outer(array_col).alias(*names))
+    return out.filter(F.col(names[0]).isNotNull())
+
+
 def page_links(pages: DataFrame, keys: list[str], page_col: str = "page_norm") -> DataFrame:
     """Explode ``links`` into (keys..., pos, link, link_norm); position = first occurrence order."""
-    out = pages.select(*keys, F.posexplode("links").alias("pos", "link"))
+    out = explode_positions(pages, keys, "links", ("pos", "link"))
     return out.withColumn("link_norm", U.normalize_or_keep("link"))
 
 
 def page_assets(pages: DataFrame, keys: list[str]) -> DataFrame:
     """Explode ``assets`` into (keys..., pos, asset_url, asset_norm, type)."""
-    out = pages.select(*keys, F.posexplode("assets").alias("pos", "a"))
+    out = explode_positions(pages, keys, "assets", ("pos", "a"))
     return out.select(*keys, "pos",
                       F.col("a.url").alias("_u"), F.col("a.type").alias("type")) \
         .withColumn("asset_norm", U.normalize_or_keep("_u")).withColumnRenamed("_u", "asset_url")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sitelens.functions import urls as U
+from sitelens.operators import extract as X
 from sitelens.operators import report as R
 from sitelens.plans.audit import audit_report, run_audit
 from sitelens.plans.catalog import register
@@ -124,7 +125,7 @@ def asset_inventory(spark, sf_dir):
     """R3 + R4: every asset of every crawled page with its status, ordered by (type, url) within the page."""
     a = _audit(spark, sf_dir)
     nested = R.nest_pages(a.pages, a.broken, a.inventory)
-    return nested.select("page_norm", F.posexplode("assets").alias("ord", "x")).select(
+    return X.explode_positions(nested, ["page_norm"], "assets", ("ord", "x")).select(
         "page_norm", "ord", "x.url", "x.type", "x.status_code", "x.size_bytes", "x.error")
 
 
@@ -174,7 +175,7 @@ def report_pages(spark, sf_dir):
     """R5 + R6 + R8 + R9: the nested per-site report, flattened back to (ord, page...) for comparison."""
     rep = audit_report(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH), GENERATED_AT)
     return rep.select("root_url", F.col("depth").alias("report_depth"), "generated_at",
-                      F.posexplode("pages").alias("ord", "p")).select(
+                      F.posexplode_outer("pages").alias("ord", "p")).filter(F.col("ord").isNotNull()).select(
         "ord", "p.url", "p.depth", "p.status", F.size("p.broken_links").alias("n_broken"),
         F.size("p.assets").alias("n_assets"), "root_url", "report_depth", "generated_at") \
         .withColumn("n_broken", F.when(F.col("n_broken") >= 0, F.col("n_broken")))

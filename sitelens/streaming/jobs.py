@@ -56,8 +56,8 @@ def stream_extract(stream: DataFrame, root: str, keys: list[str], url_col: str =
 
     def sink(batch: DataFrame, epoch: int) -> None:
         b = batch.select(*keys, "links", "assets", "seo").persist()
-        b.select(*keys, F.posexplode("links").alias("pos", "link")).write.mode("append").parquet(paths["links"])
-        b.select(*keys, F.posexplode("assets").alias("pos", "a")).select(*keys, "pos", "a.url", "a.type") \
+        X.explode_positions(b, keys, "links", ("pos", "link")).write.mode("append").parquet(paths["links"])
+        X.explode_positions(b, keys, "assets", ("pos", "a")).select(*keys, "pos", "a.url", "a.type") \
             .write.mode("append").parquet(paths["assets"])
         b.select(*keys, "seo.*").write.mode("append").parquet(paths["seo"])
         b.unpersist()
@@ -102,7 +102,7 @@ def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys:
 
     def sink(batch: DataFrame, epoch: int) -> None:
         e = O.with_norm(batch.select(*keys, "url", "links")).select(
-            *keys, F.col("norm_url").alias("src"), F.explode("links").alias("link"))
+            *keys, F.col("norm_url").alias("src"), F.explode_outer("links").alias("link")).filter(F.col("link").isNotNull())
         e.write.mode("append").parquet(edges_tbl)
         depths = G.crawl_depths(spark.read.parquet(edges_tbl), sites)
         try:
