@@ -15,7 +15,7 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sitelens.functions.urls import let
+from sitelens.functions.urls import _lit, let
 
 # ---------------------------------------------------------------------------------------------
 # These must equal the reference's behaviour.
@@ -137,13 +137,13 @@ def strip_markup(body: Column) -> Column:
 
 def start_tags(stripped: Column) -> Column:
     """ARRAY<STRUCT<name, keys ARRAY<STRING>, vals ARRAY<STRING>>> of the relevant start tags."""
-    raw = F.filter(F.regexp_extract_all(stripped, F.lit(TAG_RE), 1), lambda x: x != "")
+    raw = F.filter(F.regexp_extract_all(stripped, _lit(TAG_RE), 1), lambda x: x != "")
 
     def to_struct(t):
         name = F.lower(F.regexp_extract(t, r"^<([^\s/>]+)", 1))
         rest = F.regexp_replace(t, r"^<[^\s/>]+", "")
-        keys = F.transform(F.regexp_extract_all(rest, F.lit(ATTR_RE), 1), lambda k: F.lower(k))
-        vals = F.transform(F.regexp_extract_all(rest, F.lit(ATTR_RE), 2), lambda v: html_unescape(
+        keys = F.transform(F.regexp_extract_all(rest, _lit(ATTR_RE), 1), lambda k: F.lower(k))
+        vals = F.transform(F.regexp_extract_all(rest, _lit(ATTR_RE), 2), lambda v: html_unescape(
             convert_newlines(F.regexp_replace(v, r"""(?s)^"(.*)"$|^'(.*)'$""", "$1$2")), attribute=True))
         return F.struct(F.when(name == "image", F.lit("img")).otherwise(name).alias("name"),
                         keys.alias("keys"), vals.alias("vals"))
@@ -182,25 +182,25 @@ def asset_type(url: Column) -> Column:
     low = F.lower(url)
 
     def any_of(exts):
-        cond = F.lit(False)
+        cond = _lit(False)
         for e in exts:
             cond = cond | low.contains(e)
         return cond
 
-    return F.when(low.startswith("data:image/"), F.lit("image")) \
-        .when(any_of(IMAGE_EXTENSIONS), F.lit("image")) \
+    return F.when(low.startswith("data:image/"), _lit("image")) \
+        .when(any_of(IMAGE_EXTENSIONS), _lit("image")) \
         .when(any_of(SCRIPT_EXTENSIONS), F.lit("script")) \
         .when(any_of(STYLE_EXTENSIONS), F.lit("style")) \
-        .otherwise(F.lit("image"))
+        .otherwise(_lit("image"))
 
 
 def media_of(content_type: Column) -> Column:
     """S6: 'html' | 'xml' | 'other' by case-sensitive substring of the Content-Type header."""
-    is_xml = F.lit(False)
+    is_xml = _lit(False)
     for m in XML_MEDIA_TYPES:
         is_xml = is_xml | content_type.contains(m)
-    return F.when(F.coalesce(content_type.contains(HTML_MEDIA_TYPE), F.lit(False)), F.lit("html")) \
-        .when(F.coalesce(is_xml, F.lit(False)), F.lit("xml")).otherwise(F.lit("other"))
+    return F.when(F.coalesce(content_type.contains(HTML_MEDIA_TYPE), _lit(False)), F.lit("html")) \
+        .when(F.coalesce(is_xml, _lit(False)), F.lit("xml")).otherwise(F.lit("other"))
 
 
 def cap_text_bytes(body: Column, cap: int) -> Column:
@@ -212,22 +212,22 @@ def cap_text_bytes(body: Column, cap: int) -> Column:
 
 def seo_title(stripped: Column) -> Column:
     """X5 title: STRUCT<has_title, title>: last title element with any text, decoded twice and trimmed."""
-    texts = F.filter(F.regexp_extract_all(stripped, F.lit(TITLE_RE), 1), lambda t: t != "")
+    texts = F.filter(F.regexp_extract_all(stripped, _lit(TITLE_RE), 1), lambda t: t != "")
     return let(texts, lambda ts: F.struct(
         (F.size(ts) > 0).alias("has_title"),
         F.when(F.size(ts) > 0, html_unescape(trim_space(html_unescape(convert_newlines(F.element_at(ts, -1))))))
-        .otherwise(F.lit("")).alias("title")))
+        .otherwise(_lit("")).alias("title")))
 
 
 def seo_description(tags: Column) -> Column:
     """X5 description: STRUCT<has_description, description> from the last qualifying meta tag."""
     metas = F.filter(tags, lambda t: (t["name"] == "meta")
-                     & (F.lower(F.coalesce(last_attr(t, "name"), F.lit(""))) == "description")
-                     & (F.coalesce(last_attr(t, "content"), F.lit("")) != ""))
+                     & (F.lower(F.coalesce(last_attr(t, "name"), _lit(""))) == "description")
+                     & (F.coalesce(last_attr(t, "content"), _lit("")) != ""))
     return let(metas, lambda ms: F.struct(
         (F.size(ms) > 0).alias("has_description"),
         F.when(F.size(ms) > 0, html_unescape(trim_space(last_attr(F.element_at(ms, -1), "content"))))
-        .otherwise(F.lit("")).alias("description")))
+        .otherwise(_lit("")).alias("description")))
 
 
 def seo_has_h1(stripped: Column) -> Column:
@@ -239,4 +239,4 @@ def seo_xml_title(body: Column) -> Column:
     m = F.regexp_extract_all(body, F.lit(r"(?s)<channel>.*?<title>(.*?)</title>"), 1)
     return let(m, lambda ms: F.struct(
         (F.size(ms) > 0).alias("has_title"),
-        F.when(F.size(ms) > 0, html_unescape(trim_space(F.get(ms, 0)))).otherwise(F.lit("")).alias("title")))
+        F.when(F.size(ms) > 0, html_unescape(trim_space(F.get(ms, 0)))).otherwise(_lit("")).alias("title")))

@@ -55,7 +55,9 @@ _ORIGIN_RE = r"^([a-z][a-z0-9+.\-]*://[^/?#]*)"
 
 
 def _lit(v) -> Column:
-    return F.lit(v)
+    """Literal Column, created once per application (each creation is a JVM round trip)."""
+    from sitelens.functions.memo import memo
+    return memo(("lit", type(v).__name__, v), lambda: F.lit(v))
 
 
 def let(value: Column, body) -> Column:
@@ -167,7 +169,7 @@ def _userinfo_out(ui: Column) -> Column:
     user = F.substring_index(ui, ":", 1)
     pw = F.regexp_replace(ui, r"^[^:]*:", "")
     return F.concat(_enc(_dec_path(user), USERINFO_KEEP),
-                    F.when(ui.contains(":"), F.concat(_lit(":"), _enc(_dec_path(pw), USERINFO_KEEP))).otherwise(""))
+                    F.when(ui.contains(":"), F.concat(_lit(":"), _enc(_dec_path(pw), USERINFO_KEEP))).otherwise(_lit("")))
 
 
 def _assemble(scheme: Column, user_present: Column, user_out: Column, host: Column, path: Column,
@@ -176,16 +178,16 @@ def _assemble(scheme: Column, user_present: Column, user_out: Column, host: Colu
     def body(v):
         scheme, user_present, user_out, host, path, omit_host, query = (
             v["s"], v["up"], v["uo"], v["h"], v["p"], v["oh"], v["q"])
-        scheme_part = F.when(scheme != "", F.concat(scheme, _lit(":"))).otherwise("")
+        scheme_part = F.when(scheme != "", F.concat(scheme, _lit(":"))).otherwise(_lit(""))
         has_auth_part = (scheme != "") | (host != "") | user_present
         omitted = omit_host & (host == "") & ~user_present
         auth_part = F.when(has_auth_part & ~omitted, F.concat(
-            F.when((host != "") | (path != "") | user_present, _lit("//")).otherwise(""),
-            F.when(user_present, F.concat(user_out, _lit("@"))).otherwise(""),
-            host)).otherwise("")
-        slash = F.when((path != "") & ~path.startswith("/") & (host != ""), _lit("/")).otherwise("")
+            F.when((host != "") | (path != "") | user_present, _lit("//")).otherwise(_lit("")),
+            F.when(user_present, F.concat(user_out, _lit("@"))).otherwise(_lit("")),
+            host)).otherwise(_lit(""))
+        slash = F.when((path != "") & ~path.startswith("/") & (host != ""), _lit("/")).otherwise(_lit(""))
         dot = F.when((scheme == "") & ~has_auth_part & F.substring_index(path, "/", 1).contains(":"),
-                     _lit("./")).otherwise("")
+                     _lit("./")).otherwise(_lit(""))
         return F.concat(scheme_part, auth_part, slash, dot, path, query)
 
     return let(F.struct(scheme.alias("s"), user_present.alias("up"), user_out.alias("uo"), host.alias("h"),
@@ -225,7 +227,7 @@ def _normalized_path(path: Column) -> Column:
 
 def _strip_default_port(scheme: Column, hostport: Column) -> Column:
     port = F.regexp_extract(hostport, r":([0-9]*)$", 1)
-    is_default = F.lit(False)
+    is_default = _lit(False)
     for s, p in DEFAULT_PORTS:
         is_default = is_default | ((scheme == s) & (port == p) & hostport.rlike(r":[0-9]*$"))
     return F.when(is_default, F.regexp_replace(hostport, r":[0-9]*$", "")).otherwise(hostport)
@@ -233,9 +235,9 @@ def _strip_default_port(scheme: Column, hostport: Column) -> Column:
 
 def normalize_parts(u: UrlParts) -> Column:
     host = F.when(u.has_auth, _host_out(_strip_default_port(u.scheme, F.lower(u.hostport)), lower=True)) \
-        .otherwise("")
+        .otherwise(_lit(""))
     user_present = u.has_user
-    user_out = F.when(user_present, _userinfo_out(u.userinfo)).otherwise("")
+    user_out = F.when(user_present, _userinfo_out(u.userinfo)).otherwise(_lit(""))
     path = _normalized_path(u.path)
     query = _normalized_query_part(u.query)
     opaque = F.concat(u.scheme, _lit(":"), u.path, query)
@@ -262,7 +264,7 @@ def host_of(c: Column) -> Column:
     """Host (with port, without user info) exactly as written, '' for relative/opaque, NULL if unparseable."""
     def body(s):
         u = parts_of(s["raw"], s["p"])
-        hp = F.when(u.has_auth, u.hostport).otherwise("")
+        hp = F.when(u.has_auth, u.hostport).otherwise(_lit(""))
         return F.when(u.valid, F.when(hp.contains("%"), _dec_path(hp)).otherwise(hp))
     return let(F.struct(c.alias("raw"), split_url(c).alias("p")), body)
 
@@ -272,7 +274,7 @@ def same_domain(root: Column | str, link: Column | str) -> Column:
     if isinstance(root, str) and isinstance(link, str):
         from sitelens.functions.memo import memo
         return memo(("same_domain", root, link), lambda: same_domain(F.col(root), F.col(link)))
-    return F.coalesce(host_of(root) == host_of(link), F.lit(False))
+    return F.coalesce(host_of(root) == host_of(link), _lit(False))
 
 
 def with_default_scheme(c: Column) -> Column:
@@ -286,7 +288,7 @@ def with_default_scheme(c: Column) -> Column:
 
 def is_special_url(c: Column) -> Column:
     """Raw value starts with one of the special prefixes (case-sensitive, untrimmed)."""
-    cond = F.lit(False)
+    cond = _lit(False)
     for p in SPECIAL_PREFIXES:
         cond = cond | c.startswith(p)
     return cond
@@ -308,20 +310,20 @@ def _remove_dot_segments(full: Column) -> Column:
     simple = F.when(full.startswith("/"), full).otherwise(F.concat(_lit("/"), full))
 
     def step(acc, e):
-        keep = F.struct(acc["b"].alias("b"), F.lit(False).alias("f"), e.alias("l"))
-        up = F.when(F.instr(acc["b"], "/") == 0, F.struct(F.lit("").alias("b"), F.lit(True).alias("f"), e.alias("l"))) \
+        keep = F.struct(acc["b"].alias("b"), _lit(False).alias("f"), e.alias("l"))
+        up = F.when(F.instr(acc["b"], "/") == 0, F.struct(_lit("").alias("b"), _lit(True).alias("f"), e.alias("l"))) \
             .otherwise(F.struct(F.regexp_replace(acc["b"], "/[^/]*$", "").alias("b"), acc["f"].alias("f"),
                                 e.alias("l")))
         add = F.struct(F.concat(acc["b"], F.when(acc["f"], "").otherwise("/"), e).alias("b"),
-                       F.lit(False).alias("f"), e.alias("l"))
+                       _lit(False).alias("f"), e.alias("l"))
         return F.when(e == ".", keep).when(e == "..", up).otherwise(add)
 
     dotted = F.aggregate(
         F.split(full, "/", -1),
-        F.struct(F.lit("").alias("b"), F.lit(True).alias("f"), F.lit("").alias("l")),
+        F.struct(_lit("").alias("b"), _lit(True).alias("f"), _lit("").alias("l")),
         step,
         lambda acc: F.regexp_replace(
-            F.concat(_lit("/"), acc["b"], F.when(acc["l"].isin(".", ".."), _lit("/")).otherwise("")), "^//", "/"))
+            F.concat(_lit("/"), acc["b"], F.when(acc["l"].isin(".", ".."), _lit("/")).otherwise(_lit(""))), "^//", "/"))
     return F.when(full == "", _lit("")).when(full.rlike(_DOT_SEGMENT_RE), dotted).otherwise(simple)
 
 
@@ -352,11 +354,11 @@ def resolve_url(base: Column, ref: Column, base_split: Column | None = None) ->
 def _resolve(b: UrlParts, r: UrlParts, base: Column, ref: Column) -> Column:
     b_auth_present = b.has_auth
     b_user = b.has_user
-    b_userinfo = F.when(b_user, b.userinfo).otherwise("")
-    b_host = F.when(b_auth_present, b.hostport).otherwise("")
+    b_userinfo = F.when(b_user, b.userinfo).otherwise(_lit(""))
+    b_host = F.when(b_auth_present, b.hostport).otherwise(_lit(""))
 
     r_user = r.has_user
-    r_host = F.when(r.has_auth, _host_out(r.hostport, lower=False)).otherwise("")
+    r_host = F.when(r.has_auth, _host_out(r.hostport, lower=False)).otherwise(_lit(""))
     r_has_sa = (r.scheme != "") | (r.has_auth & (r.hostport != "")) | r_user
     r_path_esc = escaped_path(r.path)
 
@@ -369,13 +371,13 @@ def _resolve(b: UrlParts, r: UrlParts, base: Column, ref: Column) -> Column:
 def _resolve_out(b, r, base, ref, scheme, r_user, r_host, r_has_sa, r_path_esc, b_user, b_userinfo, b_host):
     # case A: reference carries its own scheme / host
     a_out = F.when(r.is_opaque, F.concat(r.scheme, _lit(":"), r.path, r.query)).otherwise(_assemble(
-        scheme, r_user, F.when(r_user, _userinfo_out(r.userinfo)).otherwise(""), r_host,
-        resolve_path(r_path_esc, F.lit("")), r.omit_host, r.query))
+        scheme, r_user, F.when(r_user, _userinfo_out(r.userinfo)).otherwise(_lit("")), r_host,
+        resolve_path(r_path_esc, _lit("")), r.omit_host, r.query))
     # case B: empty reference path and no '?' keeps the base query; case C merges paths
     same_doc = (r.path == "") & (r.query == "")
-    path = F.when(same_doc, resolve_path(b.path, F.lit(""))).otherwise(resolve_path(b.path, r_path_esc))
+    path = F.when(same_doc, resolve_path(b.path, _lit(""))).otherwise(resolve_path(b.path, r_path_esc))
     query = F.when(same_doc, b.query).otherwise(r.query)
-    rel_out = _assemble(scheme, b_user, b_userinfo, b_host, path, F.lit(False), query)
+    rel_out = _assemble(scheme, b_user, b_userinfo, b_host, path, _lit(False), query)
     out = F.when(r_has_sa, a_out).otherwise(rel_out)
     return F.when((ref != "") & r.valid & base.isNotNull(), out)
 
@@ -390,7 +392,7 @@ def canonicalize_urls(df: DataFrame, url_col: str, prefix: str = "") -> DataFram
     d = df.withColumn(tmp, split_url(F.col(url_col)))
     u = parts_of(F.col(url_col), F.col(tmp))
     host = F.when(u.has_auth, _host_out(_strip_default_port(u.scheme, F.lower(u.hostport)), lower=True)) \
-        .otherwise("")
+        .otherwise(_lit(""))
     return d.withColumns({
         f"{prefix}norm_url": normalize_parts(u),
         f"{prefix}scheme": F.when(u.valid, u.scheme),
