@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sitelens.functions import status as S
 
 # Pages nested into one site document only up to this many; larger sites are written flat.
-MAX_NESTED_PAGES = 200_000
+MAX_NESTED_PAGES = 50_000
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
