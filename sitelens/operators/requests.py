@@ -40,13 +40,21 @@ def pacing_plan(worklist: DataFrame, sites: DataFrame, bucket: int = SEQ_BUCKET)
         .withColumn("offset_ms", F.col("slot") * F.col("interval_ms")).drop("_b", "_rn", "_before")
 
 
+def epoch_ms(df: DataFrame, col: str):
+    """Milliseconds since the epoch, independent of the session time zone for both timestamp types
+    (TIMESTAMP_NTZ wall-clock values are read as UTC)."""
+    if df.schema[col].dataType.typeName() == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(col)) / 1000.0
+    return F.unix_micros(F.col(col).cast("timestamp")) / 1000.0
+
+
 def request_intervals(log: DataFrame, bucket_ms: int = TIME_BUCKET_MS) -> DataFrame:
     """per site n, min / avg gap between consecutive requests and total span (ms).
 
     avg gap telescopes to span / (n - 1); the min gap is the smaller of gaps inside each time
     bucket (window per (site, bucket)) and gaps across bucket borders (per-bucket min/max table).
     """
-    ms = (F.unix_micros(F.col("fetched_at").cast("timestamp")) / 1000.0)
+    ms = epoch_ms(log, "fetched_at")
     t = log.select("site_id", ms.alias("_t")).withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_ms)))
     inner = t.withColumn("_gap", F.col("_t") - F.lag("_t").over(Window.partitionBy("site_id", "_b").orderBy("_t"))) \
         .groupBy("site_id").agg(F.min("_gap").alias("_inner_min"))

@@ -169,12 +169,13 @@ SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS INT) AS ord, rows.url,
        CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 0 END AS INT) AS n_broken,
        CAST(CASE WHEN p % 17 = 16 OR p % 29 = 28 THEN 0 ELSE 5 END AS INT) AS n_assets,
        'http://site.example/p/0' AS root_url, CAST({DEPTH} AS INT) AS report_depth,
-       TIMESTAMP '{GENERATED_AT}' AS generated_at
+       '{GENERATED_AT.replace(' ', 'T')}Z' AS generated_at
 FROM rows LEFT JOIN br ON br.src = rows.url""")
 def report_pages(spark, sf_dir):
     """R5 + R6 + R8 + R9: the nested per-site report, flattened back to (ord, page...) for comparison."""
     rep = audit_report(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH), GENERATED_AT)
-    return rep.select("root_url", F.col("depth").alias("report_depth"), "generated_at",
+    gen = F.date_format("generated_at", R.TIMESTAMP_FORMAT).alias("generated_at")
+    return rep.select("root_url", F.col("depth").alias("report_depth"), gen,
                       F.posexplode_outer("pages").alias("ord", "p")).filter(F.col("ord").isNotNull()).select(
         "ord", "p.url", "p.depth", "p.status", F.size("p.broken_links").alias("n_broken"),
         F.size("p.assets").alias("n_assets"), "root_url", "report_depth", "generated_at") \
