@@ -151,6 +151,11 @@ def start_tags(stripped: Column) -> Column:
     return F.transform(raw, to_struct)
 
 
+def extract_tags(html_body: Column) -> Column:
+    """X1 on a raw body: strip comments / raw text, then list the relevant start tags."""
+    return start_tags(strip_markup(html_body))
+
+
 def attr_values(tag: Column, key: str, non_empty: bool = True) -> Column:
     """All values of attribute ``key`` on one tag struct, in attribute order."""
     pairs = F.arrays_zip(tag["keys"].alias("k"), tag["vals"].alias("v"))
@@ -194,6 +199,9 @@ def asset_type(url: Column) -> Column:
         .otherwise(_lit("image"))
 
 
+detect_asset_type = asset_type
+
+
 def media_of(content_type: Column) -> Column:
     """S6: 'html' | 'xml' | 'other' by case-sensitive substring of the Content-Type header."""
     is_xml = _lit(False)

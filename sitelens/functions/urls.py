@@ -299,6 +299,11 @@ def url_error(c: Column) -> Column:
     return F.when(c.isNotNull() & normalize_url(c).isNull(), F.concat(_lit("invalid URL: "), c))
 
 
+def parse_error(c: Column) -> Column:
+    """U8: True for URLs whose normalisation fails (row-level validity flag)."""
+    return c.isNotNull() & normalize_url(c).isNull()
+
+
 def resolve_path(base: Column, ref: Column) -> Column:
     """Merge a base path and a reference path and remove dot segments."""
     merged = F.when(ref == "", base).when(~ref.startswith("/"),

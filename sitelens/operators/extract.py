@@ -122,3 +122,24 @@ def extract_seo_xml(df: DataFrame, body_col: str = "body") -> DataFrame:
     """X6 as a table job: (..., has_title, title) for XML feeds."""
     x = H.seo_xml_title(F.col(body_col))
     return df.withColumns({"has_title": x["has_title"], "title": x["title"]})
+
+
+def extract_links(captures: DataFrame, keys: list[str], url_col: str = "url", body_col: str = "body",
+                  ctype_col: str | None = "content_type") -> DataFrame:
+    """X2 as a table job: (keys..., pos, link, link_norm) for every HTML capture."""
+    ex = extract_pages(captures, url_col=url_col, body_col=body_col, ctype_col=ctype_col)
+    return page_links(ex, keys)
+
+
+def extract_assets(captures: DataFrame, keys: list[str], url_col: str = "url", body_col: str = "body",
+                   ctype_col: str | None = "content_type") -> DataFrame:
+    """X3 + X4 as a table job: (keys..., pos, asset_url, asset_norm, type)."""
+    ex = extract_pages(captures, url_col=url_col, body_col=body_col, ctype_col=ctype_col)
+    return page_assets(ex, keys)
+
+
+def extract_seo(captures: DataFrame, keys: list[str], url_col: str = "url", body_col: str = "body",
+                ctype_col: str | None = "content_type") -> DataFrame:
+    """X5/X6 as a table job: (keys..., has_title, title, has_description, description, has_h1)."""
+    ex = extract_pages(captures, url_col=url_col, body_col=body_col, ctype_col=ctype_col)
+    return ex.select(*keys, "seo.*")

@@ -101,3 +101,8 @@ def audit_report(captures: DataFrame, sites: DataFrame, generated_at: str, match
     a = run_audit(captures, sites, match)
     nested = R.nest_pages(a.pages, a.broken, a.inventory)
     return R.assemble_report(nested, sites, generated_at, max_pages)
+
+
+def audit(captures: DataFrame, sites: DataFrame, generated_at: str, match: str = "exact") -> DataFrame:
+    """The whole pipeline, captures + sites -> one report row per site."""
+    return audit_report(captures, sites, generated_at, match)
