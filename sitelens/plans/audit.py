@@ -39,7 +39,7 @@ def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact") -> Au
     caps = O.apply_deadline(captures, sites)
     page_caps = caps.filter(F.col("kind") == "page")
     # outcome per URL without bodies: the body column is pruned from this scan and shuffle
-    outcomes = O.resolve_attempts(page_caps.drop("body"), sites)
+    outcomes = cut_lineage(O.resolve_attempts(page_caps.drop("body"), sites))  # one row per URL, used twice
     # extraction runs map-side on every winning capture; only the small extracted arrays of the
     # attempt that won are kept (semi join), so no body ever crosses a shuffle
     cand = O.with_norm(page_caps.filter(S.is_win(F.col("status_code"), F.col("error"))))
