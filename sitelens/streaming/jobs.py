@@ -18,7 +18,8 @@ from sitelens.operators import extract as X
 from sitelens.operators import graph as G
 from sitelens.operators import outcomes as O
 from sitelens.operators import report as R
-from sitelens.session import ensure_checkpoint_dir
+from sitelens.functions import urls as U
+from sitelens.session import cut_lineage, ensure_checkpoint_dir
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -94,24 +95,57 @@ def stream_broken_links(links_static: DataFrame, probes_stream: DataFrame, root:
 
 
 def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys: list[str]) -> str:
-    """T4: each micro-batch adds the edges of newly captured pages and emits URLs that became
-    reachable within the depth limit (or reachable at a smaller depth) against a visited table."""
+    """T4: incremental BFS.  Each micro-batch appends the crawlable edges of newly captured pages and
+    relaxes depths from there: edges whose source is already reached seed candidates, and every URL
+    that becomes reachable (or reachable at a smaller depth) is appended to the frontier table and
+    propagated over the stored edges, at most ``depth`` rounds.  Work per batch is proportional to
+    what changed, not to the whole graph; min(depth) per URL over the table equals the batch BFS.
+    """
     edges_tbl, out = f"{root}/edges", f"{root}/frontier"
     spark = sites.sparkSession
     ex = X.extract_pages(pages_stream, ctype_col=None)
+    opts = sites.select("site_id", F.col("depth").alias("limit"))
+    max_rounds = sites.agg(F.max("depth")).first()[0] or 0
+
+    def current():
+        try:
+            return spark.read.parquet(out).groupBy("site_id", "norm_url").agg(F.min("depth").alias("cur"))
+        except Exception:  # noqa: BLE001 - nothing reached yet
+            return None
+
+    def improved(cand: DataFrame, cur) -> DataFrame:
+        best = cand.groupBy("site_id", "norm_url").agg(F.min("depth").alias("depth"))
+        if cur is None:
+            return best
+        return best.join(cur, ["site_id", "norm_url"], "left") \
+            .filter(F.col("cur").isNull() | (F.col("depth") < F.col("cur"))).drop("cur")
+
+    def expand(level: DataFrame, edges: DataFrame) -> DataFrame:
+        """Children of reached URLs whose site still allows one more level."""
+        lv = level.join(opts, "site_id").filter(F.col("limit") > F.col("depth") + 1)
+        return lv.join(edges.withColumnRenamed("src", "norm_url"), ["site_id", "norm_url"]) \
+            .select("site_id", F.col("dst").alias("norm_url"), (F.col("depth") + 1).alias("depth"))
 
     def sink(batch: DataFrame, epoch: int) -> None:
         e = O.with_norm(batch.select(*keys, "url", "links")).select(
             *keys, F.col("norm_url").alias("src"), F.explode_outer("links").alias("link")).filter(F.col("link").isNotNull())
-        e.write.mode("append").parquet(edges_tbl)
-        depths = G.crawl_depths(spark.read.parquet(edges_tbl), sites)
-        try:
-            seen = spark.read.parquet(out).groupBy("site_id", "norm_url").agg(F.min("depth").alias("_d"))
-            depths = depths.join(seen, ["site_id", "norm_url"], "left") \
-                .filter(F.col("_d").isNull() | (F.col("depth") < F.col("_d"))).drop("_d")
-        except Exception:  # noqa: BLE001 - first batch
-            pass
-        depths.withColumn("batch", F.lit(epoch)).write.mode("append").parquet(out)
+        batch_edges = cut_lineage(G.crawlable_edges(e, sites))
+        batch_edges.write.mode("append").parquet(edges_tbl)
+        all_edges = spark.read.parquet(edges_tbl)  # edges stored so far, this batch included
+        cur = current()
+        if cur is None:  # first batch: the roots are reached at depth 0
+            seeds = sites.select("site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"),
+                                 F.lit(0).alias("depth"))
+            seeds.withColumn("batch", F.lit(epoch)).write.mode("append").parquet(out)
+            cur = current()
+        cand = expand(cur.withColumnRenamed("cur", "depth"), batch_edges)
+        level = cut_lineage(improved(cand, cur))
+        rounds = 0
+        while rounds < max_rounds and level.count() > 0:
+            level.withColumn("batch", F.lit(epoch)).write.mode("append").parquet(out)
+            cur = current()
+            level = cut_lineage(improved(expand(level, all_edges), cur))
+            rounds += 1
 
     _run(ex.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_frontier"))
     return out
