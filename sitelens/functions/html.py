@@ -212,10 +212,17 @@ def media_of(content_type: Column) -> Column:
 
 
 def cap_text_bytes(body: Column, cap: int) -> Column:
-    """Keep the first ``cap`` bytes of the UTF-8 body; a character split by the cut is repaired."""
-    b = F.encode(body, "UTF-8")
-    return F.when(F.octet_length(body) > cap,
-                  F.make_valid_utf8(F.substring(b, 1, cap).cast("string"))).otherwise(body)
+    """The longest whole-character prefix of the body whose UTF-8 encoding fits in ``cap`` bytes.
+
+    The byte cut is decoded with ``make_valid_utf8``; a character split by the cut comes out as
+    U+FFFD and is dropped (the reference keeps the raw partial bytes, which only ever touch the
+    last character of a 10 MiB body).
+    """
+    def cut(v):
+        head = F.make_valid_utf8(F.substring(F.encode(v, "UTF-8"), 1, cap).cast("string"))
+        return let(head, lambda h: F.when(v.startswith(h), h).otherwise(F.regexp_replace(h, "\ufffd+$", "")))
+
+    return F.when(F.octet_length(body) > cap, let(body, cut)).otherwise(body)
 
 
 def seo_title(stripped: Column) -> Column:

@@ -104,17 +104,20 @@ _CAP = 4096
 
 
 @register("cap_body", oracle=f"""
-SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS body_bytes,
-       CAST(least(octet_length(encode(html)), {_CAP}) AS BIGINT) AS read_bytes,
-       octet_length(encode(html)) > {_CAP} AS was_capped,
-       left(html, 200) AS head
-FROM pages""")
+WITH c AS (SELECT page_id, unnest(string_split(html, '')) AS ch, generate_subscripts(string_split(html, ''), 1) AS i
+           FROM pages),
+k AS (SELECT page_id, strlen(ch) AS b, sum(strlen(ch)) OVER (PARTITION BY page_id ORDER BY i) AS cum FROM c)
+SELECT page_id, CAST(sum(b) AS BIGINT) AS body_bytes, CAST(least(sum(b), {_CAP}) AS BIGINT) AS read_bytes,
+       sum(b) > {_CAP} AS was_capped,
+       CAST(count(*) FILTER (WHERE cum <= {_CAP}) AS INT) AS kept_chars,
+       CAST(coalesce(sum(b) FILTER (WHERE cum <= {_CAP}), 0) AS INT) AS kept_bytes
+FROM k GROUP BY page_id""")
 def cap_body_q(spark, sf_dir):
-    """S2 + S5: pages as captures, bodies cut at a byte cap (4 KiB here; 10 MiB in production)."""
+    """S2 + S5: pages as captures, whole bodies cut at a byte cap (4 KiB here; 10 MiB in production)."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     caps = C.cap_body(C.captures_from_pages(pages, "pages", keep=["page_id"]), cap=_CAP)
     return caps.select(
         "page_id", F.col("content_length").alias("body_bytes"),
         F.least(F.col("content_length"), F.lit(_CAP).cast("long")).alias("read_bytes"),
         (F.col("content_length") > _CAP).alias("was_capped"),
-        F.substring(F.col("body"), 1, 200).alias("head"))
+        F.char_length("body").alias("kept_chars"), F.octet_length("body").alias("kept_bytes"))

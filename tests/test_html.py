@@ -76,5 +76,5 @@ def test_asset_type_and_helpers(spark):
 
 def test_cap_body_bytes(spark):
     got = _one(spark, [H.cap_text_bytes(F.col("b"), 3), H.cap_text_bytes(F.col("b"), 10)], ("abé",), "b string")
-    assert got[0] in ("ab�", "ab")
+    assert got[0] == "ab"
     assert got[1] == "abé"
