@@ -68,15 +68,28 @@ def extract_pages(df: DataFrame, url_col: str = "url", body_col: str = "body", c
     d = d.withColumn("_stripped", F.when(F.col("media") == "html", H.strip_markup(F.col("_body"))))
     d = d.withColumn("_tags", memo(("start_tags",), lambda: F.when(F.col("media") == "html",
                                                                    H.start_tags(F.col("_stripped")))))
+    d = d.withColumn("_resolved", memo(("resolved_refs",), _resolved_refs))
     return d.withColumns(memo(("extract_outputs",), _extract_outputs)) \
-        .drop("_body", "_stripped", "_tags", "_base", "_bsplit")
+        .drop("_body", "_stripped", "_tags", "_base", "_bsplit", "_resolved")
+
+
+def _resolved_refs() -> Column:
+    """Links and asset references of a page, resolved in one pass: ARRAY<STRUCT<k, u>> (k 'l' | 'a')."""
+    tags, base, bsplit = F.col("_tags"), F.col("_base"), F.col("_bsplit")
+    refs = F.concat(F.transform(link_refs(tags), lambda r: F.struct(F.lit("l").alias("k"), r.alias("r"))),
+                    F.transform(asset_refs(tags), lambda r: F.struct(F.lit("a").alias("k"), r.alias("r"))))
+    return F.transform(refs, lambda x: F.struct(x["k"].alias("k"), U.resolve_url(base, x["r"], bsplit).alias("u")))
+
+
+def _distinct_of(kind: str) -> Column:
+    hit = F.filter(F.col("_resolved"), lambda x: (x["k"] == kind) & x["u"].isNotNull() & (x["u"] != ""))
+    return F.array_distinct(F.transform(hit, lambda x: x["u"]))
 
 
 def _extract_outputs() -> dict:
     base, tags, stripped, bsplit = F.col("_base"), F.col("_tags"), F.col("_stripped"), F.col("_bsplit")
-    links = _resolve_all(base, link_refs(tags), bsplit)
-    assets = F.transform(_resolve_all(base, asset_refs(tags), bsplit),
-                         lambda u: F.struct(u.alias("url"), H.asset_type(u).alias("type")))
+    links = _distinct_of("l")
+    assets = F.transform(_distinct_of("a"), lambda u: F.struct(u.alias("url"), H.asset_type(u).alias("type")))
     t, dsc = H.seo_title(stripped), H.seo_description(tags)
     html_seo = F.struct(t["has_title"].alias("has_title"), t["title"].alias("title"),
                         dsc["has_description"].alias("has_description"), dsc["description"].alias("description"),
