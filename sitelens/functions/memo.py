@@ -16,7 +16,11 @@ _CACHE: dict = {}
 
 def memo(key: tuple, build: Callable):
     sc = SparkContext._active_spark_context
-    k = (sc.applicationId if sc is not None else None, key)
+    app = getattr(sc, "_sitelens_app_id", None) if sc is not None else None
+    if sc is not None and app is None:
+        app = sc.applicationId  # one JVM round trip per application, then cached on the context
+        sc._sitelens_app_id = app
+    k = (app, key)
     hit = _CACHE.get(k)
     if hit is None:
         hit = build()
