@@ -37,7 +37,7 @@ def stream_extract(spark, sf_dir):
     pages = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf_dir)
     paths = T.stream_extract(pages.withColumnRenamed("html", "body"), T.scratch(spark, "extract"), ["page_id"],
                              ctype_col=None)
-    return spark.read.parquet(paths["links"]).select("page_id", "pos", "link")
+    return T.read_epochs(spark, paths["links"]).select("page_id", "pos", "link")
 
 
 _PRB = FX.duck(FX.PROBES_SQL)
@@ -63,7 +63,7 @@ def stream_broken_links(spark, sf_dir):
     stream = spark.readStream.schema(spark.read.parquet(f"{root}/incoming").schema).parquet(f"{root}/incoming")
     links = X.page_links(site_links(spark, sf_dir), ["site_id", "page_norm"])
     out = T.stream_broken_links(links, stream, root)
-    return spark.read.parquet(out).select("page_norm", "pos", "link", "status_code", "error")
+    return T.read_epochs(spark, out).select("page_norm", "pos", "link", "status_code", "error")
 
 
 @register("frontier_rounds", oracle=f"""
@@ -78,4 +78,4 @@ def frontier_rounds(spark, sf_dir):
     stream = spark.readStream.schema(spark.read.parquet(f"{root}/incoming").schema) \
         .option("maxFilesPerTrigger", 1).parquet(f"{root}/incoming")
     out = T.frontier_rounds(stream, C.fixture_sites(spark, DEPTH), root, ["site_id"])
-    return spark.read.parquet(out).groupBy("norm_url").agg(F.min("depth").alias("depth"))
+    return T.read_epochs(spark, out).groupBy("norm_url").agg(F.min("depth").alias("depth"))

@@ -2,7 +2,8 @@
 
 Every job reads files with ``readStream`` and writes parquet with ``writeStream`` (or
 ``foreachBatch`` when one micro-batch feeds several tables or needs the stored state of earlier
-batches).  Sinks and streaming checkpoints live under the shared folder named by
+batches).  ``foreachBatch`` output goes to one folder per epoch written with ``overwrite``, so an
+epoch replayed after a failure replaces its own files instead of appending duplicates.  Sinks and streaming checkpoints live under the shared folder named by
 ``spark.checkpoint.dir``; nothing is collected to the driver.  ``Trigger.AvailableNow`` processes
 what is there and stops, which is how a replay is tested against the batch operators.
 """
@@ -27,6 +28,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _epoch_dir(path: str, epoch: int, sub: str | None = None) -> str:
+    return f"{path}/epoch={epoch}" + (f"/{sub}" if sub else "")
+
+
+def _write(df: DataFrame, path: str, epoch: int, sub: str | None = None) -> None:
+    """Idempotent per-epoch write (a replayed epoch overwrites its own folder)."""
+    df.write.mode("overwrite").parquet(_epoch_dir(path, epoch, sub))
+
+
+def read_epochs(spark: SparkSession, path: str) -> DataFrame:
+    """All epochs of a foreachBatch table (the ``epoch`` partition column is dropped)."""
+    return spark.read.option("recursiveFileLookup", "true").parquet(path)
+
+
 def _run(writer, timeout_s: int = 1800) -> None:
     q = writer.trigger(availableNow=True).start()
     q.awaitTermination(timeout_s)
@@ -57,10 +72,10 @@ def stream_extract(stream: DataFrame, root: str, keys: list[str], url_col: str =
 
     def sink(batch: DataFrame, epoch: int) -> None:
         b = batch.select(*keys, "links", "assets", "seo").persist()
-        X.explode_positions(b, keys, "links", ("pos", "link")).write.mode("append").parquet(paths["links"])
-        X.explode_positions(b, keys, "assets", ("pos", "a")).select(*keys, "pos", "a.url", "a.type") \
-            .write.mode("append").parquet(paths["assets"])
-        b.select(*keys, "seo.*").write.mode("append").parquet(paths["seo"])
+        _write(X.explode_positions(b, keys, "links", ("pos", "link")), paths["links"], epoch)
+        _write(X.explode_positions(b, keys, "assets", ("pos", "a")).select(*keys, "pos", "a.url", "a.type"),
+               paths["assets"], epoch)
+        _write(b.select(*keys, "seo.*"), paths["seo"], epoch)
         b.unpersist()
 
     _run(ex.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_extract"))
@@ -78,17 +93,17 @@ def stream_broken_links(links_static: DataFrame, probes_stream: DataFrame, root:
     spark = links_static.sparkSession
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("append").parquet(probe_tbl)
+        _write(batch, probe_tbl, epoch)
         touched = O.with_norm(batch.select("site_id", "url")).select("site_id", "norm_url").distinct()
-        stored = spark.read.parquet(probe_tbl)
+        stored = read_epochs(spark, probe_tbl)
         status = O.resolve_link_probe(stored).join(touched, ["site_id", "norm_url"], "left_semi")
         broken = R.broken_links(links_static, status)
-        try:
-            done = spark.read.parquet(out)
-            broken = broken.join(done, ["site_id", "page_norm", "pos", "link"], "left_anti")
+        try:  # pairs emitted by earlier epochs (a replayed epoch is recomputed in full)
+            done = read_epochs(spark, out).filter(F.col("_epoch") < epoch)
+            broken = broken.join(done.drop("_epoch"), ["site_id", "page_norm", "pos", "link"], "left_anti")
         except Exception:  # noqa: BLE001 - first batch: nothing emitted yet
             pass
-        broken.write.mode("append").parquet(out)
+        _write(cut_lineage(broken).withColumn("_epoch", F.lit(epoch)), out, epoch)
 
     _run(probes_stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_broken"))
     return out
@@ -109,7 +124,7 @@ def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys:
 
     def current():
         try:
-            return spark.read.parquet(out).groupBy("site_id", "norm_url").agg(F.min("depth").alias("cur"))
+            return read_epochs(spark, out).groupBy("site_id", "norm_url").agg(F.min("depth").alias("cur"))
         except Exception:  # noqa: BLE001 - nothing reached yet
             return None
 
@@ -130,19 +145,19 @@ def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys:
         e = O.with_norm(batch.select(*keys, "url", "links")).select(
             *keys, F.col("norm_url").alias("src"), F.explode_outer("links").alias("link")).filter(F.col("link").isNotNull())
         batch_edges = cut_lineage(G.crawlable_edges(e, sites))
-        batch_edges.write.mode("append").parquet(edges_tbl)
-        all_edges = spark.read.parquet(edges_tbl)  # edges stored so far, this batch included
+        _write(batch_edges, edges_tbl, epoch)
+        all_edges = read_epochs(spark, edges_tbl)  # edges stored so far, this batch included
         cur = current()
         if cur is None:  # first batch: the roots are reached at depth 0
             seeds = sites.select("site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"),
                                  F.lit(0).alias("depth"))
-            seeds.withColumn("batch", F.lit(epoch)).write.mode("append").parquet(out)
+            _write(seeds.withColumn("batch", F.lit(epoch)), out, epoch, "round=0")
             cur = current()
         cand = expand(cur.withColumnRenamed("cur", "depth"), batch_edges)
         level = cut_lineage(improved(cand, cur))
         rounds = 0
         while rounds < max_rounds and level.count() > 0:
-            level.withColumn("batch", F.lit(epoch)).write.mode("append").parquet(out)
+            _write(level.withColumn("batch", F.lit(epoch)), out, epoch, f"round={rounds + 1}")
             cur = current()
             level = cut_lineage(improved(expand(level, all_edges), cur))
             rounds += 1
