@@ -35,7 +35,9 @@ class Audit:
     inventory: DataFrame
 
 
-def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact") -> Audit:
+def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact", missing: str = "cancel") -> Audit:
+    """``missing``: for a site with a deadline, work reached but not captured by then becomes a
+    'context canceled' row ("cancel", the reference's behaviour) or is left out ("drop")."""
     caps = O.apply_deadline(captures, sites)
     page_caps = caps.filter(F.col("kind") == "page")
     # outcome per URL without bodies: the body column is pruned from this scan and shuffle
@@ -52,7 +54,8 @@ def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact") -> Au
     assets = X.page_assets(extracted.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"])
     depths = G.crawl_depths(links.select("site_id", F.col("page_norm").alias("src"), "link"), sites)
 
-    deadline = sites.select("site_id", F.col("deadline").isNotNull().alias("has_deadline"))
+    cancel = F.lit(missing == "cancel")
+    deadline = sites.select("site_id", (F.col("deadline").isNotNull() & cancel).alias("has_deadline"))
     rows = O.page_rows(outcomes, depths).join(deadline, "site_id")
     rows = rows.filter((F.col("error") != "context canceled") | F.col("has_deadline")).drop("has_deadline")
     seo = extracted.select("site_id", "norm_url", "seo")
@@ -97,8 +100,8 @@ def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact") -> Au
 
 
 def audit_report(captures: DataFrame, sites: DataFrame, generated_at: str, match: str = "exact",
-                 max_pages: int = R.MAX_NESTED_PAGES) -> DataFrame:
-    a = run_audit(captures, sites, match)
+                 max_pages: int = R.MAX_NESTED_PAGES, missing: str = "cancel") -> DataFrame:
+    a = run_audit(captures, sites, match, missing)
     nested = R.nest_pages(a.pages, a.broken, a.inventory)
     return R.assemble_report(nested, sites, generated_at, max_pages)
 

@@ -204,3 +204,11 @@ def test_a17_a18_request_log(spark):
     plan = {(r.site_id, r.url): r.offset_ms for r in Q.pacing_plan(log.withColumn("seq", F.monotonically_increasing_id()),
                                                                   sites).collect()}
     assert plan[("d", "/p4")] == 400.0 and plan[("r", "/p5")] == 250.0
+
+
+def test_a13_cut_off_drop_option(spark):
+    rows = [r for r in build_rows() if r[0] == "a13"]
+    caps = spark.createDataFrame(rows, schemas.CAPTURES)
+    sites = spark.createDataFrame([("a13", E, 2, 1, 0, 0, "", DEADLINE["a13"])], schemas.SITES)
+    got = {r.url: r.error for r in run_audit(caps, sites, missing="drop").pages.collect()}
+    assert got == {E: "", E + "/fast": ""}
