@@ -22,12 +22,6 @@ def _empty_seo():
                     F.lit(False).alias("has_h1"))
 
 
-def _resolve_all(base: Column, refs: Column, base_split: Column) -> Column:
-    """Resolve every raw reference, drop the ones that resolve to nothing, keep first occurrences."""
-    resolved = F.transform(refs, lambda r: U.resolve_url(base, r, base_split))
-    return F.array_distinct(F.filter(resolved, lambda x: x.isNotNull() & (x != "")))
-
-
 def link_refs(tags: Column) -> Column:
     """X2 input: every non-empty ``a[href]`` in document order (no special-URL filter for anchors)."""
     return F.flatten(F.transform(F.filter(tags, lambda t: t["name"] == "a"), lambda t: H.attr_values(t, "href")))

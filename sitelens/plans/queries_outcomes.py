@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitelens import schemas
 from sitelens.operators import outcomes as O
 from sitelens.plans.catalog import register
 from sitelens.sources import captures as C

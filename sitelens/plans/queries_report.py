@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitelens.functions import urls as U
 from sitelens.operators import extract as X
 from sitelens.operators import report as R
 from sitelens.plans.audit import audit_report, run_audit

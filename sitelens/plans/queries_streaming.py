@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sitelens.operators import extract as X
-from sitelens.operators import outcomes as O
 from sitelens.plans.catalog import register
 from sitelens.plans.queries_extract import _PAGE_HREFS
 from sitelens.plans.queries_graph import BFS_CTE, DEPTH, site_links

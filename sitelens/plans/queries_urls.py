@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitelens.functions import html as H
 from sitelens.functions import urls as U
 from sitelens.operators.canonical import canonical_groups
 from sitelens.plans.catalog import register

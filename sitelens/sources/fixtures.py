@@ -122,14 +122,6 @@ def web_pages(spark, sf_dir):
     return _spark(spark, WEB_PAGES_SQL, pages=table(spark, sf_dir, "pages").select("page_id"))
 
 
-def web_links_expected(spark, sf_dir):
-    return _spark(spark, WEB_LINKS_SQL, pages=table(spark, sf_dir, "pages").select("page_id"))
-
-
-def web_assets_expected(spark, sf_dir):
-    return _spark(spark, WEB_ASSETS_SQL, pages=table(spark, sf_dir, "pages").select("page_id"))
-
-
 def probes(spark, sf_dir):
     return _spark(spark, PROBES_SQL, pages=table(spark, sf_dir, "pages").select("page_id"))
 

@@ -3,8 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from sitelens import schemas
 from sitelens.operators import extract as X
 from sitelens.operators import report as R
