@@ -23,11 +23,18 @@ def _site_opts(sites: DataFrame) -> DataFrame:
     return sites.select("site_id", "root_url", F.col("depth").alias("limit"))
 
 
-def crawlable_edges(edges: DataFrame, sites: DataFrame) -> DataFrame:
-    """Edges that may become page tasks: same host as the site's root URL; dst = canonical link."""
+def crawlable_edges(edges: DataFrame, sites: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Edges that may become page tasks: same host as the site's root URL; dst = canonical link.
+
+    With ``num_partitions`` the result is hash-partitioned by (site_id, src) and deduplicated inside
+    that partitioning (one exchange; links are already distinct per page, so few duplicates travel).
+    """
     e = edges.join(_site_opts(sites), "site_id")
     e = e.filter(U.same_domain("root_url", "link"))
-    return e.select("site_id", "src", F.coalesce(U.normalize_url("link"), F.lit("")).alias("dst")).distinct()
+    e = e.select("site_id", "src", F.coalesce(U.normalize_url("link"), F.lit("")).alias("dst"))
+    if num_partitions:
+        e = e.repartition(num_partitions, "site_id", "src")
+    return e.distinct()
 
 
 def crawl_depths(edges: DataFrame, sites: DataFrame, broadcast_rows: int = BROADCAST_FRONTIER_ROWS,
@@ -41,7 +48,7 @@ def crawl_depths(edges: DataFrame, sites: DataFrame, broadcast_rows: int = BROAD
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = cut_lineage(crawlable_edges(edges, sites).repartition(n_parts, "site_id", "src"))
+    e = cut_lineage(crawlable_edges(edges, sites, n_parts))
     opts = _site_opts(sites)
     frontier = cut_lineage(opts.select("site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"),
                                        F.lit(0).alias("depth"), "limit"))
