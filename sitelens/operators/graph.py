@@ -16,7 +16,7 @@ from sitelens.functions import urls as U
 from sitelens.operators.canonical import dedupe_first
 from sitelens.session import cut_lineage, ensure_checkpoint_dir
 
-BROADCAST_FRONTIER_ROWS = 200_000
+BROADCAST_FRONTIER_ROWS = 100_000  # (site_id, url, limit) rows, about 10 MB
 
 
 def _site_opts(sites: DataFrame) -> DataFrame:

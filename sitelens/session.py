@@ -25,6 +25,8 @@ def build_session(master: str | None = None, app: str = "sitelens", shuffle_part
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoint files of garbage-collected datasets (finished BFS levels) are removed
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
