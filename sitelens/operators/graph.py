@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions import urls as U
 from sitelens.operators.canonical import dedupe_first
-from sitelens.session import cut_lineage, ensure_checkpoint_dir
+from sitelens.session import cut_lineage, cut_lineage_count, ensure_checkpoint_dir
 
 BROADCAST_FRONTIER_ROWS = 100_000  # (site_id, url, limit) rows, about 10 MB
 
@@ -50,12 +50,13 @@ def crawl_depths(edges: DataFrame, sites: DataFrame, broadcast_rows: int = BROAD
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = cut_lineage(crawlable_edges(edges, sites, n_parts))
     opts = _site_opts(sites)
-    frontier = cut_lineage(opts.select("site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"),
-                                       F.lit(0).alias("depth"), "limit"))
+    max_limit = opts.agg(F.max("limit")).first()[0] or 0
+    frontier, n = cut_lineage_count(opts.select(
+        "site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"), F.lit(0).alias("depth"), "limit"))
     levels = [frontier]
     d = 0
-    n = frontier.filter(F.col("limit") > 1).count()
-    while n > 0:
+    # a level at depth d expands only where the site's limit exceeds d + 1
+    while n > 0 and d + 1 < max_limit:
         f = frontier.filter(F.col("limit") > d + 1)
         side = (F.broadcast(f) if n <= broadcast_rows else f).alias("f")
         cand = e.alias("e").join(side, (F.col("e.site_id") == F.col("f.site_id")) & (F.col("e.src") == F.col("f.norm_url"))) \
@@ -64,12 +65,11 @@ def crawl_depths(edges: DataFrame, sites: DataFrame, broadcast_rows: int = BROAD
         seen = levels[0].select("site_id", "norm_url")
         for lv in levels[1:]:
             seen = seen.unionByName(lv.select("site_id", "norm_url"))
-        new = cut_lineage(cand.join(seen, ["site_id", "norm_url"], "left_anti")
-                          .select("site_id", "norm_url", F.lit(d + 1).alias("depth"), "limit"))
+        new, n = cut_lineage_count(cand.join(seen, ["site_id", "norm_url"], "left_anti")
+                                   .select("site_id", "norm_url", F.lit(d + 1).alias("depth"), "limit"))
         levels.append(new)
         frontier = new
         d += 1
-        n = frontier.filter(F.col("limit") > d + 1).count()
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)

@@ -66,3 +66,15 @@ def cut_lineage(df):
     out = df.checkpoint(eager=True)
     df.unpersist()
     return out
+
+
+def cut_lineage_count(df):
+    """``cut_lineage`` that also returns the row count: the count is the job that fills the cache,
+    the checkpoint then writes from the cached blocks (two jobs, one computation)."""
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = df.count()
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out, n
