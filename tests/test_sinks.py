@@ -3,6 +3,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from sitelens import schemas
 from sitelens.operators import extract as X
 from sitelens.operators import report as R
@@ -33,3 +35,18 @@ def test_table_level_extraction(spark):
     assert [(r.pos, r.link, r.link_norm) for r in X.extract_links(df, ["id"]).collect()] == [(0, "http://h.com/b", "http://h.com/b")]
     assert [(r.asset_url, r.type) for r in X.extract_assets(df, ["id"]).collect()] == [("http://h.com/i.gif", "image")]
     assert X.extract_seo(df, ["id"]).select("title").first().title == "x"
+
+
+def test_read_captures_json_and_clean_text(spark):
+    from sitelens.functions import html as H
+    from sitelens.sources.captures import read_captures, route_by_media_type
+    from tests.helpers import captures
+    out = scratch(spark, "t-caps")
+    captures(spark, [cap("http://h.com/", body="<title>x</title>"), cap("http://h.com/f", ctype="application/xml"),
+                     cap("http://h.com/i", kind="asset", method="HEAD", ctype=None)]).write.json(out)
+    caps = read_captures(spark, out, "json")
+    assert caps.schema == schemas.CAPTURES and caps.count() == 3
+    html_, xml, other = route_by_media_type(caps)
+    assert (html_.count(), xml.count(), other.count()) == (1, 1, 1)
+    got = spark.createDataFrame([("  A &amp; B\t",)], "t string").select(H.clean_text(F.col("t")).alias("c")).first().c
+    assert got == "A & B"
