@@ -23,7 +23,7 @@ def stream_claims(spark, sf_dir):
     log = ev.select(F.col("user_id").cast("string").alias("site_id"), F.col("event_type").alias("url"),
                     F.col("ts").alias("fetched_at"))
     path = T.stream_claims(log, T.scratch(spark, "claims"))
-    return spark.read.parquet(path).select("site_id", "norm_url")
+    return T.read_epochs(spark, path).select("site_id", "norm_url")
 
 
 @register("stream_extract", oracle=f"""

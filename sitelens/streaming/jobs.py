@@ -20,7 +20,7 @@ from sitelens.operators import graph as G
 from sitelens.operators import outcomes as O
 from sitelens.operators import report as R
 from sitelens.functions import urls as U
-from sitelens.session import cut_lineage, ensure_checkpoint_dir
+from sitelens.session import cut_lineage, cut_lineage_count, ensure_checkpoint_dir
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -51,17 +51,46 @@ def _run(writer, timeout_s: int = 1800) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def stream_claims(stream: DataFrame, root: str, watermark: str = "3650 days") -> str:
+BROADCAST_BATCH_KEYS = 100_000
+
+
+def stream_claims(stream: DataFrame, root: str, watermark: str = "3650 days", mode: str = "table") -> str:
     """First-seen (site, canonical URL) as captures arrive; returns the sink path.
 
-    Input needs (site_id, url, fetched_at).  Event time must be TIMESTAMP (not NTZ) for watermarks.
+    ``mode="table"`` (default, skew-safe): each micro-batch first collapses its copies of a key by
+    partial aggregation (so a URL holding a third of the rows never lands whole in one task), then
+    keeps only keys absent from the claims written by earlier epochs.  The membership check streams
+    over the stored claims with the batch's distinct keys broadcast when counted below
+    ``BROADCAST_BATCH_KEYS``.  ``mode="state"``: ``withWatermark`` + ``dropDuplicatesWithinWatermark``
+    (state store; every copy of a key is routed to that key's state partition).
+    Input needs (site_id, url, fetched_at); event time is cast to TIMESTAMP for watermarks.
     """
     s = O.with_norm(stream.withColumn("fetched_at", F.col("fetched_at").cast("timestamp")))
-    claims = s.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(["site_id", "norm_url"]) \
-        .select("site_id", "norm_url", "url", "fetched_at")
-    _run(claims.writeStream.format("parquet").option("path", f"{root}/claims")
-         .option("checkpointLocation", f"{root}/_ckpt_claims").outputMode("append"))
-    return f"{root}/claims"
+    out = f"{root}/claims"
+    if mode == "state":
+        claims = s.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(["site_id", "norm_url"]) \
+            .select("site_id", "norm_url", "url", "fetched_at")
+        _run(claims.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", f"{root}/_ckpt_claims").outputMode("append"))
+        return out
+    spark = stream.sparkSession
+    keys = ["site_id", "norm_url"]
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        first = batch.groupBy(*keys).agg(F.min_by(F.struct("url", "fetched_at"), F.col("fetched_at")).alias("c")) \
+            .select(*keys, "c.url", "c.fetched_at")
+        first, n = cut_lineage_count(first)
+        try:
+            prev = read_epochs(spark, out).filter(F.col("_epoch") < epoch).select(*keys)
+            probe = F.broadcast(first.select(*keys)) if n <= BROADCAST_BATCH_KEYS else first.select(*keys)
+            known = prev.join(probe, keys, "left_semi").distinct()
+            first = first.join(known, keys, "left_anti")
+        except Exception:  # noqa: BLE001 - first epoch: nothing claimed yet
+            pass
+        _write(first.withColumn("_epoch", F.lit(epoch)), out, epoch)
+
+    _run(s.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_claims"))
+    return out
 
 
 def stream_extract(stream: DataFrame, root: str, keys: list[str], url_col: str = "url", body_col: str = "body",

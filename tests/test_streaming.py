@@ -16,11 +16,18 @@ def test_stream_claims_equal_batch_first_claims(spark):
     rows = [("s1", u, T0 + dt.timedelta(seconds=i)) for i, u in
             enumerate(["http://A.com/x/", "http://a.com/x", "http://a.com/y#f", "http://a.com/y", "http://b.com/"])]
     rows += [("s2", "http://a.com/x", T0)]
-    spark.createDataFrame(rows, "site_id string, url string, fetched_at timestamp").write.parquet(f"{root}/in")
-    stream = spark.readStream.schema("site_id string, url string, fetched_at timestamp").parquet(f"{root}/in")
-    got = {(r.site_id, r.norm_url) for r in spark.read.parquet(T.stream_claims(stream, root)).collect()}
+    spark.createDataFrame(rows, "site_id string, url string, fetched_at timestamp").repartition(3) \
+        .write.parquet(f"{root}/in")
     batch = CN.dedupe_first(O.with_norm(spark.read.parquet(f"{root}/in")), ["site_id", "norm_url"], ["fetched_at"])
-    assert got == {(r.site_id, r.norm_url) for r in batch.collect()}
+    want = {(r.site_id, r.norm_url) for r in batch.collect()}
+    for mode in ("table", "state"):
+        stream = spark.readStream.schema("site_id string, url string, fetched_at timestamp") \
+            .option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        path = T.stream_claims(stream, f"{root}/{mode}", mode=mode)
+        rows = T.read_epochs(spark, path).select("site_id", "norm_url").collect()
+        assert len(rows) == len(want)  # every key claimed exactly once
+        got = {(r.site_id, r.norm_url) for r in rows}
+        assert got == want
     assert got == {("s1", "http://a.com/x"), ("s1", "http://a.com/y"), ("s1", "http://b.com"), ("s2", "http://a.com/x")}
 
 
