@@ -186,3 +186,32 @@ def report_json(spark, sf_dir):
     """R7 + S4: one JSON document per site (field names and omission rules of the reference)."""
     rep = audit_report(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH), GENERATED_AT)
     return R.report_json(rep)
+
+
+_PAGE_JSON = ("struct<root_url:string,depth:int,generated_at:string,pages:array<struct<url:string,depth:int,"
+              "http_status:int,status:string,error:string,broken_links:array<struct<url:string,status_code:int,"
+              "error:string>>,assets:array<struct<url:string,type:string,status_code:int,size_bytes:bigint,"
+              "error:string>>,discovered_at:string,seo:struct<has_title:boolean,title:string>>>>")
+
+
+@register("report_json_fields", oracle=f"""
+WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS},
+br AS (SELECT cl.src, count(*) AS n FROM cl JOIN ls ON cl.link = ls.url
+       WHERE NOT (cl.depth + 1 < {DEPTH} AND {_HOST.replace('link', 'cl.link')} = 'site.example')
+         AND (ls.status_code >= 400 OR ls.error <> '') GROUP BY cl.src),
+rows AS (SELECT d.url, d.depth, CAST(regexp_extract(d.url, '([0-9]+)$', 1) AS BIGINT) AS p FROM d)
+SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS INT) AS ord, rows.url,
+       CASE WHEN p % 17 = 16 THEN 'HTTP 503 (retriable)' END AS error,
+       CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 0 END AS INT) AS n_broken,
+       CASE WHEN p % 17 = 16 THEN NULL
+            ELSE strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p), '%Y-%m-%dT%H:%M:%SZ') END AS discovered_at,
+       'http://site.example/p/0' AS root_url, '{GENERATED_AT.replace(' ', 'T')}Z' AS generated_at
+FROM rows LEFT JOIN br ON br.src = rows.url""")
+def report_json_fields(spark, sf_dir):
+    """R7 + S4: the JSON documents parsed back: field names, omitted empty errors, RFC 3339 UTC seconds."""
+    rep = audit_report(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH), GENERATED_AT)
+    doc = R.report_json(rep).select(F.from_json("json", _PAGE_JSON).alias("d"))
+    return doc.select("d.root_url", "d.generated_at", F.posexplode_outer("d.pages").alias("ord", "p")) \
+        .filter(F.col("ord").isNotNull()).select(
+            "ord", "p.url", "p.error", F.size("p.broken_links").alias("n_broken"), "p.discovered_at", "root_url",
+            "generated_at").withColumn("n_broken", F.when(F.col("n_broken") >= 0, F.col("n_broken")))
