@@ -374,16 +374,22 @@ def _resolve(b: UrlParts, r: UrlParts, base: Column, ref: Column) -> Column:
 
 
 def _resolve_out(b, r, base, ref, scheme, r_user, r_host, r_has_sa, r_path_esc, b_user, b_userinfo, b_host):
-    # case A: reference carries its own scheme / host
-    a_out = F.when(r.is_opaque, F.concat(r.scheme, _lit(":"), r.path, r.query)).otherwise(_assemble(
-        scheme, r_user, F.when(r_user, _userinfo_out(r.userinfo)).otherwise(_lit("")), r_host,
-        resolve_path(r_path_esc, _lit("")), r.omit_host, r.query))
-    # case B: empty reference path and no '?' keeps the base query; case C merges paths
+    """The three cases share one path merge and one assembly; only their inputs differ.
+
+    A  the reference has its own scheme / host: its path (dot segments removed), user, host, query;
+    B  empty path and no '?': the base path and the base query;
+    C  otherwise: the base path merged with the reference path, and the reference query.
+    """
     same_doc = (r.path == "") & (r.query == "")
-    path = F.when(same_doc, resolve_path(b.path, _lit(""))).otherwise(resolve_path(b.path, r_path_esc))
-    query = F.when(same_doc, b.query).otherwise(r.query)
-    rel_out = _assemble(scheme, b_user, b_userinfo, b_host, path, _lit(False), query)
-    out = F.when(r_has_sa, a_out).otherwise(rel_out)
+    path_base = F.when(r_has_sa, r_path_esc).otherwise(b.path)
+    path_ref = F.when(r_has_sa | same_doc, _lit("")).otherwise(r_path_esc)
+    query = F.when(~r_has_sa & same_doc, b.query).otherwise(r.query)
+    user_present = F.when(r_has_sa, r_user).otherwise(b_user)
+    user_out = F.when(r_has_sa, F.when(r_user, _userinfo_out(r.userinfo)).otherwise(_lit(""))).otherwise(b_userinfo)
+    host = F.when(r_has_sa, r_host).otherwise(b_host)
+    omit_host = r_has_sa & r.omit_host
+    out = F.when(r_has_sa & r.is_opaque, F.concat(r.scheme, _lit(":"), r.path, r.query)).otherwise(
+        _assemble(scheme, user_present, user_out, host, resolve_path(path_base, path_ref), omit_host, query))
     return F.when((ref != "") & r.valid & base.isNotNull(), out)
 
 
