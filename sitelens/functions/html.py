@@ -156,13 +156,22 @@ def extract_tags(html_body: Column) -> Column:
     return start_tags(strip_markup(html_body))
 
 
-def attr_values(tag: Column, key: str, non_empty: bool = True) -> Column:
-    """All values of attribute ``key`` on one tag struct, in attribute order."""
-    pairs = F.arrays_zip(tag["keys"].alias("k"), tag["vals"].alias("v"))
+def attr_pairs(tag: Column) -> Column:
+    """ARRAY<STRUCT<k, v>> of one tag struct's attributes."""
+    return F.arrays_zip(tag["keys"].alias("k"), tag["vals"].alias("v"))
+
+
+def pair_values(pairs: Column, key: str, non_empty: bool = True) -> Column:
+    """All values of attribute ``key`` among zipped attribute pairs, in attribute order."""
     hit = F.filter(pairs, (lambda p: (p["k"] == key) & (p["v"] != "")) if non_empty else (lambda p: p["k"] == key))
     return F.transform(hit, lambda p: p["v"])
 
 
+def attr_values(tag: Column, key: str, non_empty: bool = True) -> Column:
+    """All values of attribute ``key`` on one tag struct, in attribute order."""
+    return pair_values(attr_pairs(tag), key, non_empty)
+
+
 def last_attr(tag: Column, key: str) -> Column:
     vals = attr_values(tag, key, non_empty=False)
     return F.when(F.size(vals) > 0, F.element_at(vals, -1))

@@ -29,19 +29,20 @@ def link_refs(tags: Column) -> Column:
 
 def asset_refs(tags: Column) -> Column:
     """X3a-X3e: img src / first srcset candidate / style url(); script src; stylesheet link href."""
-    def per_tag(t):
-        img = F.concat(H.attr_values(t, "src"),
-                       F.transform(H.attr_values(t, "srcset", non_empty=False), H.srcset_first),
-                       F.flatten(F.transform(H.attr_values(t, "style", non_empty=False), H.css_urls)))
-        is_sheet = F.exists(F.arrays_zip(t["keys"].alias("k"), t["vals"].alias("v")),
-                            lambda p: (p["k"] == "rel") & (p["v"] == "stylesheet"))
+    def per_tag(t, pairs):
+        img = F.concat(H.pair_values(pairs, "src"),
+                       F.transform(H.pair_values(pairs, "srcset", non_empty=False), H.srcset_first),
+                       F.flatten(F.transform(H.pair_values(pairs, "style", non_empty=False), H.css_urls)))
+        is_sheet = F.exists(pairs, lambda p: (p["k"] == "rel") & (p["v"] == "stylesheet"))
         empty = F.array().cast("array<string>")
         return F.when(t["name"] == "img", img) \
-            .when(t["name"] == "script", H.attr_values(t, "src")) \
-            .when((t["name"] == "link") & is_sheet, H.attr_values(t, "href")) \
+            .when(t["name"] == "script", H.pair_values(pairs, "src")) \
+            .when((t["name"] == "link") & is_sheet, H.pair_values(pairs, "href")) \
             .otherwise(empty)
 
-    refs = F.flatten(F.transform(tags, per_tag))
+    # only tags that can carry assets; their attribute pairs are zipped once per tag
+    cands = F.filter(tags, lambda t: t["name"].isin("img", "script", "link"))
+    refs = F.flatten(F.transform(cands, lambda t: U.let(H.attr_pairs(t), lambda pairs: per_tag(t, pairs))))
     return F.filter(refs, lambda r: ~U.is_special_url(r))
 
 
