@@ -91,19 +91,21 @@ _seg = st.text(alphabet="abcXYZ019-_.~", min_size=1, max_size=6).filter(lambda s
 
 @settings(max_examples=40, deadline=None)
 @given(scheme=st.sampled_from(["http", "HTTP", "https"]), host=st.text(alphabet="abcXY", min_size=1, max_size=5),
-       segs=st.lists(_seg, max_size=4), slash=st.booleans(),
+       segs=st.lists(_seg, max_size=4), slash=st.booleans(), port=st.sampled_from(["", "80", "443", "8080"]),
        query=st.lists(st.tuples(st.text(alphabet="abz", min_size=1, max_size=2),
                                 st.text(alphabet="xy 1", max_size=3)), max_size=3))
-def test_normalize_model(spark, scheme, host, segs, slash, query):
+def test_normalize_model(spark, scheme, host, segs, slash, port, query):
     """Differential check against a small Python model of the canonical form for simple URLs."""
     from urllib.parse import quote_plus
     path = "/" + "/".join(segs) + ("/" if slash else "")
     qs = "&".join(f"{k}={v}" for k, v in query)
-    raw = f"{scheme}://{host}{path}" + (f"?{qs}" if qs else "")
+    raw = f"{scheme}://{host}" + (f":{port}" if port else "") + path + (f"?{qs}" if qs else "")
+    default = (scheme.lower(), port) in (("http", "80"), ("https", "443"))
+    want_port = f":{port}" if port and not default else ""
     want_path = path.rstrip("/")
     pairs = sorted(enumerate(query), key=lambda p: (p[1][0], p[0]))
     want_q = "&".join(f"{quote_plus(k)}={quote_plus(v)}" for _, (k, v) in pairs)
-    want = f"{scheme.lower()}://{host.lower()}{want_path}" + (f"?{want_q}" if want_q else "")
+    want = f"{scheme.lower()}://{host.lower()}{want_port}{want_path}" + (f"?{want_q}" if want_q else "")
     got = _eval(spark, [U.normalize_url("u"), _TWICE()], [(raw,)], "u string")[0]
     assert got[0] == want
     assert got[1] == got[0]  # idempotent
