@@ -60,16 +60,20 @@ def unit_hash(col: Column) -> Column:
     return F.pmod(F.xxhash64(col), F.lit(1 << 30)) / float(1 << 30)
 
 
-def bounded_ids(rows: DataFrame, stratum: str, per_stratum: int) -> list[tuple]:
+def bounded_ids(rows: DataFrame, stratum: str, per_stratum: int | dict) -> list[tuple]:
     """At most ``per_stratum`` (doc_id, stratum) pairs of each stratum, chosen by the hash of the id.
 
+    An id that is there more than once counts once, with its greatest stratum.
     Strata are label values; only their counts and the chosen ids (twice the bound, as expected)
     reach the driver.  The same rows always give the same choice.
     """
+    rows = rows.where(F.col("doc_id").isNotNull() & F.col(stratum).isNotNull()) \
+        .groupBy("doc_id").agg(F.max(stratum).alias(stratum))
+    most = per_stratum if isinstance(per_stratum, dict) else {}
     counts = {r[0]: r[1] for r in rows.groupBy(stratum).count().collect()}
     if not counts:
         return []
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2.0 * per_stratum / n))])
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2.0 * most.get(k, per_stratum if not most else 0) / n))])
     chosen = rows.select("doc_id", stratum, unit_hash(F.col("doc_id")).alias("u")) \
         .where(F.col("u") < F.element_at(share, F.col(stratum))).collect()
     chosen.sort(key=lambda r: (r[2], r[0]))
@@ -77,7 +81,7 @@ def bounded_ids(rows: DataFrame, stratum: str, per_stratum: int) -> list[tuple]:
     seen: dict = {}
     for doc_id, label, _ in chosen:
         seen[label] = seen.get(label, 0) + 1
-        if seen[label] <= per_stratum:
+        if seen[label] <= (most.get(label, 0) if most else per_stratum):
             out.append((doc_id, label))
     return out
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitelens.llm import bpe, common, exact_dedup
+from sitelens.llm import bpe, common, exact_dedup, language_id, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = ranks_path()
     encoded = bpe.encode(common.table(spark, sf_dir, "documents"), ranks, split_pattern())
     return bpe.digests(bpe.decode(encoded, ranks))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learned from the labels that are not held out."""
+    docs = common.table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.fit(docs, common.table(spark, sf_dir, "labels")))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents by the byte convolutional network."""
+    docs = common.table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
+@query("op6_simhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints and components of all documents."""
+    return simhash.report(common.table(spark, sf_dir, "documents"))
