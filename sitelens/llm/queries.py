@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitelens.llm import bpe, common, exact_dedup, language_id, simhash, toxicity
+from sitelens.llm import bpe, common, decontaminate, exact_dedup, language_id, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +69,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and components of all documents."""
     return simhash.report(common.table(spark, sf_dir, "documents"))
+
+
+@query("op1_decontaminate")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a document and a benchmark item that it contains."""
+    return decontaminate.find(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
