@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitelens.llm import bpe, common, decontaminate, exact_dedup, language_id, simhash, toxicity
+from sitelens.llm import bpe, common, decontaminate, exact_dedup, language_id, secrets, simhash, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of a document and a benchmark item that it contains."""
     return decontaminate.find(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_secrets")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, with linked weak candidates."""
+    return secrets.report(common.table(spark, sf_dir, "documents"))
+
+
+#: Host and path rules of the URL filter.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query("op9_url_filter")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page URLs."""
+    return url_filter.judge(common.table(spark, sf_dir, "pages"), URL_RULES)
