@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sitelens.llm import bpe, common, decontaminate, exact_dedup, language_id, secrets, simhash, toxicity, url_filter
+from sitelens.llm import (automaton_dedup, bpe, common, decontaminate, exact_dedup, language_id, run_index_dedup, secrets,
+                          simhash, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +93,28 @@ URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "bl
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all page URLs."""
     return url_filter.judge(common.table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op3_suffix_array_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removal of repeated 100-byte strings from all documents by run-length indexes."""
+    out = run_index_dedup.remove_repeated_bytes(common.table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_substring_dedup", r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+           FROM documents),
+     s AS (SELECT doc_id, w, unnest(CASE WHEN len(w) >= 13 THEN range(1, len(w) - 11) ELSE [] END) AS i FROM d),
+     g AS (SELECT doc_id, i, list_aggregate(w[i:i + 12], 'string_agg', ' ') AS t FROM s),
+     r AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY t) < doc_id AS again FROM g),
+     c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM r WHERE again),
+     l AS (SELECT doc_id, list(p) AS gone FROM c GROUP BY doc_id),
+     k AS (SELECT d.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+                  coalesce(array_to_string(list_filter(w, lambda x, p: NOT list_contains(coalesce(gone, []), p)), ' '), '') AS kept
+           FROM d LEFT JOIN l ON l.doc_id = d.doc_id)
+SELECT doc_id, n_words, n_removed, sha256(kept) AS kept_sha256 FROM k""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removal of repeated 13-word windows from all documents by suffix automata."""
+    out = automaton_dedup.remove_repeated_words(common.table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
