@@ -1,7 +1,8 @@
 """A corpus for language-model training, made in five stages from ``documents``.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes every stage's rows as
-Parquet in the shared folder and reads them again as the next one's input.
+Parquet in the shared folder and reads them again as the next one's input.  All stages but the last
+return the columns of ``documents`` and only leave rows out.
 """
 
 from __future__ import annotations
@@ -9,7 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import bpe, common, exact_dedup, queries
+from sitelens.llm import bpe, common, decontaminate, exact_dedup, language_id, queries, simhash
+
+#: Least probability of the predicted language for a document to stay.
+LEAST_SCORE = 0.5
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: documents without a letter, or without a language that is likelier than not, go."""
+    return language_id.keep_identified(docs, language_id.fit(docs), LEAST_SCORE)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,19 +26,30 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: of documents that SimHash links connect, the one with the smallest doc_id stays."""
+    return simhash.drop_near_copies(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: documents that hold a benchmark item go."""
+    return decontaminate.keep_clean(docs, common.table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: the ids of every text."""
     encoded = bpe.encode(docs, queries.ranks_path(), queries.split_pattern())
     return bpe.token_lists(encoded).withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
-STAGES = [("exact_dedup", exact), ("byte_bpe", encode)]
+STAGES = [("language_id", identify), ("exact_dedup", exact), ("simhash", near), ("decontaminate", clean), ("byte_bpe", encode)]
 
 #: Several stages are not SQL: tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = common.stage(stage(spark, docs, sf_dir), name)
