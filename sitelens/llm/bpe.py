@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import base64
 import heapq
-from functools import lru_cache
-from itertools import islice
+from array import array
+from functools import cached_property, lru_cache
+from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +27,10 @@ from sitelens.llm import common
 
 LEAF = 16            # bytes of a leaf of the encoding tree
 FANOUT = 256         # children of a node of the decoding tree
-CACHED_PIECES = 200_000
+CACHED_PIECES = 300_000
 PIECES_AT_ONCE = 1 << 16
+TEXTS_AT_ONCE = 512
+NO_PAIR = np.uint64((1 << 64) - 1)
 
 
 def parse_ranks(blob: bytes) -> dict[bytes, int]:
@@ -85,6 +89,91 @@ class TreeBpe:
             i = nxt[i]
         return out
 
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """An open hash table of all pairs of tokens that merge: their key and the merged token."""
+        keys, merged = [], []
+        for token, rank in self.ranks.items():
+            for k in range(1, len(token)):
+                a, b = self.ranks.get(token[:k]), self.ranks.get(token[k:])
+                if a is not None and b is not None:
+                    keys.append(a << 32 | b)
+                    merged.append(rank)
+        size = 1 << max(4, (4 * len(keys)).bit_length())
+        table, value = np.full(size, NO_PAIR), np.zeros(size, np.int64)
+        todo, key, val = np.arange(len(keys)), np.array(keys, np.uint64), np.array(merged, np.int64)
+        slot = self._slot(key, size)
+        while len(todo):
+            at = slot[todo]
+            free = table[at] == NO_PAIR
+            table[at[free]], value[at[free]] = key[todo[free]], val[todo[free]]   # of two, the last one stays
+            todo = todo[table[at] != key[todo]]
+            slot[todo] = (slot[todo] + 1) % size
+        return table, value
+
+    @staticmethod
+    def _slot(key: np.ndarray, size: int) -> np.ndarray:
+        return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+    def _merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For each pair of tokens the token they merge to, or ``none``."""
+        table, value = self.pairs
+        key = a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+        slot = self._slot(key, len(table))
+        out = np.full(key.shape, self.none, np.int64)
+        found = table[slot]
+        hit = found == key
+        out[hit] = value[slot[hit]]
+        todo = np.nonzero(~hit & (found != NO_PAIR))
+        while len(todo[0]):
+            slot[todo] = at = (slot[todo] + 1) % len(table)
+            found = table[at]
+            hit = found == key[todo]
+            out[tuple(t[hit] for t in todo)] = value[at[hit]]
+            todo = tuple(t[~hit & (found != NO_PAIR)] for t in todo)
+        return out
+
+    def merge_many(self, leaves: list[bytes]) -> list[list[int]]:
+        """``merge`` of many short strings, one merge of every string at a time."""
+        n, width = len(leaves), max(map(len, leaves))
+        lens = np.fromiter(map(len, leaves), np.int64, n)
+        single = np.array([self.ranks.get(bytes([i]), self.none) for i in range(256)])
+        ids = single[np.frombuffer(b"".join(x.ljust(width, b"\0") for x in leaves), np.uint8).reshape(n, width)]
+        columns = np.arange(width + 1)
+        ids = np.concatenate([np.where(columns[:width] < lens[:, None], ids, self.none), np.full((n, 1), self.none)], 1)
+        rank = np.concatenate([self._merged(ids[:, :-1], ids[:, 1:]), np.full((n, 1), self.none)], 1)
+        out: list = [None] * n
+        at = np.arange(n)
+        while True:
+            m = rank.argmin(1)
+            low = rank[np.arange(len(at)), m]
+            going = low < self.none
+            for k in np.flatnonzero(~going):
+                out[at[k]] = ids[k, :lens[k]].tolist()
+            if not going.any():
+                return out
+            at, m, low, lens = at[going], m[going], low[going], lens[going] - 1
+            shifted = np.minimum(columns + (columns > m[:, None]), width)
+            ids = np.take_along_axis(ids[going], shifted, 1)
+            rank = np.take_along_axis(rank[going], shifted, 1)
+            rows = np.arange(len(at))
+            ids[rows, m] = low
+            rank[rows, m] = self._merged(low, ids[rows, m + 1])
+            before = m > 0
+            rank[rows[before], m[before] - 1] = self._merged(ids[rows[before], m[before] - 1], low[before])
+
+    def prepare(self, pieces: list[bytes]) -> None:
+        """Encode the leaves of many pieces at once, so that ``tree`` finds them."""
+        if len(self._nodes) + len(pieces) >= CACHED_PIECES:
+            self._nodes.clear()
+        leaves = {leaf for p in pieces for leaf in (self._leaves(p) if len(p) > LEAF else (p,)) if len(leaf) > 1}
+        leaves = sorted(leaves.difference(self._nodes), key=len)
+        for k in range(0, len(leaves), 8192):
+            self._nodes.update(zip(leaves[k:k + 8192], self.merge_many(leaves[k:k + 8192])))
+
+    def _leaves(self, data: bytes) -> list[bytes]:
+        return [data[k:k + LEAF] for k in range(0, len(data), LEAF)]
+
     def stable(self, a: int, b: int) -> bool:
         """Encoded together, the neighbours a and b give a and b again."""
         known = self._stable.get((a, b))
@@ -118,7 +207,7 @@ class TreeBpe:
         if len(data) <= LEAF:
             out = self.merge(data)
         else:
-            half = LEAF << max(0, (len(data) - 1).bit_length() - LEAF.bit_length())
+            half = LEAF << max(0, (len(data) - 1).bit_length() - LEAF.bit_length())   # whole leaves to the left
             out = self.join(self.tree(data[:half]), self.tree(data[half:]))
         if len(data) <= 2 * LEAF:
             if len(self._nodes) >= CACHED_PIECES:
@@ -132,32 +221,12 @@ class TreeBpe:
         return self.tree(data) if whole is None else [whole]
 
     def decode(self, ids: list[int]) -> bytes:
-        parts = [self.token[i] for i in ids]
+        parts = list(map(self.token.__getitem__, ids))
         while len(parts) > 1:
             parts = [b"".join(parts[k:k + FANOUT]) for k in range(0, len(parts), FANOUT)]
         return parts[0] if parts else b""
 
 
-class _Blank(Exception):
-    """A single blank can't be told from a longer run of white space."""
-
-
-class _Memo(dict):
-    """Text -> its ids as little-endian 32-bit integers; filled on demand, emptied when full."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, key: str) -> bytes:
-        out = self.encode(key)
-        if len(key) <= 64:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
-            self[key] = out
-        return out
-
-
 class Encoder:
     """Whole texts to ids.
 
@@ -168,28 +237,49 @@ class Encoder:
 
     def __init__(self, blob: bytes, pattern: str):
         import regex
-        bpe = TreeBpe(parse_ranks(blob))
+        self.bpe = TreeBpe(parse_ranks(blob))
         self.find = regex.compile(pattern)
-        self.piece = _Memo(lambda p: b"".join(i.to_bytes(4, "little") for i in bpe.piece(p.encode("utf-8"))))
-        self.cut = _Memo(self._cut)
+        self.piece: dict[str, bytes] = {}
+        self.cut: dict[str, bytes | None] = {}     # None: it begins or ends with white space
+
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self.piece) >= CACHED_PIECES:
+            self.piece.clear()
+        data = {p: p.encode("utf-8") for p in pieces.difference(self.piece)}
+        self.bpe.prepare([d for d in data.values() if d not in self.bpe.ranks])
+        for p, d in data.items():
+            self.piece[p] = array("I", self.bpe.piece(d)).tobytes()
+
+    def _learn_cuts(self, cuts: set[str], firsts: set[str]) -> None:
+        """``firsts``: texts' beginnings, which no blank precedes; they are kept with a blank behind."""
+        if len(self.cut) >= CACHED_PIECES:
+            self.cut.clear()
+        found = {c: None if not c or c[0].isspace() or c[-1].isspace() else self.find.findall(" " + c)
+                 for c in cuts.difference(self.cut)}
+        found |= {f: None if f == " " or f[-2].isspace() else self.find.findall(f[:-1]) for f in firsts}
+        self._learn({p for m in found.values() if m for p in m})
+        for c, m in found.items():
+            self.cut[c] = m and b"".join([self.piece[p] for p in m])
 
     def _matches(self, text: str) -> bytes:
-        matches = (m.group() for m in self.find.finditer(text))
-        return b"".join(iter(lambda: b"".join(map(self.piece.__getitem__, islice(matches, PIECES_AT_ONCE))), b""))
-
-    def _cut(self, cut: str) -> bytes:
-        if not cut or cut[0].isspace() or cut[-1].isspace():
-            raise _Blank
-        return b"".join(map(self.piece.__getitem__, self.find.findall(" " + cut)))
-
-    def __call__(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        try:
-            if first and first[-1].isspace() or not first and rest:
-                raise _Blank
-            return self._matches(first) + b"".join(map(self.cut.__getitem__, rest))
-        except _Blank:
-            return self._matches(text)
+        """Match by match, at most ``PIECES_AT_ONCE`` of them at a time."""
+        matches, out = (m.group() for m in self.find.finditer(text)), []
+        while some := list(islice(matches, PIECES_AT_ONCE)):
+            self._learn(set(some))
+            out += map(self.piece.__getitem__, some)
+        return b"".join(out)
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        cuts = [t.split(" ") for t in texts]
+        for c in cuts:
+            c[0] += " "
+        firsts = {c[0] for c in cuts}
+        self._learn_cuts(set(chain.from_iterable(cuts)) - firsts, firsts)
+        out = []
+        for text, cut in zip(texts, cuts):
+            ids = list(map(self.cut.__getitem__, cut))
+            out.append(self._matches(text) if None in ids else b"".join(ids))
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -219,7 +309,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def task(batches):
         encoder = worker_encoder(blob.value, pattern)
         for ids, texts in common.arrow_rows(batches, ("doc_id", "text")):
-            yield common.record_batch(ENCODED, ids, [encoder(t) for t in texts])
+            for k in range(0, len(texts), TEXTS_AT_ONCE):
+                yield common.record_batch(ENCODED, ids[k:k + TEXTS_AT_ONCE], encoder.batch(texts[k:k + TEXTS_AT_ONCE]))
 
     return common.id_text(docs).mapInArrow(task, "doc_id long, ids binary")
 
@@ -229,7 +320,6 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     blob = broadcast_ranks(common.session(encoded), ranks_path)
 
     def task(batches):
-        import numpy as np
         bpe = TreeBpe(parse_ranks(blob.value))
         for ids, packed in common.arrow_rows(batches, ("doc_id", "ids")):
             yield common.record_batch(DECODED, ids, packed, [
@@ -249,7 +339,6 @@ def token_lists(encoded: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("token_ids", pa.list_(pa.int32()))])
 
     def task(batches):
-        import numpy as np
         for ids, packed in common.arrow_rows(batches, ("doc_id", "ids")):
             ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
             values = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
