@@ -83,7 +83,7 @@ def decisions(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     rows = digest_rows(docs)
     fresh_index = index is None
     index = index or DigestIndex(spark)
-    known = None if fresh_index else common.stage(index.unbucketed().select("digest"), "known-digests")
+    known = None if fresh_index else common.stage(index.rows().select("digest"), "known-digests")
     index.append_new(rows)
     out = rows.join(index.unbucketed(), "digest")
     if known is not None:

@@ -143,15 +143,19 @@ def send_anchors(units: Units, buckets: int):
     return task
 
 
-def find_repeated(bucket: pa.Table) -> pa.Table:
+def find_repeated(limit: int):
     """Each block's anchors that occur in another block, too, ascending; and whether they are hot."""
+    return lambda bucket: _repeated(bucket, limit)
+
+
+def _repeated(bucket: pa.Table, limit: int) -> pa.Table:
     blocks = bucket.column("block").to_pylist()
     parts = [np.frombuffer(b, np.uint64) for b in bucket.column("anchors").to_pylist()]
     anchors = np.concatenate(parts)
     counts = np.concatenate([np.frombuffer(b, np.uint32) for b in bucket.column("counts").to_pylist()])
     value, where = np.unique(anchors, return_inverse=True)
     times = np.bincount(where, minlength=len(value))[where]
-    hot = np.bincount(where, counts, len(value))[where] >= HOT
+    hot = np.bincount(where, counts, len(value))[where] >= limit
     out, at = [], 0
     for nr, p in zip(blocks, parts):
         keep = at + np.flatnonzero(times[at:at + len(p)] > 1)
@@ -162,7 +166,7 @@ def find_repeated(bucket: pa.Table) -> pa.Table:
     return pa.table([list(c) for c in zip(*out)] if out else [[], [], []], schema=REPEATED)
 
 
-def send_segments(units: Units, shards: int):
+def send_segments(units: Units, shards: int, limit: int):
     def task(block: pa.Table, repeated: pa.Table) -> pa.Table:
         import xxhash
         out: list[tuple] = []
@@ -177,7 +181,7 @@ def send_segments(units: Units, shards: int):
         tokens = [units.tokens(t) for _, _, t in docs]
         found = [segments(units.hashes(x), units) for x in tokens]
         own, counts = _local_counts(found, units)
-        hot = np.union1d(hot, own[counts >= HOT])       # no other block has those: they decide alone
+        hot = np.union1d(hot, own[counts >= limit])     # if other blocks have one of them, it is hot there, too
         known = np.union1d(shared, own[counts > 1])
         first_at: dict[bytes, int] = {}
         local: list[tuple[int, int, int]] = []
@@ -253,8 +257,10 @@ def apply_ranges(units: Units, finish: Callable, schema: pa.Schema):
     return task
 
 
-def remove_repeats(docs: DataFrame, units: Units, judge: Callable, finish: Callable, schema: pa.Schema, ddl: str) -> DataFrame:
+def remove_repeats(docs: DataFrame, units: Units, judge: Callable, finish: Callable, schema: pa.Schema, ddl: str,
+                   hot: int | None = None) -> DataFrame:
     spark = common.session(docs)
+    hot = HOT if hot is None else hot
     rows = common.id_text(docs).withColumn("text_hash", F.xxhash64("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -262,7 +268,7 @@ def remove_repeats(docs: DataFrame, units: Units, judge: Callable, finish: Calla
     block = F.pmod(F.xxhash64(F.coalesce("doc_id", "text_hash")), F.lit(blocks)).cast("int")
     rows = rows.select(block.alias("block"), "doc_id", "text_hash", "text").repartition(blocks, "block")
     anchors = rows.groupBy("block").applyInArrow(send_anchors(units, blocks), _ddl(ANCHORS))
-    repeated = anchors.groupBy("bucket").applyInArrow(find_repeated, _ddl(REPEATED))
-    sent = rows.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(send_segments(units, shards), _ddl(SEGMENTS))
+    repeated = anchors.groupBy("bucket").applyInArrow(find_repeated(hot), _ddl(REPEATED))
+    sent = rows.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(send_segments(units, shards, hot), _ddl(SEGMENTS))
     ranges = sent.groupBy("shard").applyInArrow(judge_shard(units, judge), _ddl(RANGES))
     return rows.groupBy("block").cogroup(ranges.groupBy("block")).applyInArrow(apply_ranges(units, finish, schema), ddl)

@@ -124,8 +124,11 @@ def predict(docs: DataFrame, model: Weights | None) -> DataFrame:
         w = sent.value.dense() if sent.value else None
         hashes = WordHash()
         for ids, texts in common.arrow_rows(batches, ("doc_id", "text")):
-            total = [w[slots(t, hashes)].sum() + sent.value.bias if w is not None else -np.inf for t in texts]
-            yield common.record_batch(schema, ids, 1 / (1 + np.exp(-np.clip(np.array(total), -700, 700))))
+            if w is None:
+                yield common.record_batch(schema, ids, np.zeros(len(ids)))
+                continue
+            total = np.array([w[slots(t, hashes)].sum() + sent.value.bias for t in texts])
+            yield common.record_batch(schema, ids, 1 / (1 + np.exp(-np.clip(total, -700, 700))))
 
     scored = common.id_text(docs).mapInArrow(task, "doc_id long, score double")
     return scored.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "score",
