@@ -31,17 +31,21 @@ XML_MEDIA_TYPES = ("application/xml", "text/xml", "application/rss+xml")
 HTML_MEDIA_TYPE = "text/html"
 # ---------------------------------------------------------------------------------------------
 
-_ATTRS = r"""(?:[^'">]++|"[^"]*+"|'[^']*+')*+"""
+# A quote opens a value only right after '='.  An unclosed quote runs to the end of the body, and so
+# does an unclosed tag (``_END``), so no pattern reads the same text again from each of many openings.
+_ATTRS = r"""(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s>]*+))*+"""
+_NAME_END = r"(?=[\s/>]|\z)"
+_END = r"(?:>|\z)"
 _RAW = "|".join(RAW_TEXT_TAGS)
 # groups: 1 '<!--' | 2 '-->' or '' | 3 raw-text start tag | 4 its name | 5 whole title element
-STRIP_RE = (rf"(?is)(<!--).*?(-->|\z)|(<({_RAW})\b{_ATTRS}>).*?(?:</\4\s*>|\z)"
-            rf"|(<title\b{_ATTRS}>.*?(?:</title\s*>|\z))")
+STRIP_RE = (rf"(?is)(<!--).*?(-->|\z)|(<({_RAW}){_NAME_END}{_ATTRS}{_END}).*?(?:</\4\s*>|\z)"
+            rf"|(<title{_NAME_END}{_ATTRS}{_END}.*?(?:</title\s*>|\z))")
 STRIP_REPL = "$1$2$3$5"
 _TARGET = "|".join(TARGET_TAGS)
-TAG_RE = (rf"(?is)<title\b{_ATTRS}>.*?(?:</title\s*>|\z)"
-          rf"|(<(?:{_TARGET})(?=[\s/>]){_ATTRS}>)|<[a-z][^\s/>]*{_ATTRS}>")
-TITLE_RE = rf"(?is)<title\b{_ATTRS}>(.*?)(?:</title\s*>|\z)"
-H1_WITH_CHILD_RE = rf"(?is)<h1(?=[\s/>]){_ATTRS}>(?!</h[1-6]\s*>|<h[1-6][\s/>]|\z)"
+TAG_RE = (rf"(?is)<title{_NAME_END}{_ATTRS}{_END}.*?(?:</title\s*>|\z)"
+          rf"|(<(?:{_TARGET})(?=[\s/>]){_ATTRS}>)|<[a-z][^\s/>]*{_ATTRS}{_END}")
+TITLE_RE = rf"(?is)<title{_NAME_END}{_ATTRS}(?:>(.*?)(?:</title\s*>|\z)|\z)"
+H1_WITH_CHILD_RE = rf"(?is)<h1(?=[\s/>]){_ATTRS}(?:(>)(?!</h[1-6]\s*>|<h[1-6][\s/>]|\z)|\z)"
 ATTR_RE = r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?"""
 _WS_TRIM_RE = r"^\p{IsWhite_Space}+|\p{IsWhite_Space}+$"
 
@@ -51,6 +55,7 @@ _NUM = r"#[xX][0-9a-fA-F]+;?|#[0-9]{2,};?|#[0-9];"
 TEXT_ENTITY_RE = rf"&(?:{_NUM}|[A-Za-z0-9]+;?)"
 # attribute values: a name without ';' directly followed by '=' is left alone
 ATTR_ENTITY_RE = rf"&(?:{_NUM}|[A-Za-z0-9]+(?:;|(?!=)))"
+FREQUENT_ENTITIES = ("amp", "lt", "gt", "quot", "nbsp", "apos")
 _LEGACY_MAX = max(len(k) for k in html.entities.html5 if not k.endswith(";"))
 
 
@@ -91,7 +96,11 @@ def _numeric_ref(t: Column, cp1252: Column) -> Column:
 
 def _named_ref(t: Column, attribute: bool, named: Column, legacy: Column) -> Column:
     name = F.substring(t, 2, 1 << 30)
-    full = F.element_at(named, name)
+    # the frequent names first: the whole table is a linear search
+    full = F.lit(None).cast("string")
+    for known in FREQUENT_ENTITIES:
+        full = F.when(name == known + ";", _lit(html.entities.html5[known + ";"])).otherwise(full)
+    full = F.coalesce(full, F.element_at(named, name))
     if attribute:
         return F.coalesce(full, t)
     # longest semicolon-less prefix (2.._LEGACY_MAX chars, shorter than the token), rest kept verbatim
@@ -221,7 +230,7 @@ def media_of(content_type: Column) -> Column:
 
 
 def cap_text_bytes(body: Column, cap: int) -> Column:
-    """The longest whole-character prefix of the body whose UTF-8 encoding fits in ``cap`` bytes.
+    """S5, only where a caller asks for a cut: the longest whole-character prefix of the body whose UTF-8 encoding fits in ``cap`` bytes.
 
     The byte cut is decoded with ``make_valid_utf8``; a character split by the cut comes out as
     U+FFFD and is dropped (the reference keeps the raw partial bytes, which only ever touch the
@@ -255,12 +264,16 @@ def seo_description(tags: Column) -> Column:
 
 
 def seo_has_h1(stripped: Column) -> Column:
-    return stripped.rlike(H1_WITH_CHILD_RE)
+    return F.regexp_extract(stripped, H1_WITH_CHILD_RE, 1) == ">"
 
 
 def seo_xml_title(body: Column) -> Column:
     """STRUCT<has_title, title>: first literal <title>...</title> after the first literal <channel>."""
-    m = F.regexp_extract_all(body, F.lit(r"(?s)<channel>.*?<title>(.*?)</title>"), 1)
-    return let(m, lambda ms: F.struct(
-        (F.size(ms) > 0).alias("has_title"),
-        F.when(F.size(ms) > 0, html_unescape(trim_space(F.get(ms, 0)))).otherwise(_lit("")).alias("title")))
+    def after(text: Column, mark: str) -> Column:
+        at = F.instr(text, mark)
+        return F.when(at > 0, text.substr(at + len(mark), F.length(text)))
+
+    # three searches one behind the other: linear however often the marks repeat
+    title = after(after(body, "<channel>"), "<title>")
+    return let(F.when(F.instr(title, "</title>") > 0, F.substring_index(title, "</title>", 1)), lambda t: F.struct(
+        t.isNotNull().alias("has_title"), F.coalesce(html_unescape(trim_space(t)), _lit("")).alias("title")))

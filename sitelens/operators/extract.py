@@ -47,18 +47,21 @@ def asset_refs(tags: Column) -> Column:
 
 
 def extract_pages(df: DataFrame, url_col: str = "url", body_col: str = "body", ctype_col: str | None = "content_type",
-                  cap: int = H.HTML_BODY_CAP) -> DataFrame:
+                  cap: int | None = None) -> DataFrame:
     """Add ``media``, ``links`` ARRAY<STRING>, ``assets`` ARRAY<STRUCT<url,type>>, ``seo`` STRUCT.
 
     The base of every reference is the *normalised requested URL* (redirect targets and ``<base>``
     are ignored, as in the reference).  HTML gets all three outputs, XML only SEO, others none.
+    Whole bodies are read; only an explicit ``cap`` (bytes) cuts them, and then ``truncated`` says which.
     """
     media = H.media_of(F.col(ctype_col)) if ctype_col else F.lit("html")
     d = df.withColumns({
         "media": media,
         "_base": U.normalize_url(url_col),
-        "_body": F.coalesce(H.cap_text_bytes(F.col(body_col), cap), F.lit("")),
+        "_body": F.coalesce(F.col(body_col) if cap is None else H.cap_text_bytes(F.col(body_col), cap), F.lit("")),
     })
+    if cap is not None:
+        d = d.withColumn("truncated", F.coalesce(F.octet_length(body_col) > cap, F.lit(False)))
     d = d.withColumn("_bsplit", U.split_url(F.col("_base")))
     d = d.withColumn("_stripped", F.when(F.col("media") == "html", H.strip_markup(F.col("_body"))))
     d = d.withColumn("_tags", memo(("start_tags",), lambda: F.when(F.col("media") == "html",

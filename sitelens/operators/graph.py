@@ -3,24 +3,26 @@
 ``crawl_depths`` is an iterative job of at most ``depth`` rounds for all sites at once.  Each round
 joins the current frontier with the pre-partitioned edge table, keeps unseen canonical URLs and
 writes the new level with a reliable ``checkpoint()`` (lineage stays one level deep and a lost
-executor only re-reads checkpoint files).  The frontier is broadcast only after it has been
-counted and found below ``broadcast_rows``; otherwise both sides are shuffled and AQE handles skew.
+executor only re-reads checkpoint files).  Whether a frontier is broadcast is left to AQE, which knows
+its size in bytes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions import urls as U
 from sitelens.operators.canonical import dedupe_first
 from sitelens.session import cut_lineage, cut_lineage_count, ensure_checkpoint_dir
 
-BROADCAST_FRONTIER_ROWS = 100_000  # (site_id, url, limit) rows, about 10 MB
+def _site_opts(sites: DataFrame) -> DataFrame:
+    """One row a site: its host (parsed here once, not again for every link) and its depth limit."""
+    return sites.select("site_id", "root_url", U.host_of(F.col("root_url")).alias("root_host"), F.col("depth").alias("limit"))
 
 
-def _site_opts(sites: DataFrame) -> DataFrame:
-    return sites.select("site_id", "root_url", F.col("depth").alias("limit"))
+def _same_host() -> Column:
+    return F.coalesce(U.host_of(F.col("link")) == F.col("root_host"), F.lit(False))
 
 
 def crawlable_edges(edges: DataFrame, sites: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -30,15 +32,15 @@ def crawlable_edges(edges: DataFrame, sites: DataFrame, num_partitions: int | No
     that partitioning (one exchange; links are already distinct per page, so few duplicates travel).
     """
     e = edges.join(_site_opts(sites), "site_id")
-    e = e.filter(U.same_domain("root_url", "link"))
-    e = e.select("site_id", "src", F.coalesce(U.normalize_url("link"), F.lit("")).alias("dst"))
+    e = e.filter(_same_host())
+    dst = F.col("link_norm") if "link_norm" in edges.columns else F.coalesce(U.normalize_url("link"), F.lit(""))
+    e = e.select("site_id", "src", dst.alias("dst"))
     if num_partitions:
         e = e.repartition(num_partitions, "site_id", "src")
     return e.distinct()
 
 
-def crawl_depths(edges: DataFrame, sites: DataFrame, broadcast_rows: int = BROADCAST_FRONTIER_ROWS,
-                 num_partitions: int | None = None) -> DataFrame:
+def crawl_depths(edges: DataFrame, sites: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """(site_id, norm_url, depth) reachable from the root within the site's depth limit.
 
     ``edges``: (site_id, src, link) with ``src`` the canonical URL of a fetched page and ``link`` a
@@ -58,8 +60,7 @@ def crawl_depths(edges: DataFrame, sites: DataFrame, broadcast_rows: int = BROAD
     # a level at depth d expands only where the site's limit exceeds d + 1
     while n > 0 and d + 1 < max_limit:
         f = frontier.filter(F.col("limit") > d + 1)
-        side = (F.broadcast(f) if n <= broadcast_rows else f).alias("f")
-        cand = e.alias("e").join(side, (F.col("e.site_id") == F.col("f.site_id")) & (F.col("e.src") == F.col("f.norm_url"))) \
+        cand = e.alias("e").join(f.alias("f"), (F.col("e.site_id") == F.col("f.site_id")) & (F.col("e.src") == F.col("f.norm_url"))) \
             .select(F.col("e.site_id").alias("site_id"), F.col("e.dst").alias("norm_url"), F.col("f.limit").alias("limit")) \
             .distinct()
         seen = levels[0].select("site_id", "norm_url")
@@ -83,8 +84,8 @@ def classify_links(links: DataFrame, depths: DataFrame, sites: DataFrame) -> Dat
     """
     j = links.join(depths.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"]) \
         .join(_site_opts(sites), "site_id")
-    crawl = (F.col("limit") > F.col("depth") + 1) & U.same_domain("root_url", "link")
-    return j.withColumn("action", F.when(crawl, F.lit("crawl")).otherwise(F.lit("check"))).drop("root_url", "limit")
+    crawl = (F.col("limit") > F.col("depth") + 1) & _same_host()
+    return j.withColumn("action", F.when(crawl, F.lit("crawl")).otherwise(F.lit("check"))).drop("root_url", "root_host", "limit")
 
 
 def link_worklist(classified: DataFrame) -> DataFrame:
@@ -110,8 +111,8 @@ def asset_worklist(assets: DataFrame, depths: DataFrame) -> DataFrame:
 
 def external_links(links: DataFrame, sites: DataFrame) -> DataFrame:
     """Links whose host differs from the root's host (checked, never crawled)."""
-    j = links.join(sites.select("site_id", "root_url"), "site_id")
-    return j.filter(~U.same_domain("root_url", "link")).drop("root_url")
+    j = links.join(_site_opts(sites).drop("limit", "root_url"), "site_id")
+    return j.filter(~_same_host()).drop("root_host")
 
 
 def unfetched_frontier(depths: DataFrame, fetched: DataFrame) -> DataFrame:

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from sitelens.functions import status as S
 from sitelens.functions import urls as U
-from sitelens.functions.html import ASSET_BODY_CAP
 
 _KEYS = ["site_id", "norm_url"]
+CANCELLED = "context canceled"   # fixed value: the error of work that a deadline cut off
 
 
 def with_norm(df: DataFrame, url_col: str = "url") -> DataFrame:
@@ -27,17 +27,28 @@ def resolve_attempts(attempts: DataFrame, sites: DataFrame) -> DataFrame:
     The first winning attempt (no error, status > 0, not retriable -- a 404 wins) is the outcome;
     when none wins: http_status 0 and the last failing attempt's error.  Input needs
     (site_id, url, attempt, status_code, error[, fetched_at, final_url, content_type, body]).
+
+    Of several captures of one attempt (spellings of one URL, repeats) the first by (fetched_at, url)
+    counts.  ``win_url`` and ``fetched_at`` name the capture that won, or the last that failed.  With a
+    ``deadline`` in ``sites``, a URL whose retries were not used up by then is cancelled.
     """
-    opt = sites.select("site_id", "retries")
+    opt = sites.select("site_id", "retries", *(["deadline"] if "deadline" in sites.columns else []))
     a = with_norm(attempts).join(opt, "site_id").filter(F.col("attempt") <= F.col("retries"))
-    win = S.is_win(F.col("status_code"), F.col("error"))
-    carry = [c for c in ("status_code", "fetched_at", "final_url", "content_type", "body", "url") if c in a.columns]
-    won = F.when(win, F.struct(*[F.col(c) for c in carry]))
+    carry = [c for c in ("status_code", "fetched_at", "final_url", "content_type", "body", "url", "error") if c in a.columns]
+    first = ([F.col("fetched_at")] if "fetched_at" in carry else []) + [F.col("url")]
+    a = a.groupBy(*_KEYS, "attempt").agg(
+        F.min_by(F.struct(*carry), F.struct(*first)).alias("c"), F.first("retries").alias("retries"),
+        *([F.first("deadline").alias("deadline")] if "deadline" in opt.columns else []))
+    win = S.is_win(F.col("c.status_code"), F.col("c.error"))
+    last = F.max_by(F.struct(S.attempt_error(F.col("c.status_code"), F.col("c.error")).alias("error"),
+                             *([F.col("c.fetched_at").alias("fetched_at")] if "fetched_at" in carry else [])), F.col("attempt"))
+    cancelled = F.lit(False)
+    if "deadline" in opt.columns:
+        cancelled = F.first("deadline").isNotNull() & (F.max("attempt") < F.first("retries"))
     agg = a.groupBy(*_KEYS).agg(
-        F.min_by(won, F.when(win, F.col("attempt"))).alias("w"),
-        F.min(F.when(win, F.col("attempt"))).alias("win_attempt"),
-        F.max_by(S.attempt_error(F.col("status_code"), F.col("error")), F.col("attempt")).alias("last_error"),
-        F.min_by(F.col("url"), F.col("attempt")).alias("url"),
+        F.min_by(F.when(win, F.col("c")), F.when(win, F.col("attempt"))).alias("w"),
+        F.min(F.when(win, F.col("attempt"))).alias("win_attempt"), last.alias("l"), cancelled.alias("cut"),
+        F.min_by(F.col("c.url"), F.col("attempt")).alias("url"),
         F.count(F.lit(1)).alias("n_attempts"))
     ok = F.col("w").isNotNull()
     http = F.when(ok, F.col("w.status_code")).otherwise(F.lit(0))
@@ -45,10 +56,11 @@ def resolve_attempts(attempts: DataFrame, sites: DataFrame) -> DataFrame:
         *_KEYS, "url",
         http.cast("int").alias("http_status"),
         S.status_label(http).alias("status"),
-        F.when(ok, F.lit("")).otherwise(F.coalesce(F.col("last_error"), F.lit(""))).alias("error"),
-        F.col("win_attempt").cast("int").alias("win_attempt"),
+        F.when(ok, F.lit("")).when(F.col("cut"), F.lit(CANCELLED)).otherwise(F.coalesce(F.col("l.error"), F.lit(""))).alias("error"),
+        F.col("win_attempt").cast("int").alias("win_attempt"), F.col("w.url").alias("win_url"),
         F.col("n_attempts"),
-        *([F.col("w.fetched_at").alias("fetched_at")] if "fetched_at" in carry else []),
+        *([F.when(ok, F.col("w.fetched_at")).when(~F.col("cut"), F.col("l.fetched_at")).alias("fetched_at")]
+          if "fetched_at" in carry else []),
         *([F.col("w.content_type").alias("content_type")] if "content_type" in carry else []),
         *([F.col("w.body").alias("body")] if "body" in carry else []),
         *([F.col("w.final_url").alias("_final")] if "final_url" in carry else []))
@@ -97,42 +109,49 @@ def _head_stands(head):
                                                                    F.lit(False))
 
 
+def _resolved():
+    return _head_stands(F.col("head")) | F.col("get").isNotNull()
+
+
 def resolve_link_probe(probes: DataFrame) -> DataFrame:
     """HEAD result unless it errored or returned 405/501, then the GET result; both failing ->
-    status 0 and 'both HEAD and GET requests failed: <GET error>'."""
-    pv = _probe_pivot(probes, [])
+    status 0 and 'both HEAD and GET requests failed: <GET error>'.  A URL whose HEAD failed and whose
+    GET is not captured (yet) has no result: it is left out, like one that was never probed."""
+    pv = _probe_pivot(probes, []).filter(_resolved())
     head, get = F.col("head"), F.col("get")
     get_ok = get.isNotNull() & get["error"].isNull()
     status = F.when(_head_stands(head), head["status_code"]).when(get_ok, get["status_code"]).otherwise(F.lit(0))
     err = F.when(_head_stands(head) | get_ok, F.lit("")).otherwise(
-        F.concat(F.lit("both HEAD and GET requests failed: "), F.coalesce(get["error"], F.lit("no GET capture"))))
+        F.concat(F.lit("both HEAD and GET requests failed: "), get["error"]))
     return pv.select(*_KEYS, "url", status.cast("int").alias("status_code"), err.alias("error"))
 
 
-def resolve_asset_probe(probes: DataFrame) -> DataFrame:
+def resolve_asset_probe(probes: DataFrame, size_cap: int | None = None) -> DataFrame:
     """F5 + F6: HEAD -> GET rule; 2xx gives the size (HEAD: Content-Length verbatim, -1 when unknown;
-    GET: Content-Length when known, else bytes read capped at 50 MiB); other status -> size 0 and
-    'HTTP <code>'; transport failure -> status 0, 'request failed: <error>'."""
-    pv = _probe_pivot(probes, ["content_length", "body_bytes"])
+    GET: Content-Length when known, else bytes read, clipped only by an explicit ``size_cap``); other
+    status -> size 0 and 'HTTP <code>'; transport failure -> status 0, 'request failed: <error>'.
+    Unresolved URLs are left out as in ``resolve_link_probe``."""
+    pv = _probe_pivot(probes, ["content_length", "body_bytes"]).filter(_resolved())
     head, get = F.col("head"), F.col("get")
     get_ok = get.isNotNull() & get["error"].isNull()
     use_head = _head_stands(head)
     status = F.when(use_head, head["status_code"]).when(get_ok, get["status_code"]).otherwise(F.lit(0))
     head_len = F.coalesce(head["content_length"], F.lit(-1).cast("long"))
     get_len = F.when(F.coalesce(get["content_length"], F.lit(-1).cast("long")) >= 0, get["content_length"]) \
-        .otherwise(F.least(F.coalesce(get["body_bytes"], F.lit(0).cast("long")), F.lit(ASSET_BODY_CAP).cast("long")))
+        .otherwise(F.least(F.coalesce(get["body_bytes"], F.lit(0).cast("long")), F.lit(size_cap).cast("long")))
     is2xx = (status >= 200) & (status < 300)
     size = F.when(use_head & is2xx, head_len).when(~use_head & get_ok & is2xx, get_len).otherwise(F.lit(0).cast("long"))
     err = F.when(use_head | get_ok, F.when(is2xx, F.lit("")).otherwise(F.concat(F.lit("HTTP "), status.cast("string")))) \
-        .otherwise(F.concat(F.lit("request failed: "), F.coalesce(get["error"], F.lit("no GET capture"))))
+        .otherwise(F.concat(F.lit("request failed: "), get["error"]))
     return pv.select(*_KEYS, "url", status.cast("int").alias("status_code"), size.cast("long").alias("size_bytes"),
                      err.alias("error"))
 
 
-def page_rows(outcomes: DataFrame, depths: DataFrame) -> DataFrame:
+def page_rows(outcomes: DataFrame, depths: DataFrame, sites: DataFrame) -> DataFrame:
     """F8: page_facts rows: url = normalised final URL on success (requested URL otherwise), status
-    label, error '' on success, discovered_at truncated to the second."""
-    j = depths.join(outcomes, _KEYS, "left")
+    label, error '' on success, discovered_at truncated to the second.  A failed page carries the time
+    of its last attempt, a cancelled one its site's deadline."""
+    j = depths.join(outcomes, _KEYS, "left").join(sites.select("site_id", "deadline"), "site_id")
     ok_row = F.col("http_status").isNotNull()
     return j.select(
         *_KEYS,
@@ -140,8 +159,8 @@ def page_rows(outcomes: DataFrame, depths: DataFrame) -> DataFrame:
         F.col("depth").cast("int").alias("depth"),
         F.coalesce(F.col("http_status"), F.lit(0)).cast("int").alias("http_status"),
         S.status_label(F.coalesce(F.col("http_status"), F.lit(0))).alias("status"),
-        F.when(ok_row, F.col("error")).otherwise(F.lit("context canceled")).alias("error"),
-        F.date_trunc("second", F.col("fetched_at")).alias("discovered_at"))
+        F.when(ok_row, F.col("error")).otherwise(F.lit(CANCELLED)).alias("error"),
+        F.date_trunc("second", F.coalesce(F.col("fetched_at"), F.col("deadline"))).alias("discovered_at"))
 
 
 def apply_deadline(captures: DataFrame, sites: DataFrame) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.functions import status as S
+from sitelens.session import store
 
-# Pages nested into one site document only up to this many; larger sites are written flat.
-MAX_NESTED_PAGES = 50_000
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -81,57 +80,55 @@ def nest_pages(pages: DataFrame, broken: DataFrame, inventory: DataFrame) -> Dat
         "discovered_at", "seo")
 
 
-def assemble_report(nested_pages: DataFrame, sites: DataFrame, generated_at: str,
-                    max_pages: int = MAX_NESTED_PAGES) -> DataFrame:
-    """One row per site (root_url as given, depth, generated_at, pages sorted by URL).
+def ordered_pages(nested_pages: DataFrame) -> DataFrame:
+    """Pages with ``ord``, their place (from 0) in their site's order by URL.
 
-    ``generated_at`` is a parameter (UTC, truncated to the second), never the wall clock inside a
-    query.  Sites with more than ``max_pages`` pages get ``pages = NULL`` and ``pages_flat = true``:
-    their pages are written by ``write_report`` as flat rows instead of one giant nested value.
+    A range partitioning by (site, URL) splits a site of any size over many tasks; a page's place is its
+    place within its part plus the sizes of the site's parts before it (one row a part and site).
     """
-    counts = nested_pages.groupBy("site_id").agg(F.count(F.lit(1)).alias("n_pages"))
-    small = counts.filter(F.col("n_pages") <= max_pages).select("site_id")
-    page_struct = F.struct("url", "depth", "http_status", "status", "error", "broken_links", "assets",
-                           "discovered_at", "seo", F.col("page_norm").alias("_tie"))
-    nested = nested_pages.join(small, "site_id", "left_semi").groupBy("site_id").agg(
-        F.collect_list(page_struct).alias("_pages"))
-    nested = nested.select("site_id", F.transform(_sorted_structs(F.col("_pages"), "url", "_tie"), lambda p: p.dropFields("_tie"))
-                           .alias("pages"))
-    rep = sites.select("site_id", "root_url", "depth").join(counts, "site_id", "left").join(nested, "site_id", "left")
-    return rep.select("site_id", "root_url", "depth",
-                      F.date_trunc("second", F.lit(generated_at).cast("timestamp")).alias("generated_at"),
-                      F.when(F.coalesce(F.col("n_pages"), F.lit(0)) <= max_pages,
-                             F.coalesce(F.col("pages"), F.array().cast(nested.schema["pages"].dataType)))
-                      .alias("pages"),
-                      (F.coalesce(F.col("n_pages"), F.lit(0)) > max_pages).alias("pages_flat"))
-
-
-def _page_json_struct(p: Column) -> Column:
-    """Field names and omission rules of the reference's JSON: page/asset error omitted when empty."""
-    assets = F.transform(p["assets"], lambda a: F.struct(
+    order = ["site_id", "url", "page_norm"]
+    parts = store(nested_pages.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "pages-by-url")
+    sizes = parts.groupBy("site_id", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("site_id", "part", (F.sum("n").over(Window.partitionBy("site_id").orderBy("part")) - F.col("n")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("site_id", "part").orderBy("url", "page_norm")) - 1
+    return parts.withColumn("inside", inside).join(before, ["site_id", "part"]) \
+        .withColumn("ord", F.col("before") + F.col("inside")).drop("part", "inside", "before")
+
+
+def _page_json() -> Column:
+    """Field names and omission rules of the reference's JSON: an empty error is left out, the links of a
+    page that is not ok are null."""
+    opts = {"timestampFormat": TIMESTAMP_FORMAT}
+    assets = F.transform("assets", lambda a: F.struct(
         a["url"].alias("url"), a["type"].alias("type"), a["status_code"].alias("status_code"),
         a["size_bytes"].alias("size_bytes"), F.nullif(a["error"], F.lit("")).alias("error")))
-    return F.struct(p["url"].alias("url"), p["depth"].alias("depth"), p["http_status"].alias("http_status"),
-                    p["status"].alias("status"), F.nullif(p["error"], F.lit("")).alias("error"),
-                    p["broken_links"].alias("broken_links"), assets.alias("assets"),
-                    p["discovered_at"].alias("discovered_at"), p["seo"].alias("seo"))
+    head = F.to_json(F.struct("url", "depth", "http_status", "status", F.nullif("error", F.lit("")).alias("error")))
+    tail = F.to_json(F.struct(assets.alias("assets"), "discovered_at", "seo"), opts)
+    return F.concat(head.substr(F.lit(1), F.length(head) - 1),
+                    F.lit(',"broken_links":'), F.coalesce(F.to_json("broken_links"), F.lit("null")), F.lit(","),
+                    tail.substr(F.lit(2), F.length(tail)))
 
 
-def report_json(report: DataFrame, pretty: bool = False) -> DataFrame:
-    """(site_id, json) -- one JSON document per site."""
-    doc = F.struct(F.col("root_url").alias("root_url"), F.col("depth").alias("depth"),
-                   F.col("generated_at").alias("generated_at"),
-                   F.transform(F.col("pages"), _page_json_struct).alias("pages"))
-    opts = {"timestampFormat": TIMESTAMP_FORMAT}
-    if pretty:
-        opts["pretty"] = "true"
-    return report.select("site_id", F.to_json(doc, opts).alias("json"))
-
-
-def write_report(report: DataFrame, flat_pages: DataFrame, path: str, pretty: bool = False) -> None:
-    """JSON documents partitioned by site; oversized sites as JSON-lines of flat page rows."""
-    report_json(report.filter(~F.col("pages_flat")), pretty).write.mode("overwrite") \
-        .partitionBy("site_id").text(f"{path}/documents")
-    big = report.filter(F.col("pages_flat")).select("site_id")
-    flat_pages.join(big, "site_id", "left_semi").write.mode("overwrite").partitionBy("site_id") \
-        .option("timestampFormat", TIMESTAMP_FORMAT).json(f"{path}/flat_pages")
+def report_rows(nested_pages: DataFrame, sites: DataFrame, generated_at: str) -> DataFrame:
+    """(site_id, ord, json): a header row (ord -1: root_url as given, depth, generated_at) for each
+    site and one row for each of its pages in URL order.
+
+    No row holds more than one page, whatever the site's size.  ``generated_at`` is a parameter (UTC,
+    truncated to the second), never the wall clock inside a query.
+    """
+    at = F.date_format(F.date_trunc("second", F.lit(generated_at).cast("timestamp")), TIMESTAMP_FORMAT)
+    header = F.to_json(F.struct("root_url", "depth", at.alias("generated_at")))
+    return sites.select("site_id", F.lit(-1).cast("long").alias("ord"), header.alias("json")).unionByName(
+        ordered_pages(nested_pages).select("site_id", F.col("ord").cast("long").alias("ord"), _page_json().alias("json")))
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """The report rows as Parquet files, in ranges of (site, ord): a site's rows lie one after the other."""
+    report.repartitionByRange("site_id", "ord").sortWithinPartitions("site_id", "ord").write.mode("overwrite").parquet(path)
+
+
+def site_document(rows) -> str:
+    """One site's JSON document from its (ord, json) rows in order: what a consumer does with one site's lines."""
+    rows = iter(rows)
+    header = next(rows)[1]
+    return header[:-1] + ',"pages":[' + ",".join(json for _, json in rows) + "]}"

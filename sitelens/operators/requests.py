@@ -72,10 +72,13 @@ def request_intervals(log: DataFrame, bucket_ms: int = TIME_BUCKET_MS) -> DataFr
 
 
 def request_counts(log: DataFrame) -> DataFrame:
-    """requests per (site, url) with HEAD/GET split; ``duplicate`` flags n > 1."""
+    """requests per (site, url) with HEAD/GET split and the number of page attempts (``kind`` page;
+    a log without kinds has only those); ``duplicate`` flags n > 1."""
+    attempt = (F.col("kind") == "page") if "kind" in log.columns else F.lit(True)
     return log.groupBy("site_id", "url").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("method") == "HEAD").alias("n_head"),
-        F.count_if(F.col("method") == "GET").alias("n_get")).withColumn("duplicate", F.col("n") > 1)
+        F.count_if(F.col("method") == "GET").alias("n_get"),
+        F.count_if(attempt & (F.col("method") == "GET")).alias("n_attempts")).withColumn("duplicate", F.col("n") > 1)
 
 
 def user_agent_audit(log: DataFrame, sites: DataFrame) -> DataFrame:

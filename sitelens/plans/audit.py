@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions import status as S
-from sitelens.session import cut_lineage
+from sitelens.session import store
 from sitelens.operators import extract as X
 from sitelens.operators import graph as G
 from sitelens.operators import outcomes as O
@@ -41,23 +41,27 @@ def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact", missi
     caps = O.apply_deadline(captures, sites)
     page_caps = caps.filter(F.col("kind") == "page")
     # outcome per URL without bodies: the body column is pruned from this scan and shuffle
-    outcomes = cut_lineage(O.resolve_attempts(page_caps.drop("body"), sites))  # one row per URL, used twice
+    outcomes = store(O.resolve_attempts(page_caps.drop("body"), sites), "outcomes")  # one row per URL, used twice
     # extraction runs map-side on every winning capture; only the small extracted arrays of the
     # attempt that won are kept (semi join), so no body ever crosses a shuffle
     cand = O.with_norm(page_caps.filter(S.is_win(F.col("status_code"), F.col("error"))))
-    cand = X.extract_pages(cand.select("site_id", "norm_url", "attempt", "body", "content_type"), url_col="norm_url")
-    winners = outcomes.select("site_id", "norm_url", F.col("win_attempt").alias("attempt"))
-    extracted = cand.select("site_id", "norm_url", "attempt", "links", "assets", "seo") \
-        .join(winners, ["site_id", "norm_url", "attempt"], "left_semi").drop("attempt")
-    extracted = cut_lineage(extracted)
+    own = ["site_id", "norm_url", "attempt", "url", "fetched_at"]
+    cand = X.extract_pages(cand.select(*own, "body", "content_type"), url_col="norm_url")
+    winners = outcomes.select("site_id", "norm_url", F.col("win_attempt").alias("w_attempt"), F.col("win_url").alias("w_url"),
+                              F.col("fetched_at").alias("w_at")).filter("w_attempt IS NOT NULL")
+    same = (F.col("attempt") == F.col("w_attempt")) & (F.col("url") == F.col("w_url")) & F.col("fetched_at").eqNullSafe(F.col("w_at"))
+    extracted = cand.select(*own, "links", "assets", "seo").join(winners, ["site_id", "norm_url"]).filter(same) \
+        .dropDuplicates(["site_id", "norm_url"]).select("site_id", "norm_url", "links", "assets", "seo")
+    # stored by column: links, assets and SEO are each read without the others
+    extracted = store(extracted, "extracted")
     links = X.page_links(extracted.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"])
     assets = X.page_assets(extracted.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"])
     depths = G.crawl_depths(links.select("site_id", F.col("page_norm").alias("src"), "link"), sites)
 
     cancel = F.lit(missing == "cancel")
     deadline = sites.select("site_id", (F.col("deadline").isNotNull() & cancel).alias("has_deadline"))
-    rows = O.page_rows(outcomes, depths).join(deadline, "site_id")
-    rows = rows.filter((F.col("error") != "context canceled") | F.col("has_deadline")).drop("has_deadline")
+    rows = O.page_rows(outcomes, depths, sites).join(deadline, "site_id")
+    rows = rows.filter((F.col("error") != O.CANCELLED) | F.col("has_deadline")).drop("has_deadline")
     seo = extracted.select("site_id", "norm_url", "seo")
     empty_seo = F.struct(F.lit(False).alias("has_title"), F.lit("").alias("title"),
                          F.lit(False).alias("has_description"), F.lit("").alias("description"),
@@ -100,12 +104,17 @@ def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact", missi
 
 
 def audit_report(captures: DataFrame, sites: DataFrame, generated_at: str, match: str = "exact",
-                 max_pages: int = R.MAX_NESTED_PAGES, missing: str = "cancel") -> DataFrame:
-    a = run_audit(captures, sites, match, missing)
-    nested = R.nest_pages(a.pages, a.broken, a.inventory)
-    return R.assemble_report(nested, sites, generated_at, max_pages)
+                 missing: str = "cancel") -> DataFrame:
+    """The report of every site as JSON rows (see ``operators.report.report_rows``)."""
+    return report_of(run_audit(captures, sites, match, missing), sites, generated_at)
 
 
-def audit(captures: DataFrame, sites: DataFrame, generated_at: str, match: str = "exact") -> DataFrame:
-    """The whole pipeline, captures + sites -> one report row per site."""
-    return audit_report(captures, sites, generated_at, match)
+def report_of(a: Audit, sites: DataFrame, generated_at: str) -> DataFrame:
+    """The report of an audit that has already run."""
+    return R.report_rows(R.nest_pages(a.pages, a.broken, a.inventory), sites, generated_at)
+
+
+def audit(captures: DataFrame, sites: DataFrame, generated_at: str, match: str = "exact") -> tuple[Audit, DataFrame]:
+    """The whole pipeline once: the audit's tables and the report rows made from them."""
+    a = run_audit(captures, sites, match)
+    return a, report_of(a, sites, generated_at)

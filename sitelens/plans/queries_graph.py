@@ -11,7 +11,7 @@ from sitelens.plans.catalog import register
 from sitelens.sources import captures as C
 from sitelens.sources import fixtures as FX
 
-DEPTH = 5
+DEPTH = 16  # of a site whose pages form a binary tree: all of 65,535 pages are reached
 CUTOFF_S = 40  # seconds after the first capture
 
 

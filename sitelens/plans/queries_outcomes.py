@@ -94,7 +94,6 @@ def link_probe(spark, sf_dir):
 
 
 _APRB = FX.duck(FX.ASSET_PROBES_SQL)
-_CAP50 = 50 * 1024 * 1024
 
 
 @register("asset_probe", oracle=f"""
@@ -104,7 +103,7 @@ SELECT url, CAST(st AS INT) AS status_code,
        CAST(CASE WHEN {_HEAD_OK} AND st BETWEEN 200 AND 299 THEN coalesce(head_length, -1)
                  WHEN NOT {_HEAD_OK} AND get_status IS NOT NULL AND st BETWEEN 200 AND 299
                    THEN CASE WHEN coalesce(get_length, -1) >= 0 THEN get_length
-                             ELSE least(coalesce(get_body_bytes, 0), {_CAP50}) END
+                             ELSE coalesce(get_body_bytes, 0) END
                  ELSE 0 END AS BIGINT) AS size_bytes,
        CASE WHEN {_HEAD_OK} OR get_status IS NOT NULL
             THEN CASE WHEN st BETWEEN 200 AND 299 THEN '' ELSE 'HTTP ' || CAST(st AS VARCHAR) END

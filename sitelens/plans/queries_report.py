@@ -11,6 +11,7 @@ from sitelens.plans.catalog import register
 from sitelens.plans.queries_graph import BFS_CTE, CUTOFF_S, DEPTH, _HOST
 from sitelens.sources import captures as C
 from sitelens.sources import fixtures as FX
+from sitelens.streaming.jobs import scratch
 
 GENERATED_AT = "2024-01-02 00:00:00"
 _PRB = FX.duck(FX.PROBES_SQL)
@@ -27,6 +28,10 @@ def _audit(spark, sf_dir, match="exact", deadline=None):
     return run_audit(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH, deadline=deadline), match)
 
 
+def _report(spark, sf_dir):
+    return audit_report(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH), GENERATED_AT)
+
+
 # Oracle side: the crawl only expands pages that were fetched as HTML (not 503-exhausted, not PDF)
 # and, with a cut-off, only pages captured before it.
 def _bfs(expand_cond: str) -> str:
@@ -128,9 +133,10 @@ def asset_inventory(spark, sf_dir):
         "page_norm", "ord", "x.url", "x.type", "x.status_code", "x.size_bytes", "x.error")
 
 
-def _page_rows_oracle(cond_fetched: str) -> str:
+def _page_rows_oracle(cond_fetched: str, deadline: str = "NULL") -> str:
     return f"""
-SELECT d.url, CAST(d.depth AS INT) AS depth,
+SELECT CASE WHEN {cond_fetched} THEN strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 THEN 1 ELSE 0 END),
+                                              '%Y-%m-%d %H:%M:%S') ELSE {deadline} END AS discovered_at, d.url, CAST(d.depth AS INT) AS depth,
        CAST(CASE WHEN NOT {cond_fetched} THEN 0 WHEN p % 17 = 16 THEN 0 WHEN p % 13 = 12 THEN 404 ELSE 200 END AS INT) AS http_status,
        CASE WHEN {cond_fetched} AND p % 17 <> 16 AND p % 13 <> 12 THEN 'ok' ELSE 'error' END AS status,
        CASE WHEN NOT {cond_fetched} THEN 'context canceled' WHEN p % 17 = 16 THEN 'HTTP 503 (retriable)' ELSE '' END AS error,
@@ -143,75 +149,98 @@ FROM (SELECT url, depth, CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) AS
 def page_rows(spark, sf_dir):
     """F8 (+F2, X5): one row per crawled page: final URL, depth, status, error, title."""
     p = _audit(spark, sf_dir).pages
-    return p.select("url", "depth", "http_status", "status", "error", "seo.has_title", "seo.title")
+    return p.select(F.col("discovered_at").cast("string").alias("discovered_at"), "url", "depth", "http_status", "status", "error",
+                    "seo.has_title", "seo.title")
 
 
 _CUT = f"(page_id * 2 + CASE WHEN page_id % 17 = 16 THEN 1 ELSE 0 END <= {CUTOFF_S})"
 
 
 @register("partial_results", oracle=f"WITH RECURSIVE {_bfs(_EXPANDS + ' AND ' + _CUT)} "
-          + _page_rows_oracle(f"(p * 2 + CASE WHEN p % 17 = 16 THEN 1 ELSE 0 END <= {CUTOFF_S})"))
+          + _page_rows_oracle(f"(p * 2 + CASE WHEN p % 17 = 16 THEN 1 ELSE 0 END <= {CUTOFF_S})",
+                              f"'2024-01-01 00:00:{CUTOFF_S:02d}'"))
 def partial_results(spark, sf_dir):
     """a cut-off mid-crawl: finished pages stay, reached-but-unfetched pages become 'context canceled'."""
     p = _audit(spark, sf_dir, deadline=f"2024-01-01 00:00:{CUTOFF_S:02d}").pages
-    return p.select("url", "depth", "http_status", "status", "error", "seo.has_title", "seo.title")
+    return p.select(F.col("discovered_at").cast("string").alias("discovered_at"), "url", "depth", "http_status", "status", "error",
+                    "seo.has_title", "seo.title")
+
+
+_BROKEN_PER_PAGE = f"""
+br AS (SELECT ck.src, count(*) AS n,
+              string_agg('{{"url":"' || fc.first_url || '","status_code":' || ls.status_code || ',"error":"' || ls.error || '"}}', ','
+                         ORDER BY ck.pos) AS js
+       FROM ck JOIN ls ON ck.link = ls.url JOIN fc ON fc.norm = ls.url
+       WHERE ls.status_code >= 400 OR ls.error <> '' GROUP BY ck.src)"""
+_ROWS = f"""
+rows AS (SELECT d.url, d.depth, CAST(regexp_extract(d.url, '([0-9]+)$', 1) AS BIGINT) AS p FROM d)"""
+_GENERATED = GENERATED_AT.replace(' ', 'T') + 'Z'
+
+_PAGE_JSON = ("struct<url:string,depth:int,http_status:int,status:string,error:string,"
+              "broken_links:array<struct<url:string,status_code:int,error:string>>,"
+              "assets:array<struct<url:string,type:string,status_code:int,size_bytes:bigint,error:string>>,"
+              "discovered_at:string,seo:struct<has_title:boolean,title:string>>")
 
 
 @register("report_pages", oracle=f"""
-WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS},
-br AS (SELECT cl.src, count(*) AS n FROM cl JOIN ls ON cl.link = ls.url
-       WHERE NOT (cl.depth + 1 < {DEPTH} AND {_HOST.replace('link', 'cl.link')} = 'site.example')
-         AND (ls.status_code >= 400 OR ls.error <> '') GROUP BY cl.src),
-rows AS (SELECT d.url, d.depth, CAST(regexp_extract(d.url, '([0-9]+)$', 1) AS BIGINT) AS p FROM d)
-SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS INT) AS ord, rows.url, CAST(rows.depth AS INT) AS depth,
+WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}
+SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS BIGINT) AS ord, rows.url, CAST(rows.depth AS INT) AS depth,
        CASE WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 'ok' ELSE 'error' END AS status,
        CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 0 END AS INT) AS n_broken,
-       CAST(CASE WHEN p % 17 = 16 OR p % 29 = 28 THEN 0 ELSE 5 END AS INT) AS n_assets,
-       'http://site.example/p/0' AS root_url, CAST({DEPTH} AS INT) AS report_depth,
-       '{GENERATED_AT.replace(' ', 'T')}Z' AS generated_at
+       CAST(CASE WHEN p % 17 = 16 OR p % 29 = 28 THEN 0 ELSE 5 END AS INT) AS n_assets
 FROM rows LEFT JOIN br ON br.src = rows.url""")
 def report_pages(spark, sf_dir):
-    """R5 + R6 + R8 + R9: the nested per-site report, flattened back to (ord, page...) for comparison."""
-    rep = audit_report(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH), GENERATED_AT)
-    gen = F.date_format("generated_at", R.TIMESTAMP_FORMAT).alias("generated_at")
-    return rep.select("root_url", F.col("depth").alias("report_depth"), gen,
-                      F.posexplode_outer("pages").alias("ord", "p")).filter(F.col("ord").isNotNull()).select(
-        "ord", "p.url", "p.depth", "p.status", F.size("p.broken_links").alias("n_broken"),
-        F.size("p.assets").alias("n_assets"), "root_url", "report_depth", "generated_at") \
-        .withColumn("n_broken", F.when(F.col("n_broken") >= 0, F.col("n_broken")))
-
-
-@register("report_json")
+    """R5 + R6 + R9: the pages of the report in their order, with the sizes of their nested lists."""
+    a = _audit(spark, sf_dir)
+    pages = R.ordered_pages(R.nest_pages(a.pages, a.broken, a.inventory))
+    n = F.size("broken_links")
+    return pages.select("ord", "url", "depth", "status", F.when(n >= 0, n).alias("n_broken"), F.size("assets").alias("n_assets"))
+
+
+@register("report_json", oracle=f"""
+WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}, {_ASSET_STATUS},
+aj AS (SELECT 'http://site.example/p/' || CAST(a.page_id AS STRING) AS src,
+              string_agg('{{"url":"' || a.asset_url || '","type":"' || a.type || '","status_code":' || coalesce(asz.status_code, 0)
+                         || ',"size_bytes":' || coalesce(asz.size_bytes, 0)
+                         || CASE WHEN coalesce(asz.error, '') <> '' THEN ',"error":"' || asz.error || '"' ELSE '' END || '}}', ','
+                         ORDER BY a.type, a.asset_url) AS js
+       FROM ({_WA}) a LEFT JOIN asz ON a.asset_url = asz.url WHERE {_EXPANDS.replace('page_id', 'a.page_id')} GROUP BY 1)
+SELECT CAST(-1 AS BIGINT) AS ord,
+       '{{"root_url":"http://site.example/p/0","depth":{DEPTH},"generated_at":"{_GENERATED}"}}' AS json
+UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS BIGINT) AS ord,
+       '{{"url":"' || rows.url || '","depth":' || rows.depth
+       || ',"http_status":' || CASE WHEN p % 17 = 16 THEN 0 WHEN p % 13 = 12 THEN 404 ELSE 200 END
+       || ',"status":"' || CASE WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 'ok' ELSE 'error' END || '"'
+       || CASE WHEN p % 17 = 16 THEN ',"error":"HTTP 503 (retriable)"' ELSE '' END
+       || ',"broken_links":' || CASE WHEN br.js IS NOT NULL THEN '[' || br.js || ']'
+                                     WHEN p % 17 <> 16 AND p % 13 <> 12 THEN '[]' ELSE 'null' END
+       || ',"assets":[' || coalesce(aj.js, '') || ']'
+       || ',"discovered_at":"' || strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 THEN 1 ELSE 0 END),
+                                           '%Y-%m-%dT%H:%M:%SZ') || '"'
+       || ',"seo":{{"has_title":' || (p % 29 <> 28 AND p % 17 <> 16)
+       || ',"title":"' || CASE WHEN p % 29 <> 28 AND p % 17 <> 16 THEN 'T' || p || ' & co' ELSE '' END
+       || '","has_description":' || (p % 29 <> 28 AND p % 17 <> 16 AND p % 3 = 0)
+       || ',"description":"' || CASE WHEN p % 29 <> 28 AND p % 17 <> 16 AND p % 3 = 0 THEN 'D' || p ELSE '' END
+       || '","has_h1":' || (p % 29 <> 28 AND p % 17 <> 16 AND p % 4 <> 0) || '}}}}' AS json
+FROM rows LEFT JOIN br ON br.src = rows.url LEFT JOIN aj ON aj.src = rows.url""")
 def report_json(spark, sf_dir):
-    """R7 + S4: one JSON document per site (field names and omission rules of the reference)."""
-    rep = audit_report(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH), GENERATED_AT)
-    return R.report_json(rep)
-
-
-_PAGE_JSON = ("struct<root_url:string,depth:int,generated_at:string,pages:array<struct<url:string,depth:int,"
-              "http_status:int,status:string,error:string,broken_links:array<struct<url:string,status_code:int,"
-              "error:string>>,assets:array<struct<url:string,type:string,status_code:int,size_bytes:bigint,"
-              "error:string>>,discovered_at:string,seo:struct<has_title:boolean,title:string>>>>")
+    """R6 + R7 + R8: the report as JSON rows, a header and one row a page (names and omissions of the reference)."""
+    return _report(spark, sf_dir).select("ord", "json")
 
 
 @register("report_json_fields", oracle=f"""
-WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS},
-br AS (SELECT cl.src, count(*) AS n FROM cl JOIN ls ON cl.link = ls.url
-       WHERE NOT (cl.depth + 1 < {DEPTH} AND {_HOST.replace('link', 'cl.link')} = 'site.example')
-         AND (ls.status_code >= 400 OR ls.error <> '') GROUP BY cl.src),
-rows AS (SELECT d.url, d.depth, CAST(regexp_extract(d.url, '([0-9]+)$', 1) AS BIGINT) AS p FROM d)
-SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS INT) AS ord, rows.url,
+WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}
+SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS BIGINT) AS ord, rows.url,
        CASE WHEN p % 17 = 16 THEN 'HTTP 503 (retriable)' END AS error,
        CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 0 END AS INT) AS n_broken,
-       CASE WHEN p % 17 = 16 THEN NULL
-            ELSE strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p), '%Y-%m-%dT%H:%M:%SZ') END AS discovered_at,
-       'http://site.example/p/0' AS root_url, '{GENERATED_AT.replace(' ', 'T')}Z' AS generated_at
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 THEN 1 ELSE 0 END), '%Y-%m-%dT%H:%M:%SZ')
+         AS discovered_at
 FROM rows LEFT JOIN br ON br.src = rows.url""")
 def report_json_fields(spark, sf_dir):
-    """R7 + S4: the JSON documents parsed back: field names, omitted empty errors, RFC 3339 UTC seconds."""
-    rep = audit_report(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH), GENERATED_AT)
-    doc = R.report_json(rep).select(F.from_json("json", _PAGE_JSON).alias("d"))
-    return doc.select("d.root_url", "d.generated_at", F.posexplode_outer("d.pages").alias("ord", "p")) \
-        .filter(F.col("ord").isNotNull()).select(
-            "ord", "p.url", "p.error", F.size("p.broken_links").alias("n_broken"), "p.discovered_at", "root_url",
-            "generated_at").withColumn("n_broken", F.when(F.col("n_broken") >= 0, F.col("n_broken")))
+    """R7 + S4: the report written to files, read back and parsed: omitted errors, null link lists, RFC 3339 seconds."""
+    path = scratch(spark, "report")
+    R.write_report(_report(spark, sf_dir), path)
+    rows = spark.read.parquet(path).filter("ord >= 0").select("ord", F.from_json("json", _PAGE_JSON).alias("p"))
+    n = F.size("p.broken_links")
+    return rows.select("ord", "p.url", "p.error", F.when(n >= 0, n).alias("n_broken"), "p.discovered_at")

@@ -51,7 +51,8 @@ def request_intervals(spark, sf_dir):
 @register("request_counts", oracle=f"""
 SELECT CAST(site_id AS VARCHAR) AS site_id, url, CAST(count(*) AS BIGINT) AS n,
        CAST(count(*) FILTER (WHERE method = 'HEAD') AS BIGINT) AS n_head,
-       CAST(count(*) FILTER (WHERE method = 'GET') AS BIGINT) AS n_get, count(*) > 1 AS duplicate
+       CAST(count(*) FILTER (WHERE method = 'GET') AS BIGINT) AS n_get,
+       CAST(count(*) FILTER (WHERE method = 'GET') AS BIGINT) AS n_attempts, count(*) > 1 AS duplicate
 FROM ({_RL}) r GROUP BY site_id, url""")
 def request_counts(spark, sf_dir):
     """per-URL request counts, HEAD/GET split, duplicate flag."""

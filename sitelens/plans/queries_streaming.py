@@ -14,15 +14,21 @@ from sitelens.sources import fixtures as FX
 from sitelens.streaming import jobs as T
 
 
+def _replay(spark, df, path, *keys, batches=3):
+    """``df`` as a stream of ``batches`` micro-batches: one file each."""
+    df.repartition(batches, *keys).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 @register("stream_claims", oracle="""
 SELECT DISTINCT CAST(user_id AS VARCHAR) AS site_id, event_type AS norm_url FROM events""")
 def stream_claims(spark, sf_dir):
     """First claim per (site, canonical URL) over a replay of the request log."""
-    schema = FX.table(spark, sf_dir, "events").schema
-    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    root = T.scratch(spark, "claims")
+    ev = _replay(spark, FX.table(spark, sf_dir, "events"), f"{root}/incoming", "event_id")
     log = ev.select(F.col("user_id").cast("string").alias("site_id"), F.col("event_type").alias("url"),
                     F.col("ts").alias("fetched_at"))
-    path = T.stream_claims(log, T.scratch(spark, "claims"))
+    path = T.stream_claims(log, root)
     return T.read_epochs(spark, path).select("site_id", "norm_url")
 
 
@@ -32,10 +38,9 @@ FROM (SELECT page_id, i, origin || {path_encode('href')} AS link FROM ({_PAGE_HR
 GROUP BY page_id, link""")
 def stream_extract(spark, sf_dir):
     """Extraction on arrival (links, assets, SEO tables per micro-batch); links compared."""
-    schema = FX.table(spark, sf_dir, "pages").schema
-    pages = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf_dir)
-    paths = T.stream_extract(pages.withColumnRenamed("html", "body"), T.scratch(spark, "extract"), ["page_id"],
-                             ctype_col=None)
+    root = T.scratch(spark, "extract")
+    pages = _replay(spark, FX.table(spark, sf_dir, "pages"), f"{root}/incoming", "page_id")
+    paths = T.stream_extract(pages.withColumnRenamed("html", "body"), root, ["page_id"], ctype_col=None)
     return T.read_epochs(spark, paths["links"]).select("page_id", "pos", "link")
 
 
@@ -57,9 +62,8 @@ def stream_broken_links(spark, sf_dir):
     """Stream of probe captures joined with static page links; broken pairs emitted once."""
     root = T.scratch(spark, "broken")
     caps = C.fixture_captures(FX.web_pages(spark, sf_dir), FX.probes(spark, sf_dir), FX.asset_probes(spark, sf_dir))
-    caps.filter(F.col("kind") == "link").select("site_id", "url", "method", "status_code", "error", "fetched_at") \
-        .write.parquet(f"{root}/incoming")
-    stream = spark.readStream.schema(spark.read.parquet(f"{root}/incoming").schema).parquet(f"{root}/incoming")
+    caps = caps.filter(F.col("kind") == "link").select("site_id", "url", "method", "status_code", "error", "fetched_at")
+    stream = _replay(spark, caps, f"{root}/incoming", "method", "url")  # a HEAD and its GET land in different batches
     links = X.page_links(site_links(spark, sf_dir), ["site_id", "page_norm"])
     out = T.stream_broken_links(links, stream, root)
     return T.read_epochs(spark, out).select("page_norm", "pos", "link", "status_code", "error")
@@ -73,8 +77,6 @@ def frontier_rounds(spark, sf_dir):
     root = T.scratch(spark, "frontier")
     wp = FX.web_pages(spark, sf_dir).select(F.lit(FX.SITE_ID).alias("site_id"), "page_id", "url",
                                             F.col("html").alias("body"))
-    wp.repartition(4, "page_id").write.parquet(f"{root}/incoming")
-    stream = spark.readStream.schema(spark.read.parquet(f"{root}/incoming").schema) \
-        .option("maxFilesPerTrigger", 1).parquet(f"{root}/incoming")
+    stream = _replay(spark, wp, f"{root}/incoming", "page_id")
     out = T.frontier_rounds(stream, C.fixture_sites(spark, DEPTH), root, ["site_id"])
     return T.read_epochs(spark, out).groupBy("norm_url").agg(F.min("depth").alias("depth"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,7 +44,9 @@ def build_session(master: str | None = None, app: str = "sitelens", shuffle_part
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) is a fresh scratch folder created.
+    Where nothing is configured, a local master (driver and executors are one process, as in tests)
+    gets a fresh folder of its own; on a cluster that is an error, because a folder of one machine is
+    not there for the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not re.match(r"local(\[|$)", sc.master):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="sitelens-ckpt-", dir=os.environ.get("SITELENS_SCRATCH", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -78,3 +84,10 @@ def cut_lineage_count(df):
     out = df.checkpoint(eager=True)
     df.unpersist()
     return out, n
+
+
+def store(df, name: str):
+    """Write ``df`` as Parquet below the shared folder and read it back: lineage is cut, columns stay apart."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stored/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -59,8 +59,13 @@ def site_config(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def cap_body(captures: DataFrame, cap: int = H.HTML_BODY_CAP, asset_cap: int = H.ASSET_BODY_CAP) -> DataFrame:
-    """First ``cap`` bytes of every body; GET-measured sizes capped at ``asset_cap``."""
+    """First ``cap`` bytes of every body; GET-measured sizes capped at ``asset_cap``.
+
+    The one operator that cuts; ``truncated`` tells which rows it changed.
+    """
+    cut = F.coalesce(F.octet_length("body") > cap, F.lit(False)) | F.coalesce(F.col("body_bytes") > asset_cap, F.lit(False))
     return captures.withColumns({
+        "truncated": cut,
         "body": H.cap_text_bytes(F.col("body"), cap),
         "body_bytes": F.least(F.col("body_bytes"), F.lit(asset_cap).cast("long")),
     })

@@ -31,8 +31,8 @@ SELECT page_id,
        || '<img src="/static/img' || CAST(page_id % 31 AS STRING) || '.png"><img src="/static/img' || CAST(page_id % 31 AS STRING) || '.png">'
        || '<img srcset="/static/a' || CAST(page_id % 9 AS STRING) || '.webp 1x, /static/b.webp 2x" style="background:url(''/static/bg'
        || CAST(page_id % 6 AS STRING) || '.gif'')"><img src="data:image/png;base64,AAAA">'
-       || '<script src="/static/app' || CAST(page_id % 5 AS STRING) || '.js">var t="<a href=/ghost2>";</script></body></html>' AS html
-FROM (SELECT page_id, (SELECT count(*) FROM {pages}) AS n FROM {pages}) t
+       || '<script src="/static/app' || CAST(page_id % 5 AS STRING) || '.js">var t="<a href=/ghost2>";</script><noscript>' || coalesce(html, '') || '</noscript></body></html>' AS html
+FROM (SELECT page_id, html, (SELECT count(*) FROM {pages}) AS n FROM {pages}) t
 """
 
 # expected page_links of web_pages (oracle side only; Spark extracts them from the HTML)
@@ -119,7 +119,7 @@ def _spark(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
 
 
 def web_pages(spark, sf_dir):
-    return _spark(spark, WEB_PAGES_SQL, pages=table(spark, sf_dir, "pages").select("page_id"))
+    return _spark(spark, WEB_PAGES_SQL, pages=table(spark, sf_dir, "pages").select("page_id", "html"))
 
 
 def probes(spark, sf_dir):

@@ -2,10 +2,12 @@
 
 Every job reads files with ``readStream`` and writes parquet with ``writeStream`` (or
 ``foreachBatch`` when one micro-batch feeds several tables or needs the stored state of earlier
-batches).  ``foreachBatch`` output goes to one folder per epoch written with ``overwrite``, so an
-epoch replayed after a failure replaces its own files instead of appending duplicates.  Sinks and streaming checkpoints live under the shared folder named by
-``spark.checkpoint.dir``; nothing is collected to the driver.  ``Trigger.AvailableNow`` processes
-what is there and stops, which is how a replay is tested against the batch operators.
+batches).  ``foreachBatch`` output goes to one folder per epoch written with ``overwrite`` in one
+commit, and a batch reads only earlier epochs of what it writes, so an epoch replayed after a failure
+gives the same rows again.  Every such table starts with an empty epoch -1: a read that fails is an
+error, never taken for a first batch.  Sinks and streaming checkpoints live under the shared folder
+named by ``spark.checkpoint.dir``; nothing is collected to the driver.  ``Trigger.AvailableNow``
+processes what is there and stops, however long that takes.
 """
 
 from __future__ import annotations
@@ -14,13 +16,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sitelens.operators import extract as X
 from sitelens.operators import graph as G
 from sitelens.operators import outcomes as O
 from sitelens.operators import report as R
 from sitelens.functions import urls as U
-from sitelens.session import cut_lineage, cut_lineage_count, ensure_checkpoint_dir
+from sitelens.session import ensure_checkpoint_dir, store
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -42,32 +45,40 @@ def read_epochs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").parquet(path)
 
 
-def _run(writer, timeout_s: int = 1800) -> None:
+def _earlier(spark: SparkSession, path: str, epoch: int) -> DataFrame:
+    """The rows that epochs before this one wrote."""
+    return spark.read.parquet(path).filter(F.col("epoch") < epoch).drop("epoch")
+
+
+def _create(spark: SparkSession, path: str, schema) -> None:
+    _write(spark.createDataFrame([], schema), path, -1)
+
+
+def _run(writer) -> None:
     q = writer.trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
 
-BROADCAST_BATCH_KEYS = 100_000
+CLAIM_BUCKETS = 64
 
 
-def stream_claims(stream: DataFrame, root: str, watermark: str = "3650 days", mode: str = "table") -> str:
+def stream_claims(stream: DataFrame, root: str, mode: str = "table", watermark: str | None = None) -> str:
     """First-seen (site, canonical URL) as captures arrive; returns the sink path.
 
     ``mode="table"`` (default, skew-safe): each micro-batch first collapses its copies of a key by
     partial aggregation (so a URL holding a third of the rows never lands whole in one task), then
-    keeps only keys absent from the claims written by earlier epochs.  The membership check streams
-    over the stored claims with the batch's distinct keys broadcast when counted below
-    ``BROADCAST_BATCH_KEYS``.  ``mode="state"``: ``withWatermark`` + ``dropDuplicatesWithinWatermark``
-    (state store; every copy of a key is routed to that key's state partition).
-    Input needs (site_id, url, fetched_at); event time is cast to TIMESTAMP for watermarks.
+    keeps only keys absent from the claims of earlier epochs.  Claims are stored by the hash of the key
+    in ``CLAIM_BUCKETS`` folders, and a batch reads those its own keys fall into.  ``mode="state"``:
+    ``withWatermark`` + ``dropDuplicatesWithinWatermark``; the state is bounded by ``watermark``, which
+    has to be given.  Input needs (site_id, url, fetched_at); event time is cast to TIMESTAMP.
     """
     s = O.with_norm(stream.withColumn("fetched_at", F.col("fetched_at").cast("timestamp")))
     out = f"{root}/claims"
     if mode == "state":
+        if not watermark:
+            raise ValueError("mode='state' needs a watermark: it bounds the state")
         claims = s.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(["site_id", "norm_url"]) \
             .select("site_id", "norm_url", "url", "fetched_at")
         _run(claims.writeStream.format("parquet").option("path", out)
@@ -75,19 +86,19 @@ def stream_claims(stream: DataFrame, root: str, watermark: str = "3650 days", mo
         return out
     spark = stream.sparkSession
     keys = ["site_id", "norm_url"]
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(CLAIM_BUCKETS)).cast("int")
+    columns = [s.schema[c] for c in (*keys, "url", "fetched_at")]
+    spark.createDataFrame([], StructType(columns)).withColumn("bucket", bucket) \
+        .write.mode("overwrite").parquet(_epoch_dir(out, -1, "bucket=0"))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        first = batch.groupBy(*keys).agg(F.min_by(F.struct("url", "fetched_at"), F.col("fetched_at")).alias("c")) \
-            .select(*keys, "c.url", "c.fetched_at")
-        first, n = cut_lineage_count(first)
-        try:
-            prev = read_epochs(spark, out).filter(F.col("_epoch") < epoch).select(*keys)
-            probe = F.broadcast(first.select(*keys)) if n <= BROADCAST_BATCH_KEYS else first.select(*keys)
-            known = prev.join(probe, keys, "left_semi").distinct()
-            first = first.join(known, keys, "left_anti")
-        except Exception:  # noqa: BLE001 - first epoch: nothing claimed yet
-            pass
-        _write(first.withColumn("_epoch", F.lit(epoch)), out, epoch)
+        first = store(batch.groupBy(*keys).agg(F.min_by(F.struct("url", "fetched_at"), F.col("fetched_at")).alias("c"))
+                      .select(*keys, "c.url", "c.fetched_at").withColumn("bucket", bucket), "batch-claims")
+        own = [r[0] for r in first.select("bucket").distinct().collect()]
+        known = spark.read.schema(StructType(columns)).option("basePath", out).parquet(out)
+        known = known.filter((F.col("epoch") < epoch) & F.col("bucket").isin(own)).select(*keys)
+        new = first.join(known, keys, "left_anti")
+        new.write.mode("overwrite").partitionBy("bucket").parquet(_epoch_dir(out, epoch))
 
     _run(s.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_claims"))
     return out
@@ -114,82 +125,96 @@ def stream_extract(stream: DataFrame, root: str, keys: list[str], url_col: str =
 def stream_broken_links(links_static: DataFrame, probes_stream: DataFrame, root: str) -> str:
     """As probe captures land, emit broken (page, link) pairs exactly once.
 
-    Each batch appends its probes to a probe table, re-resolves HEAD/GET for the URLs it touched
-    against everything stored (a GET may arrive in a later batch than its HEAD), joins the broken
-    ones with the static page links and appends only pairs not emitted before.
+    Each batch appends its probes to a probe table, takes from the table the probes of the URLs that it
+    touched (a GET may arrive in a later batch than its HEAD), resolves those, joins the broken ones
+    with the page links and appends the pairs not emitted before.  A URL whose HEAD failed and whose GET
+    has not come yet is not resolved and emits nothing.  The page links are stored once.
     """
     probe_tbl, out = f"{root}/probes", f"{root}/broken"
     spark = links_static.sparkSession
+    keys, pair = ["site_id", "norm_url"], ["site_id", "page_norm", "pos", "link"]
+    links = store(links_static, "page-links")
+    _create(spark, probe_tbl, O.with_norm(probes_stream).schema)
+    _create(spark, out, R.broken_links(links, O.resolve_link_probe(_as_batch(probes_stream))).schema)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        _write(batch, probe_tbl, epoch)
-        touched = O.with_norm(batch.select("site_id", "url")).select("site_id", "norm_url").distinct()
-        stored = read_epochs(spark, probe_tbl)
-        status = O.resolve_link_probe(stored).join(touched, ["site_id", "norm_url"], "left_semi")
-        broken = R.broken_links(links_static, status)
-        try:  # pairs emitted by earlier epochs (a replayed epoch is recomputed in full)
-            done = read_epochs(spark, out).filter(F.col("_epoch") < epoch)
-            broken = broken.join(done.drop("_epoch"), ["site_id", "page_norm", "pos", "link"], "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: nothing emitted yet
-            pass
-        _write(cut_lineage(broken).withColumn("_epoch", F.lit(epoch)), out, epoch)
+        _write(O.with_norm(batch), probe_tbl, epoch)
+        own = spark.read.parquet(_epoch_dir(probe_tbl, epoch))
+        touched = own.select(*keys).distinct()
+        stored = _earlier(spark, probe_tbl, epoch).join(touched, keys, "left_semi").unionByName(own)
+        broken = R.broken_links(links, O.resolve_link_probe(stored.drop("norm_url")))
+        done = _earlier(spark, out, epoch).select(*pair)
+        _write(broken.join(done, pair, "left_anti"), out, epoch)
 
     _run(probes_stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_broken"))
     return out
 
 
-def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys: list[str]) -> str:
-    """T4: incremental BFS.  Each micro-batch appends the crawlable edges of newly captured pages and
-    relaxes depths from there: edges whose source is already reached seed candidates, and every URL
-    that becomes reachable (or reachable at a smaller depth) is appended to the frontier table and
-    propagated over the stored edges, at most ``depth`` rounds.  Work per batch is proportional to
-    what changed, not to the whole graph; min(depth) per URL over the table equals the batch BFS.
+def _as_batch(stream: DataFrame) -> DataFrame:
+    """An empty batch frame with the stream's columns."""
+    return stream.sparkSession.createDataFrame([], stream.schema)
+
+
+FRONTIER = "site_id string, norm_url string, depth int"
+EDGES = "site_id string, src string, dst string"
+
+
+def frontier_batch(spark: SparkSession, sites: DataFrame, root: str, batch_edges: DataFrame, epoch: int) -> None:
+    """One micro-batch of T4: from the frontier of earlier epochs, this batch's edges and all edges so far.
+
+    All rounds of the batch are written in one commit at its end, so a replay starts from the same
+    frontier and writes the same rows.
     """
-    edges_tbl, out = f"{root}/edges", f"{root}/frontier"
-    spark = sites.sparkSession
-    ex = X.extract_pages(pages_stream, ctype_col=None)
+    edges_tbl, out, keys = f"{root}/edges", f"{root}/frontier", ["site_id", "norm_url"]
     opts = sites.select("site_id", F.col("depth").alias("limit"))
     max_rounds = sites.agg(F.max("depth")).first()[0] or 0
+    _write(batch_edges, edges_tbl, epoch)
+    own = spark.read.schema(EDGES).parquet(_epoch_dir(edges_tbl, epoch))
+    edges = _earlier(spark, edges_tbl, epoch).unionByName(own)
+    reached = store(_earlier(spark, out, epoch).groupBy(*keys).agg(F.min("depth").alias("depth")), "reached")
 
-    def current():
-        try:
-            return read_epochs(spark, out).groupBy("site_id", "norm_url").agg(F.min("depth").alias("cur"))
-        except Exception:  # noqa: BLE001 - nothing reached yet
-            return None
-
-    def improved(cand: DataFrame, cur) -> DataFrame:
-        best = cand.groupBy("site_id", "norm_url").agg(F.min("depth").alias("depth"))
-        if cur is None:
-            return best
-        return best.join(cur, ["site_id", "norm_url"], "left") \
-            .filter(F.col("cur").isNull() | (F.col("depth") < F.col("cur"))).drop("cur")
-
-    def expand(level: DataFrame, edges: DataFrame) -> DataFrame:
+    def expand(level: DataFrame, along: DataFrame) -> DataFrame:
         """Children of reached URLs whose site still allows one more level."""
         lv = level.join(opts, "site_id").filter(F.col("limit") > F.col("depth") + 1)
-        return lv.join(edges.withColumnRenamed("src", "norm_url"), ["site_id", "norm_url"]) \
+        return lv.join(along.withColumnRenamed("src", "norm_url"), keys) \
             .select("site_id", F.col("dst").alias("norm_url"), (F.col("depth") + 1).alias("depth"))
 
+    levels: list[DataFrame] = []
+
+    def improved(cand: DataFrame) -> DataFrame:
+        best = cand.groupBy(*keys).agg(F.min("depth").alias("depth"))
+        for known in (reached, *levels):
+            known = known.withColumnRenamed("depth", "cur")
+            best = best.join(known, keys, "left").filter(F.col("cur").isNull() | (F.col("depth") < F.col("cur"))).drop("cur")
+        return store(best, "level")
+
+    level = improved(expand(reached, own))
+    while len(levels) < max_rounds and not level.isEmpty():
+        levels.append(level)
+        level = improved(expand(level, edges))
+    new = spark.createDataFrame([], FRONTIER)
+    for x in levels:
+        new = new.unionByName(x.select(*keys, F.col("depth").cast("int").alias("depth")))
+    _write(new, out, epoch)
+
+
+def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys: list[str]) -> str:
+    """T4: incremental BFS.  Each micro-batch appends the crawlable edges of newly captured pages and
+    relaxes depths from there: edges whose source is already reached seed candidates, and every URL
+    that becomes reachable (or reachable at a smaller depth) is appended to the frontier table and
+    propagated over the stored edges, at most ``depth`` rounds.  min(depth) per URL over the table
+    equals the batch BFS.  The roots are in the table from the start.
+    """
+    spark = sites.sparkSession
+    ex = X.extract_pages(pages_stream, ctype_col=None)
+    _create(spark, f"{root}/edges", EDGES)
+    seeds = sites.select("site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"), F.lit(0).alias("depth"))
+    _write(seeds, f"{root}/frontier", -1)
+
     def sink(batch: DataFrame, epoch: int) -> None:
         e = O.with_norm(batch.select(*keys, "url", "links")).select(
             *keys, F.col("norm_url").alias("src"), F.explode_outer("links").alias("link")).filter(F.col("link").isNotNull())
-        batch_edges = cut_lineage(G.crawlable_edges(e, sites))
-        _write(batch_edges, edges_tbl, epoch)
-        all_edges = read_epochs(spark, edges_tbl)  # edges stored so far, this batch included
-        cur = current()
-        if cur is None:  # first batch: the roots are reached at depth 0
-            seeds = sites.select("site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"),
-                                 F.lit(0).alias("depth"))
-            _write(seeds.withColumn("batch", F.lit(epoch)), out, epoch, "round=0")
-            cur = current()
-        cand = expand(cur.withColumnRenamed("cur", "depth"), batch_edges)
-        level = cut_lineage(improved(cand, cur))
-        rounds = 0
-        while rounds < max_rounds and level.count() > 0:
-            _write(level.withColumn("batch", F.lit(epoch)), out, epoch, f"round={rounds + 1}")
-            cur = current()
-            level = cut_lineage(improved(expand(level, all_edges), cur))
-            rounds += 1
+        frontier_batch(spark, sites, root, G.crawlable_edges(e, sites), epoch)
 
     _run(ex.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_frontier"))
-    return out
+    return f"{root}/frontier"

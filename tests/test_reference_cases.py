@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sitelens import schemas
 from sitelens.operators import report as R
 from sitelens.operators import requests as Q
-from sitelens.plans.audit import audit_report, run_audit
+from sitelens.plans.audit import report_of, run_audit
 from tests.helpers import T0, cap, html
 
 E = "http://example.com"
@@ -103,9 +103,11 @@ def audit(spark):
     pages = {}
     for r in a.pages.collect():
         pages.setdefault(r.site_id, []).append(r)
-    report = {r.site_id: r for r in audit_report(caps, sites, "2024-01-02 00:00:00").collect()}
-    js = {r.site_id: json.loads(r.json) for r in R.report_json(audit_report(caps, sites, "2024-01-02 00:00:00")).collect()}
-    return {"a": a, "pages": pages, "report": report, "json": js}
+    rows = {}
+    for r in report_of(a, sites, "2024-01-02 00:00:00").orderBy("site_id", "ord").collect():
+        rows.setdefault(r.site_id, []).append((r.ord, r.json))
+    js = {site: json.loads(R.site_document(own)) for site, own in rows.items()}
+    return {"a": a, "pages": pages, "json": js}
 
 
 def one(audit, site):
@@ -126,7 +128,8 @@ def test_a2_a3_errors(audit):
     assert (p.http_status, p.status, p.error) == (0, "error", "network error: connection refused")
     p = one(audit, "a3")
     assert (p.http_status, p.status, p.error) == (404, "error", "")
-    assert audit["report"]["a3"].pages[0].broken_links is None
+    assert audit["json"]["a3"]["pages"][0]["broken_links"] is None
+    assert "discovered_at" in audit["json"]["a2"]["pages"][0]
 
 
 def test_a4_a5_seo(audit):
@@ -139,13 +142,13 @@ def test_a4_a5_seo(audit):
 def test_a6_a7_retries(audit):
     assert (one(audit, "a6").http_status, one(audit, "a6").status) == (200, "ok")
     assert (one(audit, "a7").http_status, one(audit, "a7").status) == (200, "ok")
-    assets = audit["report"]["a7"].pages[0].assets
-    assert [(x.url, x.status_code) for x in assets] == [(E + "/image.png", 200)]
+    assets = audit["json"]["a7"]["pages"][0]["assets"]
+    assert [(x["url"], x["status_code"]) for x in assets] == [(E + "/image.png", 200)]
 
 
 def test_a8_asset_dedupe(audit):
-    assets = audit["report"]["a8"].pages[0].assets
-    assert [(x.url, x.type, x.status_code, x.size_bytes) for x in assets] == [(E + "/static/logo.png", "image", 200, 12345)]
+    assets = audit["json"]["a8"]["pages"][0]["assets"]
+    assert [(x["url"], x["type"], x["status_code"], x["size_bytes"]) for x in assets] == [(E + "/static/logo.png", "image", 200, 12345)]
 
 
 def test_a9_full_report(audit):
@@ -179,12 +182,12 @@ def test_a13_cut_off(audit):
 
 
 def test_a15_link_probes(audit):
-    page = audit["report"]["a15"].pages[0]
-    assert [(b.url, b.status_code, b.error) for b in page.broken_links] == [(E + "/l405nf", 404, "")]
+    page = audit["json"]["a15"]["pages"][0]
+    assert [(b["url"], b["status_code"], b["error"]) for b in page["broken_links"]] == [(E + "/l405nf", 404, "")]
 
 
 def test_a16_asset_probes(audit):
-    got = {x.url: (x.status_code, x.size_bytes, x.error) for x in audit["report"]["a16"].pages[0].assets}
+    got = {x["url"]: (x["status_code"], x["size_bytes"], x.get("error", "")) for x in audit["json"]["a16"]["pages"][0]["assets"]}
     assert got == {E + "/a1.png": (200, 1024, ""), E + "/a2.png": (200, 2048, ""), E + "/a3.png": (404, 0, "HTTP 404"),
                    E + "/a4.png": (200, 4096, ""), E + "/a5.png": (200, 5120, "")}
 

@@ -1,32 +1,46 @@
 """S4 sink and the table-level extraction operators."""
 
 import json
-import os
 
 from pyspark.sql import functions as F
 
 from sitelens import schemas
 from sitelens.operators import extract as X
 from sitelens.operators import report as R
-from sitelens.plans.audit import audit_report, run_audit
+from sitelens.plans.audit import audit
 from sitelens.streaming.jobs import scratch
 from tests.helpers import cap, html
 
 
-def test_write_report_json_documents(spark):
+def test_write_report_rows(spark):
     rows = [cap("http://example.com", site="w1", body=html("T", '<a href="/x">x</a>')),
             cap("http://example.com/x", kind="link", method="HEAD", status=500, ctype=None, site="w1")]
     caps = spark.createDataFrame(rows, schemas.CAPTURES)
-    sites = spark.createDataFrame([("w1", "http://example.com", 1, 1, 0, 0, "", None)], schemas.SITES)
-    rep = audit_report(caps, sites, "2024-01-02 00:00:00")
+    sites = spark.createDataFrame([("w1", "http://example.com", 1, 1, 0, 0, "", None), ("w2", "http://none.com", 1, 1, 0, 0, "", None)],
+                                  schemas.SITES)
+    _, report = audit(caps, sites, "2024-01-02 00:00:00")
     out = scratch(spark, "t-report")
-    R.write_report(rep, run_audit(caps, sites).pages, out, pretty=True)
-    files = [os.path.join(d, f) for d, _, fs in os.walk(out.replace("file:", "")) for f in fs
-             if f.startswith("part-") and "documents" in d]
-    docs = [json.loads(open(f).read()) for f in files if os.path.getsize(f) > 0]
-    assert len(docs) == 1 and docs[0]["root_url"] == "http://example.com"
-    assert docs[0]["pages"][0]["broken_links"] == [{"url": "http://example.com/x", "status_code": 500, "error": ""}]
-    assert rep.first().pages_flat is False
+    R.write_report(report, out)
+    back = spark.read.parquet(out).orderBy("site_id", "ord").collect()
+    docs = {s: json.loads(R.site_document((r.ord, r.json) for r in back if r.site_id == s)) for s in ("w1", "w2")}
+    assert docs["w1"]["root_url"] == "http://example.com" and docs["w2"]["pages"] == []
+    assert docs["w1"]["pages"][0]["broken_links"] == [{"url": "http://example.com/x", "status_code": 500, "error": ""}]
+
+
+def test_large_site_keeps_every_page_in_order(spark):
+    """No switch by size: 200,000 pages of one site, each with its place."""
+    n = 200_000
+    pages = spark.range(n).select(
+        F.lit("big").alias("site_id"), F.concat(F.lit("http://b/"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("url"),
+        F.lit(0).alias("depth"), F.lit(200).alias("http_status"), F.lit("ok").alias("status"), F.lit("").alias("error"),
+        F.array().cast("array<struct<url:string,status_code:int,error:string>>").alias("broken_links"),
+        F.array().cast("array<struct<url:string,type:string,status_code:int,size_bytes:bigint,error:string>>").alias("assets"),
+        F.lit(None).cast("timestamp").alias("discovered_at"), F.struct(F.lit(False).alias("has_title")).alias("seo")) \
+        .withColumn("page_norm", F.col("url"))
+    sites = spark.createDataFrame([("big", "http://b/", 3)], "site_id string, root_url string, depth int")
+    rows = R.report_rows(pages, sites, "2024-01-02 00:00:00")
+    got = rows.filter("ord >= 0").select("ord", F.substring(F.get_json_object("json", "$.url"), 10, 7).cast("long").alias("u"))
+    assert got.filter("ord = u").count() == n and rows.count() == n + 1
 
 
 def test_table_level_extraction(spark):

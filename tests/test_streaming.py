@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sitelens.operators import canonical as CN
 from sitelens.operators import extract as X
 from sitelens.operators import outcomes as O
+from sitelens.operators import report as R
 from sitelens.streaming import jobs as T
 from tests.helpers import T0
 
@@ -23,7 +24,7 @@ def test_stream_claims_equal_batch_first_claims(spark):
     for mode in ("table", "state"):
         stream = spark.readStream.schema("site_id string, url string, fetched_at timestamp") \
             .option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-        path = T.stream_claims(stream, f"{root}/{mode}", mode=mode)
+        path = T.stream_claims(stream, f"{root}/{mode}", mode=mode, watermark="3650 days" if mode == "state" else None)
         rows = T.read_epochs(spark, path).select("site_id", "norm_url").collect()
         assert len(rows) == len(want)  # every key claimed exactly once
         got = {(r.site_id, r.norm_url) for r in rows}
@@ -45,3 +46,39 @@ def test_stream_extract_equals_batch(spark):
     assert got == {tuple(r) for r in batch.collect()}
     assert {r.title for r in T.read_epochs(spark, paths["seo"]).collect()} == {f"T{i}" for i in range(6)}
     assert T.read_epochs(spark, paths["assets"]).select(F.count_distinct("url")).first()[0] == 2
+
+
+def test_stream_broken_links_waits_for_the_get(spark):
+    """HEAD 405 in one batch, GET 200 in the next: never reported; GET 404: reported once; equals batch."""
+    root = T.scratch(spark, "t-broken")
+    schema = "site_id string, url string, method string, status_code int, error string, fetched_at timestamp"
+    batches = [[("s", f"http://h.com/{k}", "HEAD", 405, None, T0) for k in range(3)] + [("s", "http://h.com/9", "HEAD", 500, None, T0)],
+               [("s", "http://h.com/0", "GET", 200, None, T0), ("s", "http://h.com/1", "GET", 404, None, T0)],
+               [("s", "http://h.com/9", "HEAD", 500, None, T0)]]
+    for b in batches:
+        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    links = spark.createDataFrame([("s", "http://h.com", k, f"http://h.com/{k}", f"http://h.com/{k}") for k in (0, 1, 2, 9)],
+                                  "site_id string, page_norm string, pos int, link string, link_norm string")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    out = T.read_epochs(spark, T.stream_broken_links(links, stream, root))
+    assert sorted((r.link, r.status_code) for r in out.collect()) == [("http://h.com/1", 404), ("http://h.com/9", 500)]
+    batch = R.broken_links(links, O.resolve_link_probe(spark.read.parquet(f"{root}/in")))
+    assert sorted(r.link for r in batch.collect()) == sorted(r.link for r in out.collect())
+
+
+def test_a_replayed_frontier_epoch_writes_the_same_rows(spark):
+    root = T.scratch(spark, "t-replay")
+    sites = spark.createDataFrame([("s", 5)], "site_id string, depth int")
+    T._create(spark, f"{root}/edges", T.EDGES)
+    T._write(spark.createDataFrame([("s", "a", 0)], T.FRONTIER), f"{root}/frontier", -1)
+    batches = [[("s", "b", "c"), ("s", "c", "d")], [("s", "a", "b")], [("s", "a", "d"), ("s", "d", "e")]]
+    for epoch, rows in enumerate(batches):
+        edges = spark.createDataFrame(rows, T.EDGES)
+        T.frontier_batch(spark, sites, root, edges, epoch)
+        once = sorted(map(tuple, T.read_epochs(spark, f"{root}/frontier").collect()))
+        T.frontier_batch(spark, sites, root, edges, epoch)
+        assert sorted(map(tuple, T.read_epochs(spark, f"{root}/frontier").collect())) == once
+    least = {}
+    for _, u, d in once:
+        least[u] = min(d, least.get(u, 99))
+    assert least == {"a": 0, "b": 1, "c": 2, "d": 1, "e": 2}

@@ -19,7 +19,10 @@ _fragment = st.one_of(
     _val.map(lambda v: f'<script>var s = "<a href={v}>";</script>'),
     _val.map(lambda v: f'<style>a[href="{v}"] {{}}</style>'),
     st.sampled_from(["<p>text</p>", "<div><span>x</span></div>", "<br/>", "plain & text", "<a>no href</a>",
-                     '<a href="">empty</a>']),
+                     '<a href="">empty</a>', "<p it's>x</p>", "<b x'y=1>t</b>"]),
+    _val.map(lambda v: f"<a data-x=it's href=\"{v}\">t</a>"),
+    _val.map(lambda v: f"<a href='{v}' x'y>t</a>"),
+    _val.map(lambda v: f'<a alt=John"s href="{v}">t</a>'),
 )
 
 
@@ -43,3 +46,24 @@ def test_anchor_hrefs_match_html_parser(spark, parts):
     expr = memo(("test-link-refs",), lambda: X.link_refs(H.extract_tags(F.col("d"))))
     got = spark.createDataFrame([(doc,)], "d string").select(expr.alias("r")).first().r
     assert got == c.hrefs
+
+
+def test_stray_quotes_and_unclosed_tags(spark):
+    expr = X.link_refs(H.extract_tags(F.col("d")))
+    docs = {"<a data-x=it's href='/one'>x</a><a href='/two'>": ["/one", "/two"],
+            "<a href='/four' x'y><a href=/five>": ["/four", "/five"],
+            "<a href=/six><a href=/seven": ["/six"], "<a href=/a><script <a href=/b>": ["/a"],
+            "<script-x><a href=/c></script-x>": ["/c"], '<a href="/d><a href=/e>': []}
+    for d, hrefs in docs.items():
+        assert spark.createDataFrame([(d,)], "d string").select(expr.alias("r")).first().r == hrefs, d
+
+
+def test_unclosed_openings_are_read_once(spark):
+    """Bodies that only open tags: linear, so a few MB take seconds."""
+    import time
+    rows = [(x * (3_000_000 // len(x)),) for x in ("<a ", "<script ", "<title ", "<h1 ", "<channel>", '<a href="', "<!--")]
+    df = spark.createDataFrame([("http://h.com/", r[0]) for r in rows], "url string, body string").repartition(2)
+    began = time.time()
+    out = X.extract_pages(df, ctype_col=None).select("links", "seo").collect()
+    assert len(out) == len(rows) and all(r.links == [] for r in out)
+    assert time.time() - began < 90
