@@ -38,7 +38,7 @@ def _bfs(expand_cond: str) -> str:
     return BFS_CTE.replace("e AS (SELECT src, link FROM l WHERE", f"e AS (SELECT src, link FROM l WHERE {expand_cond} AND")
 
 
-_EXPANDS = "(page_id % 17 <> 16 AND page_id % 29 <> 28)"
+_EXPANDS = "((page_id % 17 <> 16 OR page_id % 13 = 12) AND page_id % 29 <> 28)"
 _CRAWL = _bfs(_EXPANDS)
 _LINK_STATUS = f"""
 ls AS (SELECT url,
@@ -135,13 +135,13 @@ def asset_inventory(spark, sf_dir):
 
 def _page_rows_oracle(cond_fetched: str, deadline: str = "NULL") -> str:
     return f"""
-SELECT CASE WHEN {cond_fetched} THEN strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 THEN 1 ELSE 0 END),
+SELECT CASE WHEN {cond_fetched} THEN strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 1 ELSE 0 END),
                                               '%Y-%m-%d %H:%M:%S') ELSE {deadline} END AS discovered_at, d.url, CAST(d.depth AS INT) AS depth,
-       CAST(CASE WHEN NOT {cond_fetched} THEN 0 WHEN p % 17 = 16 THEN 0 WHEN p % 13 = 12 THEN 404 ELSE 200 END AS INT) AS http_status,
-       CASE WHEN {cond_fetched} AND p % 17 <> 16 AND p % 13 <> 12 THEN 'ok' ELSE 'error' END AS status,
-       CASE WHEN NOT {cond_fetched} THEN 'context canceled' WHEN p % 17 = 16 THEN 'HTTP 503 (retriable)' ELSE '' END AS error,
-       {cond_fetched} AND p % 29 <> 28 AND p % 17 <> 16 AS has_title,
-       CASE WHEN {cond_fetched} AND p % 29 <> 28 AND p % 17 <> 16 THEN 'T' || CAST(p AS VARCHAR) || ' & co' ELSE '' END AS title
+       CAST(CASE WHEN NOT {cond_fetched} THEN 0 WHEN p % 17 = 16 AND p % 13 <> 12 THEN 0 WHEN p % 13 = 12 THEN 404 ELSE 200 END AS INT) AS http_status,
+       CASE WHEN {cond_fetched} AND (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN 'ok' ELSE 'error' END AS status,
+       CASE WHEN NOT {cond_fetched} THEN 'context canceled' WHEN p % 17 = 16 AND p % 13 <> 12 THEN 'HTTP 503 (retriable)' ELSE '' END AS error,
+       {cond_fetched} AND p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) AS has_title,
+       CASE WHEN {cond_fetched} AND p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) THEN 'T' || CAST(p AS VARCHAR) || ' & co' ELSE '' END AS title
 FROM (SELECT url, depth, CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) AS p FROM d) d"""
 
 
@@ -153,11 +153,11 @@ def page_rows(spark, sf_dir):
                     "seo.has_title", "seo.title")
 
 
-_CUT = f"(page_id * 2 + CASE WHEN page_id % 17 = 16 THEN 1 ELSE 0 END <= {CUTOFF_S})"
+_CUT = f"(page_id * 2 + CASE WHEN page_id % 17 = 16 AND page_id % 13 <> 12 THEN 1 ELSE 0 END <= {CUTOFF_S})"
 
 
 @register("partial_results", oracle=f"WITH RECURSIVE {_bfs(_EXPANDS + ' AND ' + _CUT)} "
-          + _page_rows_oracle(f"(p * 2 + CASE WHEN p % 17 = 16 THEN 1 ELSE 0 END <= {CUTOFF_S})",
+          + _page_rows_oracle(f"(p * 2 + CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 1 ELSE 0 END <= {CUTOFF_S})",
                               f"'2024-01-01 00:00:{CUTOFF_S:02d}'"))
 def partial_results(spark, sf_dir):
     """a cut-off mid-crawl: finished pages stay, reached-but-unfetched pages become 'context canceled'."""
@@ -185,9 +185,9 @@ _PAGE_JSON = ("struct<url:string,depth:int,http_status:int,status:string,error:s
 @register("report_pages", oracle=f"""
 WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}
 SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS BIGINT) AS ord, rows.url, CAST(rows.depth AS INT) AS depth,
-       CASE WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 'ok' ELSE 'error' END AS status,
-       CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 0 END AS INT) AS n_broken,
-       CAST(CASE WHEN p % 17 = 16 OR p % 29 = 28 THEN 0 ELSE 5 END AS INT) AS n_assets
+       CASE WHEN (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN 'ok' ELSE 'error' END AS status,
+       CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN 0 END AS INT) AS n_broken,
+       CAST(CASE WHEN p % 17 = 16 AND p % 13 <> 12 OR p % 29 = 28 THEN 0 ELSE 5 END AS INT) AS n_assets
 FROM rows LEFT JOIN br ON br.src = rows.url""")
 def report_pages(spark, sf_dir):
     """R5 + R6 + R9: the pages of the report in their order, with the sizes of their nested lists."""
@@ -210,19 +210,19 @@ SELECT CAST(-1 AS BIGINT) AS ord,
 UNION ALL
 SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS BIGINT) AS ord,
        '{{"url":"' || rows.url || '","depth":' || rows.depth
-       || ',"http_status":' || CASE WHEN p % 17 = 16 THEN 0 WHEN p % 13 = 12 THEN 404 ELSE 200 END
-       || ',"status":"' || CASE WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 'ok' ELSE 'error' END || '"'
-       || CASE WHEN p % 17 = 16 THEN ',"error":"HTTP 503 (retriable)"' ELSE '' END
+       || ',"http_status":' || CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 0 WHEN p % 13 = 12 THEN 404 ELSE 200 END
+       || ',"status":"' || CASE WHEN (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN 'ok' ELSE 'error' END || '"'
+       || CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN ',"error":"HTTP 503 (retriable)"' ELSE '' END
        || ',"broken_links":' || CASE WHEN br.js IS NOT NULL THEN '[' || br.js || ']'
-                                     WHEN p % 17 <> 16 AND p % 13 <> 12 THEN '[]' ELSE 'null' END
+                                     WHEN (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN '[]' ELSE 'null' END
        || ',"assets":[' || coalesce(aj.js, '') || ']'
-       || ',"discovered_at":"' || strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 THEN 1 ELSE 0 END),
+       || ',"discovered_at":"' || strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 1 ELSE 0 END),
                                            '%Y-%m-%dT%H:%M:%SZ') || '"'
-       || ',"seo":{{"has_title":' || (p % 29 <> 28 AND p % 17 <> 16)
-       || ',"title":"' || CASE WHEN p % 29 <> 28 AND p % 17 <> 16 THEN 'T' || p || ' & co' ELSE '' END
-       || '","has_description":' || (p % 29 <> 28 AND p % 17 <> 16 AND p % 3 = 0)
-       || ',"description":"' || CASE WHEN p % 29 <> 28 AND p % 17 <> 16 AND p % 3 = 0 THEN 'D' || p ELSE '' END
-       || '","has_h1":' || (p % 29 <> 28 AND p % 17 <> 16 AND p % 4 <> 0) || '}}}}' AS json
+       || ',"seo":{{"has_title":' || (p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12))
+       || ',"title":"' || CASE WHEN p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) THEN 'T' || p || ' & co' ELSE '' END
+       || '","has_description":' || (p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) AND p % 3 = 0)
+       || ',"description":"' || CASE WHEN p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) AND p % 3 = 0 THEN 'D' || p ELSE '' END
+       || '","has_h1":' || (p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) AND p % 4 <> 0) || '}}}}' AS json
 FROM rows LEFT JOIN br ON br.src = rows.url LEFT JOIN aj ON aj.src = rows.url""")
 def report_json(spark, sf_dir):
     """R6 + R7 + R8: the report as JSON rows, a header and one row a page (names and omissions of the reference)."""
@@ -232,9 +232,9 @@ def report_json(spark, sf_dir):
 @register("report_json_fields", oracle=f"""
 WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}
 SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS BIGINT) AS ord, rows.url,
-       CASE WHEN p % 17 = 16 THEN 'HTTP 503 (retriable)' END AS error,
-       CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN p % 17 <> 16 AND p % 13 <> 12 THEN 0 END AS INT) AS n_broken,
-       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 THEN 1 ELSE 0 END), '%Y-%m-%dT%H:%M:%SZ')
+       CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 'HTTP 503 (retriable)' END AS error,
+       CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN 0 END AS INT) AS n_broken,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 1 ELSE 0 END), '%Y-%m-%dT%H:%M:%SZ')
          AS discovered_at
 FROM rows LEFT JOIN br ON br.src = rows.url""")
 def report_json_fields(spark, sf_dir):

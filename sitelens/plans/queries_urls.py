@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sitelens.functions import urls as U
@@ -9,6 +11,8 @@ from sitelens.operators.canonical import canonical_groups
 from sitelens.plans.catalog import register
 from sitelens.plans.duck import simple_norm
 from sitelens.sources import captures as C
+from sitelens.session import ensure_checkpoint_dir
+from sitelens.sources import fixtures as FX
 from sitelens.sources.fixtures import table
 
 
@@ -120,3 +124,53 @@ def cap_body_q(spark, sf_dir):
         F.least(F.col("content_length"), F.lit(_CAP).cast("long")).alias("read_bytes"),
         (F.col("content_length") > _CAP).alias("was_capped"),
         F.char_length("body").alias("kept_chars"), F.octet_length("body").alias("kept_bytes"))
+
+
+_HOST_SQL = "regexp_extract(url, '://([^/?#]*)', 1)"
+_PATH_SQL = "regexp_replace(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '/+$', '')"
+
+
+@register("normalize_query", oracle=f"""
+SELECT page_id, 'http://' || lower({_HOST_SQL}) || {_PATH_SQL} || '?a=' || CAST(page_id AS VARCHAR) || '&a=1&b=x+y&c=' AS norm_url
+FROM pages""")
+def normalize_query(spark, sf_dir):
+    """U1q + U1: every page URL in capitals, with its default port, shuffled query keys, an empty value and a fragment."""
+    pages = FX.table(spark, sf_dir, "pages").select("page_id", "url")
+    host, path = F.regexp_extract("url", "://([^/?#]*)", 1), F.regexp_extract("url", "^[a-zA-Z]+://[^/?#]*([^?#]*)", 1)
+    variant = F.concat(F.lit("HTTP://"), F.upper(host), F.lit(":80"), path, F.lit("?b=x%20y&a="), F.col("page_id").cast("string"),
+                       F.lit("&c=&a=1#top"))
+    return pages.select("page_id", variant.alias("v")).select("page_id", U.normalize_url("v").alias("norm_url"))
+
+
+_REFS = ["../x", "//other.example/y", "?q=1", "z/./w", "../../../k/", "./"]
+
+
+@register("resolve_general", oracle=f"""
+WITH b AS (SELECT page_id, regexp_extract(url, '^([a-z]+):', 1) AS scheme, {_HOST_SQL} AS host, {_PATH_SQL} AS path FROM pages),
+d AS (SELECT *, regexp_replace(path, '[^/]*$', '') AS dir FROM b),
+r AS (SELECT *, unnest({_REFS!r}) AS ref FROM d)
+SELECT page_id, ref, scheme || ':' || CASE ref
+  WHEN '../x' THEN '//' || host || regexp_replace(dir, '[^/]*/$', '') || 'x'
+  WHEN '//other.example/y' THEN ref
+  WHEN '?q=1' THEN '//' || host || path || ref
+  WHEN 'z/./w' THEN '//' || host || dir || 'z/w'
+  WHEN './' THEN '//' || host || dir
+  ELSE '//' || host || '/k/' END AS resolved FROM r""")
+def resolve_general(spark, sf_dir):
+    """U4, general path: dot segments, a scheme-relative reference, a bare query, against every page URL."""
+    pages = FX.table(spark, sf_dir, "pages").select("page_id", U.normalize_url("url").alias("base"))
+    refs = pages.select("page_id", "base", F.explode(F.array(*[F.lit(r) for r in _REFS])).alias("ref"))
+    return refs.select("page_id", "ref", U.resolve_url(F.col("base"), F.col("ref")).alias("resolved"))
+
+
+@register("read_captures", oracle=f"""
+SELECT url, CAST(attempt AS INT) AS attempt, CAST(status_code AS INT) AS status_code, CAST(strlen(html) AS BIGINT) AS n_bytes
+FROM (SELECT url, status_code, html, unnest(CASE WHEN status_code >= 500 THEN [0, 1] ELSE [0] END) AS attempt
+      FROM ({FX.duck(FX.WEB_PAGES_SQL)}) w) t""")
+def read_captures(spark, sf_dir):
+    """Page captures written as JSON lines and read back with the fixed schema."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/captures-{uuid.uuid4().hex}"
+    caps = C.fixture_captures(FX.web_pages(spark, sf_dir), FX.probes(spark, sf_dir), FX.asset_probes(spark, sf_dir))
+    caps.write.json(path)
+    pages = C.read_captures(spark, path, "json").filter(F.col("kind") == "page")
+    return pages.select("url", "attempt", "status_code", F.octet_length("body").cast("long").alias("n_bytes"))
