@@ -23,7 +23,7 @@ SURVEY section 2 id -> entry point:
   G1 operators.graph.classify_links  G2 crawl_depths  G3 operators.canonical.dedupe_first
   G4 operators.graph.link_worklist  G5 asset_worklist  G6 external_links  G7 unfetched_frontier
   R1 functions.status.is_broken  R2 operators.report.broken_links  R3 asset_inventory
-  R4/R5 operators.report.nest_pages / assemble_report (byte-order sorts)  R6 assemble_report
-  R7 report_json  R8 generated_at parameter, date_trunc('second')  R9 plans.audit.audit
+  R4 operators.report.nest_pages  R5 ordered_pages  R6/R7 report_rows
+  R8 generated_at parameter, date_trunc('second')  R9 plans.audit.audit
   T1 streaming.jobs.stream_claims  T2 stream_extract  T3 stream_broken_links  T4 frontier_rounds
 """

@@ -2,8 +2,8 @@
 
 ``crawl_depths`` is an iterative job of at most ``depth`` rounds for all sites at once.  Each round
 joins the current frontier with the pre-partitioned edge table, keeps unseen canonical URLs and
-writes the new level with a reliable ``checkpoint()`` (lineage stays one level deep and a lost
-executor only re-reads checkpoint files).  Whether a frontier is broadcast is left to AQE, which knows
+writes the new level as a table in the shared folder (lineage stays one level deep and a lost
+executor only re-reads files; the table's size tells the next round how to join).  Whether a frontier is broadcast is left to AQE, which knows
 its size in bytes.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions import urls as U
 from sitelens.operators.canonical import dedupe_first
-from sitelens.session import cut_lineage, cut_lineage_count, ensure_checkpoint_dir
+from sitelens.session import store
 
 def _site_opts(sites: DataFrame) -> DataFrame:
     """One row a site: its host (parsed here once, not again for every link) and its depth limit."""
@@ -47,18 +47,14 @@ def crawl_depths(edges: DataFrame, sites: DataFrame, num_partitions: int | None
     resolved link of that page.  Depth N keeps pages at depth 0..N-1; depth <= 1 keeps the root only.
     Each canonical URL is visited once, at its minimum depth.
     """
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = cut_lineage(crawlable_edges(edges, sites, n_parts))
+    e = store(crawlable_edges(edges, sites, num_partitions), "edges")
     opts = _site_opts(sites)
     max_limit = opts.agg(F.max("limit")).first()[0] or 0
-    frontier, n = cut_lineage_count(opts.select(
-        "site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"), F.lit(0).alias("depth"), "limit"))
+    frontier = store(opts.select(
+        "site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"), F.lit(0).alias("depth"), "limit"), "level")
     levels = [frontier]
-    d = 0
     # a level at depth d expands only where the site's limit exceeds d + 1
-    while n > 0 and d + 1 < max_limit:
+    for d in range(max_limit - 1):
         f = frontier.filter(F.col("limit") > d + 1)
         cand = e.alias("e").join(f.alias("f"), (F.col("e.site_id") == F.col("f.site_id")) & (F.col("e.src") == F.col("f.norm_url"))) \
             .select(F.col("e.site_id").alias("site_id"), F.col("e.dst").alias("norm_url"), F.col("f.limit").alias("limit")) \
@@ -66,11 +62,11 @@ def crawl_depths(edges: DataFrame, sites: DataFrame, num_partitions: int | None
         seen = levels[0].select("site_id", "norm_url")
         for lv in levels[1:]:
             seen = seen.unionByName(lv.select("site_id", "norm_url"))
-        new, n = cut_lineage_count(cand.join(seen, ["site_id", "norm_url"], "left_anti")
-                                   .select("site_id", "norm_url", F.lit(d + 1).alias("depth"), "limit"))
-        levels.append(new)
-        frontier = new
-        d += 1
+        frontier = store(cand.join(seen, ["site_id", "norm_url"], "left_anti")
+                         .select("site_id", "norm_url", F.lit(d + 1).alias("depth"), "limit"), "level")
+        if frontier.isEmpty():
+            break
+        levels.append(frontier)
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)

@@ -63,29 +63,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
-def cut_lineage(df):
-    """Reliable checkpoint that computes ``df`` once: persist, write the checkpoint files from the
-    persisted blocks, then release them.  Files land in the shared ``spark.checkpoint.dir``."""
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
-
-
-def cut_lineage_count(df):
-    """``cut_lineage`` that also returns the row count: the count is the job that fills the cache,
-    the checkpoint then writes from the cached blocks (two jobs, one computation)."""
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out, n
-
-
 def store(df, name: str):
     """Write ``df`` as Parquet below the shared folder and read it back: lineage is cut, columns stay apart."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stored/{name}-{uuid.uuid4().hex}"

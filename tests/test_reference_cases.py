@@ -13,7 +13,7 @@ from sitelens.plans.audit import report_of, run_audit
 from tests.helpers import T0, cap, html
 
 E = "http://example.com"
-P = "<!DOCTYPE html><html><body>Page content</body></html>"
+P = "<!DOCTYPE html><html><body>Some words</body></html>"
 
 
 def chain(site, pages):
@@ -33,9 +33,9 @@ def build_rows():
     # A3: 404 without headers
     rows += [cap(E, site="a3", status=404, ctype=None, body="Not Found")]
     # A4 / A5: SEO with entities / SEO missing
-    rows += [cap(E, site="a4", body=html("Example &amp; Title", "<h1>Main Heading</h1>",
-                                         '<meta name="Description" content="Example &amp; Description">'))]
-    rows += [cap(E, site="a5", body="<html><body><p>Just a paragraph</p></body></html>")]
+    rows += [cap(E, site="a4", body=html("Nuts &amp; Bolts", "<h1>Welcome</h1>",
+                                         '<meta name="Description" content="Tools &amp; parts">'))]
+    rows += [cap(E, site="a5", body="<html><body><p>One line</p></body></html>")]
     # 500 then 200 (retries 2); A7: 429 then 200 with a link and an image
     rows += [cap(E, site="a6", status=500, ctype="text/html", body="err", attempt=0),
              cap(E, site="a6", body=html("OK"), attempt=1, ts_ms=100)]
@@ -59,7 +59,7 @@ def build_rows():
     rows += chain("d3", {"": html("r", '<a href="/level1">1</a>'), "/level1": html("1", '<a href="/level2">2</a>'),
                          "/level2": html("2", '<a href="/level3">3</a>'), "/level3": P})
     # 2 internal + 3 external links, depth 2
-    ext = ["https://external-site.com/page", "http://another-domain.org", "https://cdn.example.net/script.js"]
+    ext = ["https://partner.test/offer", "http://elsewhere.test", "https://static.partner.test/lib.js"]
     rows += chain("a11", {"": html("r", '<a href="/page1">1</a><a href="/page2">2</a>'
                                    + "".join(f'<a href="{u}">e</a>' for u in ext)), "/page1": P, "/page2": P})
     rows += [cap(u, kind="link", method="HEAD", status=200, ctype=None, site="a11") for u in ext]
@@ -133,8 +133,8 @@ def test_a2_a3_errors(audit):
 
 
 def test_a4_a5_seo(audit):
-    assert one(audit, "a4").seo.asDict() == {"has_title": True, "title": "Example & Title", "has_description": True,
-                                             "description": "Example & Description", "has_h1": True}
+    assert one(audit, "a4").seo.asDict() == {"has_title": True, "title": "Nuts & Bolts", "has_description": True,
+                                             "description": "Tools & parts", "has_h1": True}
     assert one(audit, "a5").seo.asDict() == {"has_title": False, "title": "", "has_description": False,
                                              "description": "", "has_h1": False}
 
@@ -169,7 +169,7 @@ def test_a10_depth_limit(audit):
 def test_a11_external_not_crawled(audit):
     assert sorted(p.url for p in audit["pages"]["a11"]) == [E, E + "/page1", E + "/page2"]
     checked = {r.norm_url for r in audit["a"].link_status.filter(F.col("site_id") == "a11").collect()}
-    assert checked == {"https://external-site.com/page", "http://another-domain.org", "https://cdn.example.net/script.js"}
+    assert checked == {"https://partner.test/offer", "http://elsewhere.test", "https://static.partner.test/lib.js"}
 
 
 def test_a12_duplicate_links(audit):
