@@ -97,6 +97,8 @@ def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact", missi
                 F.when(a_cancelled, F.lit(0)).otherwise(F.col("size_bytes")).cast("long").alias("size_bytes"),
                 F.when(a_cancelled, F.lit("request failed: context canceled")).otherwise(F.col("error")).alias("error"))
 
+    # stored, so that R2 and R3 join two plain shuffles: AQE can split a link or asset that every page has
+    link_status, asset_status = store(link_status, "link-status"), store(asset_status, "asset-status")
     broken = R.broken_links(crawled_links, link_status, match)
     inventory = R.asset_inventory(crawled_assets, asset_status)
     return Audit(outcomes, extracted, depths, pages, crawled_links, crawled_assets, classified, link_status,
