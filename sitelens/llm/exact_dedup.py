@@ -58,6 +58,7 @@ class DigestIndex:
         best = digests.groupBy("digest").agg(
             F.max(F.struct("n_points", (-F.col("doc_id")).alias("doc"), (-F.col("row_id")).alias("row"))).alias("best"),
             F.count(F.lit(1)).alias("group_size"))
+        best = common.stage(best, "candidates")     # else the optimizer joins all rows first and combines them later
         new = best.hint("merge").join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
         (new.select("digest", (-F.col("best.doc")).alias("keep_id"), (-F.col("best.row")).alias("keep_row"),
                     F.col("best.n_points").cast("long").alias("n_points"), "group_size")
