@@ -21,13 +21,14 @@ def _replay(spark, df, path, *keys, batches=3):
 
 
 @register("stream_claims", oracle="""
-SELECT DISTINCT CAST(user_id AS VARCHAR) AS site_id, event_type AS norm_url FROM events""")
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS site_id,
+       'http://site' || CAST(user_id AS VARCHAR) || '.example/' || event_type || '/' || CAST(event_id % 200 AS VARCHAR) AS norm_url
+FROM events""")
 def stream_claims(spark, sf_dir):
     """First claim per (site, canonical URL) over a replay of the request log."""
     root = T.scratch(spark, "claims")
-    ev = _replay(spark, FX.table(spark, sf_dir, "events"), f"{root}/incoming", "event_id")
-    log = ev.select(F.col("user_id").cast("string").alias("site_id"), F.col("event_type").alias("url"),
-                    F.col("ts").alias("fetched_at"))
+    log = _replay(spark, FX.request_log(spark, sf_dir).select(F.col("site_id").cast("string").alias("site_id"), "url", "fetched_at", "seq"),
+                  f"{root}/incoming", "seq")
     path = T.stream_claims(log, root)
     return T.read_epochs(spark, path).select("site_id", "norm_url")
 

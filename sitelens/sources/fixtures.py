@@ -87,7 +87,8 @@ FROM {events}
 """
 
 REQUEST_LOG_SQL = """
-SELECT event_id AS seq, user_id AS site_id, ts AS fetched_at, event_type AS url,
+SELECT event_id AS seq, user_id AS site_id, ts AS fetched_at,
+       'HTTP://Site' || CAST(user_id AS STRING) || '.Example:80/' || event_type || '/' || CAST(event_id % 200 AS STRING) || '/' AS url,
        CASE WHEN event_id % 3 = 0 THEN 'HEAD' ELSE 'GET' END AS method,
        CASE WHEN event_id % 50 = 0 THEN NULL ELSE 'AuditBot/1.0' END AS user_agent
 FROM {events}
