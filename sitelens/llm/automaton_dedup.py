@@ -14,6 +14,7 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -86,34 +87,20 @@ class SuffixAutomaton:
 
 
 def judge(segments: list[bytes], doc_ids: list[int]) -> list[np.ndarray]:
+    """For every window of every segment the first of ``doc_ids`` (ascending) whose segment has it."""
     automaton = SuffixAutomaton()
     ids: dict[bytes, int] = {}
     words = [[ids.setdefault(w, len(ids)) for w in s.split()] for s in segments]
     for w, doc in zip(words, doc_ids):
         automaton.add(w, doc)
-    out = []
-    for w, doc in zip(words, doc_ids):
-        firsts = automaton.matches(w, WINDOW)[WINDOW - 1:]
-        out.append(np.array([i for i, f in enumerate(firsts) if f is not None and f < doc], np.int64))
-    return out
-
-
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) >= 1 << 18:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
+    return [np.array(automaton.matches(w, WINDOW)[WINDOW - 1:], np.int64) for w in words]
 
-_HASH = _WordHash()
 
 UNITS = repeats.Units(
     window=WINDOW, gram=GRAM, same_document=False,
     tokens=lambda text: text.encode("utf-8").split(),
-    hashes=lambda words: np.fromiter(map(_HASH.__getitem__, words), np.uint64, len(words)),
-    cut=lambda words, a, b: b" ".join(words[a:b]))
+    hashes=lambda words: np.fromiter(map(zlib.crc32, words), np.uint64, len(words)),   # equal words have to agree, no more
+    cut=lambda words, a, b: b" ".join(words[a:b]), count=lambda part: part.count(b" ") + 1)
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary())])
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from sitelens.llm import common
 
 BLOCK_BYTES = 8 << 20      # of text in a block
-SHARD_BYTES = 4 << 20      # of text for each shard; what reaches a shard is of that order
+SHARD_BYTES = 1 << 19      # of text for each shard; what reaches a shard is of that order
 HOT = 4096                 # occurrences from which an anchor's windows are spread by their own hash
 CHUNK = 1 << 20            # windows of a document that are hashed at once
 NULL_ID = -(1 << 63)
@@ -45,13 +45,18 @@ MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB
 
 @dataclass(frozen=True)
 class Units:
-    """What a token is.  ``tokens``: text -> sequence; ``hashes``: sequence -> uint64 array; ``cut``: bytes of a part."""
+    """What a token is.  ``tokens``: text -> sequence; ``hashes``: sequence -> uint64 array; ``cut``: bytes of a part;
+    ``count``: tokens in the bytes of a part."""
     window: int
     gram: int
     same_document: bool           # does an earlier start in the same document count?
     tokens: Callable
     hashes: Callable
     cut: Callable
+    count: Callable
+
+    def windows(self, part: bytes) -> int:
+        return self.count(part) - self.window + 1
 
 
 def grams(h: np.ndarray, m: int) -> np.ndarray:
@@ -186,8 +191,8 @@ def send_segments(units: Units, shards: int, limit: int):
         first_at: dict[bytes, int] = {}
         local: list[tuple[int, int, int]] = []
         for k, ((doc_id, text_hash, _), x, (first, count, anchor)) in enumerate(zip(docs, tokens, found)):
-            for j in np.flatnonzero(_in(known, anchor)):
-                s, n, a = int(first[j]), int(count[j]), int(anchor[j])
+            again = _in(known, anchor)
+            for s, n, a in zip(first[again].tolist(), count[again].tolist(), anchor[again].tolist()):
                 piece = units.cut(x, s, s + n + units.window - 1)
                 before = first_at.get(piece)
                 if before is None:
@@ -217,25 +222,40 @@ def send_segments(units: Units, shards: int, limit: int):
 
 
 def judge_shard(units: Units, judge: Callable):
-    """``judge``: (segments as bytes, their doc_ids) in document order -> per segment, the windows to remove."""
+    """``judge``: (different segments as bytes, doc_ids of their first rows), in document order -> for each
+    an array; see ``Units.same_document``: the windows of the first row that occur earlier, or every window's
+    first doc_id.  Equal segments of several blocks are judged once."""
     def task(shard: pa.Table) -> pa.Table:
-        ranges: dict[int, list[np.ndarray]] = {}
+        ranges: dict[int, list[int]] = {}
         rows = []
-        for r in zip(*[c.to_pylist() for c in shard.columns[1:]]):
-            if r[5] is None:
-                ranges.setdefault(r[0], []).append(np.frombuffer(r[6], np.int64).reshape(-1, 3))
+        for block, doc_id, text_hash, nr, starts, segment, done in zip(*[c.to_pylist() for c in shard.columns[1:]]):
+            if segment is None:
+                ranges.setdefault(block, []).extend(np.frombuffer(done, np.int64).tolist())
             else:
-                rows.append((r[1], r[2], r[3], np.frombuffer(r[4], np.int64), r[5], r[0]))
+                rows.append((doc_id, text_hash, nr, np.frombuffer(starts, np.int64).tolist(), segment, block))
         rows.sort(key=lambda r: (r[0], r[1], r[2], r[3][0]))
-        for r, windows in zip(rows, judge([r[4] for r in rows], [r[0] for r in rows]) if rows else ()):
+        first: dict[bytes, tuple] = {}
+        for r in rows:
+            first.setdefault(r[4], r)
+        found = dict(zip(first, judge(list(first), [r[0] for r in first.values()]))) if first else {}
+        sizes = {x: units.windows(x) for x in first}
+        last = {} if units.same_document else {x: int(f.max()) for x, f in found.items()}
+        for r in rows:
+            doc_id, _, nr, starts, segment, block = r
+            out = ranges.setdefault(block, [])
+            if first[segment] is not r if units.same_document else doc_id > last[segment]:
+                for s in starts:                       # all its windows
+                    out += (nr, s, s + sizes[segment] + units.window - 1)
+                continue
+            windows = found[segment] if units.same_document else np.flatnonzero(found[segment] < doc_id)
             if len(windows):
                 cut = np.flatnonzero(np.diff(windows) > 1)
-                lo, hi = windows[np.r_[0, cut + 1]], windows[np.r_[cut, len(windows) - 1]] + units.window
-                for s in r[3]:
-                    ranges.setdefault(r[5], []).append(np.stack([np.full(len(lo), r[2]), s + lo, s + hi], 1))
+                for lo, hi in zip(windows[np.r_[0, cut + 1]].tolist(), windows[np.r_[cut, len(windows) - 1]].tolist()):
+                    for s in starts:
+                        out += (nr, s + lo, s + hi + units.window)
+        ranges = {k: v for k, v in ranges.items() if v}
         return pa.table([pa.array(list(ranges), pa.int32()),
-                         pa.array([np.concatenate(x).astype(np.int64).tobytes() for x in ranges.values()], pa.binary())],
-                        schema=RANGES)
+                         pa.array([np.array(x, np.int64).tobytes() for x in ranges.values()], pa.binary())], schema=RANGES)
     return task
 
 
