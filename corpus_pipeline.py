@@ -38,8 +38,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: the ids of every text."""
-    encoded = bpe.encode(docs, queries.ranks_path(), queries.split_pattern())
-    return bpe.token_lists(encoded).withColumn("n_tokens", F.size("token_ids").cast("long"))
+    encoded = bpe.encode(docs, queries.ranks_path(), queries.split_pattern(), lists=True)
+    return encoded.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
 STAGES = [("language_id", identify), ("exact_dedup", exact), ("simhash", near), ("decontaminate", clean), ("byte_bpe", encode)]

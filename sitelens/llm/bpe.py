@@ -27,7 +27,7 @@ from sitelens.llm import common
 
 LEAF = 16            # bytes of a leaf of the encoding tree
 FANOUT = 256         # children of a node of the decoding tree
-CACHED_PIECES = 300_000
+CACHED_PIECES = 150_000
 PIECES_AT_ONCE = 1 << 16
 TEXTS_AT_ONCE = 512
 NO_PAIR = np.uint64((1 << 64) - 1)
@@ -289,6 +289,7 @@ def worker_encoder(blob: bytes, pattern: str) -> Encoder:
 
 
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+TOKEN_LISTS = pa.schema([("doc_id", pa.int64()), ("token_ids", pa.list_(pa.int32()))])
 DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
 
@@ -298,9 +299,10 @@ def broadcast_ranks(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, lists: bool = False) -> DataFrame:
     """(doc_id, ids): each match of ``pattern`` in a whole text encoded on its own; ids as little-endian uint32.
 
+    With ``lists`` the second column is token_ids array<int> instead, for training jobs that read Parquet.
     The pattern must cover every character and, as the usual splitting patterns do, take a blank only
     as the first character of a match or inside a match that is all white space.
     """
@@ -310,9 +312,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         encoder = worker_encoder(blob.value, pattern)
         for ids, texts in common.arrow_rows(batches, ("doc_id", "text")):
             for k in range(0, len(texts), TEXTS_AT_ONCE):
-                yield common.record_batch(ENCODED, ids[k:k + TEXTS_AT_ONCE], encoder.batch(texts[k:k + TEXTS_AT_ONCE]))
+                packed = encoder.batch(texts[k:k + TEXTS_AT_ONCE])
+                if lists:
+                    ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
+                    values = np.frombuffer(b"".join(packed), "<i4")
+                    packed = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+                yield common.record_batch(TOKEN_LISTS if lists else ENCODED, ids[k:k + TEXTS_AT_ONCE], packed)
 
-    return common.id_text(docs).mapInArrow(task, "doc_id long, ids binary")
+    return common.id_text(docs).mapInArrow(task, "doc_id long, token_ids array<int>" if lists else "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -332,16 +339,3 @@ def digests(decoded: DataFrame) -> DataFrame:
     return decoded.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
-def token_lists(encoded: DataFrame) -> DataFrame:
-    """(doc_id, token_ids array<int>) for training jobs that read Parquet."""
-    schema = pa.schema([("doc_id", pa.int64()), ("token_ids", pa.list_(pa.int32()))])
-
-    def task(batches):
-        for ids, packed in common.arrow_rows(batches, ("doc_id", "ids")):
-            ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
-            values = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
-            yield common.record_batch(schema, ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(values)))
-
-    return encoded.select("doc_id", "ids").mapInArrow(task, "doc_id long, token_ids array<int>")

@@ -56,6 +56,6 @@ def test_odd_documents(spark, library):
         expected.append((doc_id, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
     key = lambda r: (r[0] is not None, r[0] or 0, r[1:])
     assert sorted(map(tuple, got), key=key) == sorted(expected, key=key)
-    lists = bpe.token_lists(bpe.encode(docs, queries.ranks_path(), public_tokenizers.PATTERN)).collect()
+    lists = bpe.encode(docs, queries.ranks_path(), public_tokenizers.PATTERN, lists=True).collect()
     assert sorted(len(r.token_ids) for r in lists) == sorted(e[1] for e in expected)
     assert bpe.encode(cases.no_docs(spark), queries.ranks_path(), public_tokenizers.PATTERN).collect() == []
