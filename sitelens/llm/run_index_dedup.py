@@ -25,10 +25,20 @@ from sitelens.llm import repeats
 
 WINDOW = 100
 GRAM = 32
-PACKED = 7     # symbols of 9 bits in the first sort key
 COMPARED = 1 << 16
 
 
+def _ascending(major: np.ndarray, minor: np.ndarray, bits: int) -> np.ndarray:
+    """Places in the order of (major, minor, place).  Three numbers that fit into 64 bits are sorted as one."""
+    place = np.arange(len(major))
+    if 3 * bits > 64:
+        return np.lexsort((place, minor, major))
+    b = np.uint64(bits)
+    packed = (major.astype(np.uint64) << b | minor.astype(np.uint64)) << b | place.astype(np.uint64)
+    packed.sort()
+    return (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
 def suffix_array(text: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Suffixes in order; ``left``: symbols up to the end of the position's string, its end mark included.
 
@@ -36,15 +46,19 @@ def suffix_array(text: np.ndarray, left: np.ndarray) -> np.ndarray:
     suffixes that are equal up to it are in the order of their strings.
     """
     n = len(text)
-    key = np.zeros(n, np.uint64)
-    padded = np.concatenate([text.astype(np.uint64), np.zeros(PACKED, np.uint64)])
-    for k in range(PACKED):
-        key = key << np.uint64(9) | np.where(left > k, padded[k:n + k], np.uint64(0))
-    order = np.argsort(key, kind="stable")
-    new = np.diff(key[order], prepend=~key[order[:1]]) != 0
+    bits = (n + 1).bit_length()
+    wide = [text.astype(np.int64)]
+    for k in (1, 2, 3):
+        wide.append(np.where(left[:n - k] > k, wide[0][k:], 0) if k < n else np.zeros(0, np.int64))
+        wide[k] = np.pad(wide[k], (0, n - len(wide[k])))
+    major, minor = wide[0] << 9 | wide[1], wide[2] << 9 | wide[3]
+    order = _ascending(major, minor, max(bits, 18))
+    key = (major << 18 | minor)[order]
+    new = np.ones(n, bool)
+    new[1:] = key[1:] != key[:-1]
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    size = PACKED
+    size = len(wide)
     row = np.arange(n)                         # rows whose suffixes may still be tied
     while True:
         tied = np.zeros(len(row), bool)
@@ -52,18 +66,15 @@ def suffix_array(text: np.ndarray, left: np.ndarray) -> np.ndarray:
         tied[:-1] |= tied[1:]
         row = row[tied]
         at = order[row]
-        if not len(row) or not (left[at] > size).any():
-            return order
-        follow = at + size
         more = left[at] > size
-        second = np.where(more, rank[np.minimum(follow, n - 1)] + 1, 0)
-        by = np.lexsort((at, second, rank[at]))
-        at, second = at[by], second[by]
+        if not more.any():
+            return order
+        first, second = rank[at], np.where(more, rank[np.minimum(at + size, n - 1)] + 1, 0)
+        by = _ascending(first, second, bits)
+        at, first, second = at[by], first[by], second[by]
         order[row] = at
-        first = rank[at]
         new[row[1:]] |= (second[1:] != second[:-1]) | (first[1:] != first[:-1])
-        start = np.where(new[row], row, -1)
-        rank[at] = np.maximum.accumulate(start)
+        rank[at] = np.maximum.accumulate(np.where(new[row], row, -1))
         size *= 2
 
 
@@ -144,6 +155,7 @@ class RunIndex:
 
 
 def judge(segments: list[bytes], doc_ids: list[int]) -> list[np.ndarray]:
+    """The windows of every segment that start earlier, too, in the order of the segments."""
     sizes = np.array([len(s) for s in segments])
     ends = np.cumsum(sizes + 1) - 1
     data = np.frombuffer(b"\0".join(segments) + b"\0", np.uint8)
@@ -162,7 +174,7 @@ UNITS = repeats.Units(
     window=WINDOW, gram=GRAM, same_document=True,
     tokens=lambda text: text.encode("utf-8"),
     hashes=lambda data: _TABLE[np.frombuffer(data, np.uint8)],
-    cut=lambda data, a, b: data[a:b])
+    cut=lambda data, a, b: data[a:b], count=len)
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                     ("kept", pa.binary())])
