@@ -11,7 +11,8 @@ brought together by content:
    block which of its anchors occur in other blocks, too, and which are hot.
 3. Consecutive windows with one anchor form a segment.  Segments whose anchor is repeated go to the
    shard of the anchor, one row for all equal segments of a block.  Segments of a hot anchor go as
-   single windows to the shards of the windows' own hashes, so no anchor fills one task.
+   single windows to the shards of the windows' own hashes, one row for all equal windows of a block,
+   so neither an anchor nor a window fills one task.
 4. A shard holds an index of its segments and reports the windows that occur earlier (``judge``).
 5. Blocks apply the reported ranges to their documents.
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +110,14 @@ def documents(block: pa.Table) -> list[tuple]:
     return sorted((NULL_ID if i is None else i, x, t) for i, x, t in rows)
 
 
+def runs(windows: np.ndarray) -> list[tuple[int, int]]:
+    """(first, last) of the runs of ascending numbers."""
+    if not len(windows):
+        return []
+    cut = np.flatnonzero(np.diff(windows) > 1)
+    return list(zip(windows[np.r_[0, cut + 1]].tolist(), windows[np.r_[cut, len(windows) - 1]].tolist()))
+
+
 def _in(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     if not len(sorted_values):
         return np.zeros(len(x), bool)
@@ -123,7 +133,7 @@ def _local_counts(found: list, units: Units) -> tuple[np.ndarray, np.ndarray]:
 ANCHORS = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("anchors", pa.binary()), ("counts", pa.binary())])
 REPEATED = pa.schema([("block", pa.int32()), ("anchors", pa.binary()), ("hot", pa.binary())])
 SEGMENTS = pa.schema([("shard", pa.int64()), ("block", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()),
-                      ("nr", pa.int32()), ("starts", pa.binary()), ("segment", pa.binary()), ("ranges", pa.binary())])
+                      ("places", pa.binary()), ("segment", pa.binary()), ("ranges", pa.binary())])
 RANGES = pa.schema([("block", pa.int32()), ("ranges", pa.binary())])
 
 
@@ -188,35 +198,47 @@ def send_segments(units: Units, shards: int, limit: int):
         own, counts = _local_counts(found, units)
         hot = np.union1d(hot, own[counts >= limit])     # if other blocks have one of them, it is hot there, too
         known = np.union1d(shared, own[counts > 1])
-        first_at: dict[bytes, int] = {}
+        first_at: dict[bytes, list] = {}
         local: list[tuple[int, int, int]] = []
-        for k, ((doc_id, text_hash, _), x, (first, count, anchor)) in enumerate(zip(docs, tokens, found)):
+
+        def place(found: dict, part: bytes, a: int | None, places: list, n: int) -> bool:
+            """Enter ``part`` at its places (in documents of one id); True, if an earlier document of this block decides them."""
+            before = found.get(part)
+            if before is None:
+                found[part] = [a, places, part, n]
+                return False
+            doc_id = docs[places[0][0]][0]
+            if units.same_document or docs[before[1][0][0]][0] < doc_id:
+                return True
+            if doc_id != NULL_ID:                      # nothing is smaller than that
+                before[1].extend(places)
+            return False
+
+        for k, (x, (first, count, anchor)) in enumerate(zip(tokens, found)):
             again = _in(known, anchor)
             for s, n, a in zip(first[again].tolist(), count[again].tolist(), anchor[again].tolist()):
-                piece = units.cut(x, s, s + n + units.window - 1)
-                before = first_at.get(piece)
-                if before is None:
-                    first_at[piece] = len(out)
-                    out.append([a, k, [s], piece, n])
-                elif units.same_document or docs[out[before][1]][0] < doc_id:
+                if place(first_at, units.cut(x, s, s + n + units.window - 1), a, [(k, s)], n):
                     local.append((k, s, s + n + units.window - 1))   # all its windows are earlier in this block
-                elif out[before][1] == k:
-                    out[before][2].append(s)
-                else:                                                # another row with the same id
-                    out.append([a, k, [s], piece, n])
-        rows = []
-        spread = _in(hot, np.array([r[0] for r in out], np.uint64))
-        for (a, k, starts, piece, n), wide in zip(out, spread):
+        sent = []
+        window_at: dict[bytes, list] = {}
+        spread = _in(hot, np.array([r[0] for r in first_at.values()], np.uint64))
+        for row, wide in zip(first_at.values(), spread):
             if not wide:
-                rows.append((a % shards, nr, docs[k][0], docs[k][1], k, np.array(starts, np.int64).tobytes(), piece, None))
+                sent.append(row)
                 continue
-            x, s = tokens[k], starts[0]
-            for i in range(n):
-                part = units.cut(x, s + i, s + i + units.window)
-                rows.append((xxhash.xxh64_intdigest(part) % shards, nr, docs[k][0], docs[k][1], k,
-                             np.array([t + i for t in starts], np.int64).tobytes(), part, None))
+            _, places, _, n = row
+            k, s = places[0]
+            done = [i for i in range(n) if place(window_at, units.cut(tokens[k], s + i, s + i + units.window), None,
+                                                 [(k, s + i) for k, s in places], 1)]
+            for lo, hi in runs(np.array(done, np.int64)):
+                local += [(k, s + lo, s + hi + units.window) for k, s in places]
+        rows = []
+        for a, places, part, _ in chain(sent, window_at.values()):
+            doc_id, text_hash, _ = docs[places[0][0]]
+            shard = (xxhash.xxh64_intdigest(part) if a is None else a) % shards
+            rows.append((shard, nr, doc_id, text_hash, np.array(places, np.int64).tobytes(), part, None))
         if local:
-            rows.append((nr % shards, nr, None, None, None, None, None, np.array(local, np.int64).tobytes()))
+            rows.append((nr % shards, nr, None, None, None, None, np.array(local, np.int64).tobytes()))
         return pa.table([list(c) for c in zip(*rows)] if rows else [[] for _ in SEGMENTS], schema=SEGMENTS)
     return task
 
@@ -228,31 +250,29 @@ def judge_shard(units: Units, judge: Callable):
     def task(shard: pa.Table) -> pa.Table:
         ranges: dict[int, list[int]] = {}
         rows = []
-        for block, doc_id, text_hash, nr, starts, segment, done in zip(*[c.to_pylist() for c in shard.columns[1:]]):
+        for block, doc_id, text_hash, places, segment, done in zip(*[c.to_pylist() for c in shard.columns[1:]]):
             if segment is None:
                 ranges.setdefault(block, []).extend(np.frombuffer(done, np.int64).tolist())
             else:
-                rows.append((doc_id, text_hash, nr, np.frombuffer(starts, np.int64).tolist(), segment, block))
-        rows.sort(key=lambda r: (r[0], r[1], r[2], r[3][0]))
+                rows.append((doc_id, text_hash, np.frombuffer(places, np.int64).reshape(-1, 2).tolist(), segment, block))
+        rows.sort(key=lambda r: (r[0], r[1], r[2][0]))
         first: dict[bytes, tuple] = {}
         for r in rows:
-            first.setdefault(r[4], r)
+            first.setdefault(r[3], r)
         found = dict(zip(first, judge(list(first), [r[0] for r in first.values()]))) if first else {}
         sizes = {x: units.windows(x) for x in first}
         last = {} if units.same_document else {x: int(f.max()) for x, f in found.items()}
         for r in rows:
-            doc_id, _, nr, starts, segment, block = r
+            doc_id, _, places, segment, block = r
             out = ranges.setdefault(block, [])
             if first[segment] is not r if units.same_document else doc_id > last[segment]:
-                for s in starts:                       # all its windows
+                for nr, s in places:                   # all its windows
                     out += (nr, s, s + sizes[segment] + units.window - 1)
                 continue
             windows = found[segment] if units.same_document else np.flatnonzero(found[segment] < doc_id)
-            if len(windows):
-                cut = np.flatnonzero(np.diff(windows) > 1)
-                for lo, hi in zip(windows[np.r_[0, cut + 1]].tolist(), windows[np.r_[cut, len(windows) - 1]].tolist()):
-                    for s in starts:
-                        out += (nr, s + lo, s + hi + units.window)
+            for lo, hi in runs(windows):
+                for nr, s in places:
+                    out += (nr, s + lo, s + hi + units.window)
         ranges = {k: v for k, v in ranges.items() if v}
         return pa.table([pa.array(list(ranges), pa.int32()),
                          pa.array([np.array(x, np.int64).tobytes() for x in ranges.values()], pa.binary())], schema=RANGES)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sitelens.llm import automaton_dedup, repeats, run_index_dedup
@@ -137,3 +138,26 @@ def test_segments_cover_every_window_once_and_chunks_do_not_matter(monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK", 333)
     parts = repeats.segments(h, automaton_dedup.UNITS)
     assert (np.repeat(whole[2], whole[1]) == np.repeat(parts[2], parts[1])).all()
+
+
+@pytest.mark.parametrize("module", [run_index_dedup, automaton_dedup])
+def test_a_block_sends_a_hot_window_once(module):
+    """A passage between different contexts: no two segments at its edges are equal, but its windows are."""
+    passage = cases.prose(7, 80)
+    texts = [f"{cases.prose(100 + k, 30)} {passage} {cases.prose(300 + k, 30)}" for k in range(40)]
+    block = pa.table({"block": [0] * 40, "doc_id": list(range(40)), "text_hash": list(range(40)), "text": texts})
+    sent = repeats.send_segments(module.UNITS, 8, 3)(block, repeats.REPEATED.empty_table())
+    parts = [p for p in sent.column("segment").to_pylist() if p is not None]
+    units, x = module.UNITS, module.UNITS.tokens(passage)
+    windows = {units.cut(x, s, s + units.window) for s in range(len(x) - units.window + 1)}
+    assert len(parts) == len(set(parts)) and windows <= set(parts)
+
+
+@pytest.mark.parametrize("hot", [repeats.HOT, 3])
+def test_hot_windows_of_rows_with_one_id_or_none(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    passage = cases.prose(8, 60)
+    rows = [(i, f"{cases.prose(500 + k, 20)} {passage} {cases.prose(700 + k, 20)} {passage}")
+            for k, i in enumerate([None] * 6 + [1, 1, 1, 2, 3, 3, 4, 5, 5, 5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sort_rows(automaton_dedup.remove_repeated_words(docs).collect()) == sort_rows(brute_words(rows))
