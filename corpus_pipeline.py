@@ -37,7 +37,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: the ids of every text."""
+    """Operator 10: the ids of every text, and the digest of the bytes that they decode to."""
     encoded = bpe.encode(docs, queries.ranks_path(), queries.split_pattern(), lists=True)
     return encoded.withColumn("n_tokens", F.size("token_ids").cast("long"))
 

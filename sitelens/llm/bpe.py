@@ -13,10 +13,11 @@ own; ids that no rank has raise an error in ``decode``; other columns of the inp
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from array import array
 from functools import cached_property, lru_cache
-from itertools import chain, islice
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -289,7 +290,7 @@ def worker_encoder(blob: bytes, pattern: str) -> Encoder:
 
 
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
-TOKEN_LISTS = pa.schema([("doc_id", pa.int64()), ("token_ids", pa.list_(pa.int32()))])
+TOKEN_LISTS = pa.schema([("doc_id", pa.int64()), ("token_ids", pa.list_(pa.int32())), ("decoded_sha256", pa.string())])
 DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
 
@@ -299,10 +300,16 @@ def broadcast_ranks(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
+def decoded_digests(bpe: TreeBpe, values: np.ndarray, ends: np.ndarray) -> list[str]:
+    """SHA-256 of the decoded bytes of each list of ids; lists lie in ``values`` from one of ``ends`` to the next."""
+    return [hashlib.sha256(bpe.decode(values[a:b].tolist())).hexdigest() for a, b in pairwise(ends)]
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, lists: bool = False) -> DataFrame:
     """(doc_id, ids): each match of ``pattern`` in a whole text encoded on its own; ids as little-endian uint32.
 
-    With ``lists`` the second column is token_ids array<int> instead, for training jobs that read Parquet.
+    With ``lists`` the second column is token_ids array<int> instead, for training jobs that read Parquet,
+    and a third, decoded_sha256, is the digest of the bytes that ``decode`` makes of those ids.
     The pattern must cover every character and, as the usual splitting patterns do, take a blank only
     as the first character of a match or inside a match that is all white space.
     """
@@ -313,13 +320,17 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, lists: bool = False)
         for ids, texts in common.arrow_rows(batches, ("doc_id", "text")):
             for k in range(0, len(texts), TEXTS_AT_ONCE):
                 packed = encoder.batch(texts[k:k + TEXTS_AT_ONCE])
-                if lists:
+                if not lists:
+                    yield common.record_batch(ENCODED, ids[k:k + TEXTS_AT_ONCE], packed)
+                else:
                     ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
                     values = np.frombuffer(b"".join(packed), "<i4")
-                    packed = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-                yield common.record_batch(TOKEN_LISTS if lists else ENCODED, ids[k:k + TEXTS_AT_ONCE], packed)
+                    yield common.record_batch(TOKEN_LISTS, ids[k:k + TEXTS_AT_ONCE],
+                                              pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
+                                              decoded_digests(encoder.bpe, values, ends))
 
-    return common.id_text(docs).mapInArrow(task, "doc_id long, token_ids array<int>" if lists else "doc_id long, ids binary")
+    ddl = "doc_id long, token_ids array<int>, decoded_sha256 string" if lists else "doc_id long, ids binary"
+    return common.id_text(docs).mapInArrow(task, ddl)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """The pipeline's stages against brute force, each on its own input."""
 
+import hashlib
 import re
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
@@ -62,3 +64,18 @@ def test_empty_documents_pass_all_stages(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = common.stage(stage(spark, docs, SF), name)
     assert docs.count() == 0
+
+
+def test_last_stage_decodes_its_ids(spark):
+    """The digest is of the ids' own bytes: the text's for a right encoding, another one for a lossy encoding."""
+    def digest(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    docs = cases.odd_docs(spark).where("doc_id is not null")
+    rows = corpus_pipeline.encode(spark, docs, SF).collect()
+    assert {r.doc_id: r.decoded_sha256 for r in rows} == {i: digest(t or "") for i, t, *_ in cases.odd_rows() if i is not None}
+    with open(queries.ranks_path(), "rb") as f:
+        encoder = bpe.Encoder(f.read(), queries.split_pattern())
+    values = np.frombuffer(encoder.batch(["one two three"])[0], "<i4")
+    assert bpe.decoded_digests(encoder.bpe, values, np.array([0, len(values)])) == [digest("one two three")]
+    assert bpe.decoded_digests(encoder.bpe, values, np.array([0, len(values) - 1])) != [digest("one two three")]
