@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import (automaton_dedup, bpe, common, decontaminate, exact_dedup, language_id, run_index_dedup, secrets,
-                          simhash, toxicity, url_filter)
+from sitelens.llm import (automaton_dedup, bpe, common, decontaminate, exact_dedup, language_id, prefix_trie, run_index_dedup,
+                          secrets, simhash, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,34 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removal of repeated 13-word windows from all documents by suffix automata."""
     out = automaton_dedup.remove_repeated_words(common.table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: crc32 of a short ASCII text, bit by bit.
+CRC32_SQL = """xor(list_reduce(list_concat([4294967295], list_transform(string_split({0}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], CAST(range(8) AS BIGINT[])),
+                          lambda v, k: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+
+@query("op11_prefix_trie", f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+     c AS (SELECT conv_id, list({{'k': sha256(length(role) || ':' || role || text), 'n': length(text)}}
+                                ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS own FROM t GROUP BY conv_id),
+     h AS (SELECT *, {CRC32_SQL.format('CAST(conv_id AS VARCHAR)')} % 6 AS h FROM c),
+     r AS (SELECT h.conv_id, list_concat(coalesce(b.own, [])[1:h.h], h.own[h.h + 1:]) AS path
+           FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 100),
+     p AS (SELECT conv_id, len(path) AS last, d, array_to_string(list_transform(path[1:d], lambda x: x.k), ',') AS node,
+                  array_to_string(list_transform(path[1:d - 1], lambda x: x.k), ',') AS above, coalesce(path[d].n, 0) AS n
+           FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM r) u),
+     m AS (SELECT d, node, any_value(above) AS above, any_value(n) AS n, min(conv_id) AS conv_id, count(*) AS n_convs,
+                  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last = d), '')) AS ends_sha256
+           FROM p GROUP BY d, node),
+     k AS (SELECT m.*, a.conv_id AS parent_conv_id, (SELECT count(*) FROM m b WHERE b.d = m.d + 1 AND b.above = m.node) AS n_children
+           FROM m LEFT JOIN m a ON a.d = m.d - 1 AND a.node = m.above),
+     s AS (SELECT a.d, a.node, sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((b.n_convs - 1) * b.n) AS saved_tokens
+           FROM k a JOIN k b ON b.d >= a.d AND (a.d = 0 OR starts_with(b.node, a.node)) GROUP BY a.d, a.node)
+SELECT conv_id, k.d AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM k JOIN s ON s.d = k.d AND s.node = k.node""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.report(common.table(spark, sf_dir, "conversations"))
