@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.llm import (automaton_dedup, bpe, common, decontaminate, exact_dedup, language_id, prefix_trie, run_index_dedup,
-                          secrets, simhash, toxicity, url_filter)
+                          secrets, simhash, spelling_variants, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,8 +120,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-#: crc32 of a short ASCII text, bit by bit.
-CRC32_SQL = """xor(list_reduce(list_concat([4294967295], list_transform(string_split({0}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+#: crc32 of a short text of characters below 256, bit by bit.
+CRC32_SQL = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split({0}, ''), lambda ch:
+                      CASE WHEN unicode(ch) < 128 THEN [CAST(unicode(ch) AS BIGINT)]
+                           ELSE [192 + unicode(ch) // 64, CAST(128 + unicode(ch) % 64 AS BIGINT)] END))),
     lambda a, b: list_reduce(list_concat([xor(a, b)], CAST(range(8) AS BIGINT[])),
                           lambda v, k: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
 
@@ -149,3 +151,28 @@ FROM k JOIN s ON s.d = k.d AND s.node = k.node""")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of all rebuilt conversations."""
     return prefix_trie.report(common.table(spark, sf_dir, "conversations"))
+
+
+@query("op12_spelling_variants", f"""
+WITH RECURSIVE r AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+                                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+     u AS (SELECT doc_id, run, count(*) AS k FROM r WHERE length(run) >= 5 GROUP BY doc_id, run),
+     h AS (SELECT run, k, {CRC32_SQL.format("doc_id || ':' || run")} AS h FROM u),
+     w AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+                       ELSE run END AS word, k FROM h),
+     v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+     x AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+     d AS (SELECT DISTINCT word, n, left(word, i - 1) || substr(word, i + 1) AS short FROM x),
+     g AS (SELECT word, n, i, left(word, i - 1) || chr(1) || substr(word, i + 1) AS gap FROM x),
+     p AS (SELECT d.word, v.word AS near, v.n AS near_n FROM d JOIN v ON v.word = d.short
+           UNION ALL SELECT v.word, d.word, d.n FROM d JOIN v ON v.word = d.short
+           UNION ALL SELECT a.word, b.word, b.n FROM g a JOIN g b ON a.gap = b.gap AND a.word <> b.word),
+     b AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, encode(near)) AS near, max(near_n) AS near_n FROM p GROUP BY word),
+     f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * v.n THEN near END AS form,
+                  CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n FROM v LEFT JOIN b ON b.word = v.word),
+     c AS (SELECT word, word AS at, form AS next FROM f
+           UNION ALL SELECT c.word, c.next, f.form FROM c JOIN f ON f.word = c.next)
+SELECT f.word, form, c.at AS root, n, n_near, form_n FROM f JOIN c ON c.word = f.word AND c.next IS NULL""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of the words of all documents."""
+    return spelling_variants.report(common.table(spark, sf_dir, "documents"))
