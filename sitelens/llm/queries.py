@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.llm import (automaton_dedup, bpe, common, decontaminate, exact_dedup, language_id, prefix_trie, run_index_dedup,
-                          secrets, simhash, spelling_variants, toxicity, url_filter)
+                          secrets, sentence_pieces, simhash, spelling_variants, toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -176,3 +176,11 @@ SELECT f.word, form, c.at AS root, n, n_near, form_n FROM f JOIN c ON c.word = f
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants of the words of all documents."""
     return spelling_variants.report(common.table(spark, sf_dir, "documents"))
+
+
+@query("op13_sentence_pieces")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of all documents and the decoded texts, as digests."""
+    model = ranks_path("piece_bpe_32k.model")
+    encoded = sentence_pieces.encode(common.table(spark, sf_dir, "documents"), model)
+    return sentence_pieces.digests(encoded, model)
