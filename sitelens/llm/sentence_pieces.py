@@ -17,12 +17,13 @@ from __future__ import annotations
 import heapq
 import re
 import struct
-from bisect import bisect_right
+from collections import Counter
 from functools import lru_cache
 from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,26 +172,27 @@ class Normalizer:
 class PairTable:
     """All pairs of symbols that merge, in an open hash table, so that many short strings are merged at once.
 
-    A symbol is a piece's id; a character that is no piece is the number of pieces plus its code point.
+    Symbols are numbered by score, best first, so that the least number of a row's merged pairs is its best one; a
+    character that is no piece comes behind them, as the number of pieces plus its code point.  Scores must differ (``_scores_differ``).
     """
 
     def __init__(self, pieces: list[str], ids: dict[str, int], cost: dict[str, float]):
-        n = len(pieces)
-        self.symbol = np.arange(n, n + 0x110000, dtype=np.int64)
-        for p, i in ids.items():
+        n = self.size = len(ids)
+        best = sorted(ids, key=cost.__getitem__)
+        number = {p: k for k, p in enumerate(best)}
+        self.ids = np.array([ids[p] for p in best], "<i4")
+        self.sizes = np.array([min(65535, len(p.encode()) - 2 * p.count(SPACE)) for p in best], "<u2")
+        self.symbol = np.arange(n, n + 0x110000, dtype=np.int32)
+        for p, k in number.items():
             if len(p) == 1:
-                self.symbol[ord(p)] = i
-        of = lambda p: ids.get(p, n + ord(p) if len(p) == 1 else None)
-        pairs = {(a << 32 | b): i for p, i in ids.items() for k in range(1, len(p))
-                 if (a := of(p[:k])) is not None and (b := of(p[k:])) is not None}
-        order = {c: k for k, c in enumerate(sorted(set(cost.values())))}
-        self.none = len(order)
-        self.rank = np.full(n + 1, self.none, np.int64)
-        self.rank[list(ids.values())] = [order[cost[p]] for p in ids]
-        self.sizes = np.array([min(65535, len(p.encode()) - 2 * p.count(SPACE)) for p in pieces] + [0], "<u2")
+                self.symbol[ord(p)] = k
+        self.none = np.int32(n + 0x110000)
+        of = lambda p: number.get(p, n + ord(p) if len(p) == 1 else None)
+        pairs = {(a << 32 | b): k for p, k in number.items() for j in range(1, len(p))
+                 if (a := of(p[:j])) is not None and (b := of(p[j:])) is not None}
         self.bits = max(4, (4 * len(pairs)).bit_length())
-        self.keys, self.merged = np.full(1 << self.bits, EMPTY), np.full(1 << self.bits, n, np.int64)
-        key, value = np.array(list(pairs), np.uint64), np.array(list(pairs.values()), np.int64)
+        self.keys, self.merged = np.full(1 << self.bits, EMPTY), np.full(1 << self.bits, self.none, np.int32)
+        key, value = np.array(list(pairs), np.uint64), np.array(list(pairs.values()), np.int32)
         slot, todo = self._slot(key), np.arange(len(key))
         while len(todo):
             free = todo[self.keys[slot[todo]] == EMPTY]
@@ -202,51 +204,52 @@ class PairTable:
         return (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """What two symbols merge to; the number of pieces where they don't."""
+        """What two symbols merge to, or ``none``."""
         key = a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
         slot = self._slot(key)
-        while True:
-            found = self.keys[slot]
-            on = (found != key) & (found != EMPTY)
-            if not on.any():
-                return np.where(found == key, self.merged[slot], len(self.rank) - 1)
-            slot = np.where(on, (slot + 1) & ((1 << self.bits) - 1), slot)
+        found = self.keys[slot]
+        out = np.where(found == key, self.merged[slot], self.none)
+        todo = np.flatnonzero((found != key) & (found != EMPTY))
+        while len(todo):
+            slot[todo] = at = (slot[todo] + 1) & ((1 << self.bits) - 1)
+            found = self.keys[at]
+            hit = found == key[todo]
+            out[todo[hit]] = self.merged[at[hit]]
+            todo = todo[~hit & (found != EMPTY)]
+        return out
 
     def merge_many(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all strings behind each other, and how many each has; every round merges one pair of every string.
 
-        A blank counts as the mark that normalisation makes of it.
+        A blank counts as the mark that normalisation makes of it.  Each round makes the rows one symbol shorter.
         """
         n, width = len(strings), max(map(len, strings))
-        count = np.fromiter(map(len, strings), np.int64, n)
+        left = np.fromiter(map(len, strings), np.int64, n)
         codes = np.frombuffer("".join([x.ljust(width) for x in strings]).replace(" ", SPACE).encode("utf-32-le"), "<u4").reshape(n, width)
         ids = self.symbol[codes]
-        none = len(self.rank) - 1
-        merged = np.full((n, width), none)
-        merged[:, :-1] = self.pair(ids[:, :-1], ids[:, 1:])
         columns = np.arange(width)
-        merged[columns >= count[:, None] - 1] = none
-        done, rows = ids.copy(), np.arange(n)
-        left = count.copy()
+        merged = np.full((n, width), self.none)
+        merged[:, :-1] = self.pair(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, width - 1)
+        merged[columns >= left[:, None] - 1] = self.none
+        done, rows, count = ids.copy(), np.arange(n), left.copy()
         while len(rows):
-            rank = self.rank[merged]
-            at = rank.argmin(1)
-            line = np.arange(len(rows))
-            going = rank[line, at] < self.none
-            stay = rows[~going]
-            done[stay], left[stay] = ids[~going], count[~going]
-            rows, ids, merged, at, count = rows[going], ids[going], merged[going], at[going], count[going] - 1
-            if not len(rows):
-                break
-            line = np.arange(len(rows))
+            line, at = np.arange(len(rows)), merged.argmin(1)
             whole = merged[line, at]
-            shift = np.minimum(columns + (columns > at[:, None]), width - 1)
-            ids, merged = np.take_along_axis(ids, shift, 1), np.take_along_axis(merged, shift, 1)
+            going = whole < self.none
+            if not going.all():
+                stay = rows[~going]
+                done[stay, :ids.shape[1]], left[stay] = ids[~going], count[~going]
+                rows, ids, merged, at, count, whole = rows[going], ids[going], merged[going], at[going], count[going], whole[going]
+                if not len(rows):
+                    break
+                line = np.arange(len(rows))
+            width = ids.shape[1] - 1
+            kept = columns[:width + 1] != at[:, None] + 1
+            ids, merged, count = ids[kept].reshape(-1, width), merged[kept].reshape(-1, width), count - 1
             ids[line, at] = whole
-            after = np.minimum(at + 1, width - 1)
-            merged[line, at] = np.where(at + 1 < count, self.pair(whole, ids[line, after]), none)
-            some = at > 0
-            merged[line[some], at[some] - 1] = self.pair(ids[line[some], at[some] - 1], whole[some])
+            merged[line, at] = np.where(at + 1 < count, self.pair(whole, ids[line, np.minimum(at + 1, width - 1)]), self.none)
+            some = np.flatnonzero(at)
+            merged[some, at[some] - 1] = self.pair(ids[some, at[some] - 1], whole[some])
         return done[columns < left[:, None]], left
 
 
@@ -283,11 +286,20 @@ class Model:
                         else p.replace(SPACE, " ").encode() for p, k in zip(self.pieces, self.kinds)]
         self.raw = {i for i, k in enumerate(self.kinds) if k == BYTE}
         self.control = {i for i, k in enumerate(self.kinds) if k == CONTROL}
-        self.quick = self.normalizer.plain and self.by_spaces and self.fallback and UNUSED not in self.kinds
+        self.is_control = np.array(self.kinds) == CONTROL
+        self.quick = self.normalizer.plain and self.by_spaces and self.fallback and UNUSED not in self.kinds \
+            and self._scores_differ()
         self.table = PairTable(self.pieces, self.ids, self.cost)
         self.cache: dict[str, tuple[bytes, bytes]] = {}
         self.cached = 0
 
+    def _scores_differ(self) -> bool:
+        """Of all pieces that a merge can make, but for runs of blanks, which ``learn`` leaves to ``merge``."""
+        made = [c for p, c in self.cost.items() if len(p) > 1]
+        runs = {c for p, c in self.cost.items() if len(p) > 1 and not p.strip(SPACE)}
+        return all(n == 1 or c in runs for c, n in Counter(made).items()) and \
+            runs.isdisjoint(c for p, c in self.cost.items() if len(p) > 1 and p.strip(SPACE))
+
     # -------------------------------------------------------------- encoding
 
     def merge(self, segment: str) -> list[str]:
@@ -365,32 +377,33 @@ class Model:
         if self.cached > CACHE_BYTES:
             self.cache.clear()
             self.cached = 0
-        new = sorted(segments.difference(self.cache), key=len)
-        short = bisect_right(new, SHORT, key=len)
-        for k in range(0, short, MERGED_AT_ONCE):
-            self._learn_short(new[k:min(short, k + MERGED_AT_ONCE)])
-        for segment in new[short:]:
+        new = segments.difference(self.cache)
+        short = sorted([s for s in new if len(s) <= SHORT and "  " not in s], key=len)
+        for k in range(0, len(short), MERGED_AT_ONCE):
+            self._learn_short(short[k:k + MERGED_AT_ONCE])
+        for segment in new.difference(short):
             ids, sizes = self.encode_normalized(segment.replace(" ", SPACE))
             sizes = [s - 2 * self.pieces[i].count(SPACE) for s, i in zip(sizes, ids)]
             self._keep(segment, np.array(ids, "<i4").tobytes(), np.array(sizes, "<u2").tobytes())
 
     def _learn_short(self, segments: list[str]) -> None:
-        ids, counts = self.table.merge_many(segments)
+        table = self.table
+        found, counts = table.merge_many(segments)
         ends = counts.cumsum()
-        others = set(np.searchsorted(ends, np.flatnonzero(ids >= len(self.pieces)), side="right").tolist())
-        sizes = self.table.sizes[np.minimum(ids, len(self.pieces))]
-        packed_ids, packed_sizes = ids.astype("<i4").tobytes(), sizes.tobytes()
+        odd = set(np.searchsorted(ends, np.flatnonzero(found >= table.size), side="right").tolist())
+        known = np.minimum(found, table.size - 1)
+        ids, sizes = table.ids[known].tobytes(), table.sizes[known].tobytes()
         begin = 0
         for k, (segment, end) in enumerate(zip(segments, ends.tolist())):
-            if k in others:
+            if k in odd:
                 numbers, widths = [], []
-                for i, size in zip(ids[begin:end].tolist(), sizes[begin:end].tolist()):
-                    i, size = ([i], [size]) if i < len(self.pieces) else self._numbers(chr(i - len(self.pieces)))
+                for symbol in found[begin:end].tolist():
+                    i, size = ([int(table.ids[symbol])], [int(table.sizes[symbol])]) if symbol < table.size else self._numbers(chr(symbol - table.size))
                     numbers += i
                     widths += size
                 self._keep(segment, np.array(numbers, "<i4").tobytes(), np.array(widths, "<u2").tobytes())
             else:
-                self._keep(segment, packed_ids[4 * begin:4 * end], packed_sizes[2 * begin:2 * end])
+                self._keep(segment, ids[4 * begin:4 * end], sizes[2 * begin:2 * end])
             begin = end
 
     def _joined(self, segments: list[str]) -> tuple[bytes, bytes]:
@@ -429,9 +442,12 @@ class Model:
 
     # -------------------------------------------------------------- decoding
 
-    def decode(self, ids: list[int]) -> str:
-        if min(ids, default=0) < 0:
+    def decode(self, ids) -> str:
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and ids.min() < 0:
             raise IndexError("ids are not negative")
+        plain = not self.is_control[ids].any()
+        ids = ids.tolist()
         parts = list(map(self.surface.__getitem__, ids))
         seen = False
         for k, i in enumerate(ids):          # the first piece loses the blank that encoding put before the text
@@ -442,7 +458,7 @@ class Model:
                 seen = not self.normalizer.remove_extra
             if seen or parts[k]:
                 break
-        if not self.control.isdisjoint(ids):
+        if not plain:
             return self._decode_runs(ids, parts)
         try:
             return b"".join(parts).decode()
@@ -527,8 +543,9 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
             ids = batch.column("ids")
             for k in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 some = ids.slice(k, TEXTS_AT_ONCE)
+                values, lengths = some.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(some).fill_null(0).to_numpy()
                 yield common.record_batch(DECODED, batch.column("doc_id").slice(k, TEXTS_AT_ONCE), some,
-                                          [model.decode(x or []) for x in some.to_pylist()])
+                                          list(map(model.decode, np.split(values, lengths.cumsum()[:-1]))))
 
     return encoded.select("doc_id", "ids").mapInArrow(task, "doc_id long, ids array<int>, decoded string")
 
