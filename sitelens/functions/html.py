@@ -1,8 +1,8 @@
 """HTML text -> structured values, as built-in Column expressions.
 
-One regex pass removes comments and raw-text element bodies, a second pass lists the start tags
-that matter (``a img image script link meta``) in document order, and every later step works on
-those short tag strings with array higher-order functions.  Entity decoding uses the HTML5 named
+One regex pass over a body is the lexer: it reads over comments and raw text and lists the start tags
+that matter (``a img image script link meta``), titles and h1 in document order; every later step works
+on those short strings with array higher-order functions.  Entity decoding uses the HTML5 named
 character references shipped with Python's standard library (``html.entities.html5``) as a map
 literal, and numeric references through a UTF-32 round trip -- no Python worker is involved.
 """
@@ -36,16 +36,24 @@ HTML_MEDIA_TYPE = "text/html"
 _ATTRS = r"""(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s>]*+))*+"""
 _NAME_END = r"(?=[\s/>]|\z)"
 _END = r"(?:>|\z)"
-_RAW = "|".join(RAW_TEXT_TAGS)
-# groups: 1 '<!--' | 2 '-->' or '' | 3 raw-text start tag | 4 its name | 5 whole title element
-STRIP_RE = (rf"(?is)(<!--).*?(-->|\z)|(<({_RAW}){_NAME_END}{_ATTRS}{_END}).*?(?:</\4\s*>|\z)"
-            rf"|(<title{_NAME_END}{_ATTRS}{_END}.*?(?:</title\s*>|\z))")
-STRIP_REPL = "$1$2$3$5"
-_TARGET = "|".join(TARGET_TAGS)
-TAG_RE = (rf"(?is)<title{_NAME_END}{_ATTRS}{_END}.*?(?:</title\s*>|\z)"
-          rf"|(<(?:{_TARGET})(?=[\s/>]){_ATTRS}>)|<[a-z][^\s/>]*{_ATTRS}{_END}")
-TITLE_RE = rf"(?is)<title{_NAME_END}{_ATTRS}(?:>(.*?)(?:</title\s*>|\z)|\z)"
-H1_WITH_CHILD_RE = rf"(?is)<h1(?=[\s/>]){_ATTRS}(?:(>)(?!</h[1-6]\s*>|<h[1-6][\s/>]|\z)|\z)"
+_RAW = "|".join(t for t in RAW_TEXT_TAGS if t != "script")
+_TARGET = "|".join(t for t in TARGET_TAGS if t != "script")
+# One lexer for a whole body: comments, bogus comments and raw text are read over, and group 2 is what counts: a title
+# with its text, a start tag of interest, an h1 with a child, and the marks that ``effective_tokens`` needs.  Group 3 is
+# an empty match that only a script sets, so that its text is read over behind the group.  Ends of raw text are left
+# for the next match, which reads them as end tags with whatever they carry.
+TOKEN_RE = (rf"(?is)<!--(?:-?>|.*?(?:--!?>|\z))"
+            rf"|<(?:[?!]|/(?![a-z]))[^>]*(?:>|\z)"
+            rf"|<plaintext{_NAME_END}.*"
+            rf"|<({_RAW}){_NAME_END}{_ATTRS}{_END}.*?(?:(?=</\1{_NAME_END})|\z)"
+            rf"|(<title{_NAME_END}{_ATTRS}{_END}.*?(?:(?=</title{_NAME_END})|\z)"
+            rf"|<script(?=[\s/>])(){_ATTRS}>"
+            rf"|<h1(?=[\s/>]){_ATTRS}>(?!</h[1-6]\s*>|<h[1-6][\s/>]|\z)"
+            rf"|<(?:{_TARGET}|input|keygen)(?=[\s/>]){_ATTRS}>"
+            rf"|</?(?:select|svg|math)(?=[\s/>]){_ATTRS}>)(?:\3.*?(?:(?=</script{_NAME_END})|\z)|(?!\3))"
+            rf"|</?[a-z][^\s/>]*{_ATTRS}{_END}")
+TITLE_RE = rf"(?is)^<title{_NAME_END}{_ATTRS}(?:>(.*)|\z)"
+MARK_RE = r"(?i)^</?(?:select|svg|math)(?=[\s/>])"
 ATTR_RE = r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?"""
 _WS_TRIM_RE = r"^\p{IsWhite_Space}+|\p{IsWhite_Space}+$"
 
@@ -139,17 +147,43 @@ def clean_text(c: Column) -> Column:
     return html_unescape(trim_space(c))
 
 
-def strip_markup(body: Column) -> Column:
-    """Remove comment text and raw-text element bodies in one pass (titles kept whole)."""
-    return F.regexp_replace(body, F.lit(STRIP_RE), F.lit(STRIP_REPL))
+def tokens(body: Column) -> Column:
+    """The lexer: ARRAY<STRING> of the titles, start tags and marks of a body in document order, in one pass."""
+    return F.filter(F.regexp_extract_all(body, _lit(TOKEN_RE), 2), lambda x: x != "")
 
 
-def start_tags(stripped: Column) -> Column:
-    """ARRAY<STRUCT<name, keys ARRAY<STRING>, vals ARRAY<STRING>>> of the relevant start tags."""
-    raw = F.filter(F.regexp_extract_all(stripped, _lit(TAG_RE), 1), lambda x: x != "")
+def token_name(token: Column) -> Column:
+    return F.lower(F.regexp_extract(token, r"^</?([^\s/>]+)", 1))
+
+
+def effective_tokens(found: Column) -> Column:
+    """The tokens whose elements a tree builder makes: in a ``select`` only scripts, and no ``image`` in ``svg`` or ``math``.
+
+    A fold over the tokens with two states; bodies without such elements, nearly all, go through as they are.
+    ``img``, ``meta`` and ``h1`` end foreign content, ``input``, ``keygen`` and another ``select`` end a ``select``.
+    """
+    start = F.struct(F.lit(False).alias("inside"), F.lit(0).alias("foreign"), F.array().cast("array<string>").alias("kept"))
+
+    def step(state, t):
+        name, ends = token_name(t), t.startswith("</")
+        inside, foreign = state["inside"], state["foreign"]
+        is_foreign = name.isin("svg", "math")
+        dropped = is_foreign | name.isin("select", "input", "keygen") | (inside & (name != "script")) | ((foreign > 0) & (name == "image"))
+        return F.struct(
+            F.when(name == "select", ~ends & ~inside).when(name.isin("input", "keygen"), _lit(False)).otherwise(inside).alias("inside"),
+            F.when(inside, foreign).when(is_foreign & ends, F.greatest(foreign - 1, F.lit(0)))
+            .when(is_foreign & ~t.rlike("/>$"), foreign + 1).when(name.isin("img", "meta", "h1"), F.lit(0)).otherwise(foreign).alias("foreign"),
+            F.when(dropped, state["kept"]).otherwise(F.concat(state["kept"], F.array(t))).alias("kept"))
+
+    return F.when(F.exists(found, lambda t: t.rlike(MARK_RE)), F.aggregate(found, start, step, lambda s: s["kept"])).otherwise(found)
+
+
+def start_tags(found: Column) -> Column:
+    """ARRAY<STRUCT<name, keys ARRAY<STRING>, vals ARRAY<STRING>>> of the relevant start tags among the tokens."""
+    raw = F.filter(found, lambda t: token_name(t).isin(*TARGET_TAGS))
 
     def to_struct(t):
-        name = F.lower(F.regexp_extract(t, r"^<([^\s/>]+)", 1))
+        name = token_name(t)
         rest = F.regexp_replace(t, r"^<[^\s/>]+", "")
         keys = F.transform(F.regexp_extract_all(rest, _lit(ATTR_RE), 1), lambda k: F.lower(k))
         vals = F.transform(F.regexp_extract_all(rest, _lit(ATTR_RE), 2), lambda v: html_unescape(
@@ -161,8 +195,8 @@ def start_tags(stripped: Column) -> Column:
 
 
 def extract_tags(html_body: Column) -> Column:
-    """X1 on a raw body: strip comments / raw text, then list the relevant start tags."""
-    return start_tags(strip_markup(html_body))
+    """X1 on a raw body."""
+    return start_tags(effective_tokens(tokens(html_body)))
 
 
 def attr_pairs(tag: Column) -> Column:
@@ -243,9 +277,10 @@ def cap_text_bytes(body: Column, cap: int) -> Column:
     return F.when(F.octet_length(body) > cap, let(body, cut)).otherwise(body)
 
 
-def seo_title(stripped: Column) -> Column:
+def seo_title(found: Column) -> Column:
     """X5 title: STRUCT<has_title, title>: last title element with any text, decoded twice and trimmed."""
-    texts = F.filter(F.regexp_extract_all(stripped, _lit(TITLE_RE), 1), lambda t: t != "")
+    titles = F.filter(found, lambda t: t.rlike(r"(?i)^<title(?=[\s/>])"))
+    texts = F.filter(F.transform(titles, lambda t: F.regexp_extract(t, TITLE_RE, 1)), lambda t: t != "")
     return let(texts, lambda ts: F.struct(
         (F.size(ts) > 0).alias("has_title"),
         F.when(F.size(ts) > 0, html_unescape(trim_space(html_unescape(convert_newlines(F.element_at(ts, -1))))))
@@ -263,8 +298,9 @@ def seo_description(tags: Column) -> Column:
         .otherwise(_lit("")).alias("description")))
 
 
-def seo_has_h1(stripped: Column) -> Column:
-    return F.regexp_extract(stripped, H1_WITH_CHILD_RE, 1) == ">"
+def seo_has_h1(found: Column) -> Column:
+    """The lexer lists an h1 only where a child follows it."""
+    return F.exists(found, lambda t: t.rlike(r"(?i)^<h1(?=[\s/>])"))
 
 
 def seo_xml_title(body: Column) -> Column:

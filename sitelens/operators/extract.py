@@ -1,7 +1,6 @@
 """Extraction: page bodies -> link, asset and SEO rows.
 
-A page is scanned once: the markup strip and the start-tag listing are materialised as columns,
-and links, assets and SEO are all derived from them inside the same projection.  Nothing here
+A page is scanned once: the lexer's tokens and the start tags are materialised as columns, and links, assets and SEO are all derived from them inside the same projection.  Nothing here
 shuffles; the stage is fused with the scan and runs wherever the body partitions are.
 """
 
@@ -63,12 +62,12 @@ def extract_pages(df: DataFrame, url_col: str = "url", body_col: str = "body", c
     if cap is not None:
         d = d.withColumn("truncated", F.coalesce(F.octet_length(body_col) > cap, F.lit(False)))
     d = d.withColumn("_bsplit", U.split_url(F.col("_base")))
-    d = d.withColumn("_stripped", F.when(F.col("media") == "html", H.strip_markup(F.col("_body"))))
-    d = d.withColumn("_tags", memo(("start_tags",), lambda: F.when(F.col("media") == "html",
-                                                                   H.start_tags(F.col("_stripped")))))
+    d = d.withColumn("_lexed", F.when(F.col("media") == "html", H.tokens(F.col("_body"))))
+    d = d.withColumn("_tokens", H.effective_tokens(F.col("_lexed")))
+    d = d.withColumn("_tags", memo(("start_tags",), lambda: H.start_tags(F.col("_tokens"))))
     d = d.withColumn("_resolved", memo(("resolved_refs",), _resolved_refs))
     return d.withColumns(memo(("extract_outputs",), _extract_outputs)) \
-        .drop("_body", "_stripped", "_tags", "_base", "_bsplit", "_resolved")
+        .drop("_body", "_lexed", "_tokens", "_tags", "_base", "_bsplit", "_resolved")
 
 
 def _resolved_refs() -> Column:
@@ -85,13 +84,13 @@ def _distinct_of(kind: str) -> Column:
 
 
 def _extract_outputs() -> dict:
-    base, tags, stripped, bsplit = F.col("_base"), F.col("_tags"), F.col("_stripped"), F.col("_bsplit")
+    base, tags, found = F.col("_base"), F.col("_tags"), F.col("_tokens")
     links = _distinct_of("l")
     assets = F.transform(_distinct_of("a"), lambda u: F.struct(u.alias("url"), H.asset_type(u).alias("type")))
-    t, dsc = H.seo_title(stripped), H.seo_description(tags)
+    t, dsc = H.seo_title(found), H.seo_description(tags)
     html_seo = F.struct(t["has_title"].alias("has_title"), t["title"].alias("title"),
                         dsc["has_description"].alias("has_description"), dsc["description"].alias("description"),
-                        H.seo_has_h1(stripped).alias("has_h1"))
+                        H.seo_has_h1(found).alias("has_h1"))
     x = H.seo_xml_title(F.col("_body"))
     xml_seo = F.struct(x["has_title"].alias("has_title"), x["title"].alias("title"),
                        F.lit(False).alias("has_description"), F.lit("").alias("description"), F.lit(False).alias("has_h1"))
