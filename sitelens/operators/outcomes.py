@@ -7,7 +7,7 @@ never gathered into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitelens.functions import status as S
@@ -21,6 +21,11 @@ def with_norm(df: DataFrame, url_col: str = "url") -> DataFrame:
     return df.withColumn("norm_url", F.coalesce(U.normalize_url(url_col), F.lit("")))
 
 
+def capture_order(captures: DataFrame) -> Column:
+    """What decides between several captures of one thing: the first by time, then by spelling, status and error; nulls first."""
+    return F.struct(*[c for c in ("fetched_at", "url", "status_code", "error", "body") if c in captures.columns])
+
+
 def resolve_attempts(attempts: DataFrame, sites: DataFrame) -> DataFrame:
     """one outcome per (site, normalised URL) from attempts 0..retries.
 
@@ -28,16 +33,15 @@ def resolve_attempts(attempts: DataFrame, sites: DataFrame) -> DataFrame:
     when none wins: http_status 0 and the last failing attempt's error.  Input needs
     (site_id, url, attempt, status_code, error[, fetched_at, final_url, content_type, body]).
 
-    Of several captures of one attempt (spellings of one URL, repeats) the first by (fetched_at, url)
-    counts.  ``win_url`` and ``fetched_at`` name the capture that won, or the last that failed.  With a
+    Of several captures of one attempt (spellings of one URL, repeats) the first by (fetched_at, url, status_code, error)
+    counts, so the order of the input never matters.  ``win_url`` and ``fetched_at`` name the capture that won, or the last that failed.  With a
     ``deadline`` in ``sites``, a URL whose retries were not used up by then is cancelled.
     """
     opt = sites.select("site_id", "retries", *(["deadline"] if "deadline" in sites.columns else []))
     a = with_norm(attempts).join(opt, "site_id").filter(F.col("attempt") <= F.col("retries"))
     carry = [c for c in ("status_code", "fetched_at", "final_url", "content_type", "body", "url", "error") if c in a.columns]
-    first = ([F.col("fetched_at")] if "fetched_at" in carry else []) + [F.col("url")]
     a = a.groupBy(*_KEYS, "attempt").agg(
-        F.min_by(F.struct(*carry), F.struct(*first)).alias("c"), F.first("retries").alias("retries"),
+        F.min_by(F.struct(*carry), capture_order(a)).alias("c"), F.first("retries").alias("retries"),
         *([F.first("deadline").alias("deadline")] if "deadline" in opt.columns else []))
     win = S.is_win(F.col("c.status_code"), F.col("c.error"))
     last = F.max_by(F.struct(S.attempt_error(F.col("c.status_code"), F.col("c.error")).alias("error"),
@@ -74,11 +78,14 @@ def resolve_attempts(attempts: DataFrame, sites: DataFrame) -> DataFrame:
 def backoff_plan(attempts: DataFrame, sites: DataFrame) -> DataFrame:
     """wait before the next attempt = base x attempt after a retriable failure, none after the last.
 
-    Adds ``wait_ms`` and the running ``cum_wait_ms`` per URL (window partitioned by URL: URLs are
+    One row an attempt: of several captures of one the first counts, as in ``resolve_attempts``.  Adds ``wait_ms`` and the running ``cum_wait_ms`` per URL (window partitioned by URL: URLs are
     many and each has at most retries+1 rows, so no partition is large).
     """
     opt = sites.select("site_id", "retries", "rps", "delay_ms")
-    a = with_norm(attempts).join(opt, "site_id").filter(F.col("attempt") <= F.col("retries"))
+    a = with_norm(attempts).filter(F.col("attempt").isNotNull())
+    a = a.groupBy(*_KEYS, "attempt").agg(F.min_by(F.struct(*[c for c in a.columns if c not in (*_KEYS, "attempt")]), capture_order(a)).alias("c")) \
+        .select(*_KEYS, "attempt", "c.*")
+    a = a.join(opt, "site_id").filter(F.col("attempt") <= F.col("retries"))
     fail = ~S.is_win(F.col("status_code"), F.col("error"))
     first_win = F.min(F.when(~fail, F.col("attempt"))).over(Window.partitionBy(*_KEYS))
     a = a.withColumn("_first_win", first_win).filter(F.col("_first_win").isNull()
@@ -96,12 +103,12 @@ def _probe_pivot(probes: DataFrame, extra: list[str]) -> DataFrame:
 
     def pick(method):
         m = F.col("method") == method
-        return F.min_by(F.when(m, F.struct(*[F.col(c) for c in cols])), F.when(m, F.col("fetched_at")))
+        order = F.struct(*[c for c in ("fetched_at", "url", *cols) if c in p.columns])
+        return F.min_by(F.when(m, F.struct(*cols)), F.when(m, order))
 
-    # a single capture per method is expected; fetched_at orders repeats (earliest wins)
-    p = p.withColumn("fetched_at", F.coalesce(F.col("fetched_at"), F.lit(0).cast("timestamp")))
-    return p.groupBy(*_KEYS).agg(pick("HEAD").alias("head"), pick("GET").alias("get"),
-                                 F.min("url").alias("url"))
+    # a single capture per method is expected; of repeats the first by time counts (one without a time before all others),
+    # and equal times are decided by the rest of the capture
+    return p.groupBy(*_KEYS).agg(pick("HEAD").alias("head"), pick("GET").alias("get"), F.min("url").alias("url"))
 
 
 def _head_stands(head):

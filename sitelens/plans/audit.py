@@ -45,13 +45,14 @@ def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact", missi
     # extraction runs map-side on every winning capture; only the small extracted arrays of the
     # attempt that won are kept (semi join), so no body ever crosses a shuffle
     cand = O.with_norm(page_caps.filter(S.is_win(F.col("status_code"), F.col("error"))))
-    own = ["site_id", "norm_url", "attempt", "url", "fetched_at"]
+    own = ["site_id", "norm_url", "attempt", "url", "fetched_at", "status_code"]
     cand = X.extract_pages(cand.select(*own, "body", "content_type"), url_col="norm_url")
     winners = outcomes.select("site_id", "norm_url", F.col("win_attempt").alias("w_attempt"), F.col("win_url").alias("w_url"),
-                              F.col("fetched_at").alias("w_at")).filter("w_attempt IS NOT NULL")
-    same = (F.col("attempt") == F.col("w_attempt")) & (F.col("url") == F.col("w_url")) & F.col("fetched_at").eqNullSafe(F.col("w_at"))
+                              F.col("fetched_at").alias("w_at"), F.col("http_status").alias("w_status")).filter("w_attempt IS NOT NULL")
+    same = (F.col("attempt") == F.col("w_attempt")) & (F.col("url") == F.col("w_url")) & F.col("fetched_at").eqNullSafe(F.col("w_at")) \
+        & (F.col("status_code") == F.col("w_status"))
     extracted = cand.select(*own, "links", "assets", "seo").join(winners, ["site_id", "norm_url"]).filter(same) \
-        .dropDuplicates(["site_id", "norm_url"]).select("site_id", "norm_url", "links", "assets", "seo")
+        .groupBy("site_id", "norm_url").agg(F.min(F.struct("links", "assets", "seo")).alias("x")).select("site_id", "norm_url", "x.*")
     # stored by column: links, assets and SEO are each read without the others
     extracted = store(extracted, "extracted")
     links = X.page_links(extracted.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"])

@@ -1,4 +1,4 @@
-"""Graph queries: G1-G7 over the synthetic site's link graph."""
+"""Graph queries: G1-G7 over the link graph of all sites."""
 
 from __future__ import annotations
 
@@ -8,19 +8,17 @@ from sitelens.operators import extract as X
 from sitelens.operators import graph as G
 from sitelens.operators import outcomes as O
 from sitelens.plans.catalog import register
-from sitelens.sources import captures as C
 from sitelens.sources import fixtures as FX
 
-DEPTH = 16  # of a site whose pages form a binary tree: all of 65,535 pages are reached
 CUTOFF_S = 40  # seconds after the first capture
 
 
 def site_links(spark, sf_dir):
-    """Every page of the synthetic site with its extracted links (status and media type ignored)."""
+    """Every page of the sites with its extracted links (status and media type ignored)."""
     wp = FX.web_pages(spark, sf_dir)
-    ex = X.extract_pages(wp.select("page_id", "url", F.col("html").alias("body")), ctype_col=None)
+    ex = X.extract_pages(wp.select("page_id", "site_id", "url", F.col("html").alias("body")), ctype_col=None)
     ex = O.with_norm(ex, "url")
-    return ex.select(F.lit(FX.SITE_ID).alias("site_id"), F.col("norm_url").alias("page_norm"), "links", "assets")
+    return ex.select("site_id", F.col("norm_url").alias("page_norm"), "links", "assets")
 
 
 def graph_links(spark, sf_dir):
@@ -29,20 +27,27 @@ def graph_links(spark, sf_dir):
 
 def graph_depths(spark, sf_dir, links=None):
     links = links if links is not None else graph_links(spark, sf_dir)
-    sites = C.fixture_sites(spark, DEPTH)
-    return G.crawl_depths(links.select("site_id", F.col("page_norm").alias("src"), "link"), sites)
+    return G.crawl_depths(links.select("site_id", F.col("page_norm").alias("src"), "link"), FX.sites(spark, sf_dir))
 
 
 _WL = FX.duck(FX.WEB_LINKS_SQL)
 _WA = FX.duck(FX.WEB_ASSETS_SQL)
 _HOST = "regexp_extract(link, '^[a-z]+://([^/?#]*)', 1)"
-# BFS over the expected links (oracle side): r(url, depth), min depth per URL in d
-BFS_CTE = f"""
-l AS (SELECT 'http://site.example/p/' || CAST(page_id AS STRING) AS src, page_id, pos, link FROM ({_WL}) w),
-e AS (SELECT src, link FROM l WHERE {_HOST} = 'site.example'),
-r(url, depth) AS (SELECT 'http://site.example/p/0', 0
-                  UNION SELECT e.link, r.depth + 1 FROM r JOIN e ON e.src = r.url WHERE r.depth + 1 < {DEPTH}),
-d AS (SELECT url, min(depth) AS depth FROM r GROUP BY url)"""
+
+
+def bfs_cte(expands: str = "TRUE") -> str:
+    """BFS over the expected links (oracle side) of pages for which ``expands`` holds: minimum depth per URL in d, page facts in pg."""
+    return f"""
+pg AS MATERIALIZED ({FX.duck(FX.WEB_FACTS_SQL)}),
+l AS MATERIALIZED (SELECT * FROM ({_WL}) w),
+e AS MATERIALIZED (SELECT l.src, l.link FROM l JOIN pg ON pg.page_id = l.page_id WHERE {expands} AND {_HOST} = l.host),
+r(url, site, lim, depth) AS (SELECT src, host, lim, 0 FROM pg WHERE k = 0
+                       UNION SELECT e.link, r.site, r.lim, r.depth + 1 FROM r JOIN e ON e.src = r.url WHERE r.depth + 1 < r.lim),
+d AS (SELECT url, site, lim, min(depth) AS depth FROM r GROUP BY url, site, lim)"""
+
+
+BFS_CTE = bfs_cte()
+IS_CRAWL = f"(d.depth + 1 < d.lim AND {_HOST.replace('link', 'l.link')} = l.host)"
 
 
 @register("crawl_depths", oracle=f"""
@@ -56,37 +61,36 @@ def crawl_depths(spark, sf_dir):
 @register("classify_links", oracle=f"""
 WITH RECURSIVE {BFS_CTE}
 SELECT l.src AS page_norm, CAST(l.pos AS INT) AS pos, l.link,
-       CASE WHEN d.depth + 1 < {DEPTH} AND {_HOST.replace('link', 'l.link')} = 'site.example' THEN 'crawl' ELSE 'check' END AS action
+       CASE WHEN {IS_CRAWL} THEN 'crawl' ELSE 'check' END AS action
 FROM l JOIN d ON l.src = d.url""")
 def classify_links(spark, sf_dir):
     """G1: every link of every crawled page marked 'crawl' or 'check'."""
     links = graph_links(spark, sf_dir)
     depths = graph_depths(spark, sf_dir, links)
-    c = G.classify_links(links, depths, C.fixture_sites(spark, DEPTH))
+    c = G.classify_links(links, depths, FX.sites(spark, sf_dir))
     return c.select("page_norm", "pos", "link", "action")
 
 
 _CHECKS = f"""
-c AS (SELECT l.src, l.pos, l.link, d.depth, regexp_replace(l.link, '/+$', '') AS norm
-      FROM l JOIN d ON l.src = d.url
-      WHERE NOT (d.depth + 1 < {DEPTH} AND {_HOST.replace('link', 'l.link')} = 'site.example'))"""
+c AS (SELECT l.src, l.host, l.pos, l.link, d.depth, regexp_replace(l.link, '/+$', '') AS norm
+      FROM l JOIN d ON l.src = d.url WHERE NOT {IS_CRAWL})"""
 
 
 @register("link_worklist", oracle=f"""
 WITH RECURSIVE {BFS_CTE}, {_CHECKS},
-k AS (SELECT norm, link, row_number() OVER (PARTITION BY norm ORDER BY depth, src, pos) AS rn FROM c)
-SELECT norm AS norm_url, link AS url FROM k WHERE rn = 1""")
+k AS (SELECT host, norm, link, row_number() OVER (PARTITION BY host, norm ORDER BY depth, src, pos) AS rn FROM c)
+SELECT host AS site_id, norm AS norm_url, link AS url FROM k WHERE rn = 1""")
 def link_worklist(spark, sf_dir):
     """G4 + G3: distinct links to check, reported by the first claim's spelling."""
     links = graph_links(spark, sf_dir)
     depths = graph_depths(spark, sf_dir, links)
-    return G.link_worklist(G.classify_links(links, depths, C.fixture_sites(spark, DEPTH))).select("norm_url", "url")
+    return G.link_worklist(G.classify_links(links, depths, FX.sites(spark, sf_dir))).select("site_id", "norm_url", "url")
 
 
 @register("asset_worklist", oracle=f"""
 WITH RECURSIVE {BFS_CTE}
 SELECT DISTINCT a.asset_url AS norm_url, a.type
-FROM ({_WA}) a JOIN d ON d.url = 'http://site.example/p/' || CAST(a.page_id AS STRING)""")
+FROM ({_WA}) a JOIN d ON d.url = a.src""")
 def asset_worklist(spark, sf_dir):
     """Distinct assets over all crawled pages, keyed by canonical URL."""
     sl = site_links(spark, sf_dir)
@@ -95,22 +99,20 @@ def asset_worklist(spark, sf_dir):
 
 
 @register("external_links", oracle=f"""
-SELECT 'http://site.example/p/' || CAST(page_id AS STRING) AS page_norm, CAST(pos AS INT) AS pos, link
-FROM ({_WL}) w WHERE {_HOST} <> 'site.example'""")
+SELECT src AS page_norm, pos, link FROM ({_WL}) w WHERE {_HOST} <> host""")
 def external_links(spark, sf_dir):
     """Links to other hosts (checked, never crawled)."""
-    ext = G.external_links(graph_links(spark, sf_dir), C.fixture_sites(spark, DEPTH))
+    ext = G.external_links(graph_links(spark, sf_dir), FX.sites(spark, sf_dir))
     return ext.select("page_norm", "pos", "link")
 
 
 @register("unfetched_frontier", oracle=f"""
 WITH RECURSIVE {BFS_CTE}
-SELECT url AS norm_url, CAST(depth AS INT) AS depth FROM d
-WHERE CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) * 2 > {CUTOFF_S}""")
+SELECT d.url AS norm_url, CAST(d.depth AS INT) AS depth FROM d LEFT JOIN pg ON pg.src = d.url
+WHERE pg.page_id IS NULL OR pg.page_id * 2 > {CUTOFF_S}""")
 def unfetched_frontier(spark, sf_dir):
     """Crawl-reachable URLs with no page capture before the cut-off (the next batch to fetch)."""
-    sites = C.fixture_sites(spark, DEPTH, deadline=f"2024-01-01 00:00:{CUTOFF_S:02d}")
-    caps = O.apply_deadline(C.fixture_captures(FX.web_pages(spark, sf_dir), FX.probes(spark, sf_dir),
-                                               FX.asset_probes(spark, sf_dir)), sites)
+    sites = FX.sites(spark, sf_dir, deadline=f"2024-01-01 00:00:{CUTOFF_S:02d}")
+    caps = O.apply_deadline(FX.captures(spark, sf_dir), sites)
     fetched = O.with_norm(caps.filter(F.col("kind") == "page").select("site_id", "url"))
     return G.unfetched_frontier(graph_depths(spark, sf_dir), fetched).select("norm_url", "depth")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from sitelens.operators import outcomes as O
 from sitelens.plans.catalog import register
-from sitelens.sources import captures as C
 from sitelens.sources import fixtures as FX
 
 RETRIES = 2
@@ -68,16 +67,12 @@ def backoff_plan(spark, sf_dir):
     return out.select(F.col("norm_url").alias("url"), "attempt", "wait_ms", "cum_wait_ms")
 
 
-def fixture_caps(spark, sf_dir):
-    return C.fixture_captures(FX.web_pages(spark, sf_dir), FX.probes(spark, sf_dir), FX.asset_probes(spark, sf_dir))
-
-
 _PRB = FX.duck(FX.PROBES_SQL)
 _HEAD_OK = "(head_status IS NOT NULL AND head_status NOT IN (405, 501))"
 
 
 @register("link_probe", oracle=f"""
-SELECT url,
+SELECT site_id, url,
        CAST(CASE WHEN {_HEAD_OK} THEN head_status WHEN get_status IS NOT NULL THEN get_status ELSE 0 END AS INT) AS status_code,
        CASE WHEN {_HEAD_OK} OR get_status IS NOT NULL THEN ''
             ELSE 'both HEAD and GET requests failed: connection reset' END AS error,
@@ -87,9 +82,9 @@ FROM ({_PRB}) p""")
 def link_probe(spark, sf_dir):
     """F4 + R1: HEAD result unless it errored or said 405/501, then GET; broken = >= 400 or error."""
     from sitelens.functions import status as S
-    caps = fixture_caps(spark, sf_dir).filter(F.col("kind") == "link")
+    caps = FX.captures(spark, sf_dir).filter(F.col("kind") == "link")
     st = O.resolve_link_probe(caps.select("site_id", "url", "method", "status_code", "error", "fetched_at"))
-    return st.select(F.col("norm_url").alias("url"), "status_code", "error",
+    return st.select("site_id", F.col("norm_url").alias("url"), "status_code", "error",
                      S.is_broken(F.col("status_code"), F.col("error")).alias("broken"))
 
 
@@ -111,7 +106,7 @@ SELECT url, CAST(st AS INT) AS status_code,
 FROM p""")
 def asset_probe(spark, sf_dir):
     """F5 + F6: asset status and size from HEAD (Content-Length verbatim) or GET (length, else bytes read)."""
-    caps = fixture_caps(spark, sf_dir).filter(F.col("kind") == "asset")
+    caps = FX.captures(spark, sf_dir).filter(F.col("kind") == "asset")
     st = O.resolve_asset_probe(caps.select("site_id", "url", "method", "status_code", "error", "content_length",
                                            "body_bytes", "fetched_at"))
     return st.select(F.col("norm_url").alias("url"), "status_code", "size_bytes", "error")

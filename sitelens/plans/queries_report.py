@@ -1,4 +1,4 @@
-"""Report queries: R1-R9, F8, F9 -- the whole audit over captures of the synthetic site."""
+"""Report queries: R1-R9, F8, F9 -- the whole audit over captures of all sites."""
 
 from __future__ import annotations
 
@@ -8,8 +8,7 @@ from sitelens.operators import extract as X
 from sitelens.operators import report as R
 from sitelens.plans.audit import audit_report, run_audit
 from sitelens.plans.catalog import register
-from sitelens.plans.queries_graph import BFS_CTE, CUTOFF_S, DEPTH, _HOST
-from sitelens.sources import captures as C
+from sitelens.plans.queries_graph import CUTOFF_S, IS_CRAWL, bfs_cte
 from sitelens.sources import fixtures as FX
 from sitelens.streaming.jobs import scratch
 
@@ -20,61 +19,49 @@ _WA = FX.duck(FX.WEB_ASSETS_SQL)
 _HEAD_OK = "(head_status IS NOT NULL AND head_status NOT IN (405, 501))"
 
 
-def _caps(spark, sf_dir):
-    return C.fixture_captures(FX.web_pages(spark, sf_dir), FX.probes(spark, sf_dir), FX.asset_probes(spark, sf_dir))
-
-
 def _audit(spark, sf_dir, match="exact", deadline=None):
-    return run_audit(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH, deadline=deadline), match)
+    return run_audit(FX.captures(spark, sf_dir), FX.sites(spark, sf_dir, deadline=deadline), match)
 
 
 def _report(spark, sf_dir):
-    return audit_report(_caps(spark, sf_dir), C.fixture_sites(spark, DEPTH), GENERATED_AT)
+    return audit_report(FX.captures(spark, sf_dir), FX.sites(spark, sf_dir), GENERATED_AT)
 
 
 # Oracle side: the crawl only expands pages that were fetched as HTML (not 503-exhausted, not PDF)
 # and, with a cut-off, only pages captured before it.
-def _bfs(expand_cond: str) -> str:
-    return BFS_CTE.replace("e AS (SELECT src, link FROM l WHERE", f"e AS (SELECT src, link FROM l WHERE {expand_cond} AND")
-
-
-_EXPANDS = "((page_id % 17 <> 16 OR page_id % 13 = 12) AND page_id % 29 <> 28)"
-_CRAWL = _bfs(_EXPANDS)
+_EXPANDS = "NOT pg.failed AND NOT pg.pdf"
+_CRAWL = bfs_cte(_EXPANDS)
 _LINK_STATUS = f"""
-ls AS (SELECT url,
+ls AS (SELECT site_id, url,
               CASE WHEN {_HEAD_OK} THEN head_status WHEN get_status IS NOT NULL THEN get_status ELSE 0 END AS status_code,
               CASE WHEN {_HEAD_OK} OR get_status IS NOT NULL THEN ''
                    ELSE 'both HEAD and GET requests failed: connection reset' END AS error
        FROM ({_PRB}) p)"""
-_CRAWLED_LINKS = f"""
-cl AS (SELECT l.src, l.pos, l.link, d.depth FROM l JOIN d ON l.src = d.url WHERE {_EXPANDS.replace('page_id', 'l.page_id')})"""
-
-
 _CHECKED = f"""
-ck AS (SELECT * FROM cl WHERE NOT (cl.depth + 1 < {DEPTH} AND {_HOST.replace('link', 'cl.link')} = 'site.example')),
-fc AS (SELECT norm, link AS first_url FROM (
-         SELECT regexp_replace(link, '/+$', '') AS norm, link,
-                row_number() OVER (PARTITION BY regexp_replace(link, '/+$', '') ORDER BY depth, src, pos) AS rn FROM ck) k
+ck AS (SELECT l.src, l.host, l.pos, l.link, d.depth FROM l JOIN d ON l.src = d.url JOIN pg ON pg.page_id = l.page_id
+       WHERE {_EXPANDS} AND NOT {IS_CRAWL}),
+fc AS (SELECT host, norm, link AS first_url FROM (
+         SELECT host, regexp_replace(link, '/+$', '') AS norm, link,
+                row_number() OVER (PARTITION BY host, regexp_replace(link, '/+$', '') ORDER BY depth, src, pos) AS rn FROM ck) k
        WHERE rn = 1)"""
 
 
 def _broken_oracle(link_key: str) -> str:
     return f"""
-WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS}, {_CHECKED}
-SELECT ck.src AS page_norm, CAST(ck.pos AS INT) AS pos, ck.link, fc.first_url AS status_url,
-       CAST(ls.status_code AS INT) AS status_code, ls.error
-FROM ck JOIN ls ON {link_key.replace('cl.', 'ck.')} = ls.url JOIN fc ON fc.norm = ls.url
+WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CHECKED}
+SELECT ck.src AS page_norm, ck.pos, ck.link, fc.first_url AS status_url, CAST(ls.status_code AS INT) AS status_code, ls.error
+FROM ck JOIN ls ON {link_key} = ls.url AND ck.host = ls.site_id JOIN fc ON fc.norm = ls.url AND fc.host = ls.site_id
 WHERE (ls.status_code >= 400 OR ls.error <> '')"""
 
 
-@register("broken_links", oracle=_broken_oracle("cl.link"))
+@register("broken_links", oracle=_broken_oracle("ck.link"))
 def broken_links(spark, sf_dir):
     """R1 + R2 (exact): broken links per crawled page; the status table is probed with the raw link."""
     a = _audit(spark, sf_dir)
     return a.broken.select("page_norm", "pos", "link", "status_url", "status_code", "error")
 
 
-@register("broken_links_normalized", oracle=_broken_oracle("regexp_replace(cl.link, '/+$', '')"))
+@register("broken_links_normalized", oracle=_broken_oracle("regexp_replace(ck.link, '/+$', '')"))
 def broken_links_normalized(spark, sf_dir):
     """R2 (normalized): the intended lookup by canonical link; trailing-slash spellings match too."""
     a = _audit(spark, sf_dir, match="normalized")
@@ -117,9 +104,8 @@ asz AS (SELECT url, st AS status_code,
 
 @register("asset_inventory", oracle=f"""
 WITH RECURSIVE {_CRAWL}, {_ASSET_STATUS},
-pa AS (SELECT 'http://site.example/p/' || CAST(a.page_id AS STRING) AS page_norm, a.asset_url, a.type
-       FROM ({_WA}) a JOIN d ON d.url = 'http://site.example/p/' || CAST(a.page_id AS STRING)
-       WHERE {_EXPANDS.replace('page_id', 'a.page_id')}),
+pa AS (SELECT a.src AS page_norm, a.asset_url, a.type
+       FROM ({_WA}) a JOIN d ON d.url = a.src JOIN pg ON pg.page_id = a.page_id WHERE {_EXPANDS}),
 inv AS (SELECT pa.page_norm, pa.asset_url AS url, pa.type, CAST(coalesce(asz.status_code, 0) AS INT) AS status_code,
                CAST(coalesce(asz.size_bytes, 0) AS BIGINT) AS size_bytes, coalesce(asz.error, '') AS error
         FROM pa LEFT JOIN asz ON pa.asset_url = asz.url)
@@ -133,16 +119,16 @@ def asset_inventory(spark, sf_dir):
         "page_norm", "ord", "x.url", "x.type", "x.status_code", "x.size_bytes", "x.error")
 
 
-def _page_rows_oracle(cond_fetched: str, deadline: str = "NULL") -> str:
+def _page_rows_oracle(fetched: str, join: str = "JOIN", deadline: str = "NULL") -> str:
     return f"""
-SELECT CASE WHEN {cond_fetched} THEN strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 1 ELSE 0 END),
-                                              '%Y-%m-%d %H:%M:%S') ELSE {deadline} END AS discovered_at, d.url, CAST(d.depth AS INT) AS depth,
-       CAST(CASE WHEN NOT {cond_fetched} THEN 0 WHEN p % 17 = 16 AND p % 13 <> 12 THEN 0 WHEN p % 13 = 12 THEN 404 ELSE 200 END AS INT) AS http_status,
-       CASE WHEN {cond_fetched} AND (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN 'ok' ELSE 'error' END AS status,
-       CASE WHEN NOT {cond_fetched} THEN 'context canceled' WHEN p % 17 = 16 AND p % 13 <> 12 THEN 'HTTP 503 (retriable)' ELSE '' END AS error,
-       {cond_fetched} AND p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) AS has_title,
-       CASE WHEN {cond_fetched} AND p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) THEN 'T' || CAST(p AS VARCHAR) || ' & co' ELSE '' END AS title
-FROM (SELECT url, depth, CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) AS p FROM d) d"""
+SELECT CASE WHEN {fetched} THEN strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(sec), '%Y-%m-%d %H:%M:%S') ELSE {deadline} END AS discovered_at,
+       d.url, CAST(d.depth AS INT) AS depth,
+       CAST(CASE WHEN NOT {fetched} OR failed THEN 0 WHEN missing THEN 404 ELSE 200 END AS INT) AS http_status,
+       CASE WHEN {fetched} AND NOT failed AND NOT missing THEN 'ok' ELSE 'error' END AS status,
+       CASE WHEN NOT {fetched} THEN 'context canceled' WHEN failed THEN 'HTTP 503 (retriable)' ELSE '' END AS error,
+       {fetched} AND NOT pdf AND NOT failed AS has_title,
+       CASE WHEN {fetched} AND NOT pdf AND NOT failed THEN title ELSE '' END AS title
+FROM d {join} pg ON pg.src = d.url"""
 
 
 @register("page_rows", oracle=f"WITH RECURSIVE {_CRAWL} " + _page_rows_oracle("TRUE"))
@@ -153,12 +139,8 @@ def page_rows(spark, sf_dir):
                     "seo.has_title", "seo.title")
 
 
-_CUT = f"(page_id * 2 + CASE WHEN page_id % 17 = 16 AND page_id % 13 <> 12 THEN 1 ELSE 0 END <= {CUTOFF_S})"
-
-
-@register("partial_results", oracle=f"WITH RECURSIVE {_bfs(_EXPANDS + ' AND ' + _CUT)} "
-          + _page_rows_oracle(f"(p * 2 + CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 1 ELSE 0 END <= {CUTOFF_S})",
-                              f"'2024-01-01 00:00:{CUTOFF_S:02d}'"))
+@register("partial_results", oracle=f"WITH RECURSIVE {bfs_cte(f'{_EXPANDS} AND pg.sec <= {CUTOFF_S}')} "
+          + _page_rows_oracle(f"coalesce(pg.sec <= {CUTOFF_S}, FALSE)", "LEFT JOIN", f"'2024-01-01 00:00:{CUTOFF_S:02d}'"))
 def partial_results(spark, sf_dir):
     """a cut-off mid-crawl: finished pages stay, reached-but-unfetched pages become 'context canceled'."""
     p = _audit(spark, sf_dir, deadline=f"2024-01-01 00:00:{CUTOFF_S:02d}").pages
@@ -170,10 +152,13 @@ _BROKEN_PER_PAGE = f"""
 br AS (SELECT ck.src, count(*) AS n,
               string_agg('{{"url":"' || fc.first_url || '","status_code":' || ls.status_code || ',"error":"' || ls.error || '"}}', ','
                          ORDER BY ck.pos) AS js
-       FROM ck JOIN ls ON ck.link = ls.url JOIN fc ON fc.norm = ls.url
+       FROM ck JOIN ls ON ck.link = ls.url AND ck.host = ls.site_id JOIN fc ON fc.norm = ls.url AND fc.host = ls.site_id
        WHERE ls.status_code >= 400 OR ls.error <> '' GROUP BY ck.src)"""
 _ROWS = f"""
-rows AS (SELECT d.url, d.depth, CAST(regexp_extract(d.url, '([0-9]+)$', 1) AS BIGINT) AS p FROM d)"""
+rows AS (SELECT d.url, d.depth, pg.* EXCLUDE (html),
+                CAST(row_number() OVER (PARTITION BY pg.host ORDER BY d.url) - 1 AS BIGINT) AS ord,
+                strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(pg.sec), '%Y-%m-%dT%H:%M:%SZ') AS found_at,
+                NOT pg.failed AND NOT pg.missing AS ok, NOT pg.failed AND NOT pg.pdf AS seen FROM d JOIN pg ON pg.src = d.url)"""
 _GENERATED = GENERATED_AT.replace(' ', 'T') + 'Z'
 
 _PAGE_JSON = ("struct<url:string,depth:int,http_status:int,status:string,error:string,"
@@ -183,64 +168,56 @@ _PAGE_JSON = ("struct<url:string,depth:int,http_status:int,status:string,error:s
 
 
 @register("report_pages", oracle=f"""
-WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}
-SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS BIGINT) AS ord, rows.url, CAST(rows.depth AS INT) AS depth,
-       CASE WHEN (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN 'ok' ELSE 'error' END AS status,
-       CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN 0 END AS INT) AS n_broken,
-       CAST(CASE WHEN p % 17 = 16 AND p % 13 <> 12 OR p % 29 = 28 THEN 0 ELSE 5 END AS INT) AS n_assets
+WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}
+SELECT host AS site_id, ord, rows.url, CAST(rows.depth AS INT) AS depth, CASE WHEN ok THEN 'ok' ELSE 'error' END AS status,
+       CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN ok THEN 0 END AS INT) AS n_broken, CAST(CASE WHEN seen THEN 5 ELSE 0 END AS INT) AS n_assets
 FROM rows LEFT JOIN br ON br.src = rows.url""")
 def report_pages(spark, sf_dir):
     """R5 + R6 + R9: the pages of the report in their order, with the sizes of their nested lists."""
     a = _audit(spark, sf_dir)
     pages = R.ordered_pages(R.nest_pages(a.pages, a.broken, a.inventory))
     n = F.size("broken_links")
-    return pages.select("ord", "url", "depth", "status", F.when(n >= 0, n).alias("n_broken"), F.size("assets").alias("n_assets"))
+    return pages.select("site_id", "ord", "url", "depth", "status", F.when(n >= 0, n).alias("n_broken"), F.size("assets").alias("n_assets"))
 
 
 @register("report_json", oracle=f"""
-WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}, {_ASSET_STATUS},
-aj AS (SELECT 'http://site.example/p/' || CAST(a.page_id AS STRING) AS src,
+WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}, {_ASSET_STATUS},
+aj AS (SELECT a.src,
               string_agg('{{"url":"' || a.asset_url || '","type":"' || a.type || '","status_code":' || coalesce(asz.status_code, 0)
                          || ',"size_bytes":' || coalesce(asz.size_bytes, 0)
                          || CASE WHEN coalesce(asz.error, '') <> '' THEN ',"error":"' || asz.error || '"' ELSE '' END || '}}', ','
                          ORDER BY a.type, a.asset_url) AS js
-       FROM ({_WA}) a LEFT JOIN asz ON a.asset_url = asz.url WHERE {_EXPANDS.replace('page_id', 'a.page_id')} GROUP BY 1)
-SELECT CAST(-1 AS BIGINT) AS ord,
-       '{{"root_url":"http://site.example/p/0","depth":{DEPTH},"generated_at":"{_GENERATED}"}}' AS json
+       FROM ({_WA}) a JOIN pg ON pg.page_id = a.page_id LEFT JOIN asz ON a.asset_url = asz.url WHERE {_EXPANDS} GROUP BY 1)
+SELECT host AS site_id, CAST(-1 AS BIGINT) AS ord,
+       '{{"root_url":"' || src || '","depth":' || lim || ',"generated_at":"{_GENERATED}"}}' AS json FROM pg WHERE k = 0
 UNION ALL
-SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS BIGINT) AS ord,
+SELECT host AS site_id, ord,
        '{{"url":"' || rows.url || '","depth":' || rows.depth
-       || ',"http_status":' || CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 0 WHEN p % 13 = 12 THEN 404 ELSE 200 END
-       || ',"status":"' || CASE WHEN (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN 'ok' ELSE 'error' END || '"'
-       || CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN ',"error":"HTTP 503 (retriable)"' ELSE '' END
-       || ',"broken_links":' || CASE WHEN br.js IS NOT NULL THEN '[' || br.js || ']'
-                                     WHEN (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN '[]' ELSE 'null' END
+       || ',"http_status":' || CASE WHEN failed THEN 0 WHEN missing THEN 404 ELSE 200 END
+       || ',"status":"' || CASE WHEN ok THEN 'ok' ELSE 'error' END || '"'
+       || CASE WHEN failed THEN ',"error":"HTTP 503 (retriable)"' ELSE '' END
+       || ',"broken_links":' || CASE WHEN br.js IS NOT NULL THEN '[' || br.js || ']' WHEN ok THEN '[]' ELSE 'null' END
        || ',"assets":[' || coalesce(aj.js, '') || ']'
-       || ',"discovered_at":"' || strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 1 ELSE 0 END),
-                                           '%Y-%m-%dT%H:%M:%SZ') || '"'
-       || ',"seo":{{"has_title":' || (p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12))
-       || ',"title":"' || CASE WHEN p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) THEN 'T' || p || ' & co' ELSE '' END
-       || '","has_description":' || (p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) AND p % 3 = 0)
-       || ',"description":"' || CASE WHEN p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) AND p % 3 = 0 THEN 'D' || p ELSE '' END
-       || '","has_h1":' || (p % 29 <> 28 AND (p % 17 <> 16 OR p % 13 = 12) AND p % 4 <> 0) || '}}}}' AS json
+       || ',"discovered_at":"' || found_at || '"'
+       || ',"seo":{{"has_title":' || seen || ',"title":' || CASE WHEN seen THEN CAST(to_json(title) AS VARCHAR) ELSE '""' END
+       || ',"has_description":' || (seen AND has_description)
+       || ',"description":"' || CASE WHEN seen AND has_description THEN 'D' || page_id ELSE '' END
+       || '","has_h1":' || (seen AND has_h1) || '}}}}' AS json
 FROM rows LEFT JOIN br ON br.src = rows.url LEFT JOIN aj ON aj.src = rows.url""")
 def report_json(spark, sf_dir):
     """R6 + R7 + R8: the report as JSON rows, a header and one row a page (names and omissions of the reference)."""
-    return _report(spark, sf_dir).select("ord", "json")
+    return _report(spark, sf_dir).select("site_id", "ord", "json")
 
 
 @register("report_json_fields", oracle=f"""
-WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CRAWLED_LINKS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}
-SELECT CAST(row_number() OVER (ORDER BY rows.url) - 1 AS BIGINT) AS ord, rows.url,
-       CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 'HTTP 503 (retriable)' END AS error,
-       CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN (p % 17 <> 16 OR p % 13 = 12) AND p % 13 <> 12 THEN 0 END AS INT) AS n_broken,
-       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(2 * p + CASE WHEN p % 17 = 16 AND p % 13 <> 12 THEN 1 ELSE 0 END), '%Y-%m-%dT%H:%M:%SZ')
-         AS discovered_at
+WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}
+SELECT host AS site_id, ord, rows.url, CASE WHEN failed THEN 'HTTP 503 (retriable)' END AS error,
+       CAST(CASE WHEN br.n IS NOT NULL THEN br.n WHEN ok THEN 0 END AS INT) AS n_broken, found_at AS discovered_at
 FROM rows LEFT JOIN br ON br.src = rows.url""")
 def report_json_fields(spark, sf_dir):
     """R7 + S4: the report written to files, read back and parsed: omitted errors, null link lists, RFC 3339 seconds."""
     path = scratch(spark, "report")
     R.write_report(_report(spark, sf_dir), path)
-    rows = spark.read.parquet(path).filter("ord >= 0").select("ord", F.from_json("json", _PAGE_JSON).alias("p"))
+    rows = spark.read.parquet(path).filter("ord >= 0").select("site_id", "ord", F.from_json("json", _PAGE_JSON).alias("p"))
     n = F.size("p.broken_links")
-    return rows.select("ord", "p.url", "p.error", F.when(n >= 0, n).alias("n_broken"), "p.discovered_at")
+    return rows.select("site_id", "ord", "p.url", "p.error", F.when(n >= 0, n).alias("n_broken"), "p.discovered_at")

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from sitelens.operators import extract as X
 from sitelens.plans.catalog import register
 from sitelens.plans.queries_extract import _PAGE_HREFS
-from sitelens.plans.queries_graph import BFS_CTE, DEPTH, site_links
+from sitelens.plans.queries_graph import BFS_CTE, site_links
 from sitelens.plans.duck import path_encode
-from sitelens.sources import captures as C
 from sitelens.sources import fixtures as FX
 from sitelens.streaming import jobs as T
 
@@ -51,19 +50,18 @@ _HEAD_OK = "(head_status IS NOT NULL AND head_status NOT IN (405, 501))"
 
 
 @register("stream_broken_links", oracle=f"""
-WITH ls AS (SELECT url,
+WITH ls AS (SELECT site_id, url,
               CASE WHEN {_HEAD_OK} THEN head_status WHEN get_status IS NOT NULL THEN get_status ELSE 0 END AS status_code,
               CASE WHEN {_HEAD_OK} OR get_status IS NOT NULL THEN ''
                    ELSE 'both HEAD and GET requests failed: connection reset' END AS error
             FROM ({_PRB}) p)
-SELECT 'http://site.example/p/' || CAST(w.page_id AS STRING) AS page_norm, CAST(w.pos AS INT) AS pos, w.link,
+SELECT w.src AS page_norm, w.pos, w.link,
        CAST(ls.status_code AS INT) AS status_code, ls.error
-FROM ({_WL}) w JOIN ls ON w.link = ls.url WHERE ls.status_code >= 400 OR ls.error <> ''""")
+FROM ({_WL}) w JOIN ls ON w.link = ls.url AND w.host = ls.site_id WHERE ls.status_code >= 400 OR ls.error <> ''""")
 def stream_broken_links(spark, sf_dir):
     """Stream of probe captures joined with static page links; broken pairs emitted once."""
     root = T.scratch(spark, "broken")
-    caps = C.fixture_captures(FX.web_pages(spark, sf_dir), FX.probes(spark, sf_dir), FX.asset_probes(spark, sf_dir))
-    caps = caps.filter(F.col("kind") == "link").select("site_id", "url", "method", "status_code", "error", "fetched_at")
+    caps = FX.captures(spark, sf_dir).filter(F.col("kind") == "link").select("site_id", "url", "method", "status_code", "error", "fetched_at")
     stream = _replay(spark, caps, f"{root}/incoming", "method", "url")  # a HEAD and its GET land in different batches
     links = X.page_links(site_links(spark, sf_dir), ["site_id", "page_norm"])
     out = T.stream_broken_links(links, stream, root)
@@ -76,8 +74,7 @@ SELECT url AS norm_url, CAST(depth AS INT) AS depth FROM d""")
 def frontier_rounds(spark, sf_dir):
     """T4: micro-batches of page captures grow the edge table; newly reachable URLs emitted per round."""
     root = T.scratch(spark, "frontier")
-    wp = FX.web_pages(spark, sf_dir).select(F.lit(FX.SITE_ID).alias("site_id"), "page_id", "url",
-                                            F.col("html").alias("body"))
+    wp = FX.web_pages(spark, sf_dir).select("site_id", "page_id", "url", F.col("html").alias("body"))
     stream = _replay(spark, wp, f"{root}/incoming", "page_id")
-    out = T.frontier_rounds(stream, C.fixture_sites(spark, DEPTH), root, ["site_id"])
+    out = T.frontier_rounds(stream, FX.sites(spark, sf_dir), root, ["site_id"])
     return T.read_epochs(spark, out).groupBy("norm_url").agg(F.min("depth").alias("depth"))

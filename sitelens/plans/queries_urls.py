@@ -170,7 +170,7 @@ FROM (SELECT url, status_code, html, unnest(CASE WHEN status_code >= 500 THEN [0
 def read_captures(spark, sf_dir):
     """Page captures written as JSON lines and read back with the fixed schema."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/captures-{uuid.uuid4().hex}"
-    caps = C.fixture_captures(FX.web_pages(spark, sf_dir), FX.probes(spark, sf_dir), FX.asset_probes(spark, sf_dir))
+    caps = FX.captures(spark, sf_dir)
     caps.write.json(path)
     pages = C.read_captures(spark, path, "json").filter(F.col("kind") == "page")
     return pages.select("url", "attempt", "status_code", F.octet_length("body").cast("long").alias("n_bytes"))

@@ -75,68 +75,3 @@ def route_by_media_type(captures: DataFrame) -> tuple[DataFrame, DataFrame, Data
     """(html, xml, other) branches by Content-Type substring; one scan, three filters."""
     m = captures.withColumn("media", H.media_of(F.col("content_type")))
     return m.filter(F.col("media") == "html"), m.filter(F.col("media") == "xml"), m.filter(F.col("media") == "other")
-
-
-def fixture_sites(spark: SparkSession, depth: int, retries: int = 1, delay_ms: int = 0, rps: int = 0,
-                  user_agent: str = "", deadline: str | None = None) -> DataFrame:
-    """The single audited site of the derived fixtures (a one-row options table)."""
-    from sitelens.sources.fixtures import SITE_ID, SITE_ROOT
-    row = [(SITE_ID, SITE_ROOT, depth, retries, delay_ms, rps, user_agent, None)]
-    df = spark.createDataFrame(row, schemas.SITES)
-    if deadline:
-        df = df.withColumn("deadline", F.lit(deadline).cast("timestamp"))
-    return df
-
-
-def fixture_captures(web_pages: DataFrame, probes: DataFrame, asset_probes: DataFrame) -> DataFrame:
-    """Capture rows for the fixture site: page GETs (a 503 is retried once), link and asset HEAD/GET probes."""
-    from sitelens.sources.fixtures import SITE_ID
-    t0 = F.lit("2024-01-01 00:00:00").cast("timestamp")
-    none_s, none_l = F.lit(None).cast("string"), F.lit(None).cast("long")
-
-    def at(seconds: Column) -> Column:
-        return F.timestamp_seconds(F.unix_timestamp(t0) + seconds)
-
-    pages = web_pages.select(
-        "page_id", "url", "status_code", "content_type", "html",
-        F.explode(F.when(F.col("status_code") >= 500, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-        .alias("attempt"))
-    page_caps = pages.select(
-        F.lit(SITE_ID).alias("site_id"), "url", F.lit("GET").alias("method"), F.lit("page").alias("kind"),
-        F.col("attempt").cast("int").alias("attempt"), F.col("status_code").cast("int").alias("status_code"),
-        "content_type", F.octet_length("html").cast("long").alias("content_length"), F.col("html").alias("body"),
-        F.octet_length("html").cast("long").alias("body_bytes"), none_s.alias("final_url"), none_s.alias("error"),
-        F.lit("AuditBot/1.0").alias("user_agent"), at(F.col("page_id") * 2 + F.col("attempt")).alias("fetched_at"))
-
-    head_err = F.when(F.col("head_status").isNull(), F.lit("connection refused"))
-    needs_get = F.col("head_status").isNull() | F.col("head_status").isin(405, 501)
-    link_rows = probes.select(
-        "url", F.explode(F.when(needs_get, F.array(F.lit("HEAD"), F.lit("GET"))).otherwise(F.array(F.lit("HEAD"))))
-        .alias("method"), "head_status", "get_status")
-    link_caps = link_rows.select(
-        F.lit(SITE_ID).alias("site_id"), "url", "method", F.lit("link").alias("kind"), F.lit(0).alias("attempt"),
-        F.when(F.col("method") == "HEAD", F.col("head_status")).otherwise(F.col("get_status")).cast("int")
-        .alias("status_code"),
-        none_s.alias("content_type"), none_l.alias("content_length"), none_s.alias("body"), none_l.alias("body_bytes"),
-        none_s.alias("final_url"),
-        F.when(F.col("method") == "HEAD", head_err)
-         .otherwise(F.when(F.col("get_status").isNull(), F.lit("connection reset"))).alias("error"),
-        F.lit("AuditBot/1.0").alias("user_agent"), at(F.lit(100000)).alias("fetched_at"))
-
-    a_needs_get = F.col("head_status").isNull() | F.col("head_status").isin(405, 501)
-    asset_rows = asset_probes.select(
-        "url", F.explode(F.when(a_needs_get, F.array(F.lit("HEAD"), F.lit("GET"))).otherwise(F.array(F.lit("HEAD"))))
-        .alias("method"), "head_status", "head_length", "get_status", "get_length", "get_body_bytes")
-    is_head = F.col("method") == "HEAD"
-    asset_caps = asset_rows.select(
-        F.lit(SITE_ID).alias("site_id"), "url", "method", F.lit("asset").alias("kind"), F.lit(0).alias("attempt"),
-        F.when(is_head, F.col("head_status")).otherwise(F.col("get_status")).cast("int").alias("status_code"),
-        none_s.alias("content_type"),
-        F.when(is_head, F.coalesce(F.col("head_length"), F.lit(-1).cast("long")))
-         .otherwise(F.coalesce(F.col("get_length"), F.lit(-1).cast("long"))).alias("content_length"),
-        none_s.alias("body"), F.when(is_head, none_l).otherwise(F.col("get_body_bytes")).alias("body_bytes"),
-        none_s.alias("final_url"),
-        F.when(is_head, head_err)
-         .otherwise(F.when(F.col("get_status").isNull(), F.lit("connection reset"))).alias("error"),
-        F.lit("AuditBot/1.0").alias("user_agent"), at(F.lit(100001)).alias("fetched_at"))
-    return page_caps.unionByName(link_caps).unionByName(asset_caps)

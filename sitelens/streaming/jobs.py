@@ -92,7 +92,7 @@ def stream_claims(stream: DataFrame, root: str, mode: str = "table", watermark:
         .write.mode("overwrite").parquet(_epoch_dir(out, -1, "bucket=0"))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        first = store(batch.groupBy(*keys).agg(F.min_by(F.struct("url", "fetched_at"), F.col("fetched_at")).alias("c"))
+        first = store(batch.groupBy(*keys).agg(F.min(F.struct("fetched_at", "url")).alias("c"))
                       .select(*keys, "c.url", "c.fetched_at").withColumn("bucket", bucket), "batch-claims")
         own = [r[0] for r in first.select("bucket").distinct().collect()]
         known = spark.read.schema(StructType(columns)).option("basePath", out).parquet(out)

@@ -66,3 +66,44 @@ def test_cancelled_links_and_assets_under_a_deadline(spark):
     assert a.asset_status.first().error == "request failed: context canceled"
     open_end = run_audit(caps.filter("fetched_at < timestamp'2024-01-01 00:01:00'"), sites(spark, "http://e.com"))
     assert open_end.link_status.count() == 0 and open_end.asset_status.count() == 0
+
+
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    """Captures of one thing at one time, or without a time, in every order: the same outcome."""
+    import itertools
+
+    from pyspark.sql import functions as F
+    rows = [cap("http://e.com/a", kind="link", method="HEAD", status=404), cap("http://e.com/a", kind="link", method="HEAD", status=200),
+            cap("http://e.com/a/", kind="link", method="HEAD", status=301)]
+    frames = [captures(spark, list(order)).coalesce(1) for order in itertools.permutations(rows)]
+    for when in (F.col("fetched_at"), F.lit(None).cast("timestamp")):
+        timed = [f.withColumn("fetched_at", when) for f in frames]
+        assert len({tuple(O.resolve_link_probe(f).first()) for f in timed}) == 1
+        assert len({tuple(O.resolve_asset_probe(f).first()) for f in timed}) == 1
+        assert len({tuple(O.resolve_attempts(f, sites(spark)).first()) for f in timed}) == 1
+    assert O.resolve_link_probe(frames[0]).first().status_code == 200
+
+
+def test_a_probe_with_two_statuses_keeps_its_first_by_time(spark):
+    rows = [cap("http://e.com/a", kind="link", method="HEAD", status=200, ts_ms=9), cap("http://e.com/a", kind="link", method="HEAD", status=404, ts_ms=3)]
+    assert O.resolve_link_probe(captures(spark, rows)).first().status_code == 404
+
+
+def test_backoff_counts_an_attempt_once(spark):
+    """Repeats of attempts, in two spellings, add neither rows nor waits."""
+    rows = [cap("http://e.com/a", status=503, attempt=k, ts_ms=10 * k + r) for k in (0, 1, 2) for r in (0, 1)]
+    rows += [cap("http://e.com/a/", status=200, attempt=1, ts_ms=999)]
+    out = O.backoff_plan(captures(spark, rows), sites(spark, retries=2, delay_ms=100)).orderBy("attempt").collect()
+    once = O.backoff_plan(captures(spark, rows[0:6:2]), sites(spark, retries=2, delay_ms=100)).orderBy("attempt").collect()
+    assert [(r.attempt, r.wait_ms, r.cum_wait_ms) for r in out] == [(r.attempt, r.wait_ms, r.cum_wait_ms) for r in once]
+    assert [(r.attempt, r.wait_ms) for r in out] == [(0, 0.0), (1, 100.0), (2, 0.0)]
+
+
+def test_tied_bodies_give_one_extraction(spark):
+    rows = [cap("http://e.com", body=html("B", '<a href="/b">b</a>')), cap("http://e.com", body=html("A", '<a href="/a">a</a>')),
+            cap("http://e.com", status=404, body=html("C", '<a href="/0">c</a>'))]
+    seen = set()
+    for order in (rows, rows[::-1], [rows[1], rows[2], rows[0]]):
+        page = run_audit(captures(spark, order), sites(spark, "http://e.com")).pages.first()
+        seen.add((page.http_status, page.seo.title))
+    assert seen == {(200, "A")}

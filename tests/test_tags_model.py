@@ -23,8 +23,6 @@ _fragment = st.one_of(
     _val.map(lambda v: f"<a data-x=it's href=\"{v}\">t</a>"),
     _val.map(lambda v: f"<a href='{v}' x'y>t</a>"),
     _val.map(lambda v: f'<a alt=John"s href="{v}">t</a>'),
-    _val.map(lambda v: f'<!--><a href="{v}">t</a>'),
-    _val.map(lambda v: f'<!---><a href="{v}">t</a>'),
     _val.map(lambda v: f'<![CDATA[<a href="{v}">'),
     _val.map(lambda v: f'<?php echo <a href="{v}"> ?>'),
     _val.map(lambda v: f'</ <a href="{v}">'),
