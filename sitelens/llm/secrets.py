@@ -2,9 +2,11 @@
 
 Three base kinds of matches are always reported.  Three weak kinds (named identifiers, random-looking
 keys, endpoints) are only reported when a complementary part lies within ``SCOPE`` code points of
-their start: an identifier needs a secret, a key needs an identifier, an endpoint needs both.  The
-interval join of the parts is a window over each document with a RANGE frame, so what is in reach of
-a part is counted without forming pairs.
+their start: an identifier needs a secret, a key needs an identifier, an endpoint needs both.  Parts are
+different places of the text: a part never supports one that it overlaps, a secret that overlaps an
+identifier is the identifier's own value, a key that overlaps an endpoint is its path, and neither is a part.  The interval join of the parts is a window
+over each document with RANGE frames: the nearest ends before a part and the farthest starts behind it say
+whether some part of a kind is in reach and disjoint, without forming pairs.
 
 Spark has no function for the place of a match; it follows from the lengths of the pieces between
 the matches, summed up within the document.  Only DataFrame functions are used, and the text is
@@ -72,16 +74,27 @@ def spans(found: DataFrame) -> DataFrame:
     before = Window.partitionBy("row_id", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     parts = parts.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(before)) \
         .where("counts").select("row_id", "kind", (F.col("end") - F.col("size")).alias("start"), "end")
-    near = Window.partitionBy("row_id").orderBy("start").rangeBetween(-SCOPE, SCOPE)
-
-    def reach(kinds) -> Column:
-        return F.max(F.col("kind").isin([ORDER[k] for k in kinds])).over(near)
+    kinds = {name: F.col("kind").isin([ORDER[k] for k in some]) for name, some in (("secret", SECRETS), ("identifier", IDENTIFIERS))}
+    by_start = Window.partitionBy("row_id").orderBy("start")
+    from_end = Window.partitionBy("row_id").orderBy(F.desc("start"))
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    def overlaps(which: Column) -> Column:
+        return F.coalesce(F.max(F.when(which, F.col("end"))).over(by_start.rangeBetween(*upto)) > F.col("start"), F.lit(False)) \
+            | F.coalesce(F.min(F.when(which, F.col("start"))).over(from_end.rangeBetween(*upto)) < F.col("end"), F.lit(False))
+
+    is_key = F.col("kind") == ORDER["key"]
+    parts = parts.withColumn("own", (kinds["secret"] & overlaps(kinds["identifier"])) | (is_key & overlaps(F.col("kind") == ORDER["endpoint"])))
+
+    def reach(name: str) -> Column:
+        counts = kinds[name] & ~F.col("own")
+        before = F.min(F.when(counts, F.col("end"))).over(by_start.rangeBetween(-SCOPE, 0)) <= F.col("start")
+        behind = F.max(F.when(counts, F.col("start"))).over(by_start.rangeBetween(0, SCOPE)) >= F.col("end")
+        return F.coalesce(before, F.lit(False)) | F.coalesce(behind, F.lit(False))
 
     kind = F.col("kind")
-    supported = (kind < len(BASE)) | ((kind == ORDER["id"]) & F.col("secret")) | ((kind == ORDER["key"]) & F.col("identifier")) \
+    supported = (kind < len(BASE)) | ((kind == ORDER["id"]) & F.col("secret")) | (is_key & ~F.col("own") & F.col("identifier")) \
         | ((kind == ORDER["endpoint"]) & F.col("secret") & F.col("identifier"))
-    return parts.withColumn("secret", reach(SECRETS)).withColumn("identifier", reach(IDENTIFIERS)) \
-        .where(supported).select("row_id", "kind", "start", "end")
+    return parts.withColumns({name: reach(name) for name in kinds}).where(supported).select("row_id", "kind", "start", "end")
 
 
 def report(docs: DataFrame) -> DataFrame:

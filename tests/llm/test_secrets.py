@@ -20,11 +20,15 @@ def brute(text):
                 ok = len(v) >= least
             if ok:
                 found.append((m.start(), secrets.ORDER[kind], m.end(), kind))
-    near = lambda s, kinds: any(abs(f[0] - s) <= secrets.SCOPE and f[3] in kinds for f in found)
+    overlap = lambda f, g: f[0] < g[2] and g[0] < f[2]
+    names = [f for f in found if f[3] in ("access", "id")]
+    urls = [f for f in found if f[3] == "endpoint"]
+    values = [f for f in found if f[3] in ("assign", "hex", "key") and not any(overlap(f, g) for g in names + urls * (f[3] == "key"))]
+    near = lambda f, parts: any(abs(f[0] - g[0]) <= 200 and not overlap(f, g) for g in parts)
     keep = []
     for f in sorted(found):
-        secret, identifier = near(f[0], secrets.SECRETS), near(f[0], secrets.IDENTIFIERS)
-        if f[3] in secrets.BASE or {"id": secret, "key": identifier, "endpoint": secret and identifier}[f[3]]:
+        secret, identifier = near(f, values), near(f, names)
+        if f[3] in secrets.BASE or {"id": secret, "key": identifier and f in values, "endpoint": secret and identifier}[f[3]]:
             keep.append(f)
     show = lambda fs: ",".join(f"{f[3]}:{f[0]}:{f[2]}" for f in fs)
     base = [f for f in keep if f[3] in secrets.BASE]
@@ -63,6 +67,15 @@ def test_weak_candidates_need_their_complement(spark):
     assert got[2] == "id:0:9,key:10:46" and got[4].startswith("endpoint:0:15,id:16:25") and got[6] == "access:0:20,key:21:57"
 
 
+def test_parts_are_different_places(spark):
+    """An identifier is not linked to its own value, a URL's path is no key beside a login, a part alone links nothing."""
+    hexes, key = "0123456789abcdef" * 2, "Zx9" * 12
+    rows = [(1, f"client_id={hexes}"), (2, f"account_id: {key}"), (3, f"https://h.org/{key} login=bob"), (4, f"client_id={hexes} https://h.org/x"),
+            (5, f"client_id={hexes} password=hunter22"), (6, f"login=bob {hexes} https://h.org/x"), (7, "login=bob password=hunter22")]
+    got = {r.doc_id: [x.split(":")[0] for x in r.spans.split(",") if x] for r in secrets.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ["hex"], 2: [], 3: [], 4: ["hex"], 5: ["id", "hex", "assign"], 6: ["id", "hex", "endpoint"], 7: ["id", "assign"]}
+
+
 def test_no_python_in_the_plan(spark):
     plan = secrets.report(cases.odd_docs(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
