@@ -71,20 +71,25 @@ class Postings:
         self.block_top = [max(impacts[k:k + BLOCK]) for k in range(0, len(units), BLOCK)]
 
 
+def unit_words(text: str) -> list[list[str]]:
+    words = words_of(text)
+    return [words[k:k + UNIT] for k in range(0, len(words), UNIT)]
+
+
 class Index:
-    def __init__(self, items: list[tuple[int, str]]):
+    """``statistics``: number of units, their mean length and each word's number of units, of the whole benchmark; else of these items."""
+
+    def __init__(self, items: list[tuple[int, str]], statistics: tuple[int, float, dict[str, int]] | None = None):
         self.item_of: list[int] = []
         self.parts = {i: tuple(map(shingles, question_answer(t))) for i, t in items}
         units = []
         for i, text in items:
-            words = words_of(text)
-            for k in range(0, len(words), UNIT):
-                units.append(Counter(words[k:k + UNIT]))
+            for words in unit_words(text):
+                units.append(Counter(words))
                 self.item_of.append(i)
         n, lens = len(units), [sum(u.values()) for u in units]
-        df = Counter(t for u in units for t in u)
-        idf = {t: math.log(1 + (n - d + 0.5) / (d + 0.5)) for t, d in df.items()}
-        mean = sum(lens) / n if n else 1
+        all_units, mean, df = statistics or (n, sum(lens) / n if n else 1, Counter(t for u in units for t in u))
+        idf = {t: math.log(1 + (all_units - df[t] + 0.5) / (df[t] + 0.5)) for u in units for t in u}
         found = defaultdict(lambda: ([], []))
         common_left = np.full(n, COMMON_SHARE)
         rarer: dict[str, list[tuple[int, float]]] = defaultdict(list)
@@ -214,15 +219,41 @@ class Index:
         return out
 
 
+WORD_ROWS = pa.schema([("shard", pa.int32()), ("word", pa.string()), ("units", pa.int64()), ("total", pa.int64())])
+
+
 def indexes(benchmark: DataFrame):
-    """One index a shard of the items; a shard's size is bounded whatever the benchmark's."""
+    """One index a shard of the items, whose size is bounded whatever the benchmark's.
+
+    Number of units, mean length and document frequencies are aggregated by Spark over all items, so scores do not
+    depend on how the benchmark is sharded; a shard gets the frequencies of its own words.
+    """
+    spark = common.session(benchmark)
     items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()) \
         .groupBy(F.col("item_id").cast("long").alias("item_id")).agg(F.max("text").alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     shards = -(-size // SHARD_BYTES)
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(max(1, shards))).cast("int"))
+
+    def counted(batches):
+        for shard, texts in common.arrow_rows(batches, ("shard", "text")):
+            for s, text in zip(shard, texts):
+                units = unit_words(text)
+                df = Counter(w for u in units for w in set(u))
+                # the empty word carries the number of units and of words
+                yield common.record_batch(WORD_ROWS, [s] * (len(df) + 1), ["", *df], [len(units), *df.values()], [sum(map(len, units))] + [0] * len(df))
+
+    words = items.mapInArrow(counted, "shard int, word string, units long, total long") \
+        .groupBy("shard", "word").agg(F.sum("units").alias("units"), F.sum("total").alias("total"))
+    if shards > 1:
+        words = common.stage(words, "benchmark-words")
+        every = words.groupBy("word").agg(F.sum("units").alias("units"), F.sum("total").alias("total"))
+        words = common.stage(words.select("shard", "word").join(every, "word"), "benchmark-statistics")
     for k in range(shards):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == k).collect()
-        yield Index(sorted((r[0], r[1]) for r in rows))
+        df = {r.word: (r.units, r.total) for r in words.where(F.col("shard") == k).collect()}
+        units, total = df.pop("", (0, 0))
+        rows = items.where(F.col("shard") == k).collect()
+        yield Index(sorted((r.item_id, r.text) for r in rows), (units, total / units if units else 1, {w: n for w, (n, _) in df.items()}))
 
 
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -50,6 +50,21 @@ def test_shards_find_the_same(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in got} == brute(documents(), ITEMS)
 
 
+def test_scores_do_not_depend_on_the_shards(spark, monkeypatch):
+    """Impacts of every item, and the scores of partial copies, from one shard and from many."""
+    docs = spark.createDataFrame(documents(), "doc_id long, text string").repartition(2)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    pairs = lambda: {(r.doc_id, r.item_id): round(r.score, 9) for r in D.find(docs, items).collect()}
+    impacts = lambda: sorted((t, i.item_of[u], round(x, 9)) for i in D.indexes(items) for t, p in i.postings.items() for u, x in zip(p.units, p.impacts))
+    once = pairs(), impacts()
+    alone = sorted((t, i.item_of[u], round(x, 9)) for i in [D.Index(sorted({r for r in ITEMS if r[0] and r[1]}))] for t, p in i.postings.items()
+                   for u, x in zip(p.units, p.impacts))
+    assert once[1] == alone
+    monkeypatch.setattr(D, "SHARD_BYTES", 400)
+    assert len(list(D.indexes(items))) > 3
+    assert (pairs(), impacts()) == once
+
+
 def test_wand_and_bound_against_full_scores():
     index = D.Index([(k, cases.prose(k, 10 + k, 150)) for k in range(80)])
     r = random.Random(3)
