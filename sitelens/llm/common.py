@@ -86,6 +86,12 @@ def bounded_ids(rows: DataFrame, stratum: str, per_stratum: int | dict) -> list[
     return out
 
 
+def one_text_an_id(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents in ``ids``, a bounded table; of several texts with one id the one with the least hash."""
+    rows = id_text(docs).join(F.broadcast(ids), "doc_id", "left_semi")
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+
+
 def arrow_rows(batches, columns):
     """Python values of the named columns of every Arrow batch, as tuples of lists."""
     for b in batches:

@@ -166,8 +166,7 @@ def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Network | None:
             yield common.record_batch(schema, [i for i, _ in out], [w for _, w in out])
 
     ids = spark.createDataFrame(chosen, "doc_id long, lang string")
-    rows = (common.id_text(labelled.where(F.col("text").rlike(r"\p{L}"))).join(F.broadcast(ids), "doc_id", "left_semi")
-            .mapInArrow(cut, "doc_id long, window binary").limit(len(chosen) * WINDOWS_PER_DOC).collect())
+    rows = common.one_text_an_id(labelled.where(F.col("text").rlike(r"\p{L}")), ids).mapInArrow(cut, "doc_id long, window binary").collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r[0], bytes(r[1])))
@@ -195,8 +194,8 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
     return scored.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language with a score of ``least`` or more."""
+def keep_identified(docs: DataFrame, net: Network | None, least: float = 0.0) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not ``und`` and whose language scores ``least`` or more."""
     spark = common.session(docs)
     sent = spark.sparkContext.broadcast(net)
     letters = common.fresh(docs, "letters")

@@ -105,8 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: dict[int, int] = SAMPLE)
             yield common.record_batch(schema, ids, [slots(t, hashes).tobytes() for t in texts])
 
     ids = spark.createDataFrame(chosen, "doc_id long, toxic int")
-    seen = (common.id_text(docs).join(F.broadcast(ids), "doc_id", "left_semi")
-            .mapInArrow(features, "doc_id long, slots binary").limit(len(chosen)).collect())
+    seen = common.one_text_an_id(docs, ids).mapInArrow(features, "doc_id long, slots binary").collect()
     if not seen:
         return None
     seen.sort(key=lambda r: (r[0], bytes(r[1])))

@@ -28,8 +28,7 @@ def test_stages_one_after_the_other(spark):
             assert set(rows) <= set(before) and len(rows) == len({r.doc_id for r in rows})
         if name == "language_id":
             gone = {r.doc_id for r in before} - {r.doc_id for r in rows}
-            assert len(gone) <= 0.02 * len(before)
-            assert all(re.search(r"[^\W\d_]", r.text) for r in rows)
+            assert gone == {r.doc_id for r in before if not re.search(r"[^\W\d_]", r.text or "")}
         elif name == "exact_dedup":
             best = {}
             for r in before:
