@@ -12,32 +12,32 @@ from pyspark.sql import functions as F
 
 from sitelens.llm import bpe, common, decontaminate, exact_dedup, language_id, queries, simhash
 
-#: Least probability of the predicted language for a document to stay.
-LEAST_SCORE = 0.5
-
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents without a letter, or without a language that is likelier than not, go."""
-    return language_id.keep_identified(docs, language_id.fit(docs), LEAST_SCORE)
+    """Operator 8: documents that it calls ``und`` go: those without text or without a letter, and all where no language is learned.
+
+    Repeated rows are judged each on its own; an empty table gives none.
+    """
+    return language_id.keep_identified(docs, language_id.fit(docs))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: of documents with equal texts, the longest stays."""
+    """Operator 2: of documents with equal texts (null: empty) the longest stays, of ties the smallest doc_id, of repeated rows one."""
     return exact_dedup.drop_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: of documents that SimHash links connect, the one with the smallest doc_id stays."""
+    """Operator 6: of documents that SimHash links connect, the one with the smallest doc_id stays; texts without words are linked."""
     return simhash.drop_near_copies(docs)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: documents that hold a benchmark item go."""
+    """Operator 1: documents that hold a benchmark item go; null and empty texts hold none, an empty benchmark drops nothing."""
     return decontaminate.keep_clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: the ids of every text, and the digest of the bytes that they decode to."""
+    """Operator 10: the ids of every text (null or empty: none), and the digest of the bytes that they decode to."""
     encoded = bpe.encode(docs, queries.ranks_path(), queries.split_pattern(), lists=True)
     return encoded.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
