@@ -99,16 +99,16 @@ def _with_handles(edges: DataFrame) -> DataFrame:
                         F.col("lo").alias("h_lo"), F.col("hi").alias("h_hi"))
 
 
-def locate(pending: DataFrame, edges: DataFrame, deepest: int) -> DataFrame:
+def locate(pending: DataFrame, edges: DataFrame, widest: int) -> DataFrame:
     """Adds where each path leaves the trie: ``at`` (depth), ``edge`` (first key; null at a node) and its ``e_lo`` and ``e_hi``.
 
-    ``known``: a depth at which the path is known to be at an explicit node.
+    ``known``: a depth at which the path is known to be at an explicit node; no path is longer than that by more than ``widest``.
     """
     handles = _with_handles(edges)
     size = F.size("keys") - 1
     p = pending.withColumns({"a": F.col("known"), "b": size, "out": F.lit(False)})
     nowhere = F.concat("key", F.expr("x'00'"))           # no key of the trie, and spread
-    for _ in range(max(1, deepest.bit_length())):
+    for _ in range(1 + (widest - 1).bit_length()):      # the first probe halves nothing, each other one what is left
         going = ~F.col("out") & (F.col("a") < F.col("b"))
         p = p.withColumn("f", F.when(going, two_fattest(F.col("a"), F.col("b"))))
         p = p.withColumn("probe", F.when(F.col("f").isNotNull(), F.get("keys", F.col("f"))).otherwise(nowhere))
@@ -146,14 +146,14 @@ def split_edges(edges: DataFrame, cuts: DataFrame) -> DataFrame:
 def insert(edges: DataFrame | None, new: DataFrame) -> DataFrame:
     """The edges of the trie with the paths of ``new`` (key, keys, cums) in it; ``edges``: of an earlier call, None at first."""
     spark = new.sparkSession
-    pending = common.stage(new.select("key", "keys", "cums", F.lit(0).alias("known")).where(F.size("keys") > 1), "trie-pending")
+    pending = common.stage(new.select("key", "keys", F.lit(0).alias("known")).where(F.size("keys") > 1), "trie-pending")
     edges = edges if edges is not None else spark.createDataFrame([], EDGE)
-    while deepest := pending.agg(F.max(F.size("keys"))).first()[0]:
-        found = common.stage(locate(pending, edges, deepest - 1), "trie-located")
+    while widest := pending.agg(F.max(F.size("keys") - 1 - F.col("known"))).first()[0]:
+        found = common.stage(locate(pending, edges, widest), "trie-located")
         leaving = found.where(F.col("at") < F.size("keys") - 1)
         chosen = leaving.groupBy(F.get("keys", F.col("at") + 1).alias("first")).agg(
-            F.min_by(F.struct("key", "at", "keys", "cums"), F.struct(F.xxhash64("key"), "key")).alias("p"))
-        chosen = common.stage(chosen.select("first", "p.*"), "trie-chosen")
+            F.min(F.struct(F.xxhash64("key").alias("order"), "key", "at")).alias("p"))
+        chosen = common.stage(chosen.select("first", "p.key", "p.at").join(new.select("key", "keys", "cums"), "key"), "trie-chosen")
         at, n = F.col("at"), F.size("keys")
         grown = chosen.select(
             "first", F.col("at").alias("lo"), (n - 1).alias("hi"), F.slice("keys", at + 2, n).alias("keys"),
@@ -161,7 +161,7 @@ def insert(edges: DataFrame | None, new: DataFrame) -> DataFrame:
         cuts = found.where((F.col("e_lo") < at) & (at < F.col("e_hi"))).select("edge", "at").distinct()
         edges = common.stage(split_edges(edges, cuts).unionByName(grown), "trie-edges")
         pending = common.stage(leaving.join(chosen.select("key"), "key", "left_anti")
-                               .select("key", "keys", "cums", F.col("at").alias("known")), "trie-pending")
+                               .select("key", "keys", F.col("at").alias("known")), "trie-pending")
     return edges
 
 
