@@ -1,20 +1,21 @@
 """Link graph: classification, depth-limited BFS and work lists.
 
 ``crawl_depths`` is an iterative job of at most ``depth`` rounds for all sites at once.  Each round
-joins the current frontier with the pre-partitioned edge table, keeps unseen canonical URLs and
-writes the new level as a table in the shared folder (lineage stays one level deep and a lost
-executor only re-reads files; the table's size tells the next round how to join).  Whether a frontier is broadcast is left to AQE, which knows
-its size in bytes.
+joins the current frontier with the pre-partitioned edge table and anti-joins the candidates with the
+bucketed table of visited URLs, to which it appends its level (lineage stays one level deep and a lost
+executor only re-reads files).  Whether a frontier is broadcast is left to AQE, which knows its size in bytes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.functions import urls as U
 from sitelens.operators.canonical import dedupe_first
-from sitelens.session import store
+from sitelens.session import ensure_checkpoint_dir, store
 
 def _site_opts(sites: DataFrame) -> DataFrame:
     """One row a site: its host (parsed here once, not again for every link) and its depth limit."""
@@ -48,29 +49,54 @@ def crawl_depths(edges: DataFrame, sites: DataFrame, num_partitions: int | None
     Each canonical URL is visited once, at its minimum depth.
     """
     e = store(crawlable_edges(edges, sites, num_partitions), "edges")
-    opts = _site_opts(sites)
+    opts = _site_opts(sites).select("site_id", "limit")
     max_limit = opts.agg(F.max("limit")).first()[0] or 0
-    frontier = store(opts.select(
-        "site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"), F.lit(0).alias("depth"), "limit"), "level")
-    levels = [frontier]
+    roots = sites.select("site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"))
+    visited = Visited(sites.sparkSession)
+    visited.append(roots, 0)
     # a level at depth d expands only where the site's limit exceeds d + 1
     for d in range(max_limit - 1):
-        f = frontier.filter(F.col("limit") > d + 1)
+        f = visited.level(d).join(opts.filter(F.col("limit") > d + 1), "site_id", "left_semi")
         cand = e.alias("e").join(f.alias("f"), (F.col("e.site_id") == F.col("f.site_id")) & (F.col("e.src") == F.col("f.norm_url"))) \
-            .select(F.col("e.site_id").alias("site_id"), F.col("e.dst").alias("norm_url"), F.col("f.limit").alias("limit")) \
-            .distinct()
-        seen = levels[0].select("site_id", "norm_url")
-        for lv in levels[1:]:
-            seen = seen.unionByName(lv.select("site_id", "norm_url"))
-        frontier = store(cand.join(seen, ["site_id", "norm_url"], "left_anti")
-                         .select("site_id", "norm_url", F.lit(d + 1).alias("depth"), "limit"), "level")
-        if frontier.isEmpty():
+            .select(F.col("e.site_id").alias("site_id"), F.col("e.dst").alias("norm_url")).distinct()
+        visited.append(visited.unseen(cand), d + 1)
+        if visited.level(d + 1).isEmpty():
             break
-        levels.append(frontier)
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out.select("site_id", "norm_url", F.col("depth").cast("int").alias("depth"))
+    return visited.close()
+
+
+class Visited:
+    """The URLs that a crawl has reached, in a table bucketed and sorted by (site_id, norm_url).
+
+    Every round anti-joins its candidates with the table bucket by bucket and appends its level, so what was
+    reached before is read but never shuffled again, however deep the crawl goes.
+    """
+
+    KEYS = ["site_id", "norm_url"]
+    COLUMNS = "site_id string, norm_url string, depth int"
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.name = f"visited_{uuid.uuid4().hex}"
+        self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored/{self.name}"
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.sql(f"CREATE TABLE {self.name} ({self.COLUMNS}) USING parquet LOCATION '{self.path}' "
+                  f"CLUSTERED BY ({', '.join(self.KEYS)}) SORTED BY ({', '.join(self.KEYS)}) INTO {self.buckets} BUCKETS")
+
+    def level(self, depth: int) -> DataFrame:
+        return self.spark.table(self.name).filter(F.col("depth") == depth).select(*self.KEYS)
+
+    def unseen(self, candidates: DataFrame) -> DataFrame:
+        return candidates.join(self.spark.table(self.name).select(*self.KEYS), self.KEYS, "left_anti")
+
+    def append(self, rows: DataFrame, depth: int) -> None:
+        rows.select(*self.KEYS, F.lit(depth).cast("int").alias("depth")).write.bucketBy(self.buckets, *self.KEYS).sortBy(*self.KEYS) \
+            .mode("append").format("parquet").option("path", self.path).saveAsTable(self.name)
+
+    def close(self) -> DataFrame:
+        """All levels, read from the files; the name leaves the catalogue."""
+        self.spark.sql(f"DROP TABLE {self.name}")
+        return self.spark.read.schema(self.COLUMNS).parquet(self.path)
 
 
 def classify_links(links: DataFrame, depths: DataFrame, sites: DataFrame) -> DataFrame:
