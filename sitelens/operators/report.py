@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
+from sitelens import schemas
 from sitelens.functions import status as S
 from sitelens.session import store
 
@@ -127,6 +129,82 @@ def write_report(report: DataFrame, path: str) -> None:
     report.repartitionByRange("site_id", "ord").sortWithinPartitions("site_id", "ord").write.mode("overwrite").parquet(path)
 
 
+INDENT = "  "
+
+# Characters that the reference's JSON writes as escapes inside strings (fixed values).
+ESCAPED = {"&": "\\u0026", "<": "\\u003c", ">": "\\u003e", "\u2028": "\\u2028", "\u2029": "\\u2029"}
+
+# A page as its JSON has it: times are text there.
+PAGE_TEXT = StructType([StructField(f.name, StringType()) if f.name == "discovered_at" else f for f in schemas.PAGE])
+
+
+def _escaped(text: Column) -> Column:
+    for plain, escape in ESCAPED.items():
+        text = F.replace(text, F.lit(plain), F.lit(escape))
+    return text
+
+
+def indented_json(value: Column, dtype: DataType, level: int = 0, kept: tuple[str, ...] = ()) -> Column:
+    """A value as indented JSON text, its first line at ``level``; null fields are left out unless ``kept``."""
+    line, end = "\n" + INDENT * (level + 1), "\n" + INDENT * level
+    if isinstance(dtype, StructType):
+        fields = []
+        for f in dtype.fields:
+            text = F.concat(F.lit(f'"{f.name}": '), indented_json(value[f.name], f.dataType, level + 1, kept))
+            fields.append(F.coalesce(text, F.lit(f'"{f.name}": null')) if f.name in kept else text)
+        return F.when(value.isNotNull(), F.concat(
+            F.lit("{" + line), F.array_join(F.array(*fields), "," + line), F.lit(end + "}")))
+    if isinstance(dtype, ArrayType):
+        items = F.transform(value, lambda x: indented_json(x, dtype.elementType, level + 1, kept))
+        return F.when(F.size(value) == 0, F.lit("[]")).otherwise(
+            F.concat(F.lit("[" + line), F.array_join(items, "," + line), F.lit(end + "]")))
+    if isinstance(dtype, StringType):
+        text = F.to_json(F.array(value))
+        return F.when(value.isNotNull(), text.substr(F.lit(2), F.length(text) - 2))
+    return value.cast("string")
+
+
+def document_fragments(report: DataFrame, indent: bool = False) -> DataFrame:
+    """(site_id, ord, text): the report rows as the pieces of one JSON document a site.
+
+    A site's texts in order of ord, each followed by ``}``, are its document, compact or indented.  The first
+    piece holds the header and the first page, the last one the closing; no piece holds more than a page.
+    A site without pages has one piece with an empty list.  Strings are escaped as the reference does.
+    """
+    header = F.col("json")
+    head, between, close, empty = ',"pages":[', ",", "]", ',"pages":[]'
+    page = F.col("json")
+    if indent:
+        given = F.from_json("json", schemas.HEADER)
+        header = indented_json(given, schemas.HEADER)
+        page = indented_json(F.from_json("json", PAGE_TEXT), PAGE_TEXT, 2, kept=("broken_links",))
+        pad = "\n" + INDENT * 2
+        head, between, close, empty = f',\n{INDENT}"pages": [{pad}', "," + pad, f"\n{INDENT}]\n", f',\n{INDENT}"pages": []\n'
+    pages = report.filter("ord >= 0").select("site_id", "ord", _escaped(page).alias("page"))
+    tops = report.filter("ord < 0").select("site_id", _escaped(header).alias("header"))
+    # what stands before the header's own brace: the line break of the indented form goes too
+    top = F.rtrim(F.regexp_replace("header", r"\s*\}$", ""))
+    body = F.col("page").substr(F.lit(1), F.length("page") - 1)
+    first = tops.join(pages.filter("ord = 0"), "site_id", "left")
+    last = F.lit((1 << 63) - 1)
+    opening = first.select("site_id", F.lit(-1).cast("long").alias("ord"),
+                           F.when(F.col("page").isNull(), F.concat(top, F.lit(empty))).otherwise(F.concat(top, F.lit(head), body)).alias("text"))
+    closing = first.filter(F.col("page").isNotNull()).select("site_id", last.alias("ord"), F.lit(close).alias("text"))
+    others = pages.filter("ord > 0").select("site_id", F.col("ord").cast("long"), F.concat(F.lit(between), body).alias("text"))
+    return opening.unionByName(others).unionByName(closing)
+
+
+def write_documents(report: DataFrame, path: str, indent: bool = False) -> None:
+    """One JSON document a site: the files of the folder ``site_id=...``, one after the other in order of name.
+
+    The pieces are partitioned by range, so many tasks write a large site's document and none holds it.
+    ``}`` ends each written row, so nothing stands between the pieces.
+    """
+    pieces = document_fragments(report, indent)
+    pieces.repartitionByRange("site_id", "ord").sortWithinPartitions("site_id", "ord").select("site_id", "text") \
+        .write.mode("overwrite").partitionBy("site_id").option("lineSep", "}").text(path)
+
+
 def site_document(rows) -> str:
     """One site's JSON document from its (ord, json) rows in order: what a consumer does with one site's lines."""
     rows = iter(rows)

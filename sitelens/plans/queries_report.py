@@ -209,6 +209,33 @@ def report_json(spark, sf_dir):
     return _report(spark, sf_dir).select("site_id", "ord", "json")
 
 
+@register("report_documents", oracle=f"""
+WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS},
+fields AS (
+  SELECT host, 'root_url' AS field, '"' || src || '"' AS value FROM pg WHERE k = 0
+  UNION ALL SELECT host, 'generated_at', '"{_GENERATED}"' FROM pg WHERE k = 0
+  UNION ALL SELECT host, 'page url', '"' || rows.url || '"' FROM rows
+  UNION ALL SELECT host, 'page depth', CAST(rows.depth AS VARCHAR) FROM rows
+  UNION ALL SELECT host, 'page http_status', CASE WHEN failed THEN '0' WHEN missing THEN '404' ELSE '200' END FROM rows
+  UNION ALL SELECT host, 'page status', CASE WHEN ok THEN '"ok"' ELSE '"error"' END FROM rows
+  UNION ALL SELECT host, 'page error', '"HTTP 503 (retriable)"' FROM rows WHERE failed
+  UNION ALL SELECT host, 'page broken_links', CASE WHEN br.js IS NOT NULL THEN '[' WHEN ok THEN '[]' ELSE 'null' END
+            FROM rows LEFT JOIN br ON br.src = rows.url
+  UNION ALL SELECT host, 'page discovered_at', '"' || found_at || '"' FROM rows)
+SELECT host AS site_id, field, replace(value, '&', '\\u0026') AS value, count(*) AS n FROM fields GROUP BY ALL""")
+def report_documents(spark, sf_dir):
+    """Indented documents, one a site, written and read back line by line: header and page fields with their values."""
+    path = scratch(spark, "documents")
+    R.write_documents(_report(spark, sf_dir), path, indent=True)
+    line = r'^( {2}| {6})"(\w+)": (.*?),?$'
+    part = [F.regexp_extract("value", line, k) for k in (1, 2, 3)]
+    field = F.concat(F.when(F.length(part[0]) == 6, F.lit("page ")).otherwise(F.lit("")), part[1])
+    rows = spark.read.text(path).select(F.col("site_id").cast("string").alias("site_id"), field.alias("field"), part[2].alias("value"))
+    return rows.filter(F.col("field").isin(
+        "root_url", "generated_at", "page url", "page depth", "page http_status", "page status", "page error",
+        "page broken_links", "page discovered_at")).groupBy("site_id", "field", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("report_json_fields", oracle=f"""
 WITH RECURSIVE {_CRAWL}, {_LINK_STATUS}, {_CHECKED}, {_BROKEN_PER_PAGE}, {_ROWS}
 SELECT host AS site_id, ord, rows.url, CASE WHEN failed THEN 'HTTP 503 (retriable)' END AS error,

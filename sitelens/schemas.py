@@ -29,4 +29,7 @@ PAGE = T.StructType([
     T.StructField("discovered_at", TS), T.StructField("seo", SEO),
 ])
 
+# the first row of a site's report: its JSON object without pages
+HEADER = _struct(("root_url", S), ("depth", I), ("generated_at", S))
+
 REPORT = _struct(("site_id", S), ("root_url", S), ("depth", I), ("generated_at", TS), ("pages", T.ArrayType(PAGE)))

@@ -1,5 +1,6 @@
 """S4 sink and the table-level extraction operators."""
 
+import glob
 import json
 
 from pyspark.sql import functions as F
@@ -43,6 +44,53 @@ def test_large_site_keeps_every_page_in_order(spark):
     assert got.filter("ord = u").count() == n and rows.count() == n + 1
 
 
+def _documents(path):
+    """Each site's document: its files in order of name, joined."""
+    out = {}
+    for folder in sorted(glob.glob(path.removeprefix("file:") + "/site_id=*")):
+        out[folder.rsplit("=", 1)[1]] = "".join(open(f, newline="").read() for f in sorted(glob.glob(folder + "/part-*")))
+    return out
+
+
+def test_documents_compact_and_indented(spark):
+    rows = [cap("http://example.com", site="w1", body=html("A <b> & \"c\"", '<a href="/x?a=1&b=2">x</a><img src="/i.png">')),
+            cap("http://example.com/x?a=1&b=2", kind="link", method="HEAD", status=500, ctype=None, site="w1")]
+    caps = spark.createDataFrame(rows, schemas.CAPTURES)
+    sites = spark.createDataFrame([("w1", "http://example.com", 1, 1, 0, 0, "", None), ("w2", "http://none.com", 1, 1, 0, 0, "", None)],
+                                  schemas.SITES)
+    _, report = audit(caps, sites, "2024-01-02 00:00:00")
+    rows = report.orderBy("site_id", "ord").collect()
+    for indent in (False, True):
+        out = scratch(spark, "t-documents")
+        R.write_documents(report, out, indent=indent)
+        got = _documents(out)
+        assert set(got) == {"w1", "w2"}
+        for site, text in got.items():
+            value = json.loads(R.site_document((r.ord, r.json) for r in rows if r.site_id == site))
+            form = {"indent": 2} if indent else {"separators": (",", ":")}
+            expected = json.dumps(value, ensure_ascii=False, **form)
+            for plain, escape in R.ESCAPED.items():
+                expected = expected.replace(plain, escape)
+            assert text == expected
+
+
+def test_a_large_site_is_one_document_from_many_tasks(spark):
+    n = 20_000
+    page = F.format_string('{"url":"http://b/%07d","depth":0,"http_status":0,"status":"error","broken_links":null,"assets":[],'
+                           '"seo":{"has_title":false}}', "id")
+    report = spark.range(n).select(F.lit("big").alias("site_id"), F.col("id").alias("ord"), page.alias("json")).unionByName(
+        spark.createDataFrame([("big", -1, '{"root_url":"http://b/","depth":3,"generated_at":"x"}')], "site_id string, ord long, json string"))
+    for indent in (False, True):
+        out = scratch(spark, "t-large")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")   # as if the pieces were many
+        R.write_documents(report, out, indent=indent)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert len(glob.glob(out.removeprefix("file:") + "/site_id=big/part-*")) > 1
+        value = json.loads(_documents(out)["big"])
+        assert [p["url"] for p in value["pages"]] == [f"http://b/{k:07d}" for k in range(n)]
+        assert value["pages"][0]["broken_links"] is None and value["depth"] == 3
+
+
 def test_table_level_extraction(spark):
     df = spark.createDataFrame([(1, "http://h.com/a/", '<a href="b">b</a><img src="/i.gif"><title>x</title>', "text/html")],
                                "id int, url string, body string, content_type string")
