@@ -99,16 +99,18 @@ def backoff_plan(attempts: DataFrame, sites: DataFrame) -> DataFrame:
 def _probe_pivot(probes: DataFrame, extra: list[str]) -> DataFrame:
     """HEAD and GET results side by side per (site, norm_url)."""
     p = with_norm(probes)
-    cols = ["status_code", "error", *extra]
+    streamed = "arrived" in p.columns
+    cols = ["status_code", "error", *extra, *(["arrived"] if streamed else [])]
 
     def pick(method):
         m = F.col("method") == method
-        order = F.struct(*[c for c in ("fetched_at", "url", *cols) if c in p.columns])
+        order = F.struct(*[c for c in ("arrived", "fetched_at", "url", *cols) if c in p.columns])
         return F.min_by(F.when(m, F.struct(*cols)), F.when(m, order))
 
     # a single capture per method is expected; of repeats the first by time counts (one without a time before all others),
-    # and equal times are decided by the rest of the capture
-    return p.groupBy(*_KEYS).agg(pick("HEAD").alias("head"), pick("GET").alias("get"), F.min("url").alias("url"))
+    # and equal times are decided by the rest of the capture; in a stream, the first batch with one counts
+    return p.groupBy(*_KEYS).agg(pick("HEAD").alias("head"), pick("GET").alias("get"), F.min("url").alias("url"),
+                                 *([F.max("arrived").alias("arrived")] if streamed else []))
 
 
 def _head_stands(head):
@@ -123,14 +125,23 @@ def _resolved():
 def resolve_link_probe(probes: DataFrame) -> DataFrame:
     """HEAD result unless it errored or returned 405/501, then the GET result; both failing ->
     status 0 and 'both HEAD and GET requests failed: <GET error>'.  A URL whose HEAD failed and whose
-    GET is not captured (yet) has no result: it is left out, like one that was never probed."""
+    GET is not captured (yet) has no result: it is left out, like one that was never probed.
+
+    Probes of a stream carry ``arrived``, their batch; then ``decided`` is the batch from which on the URL
+    is broken, if it is, and ``arrived`` the last batch that touched it."""
     pv = _probe_pivot(probes, []).filter(_resolved())
     head, get = F.col("head"), F.col("get")
     get_ok = get.isNotNull() & get["error"].isNull()
     status = F.when(_head_stands(head), head["status_code"]).when(get_ok, get["status_code"]).otherwise(F.lit(0))
     err = F.when(_head_stands(head) | get_ok, F.lit("")).otherwise(
         F.concat(F.lit("both HEAD and GET requests failed: "), get["error"]))
-    return pv.select(*_KEYS, "url", status.cast("int").alias("status_code"), err.alias("error"))
+    out = [*_KEYS, "url", status.cast("int").alias("status_code"), err.alias("error")]
+    if "arrived" not in pv.columns:
+        return pv.select(*out)
+    # a GET that came first and was broken made the URL broken before its HEAD came; else the capture that counts did
+    early = get_ok & S.is_broken(get["status_code"], F.lit("")) | get["error"].isNotNull()
+    early = F.coalesce(early & (get["arrived"] < head["arrived"]), F.lit(False))
+    return pv.select(*out, F.when(_head_stands(head) & ~early, head["arrived"]).otherwise(get["arrived"]).alias("decided"), "arrived")
 
 
 def resolve_asset_probe(probes: DataFrame, size_cap: int | None = None) -> DataFrame:

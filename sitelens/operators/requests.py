@@ -1,8 +1,8 @@
 """Request-log audits: pacing plan, spacing statistics, request counts, user agents.
 
 A single site may own a large share of all requests, so nothing here opens one window partition
-per site: ordinal positions and consecutive gaps are computed per (site, bucket) and stitched
-together with a small per-bucket table.
+per site: ordinal positions are computed per (site, bucket), consecutive gaps per part of a range
+partitioning, and both are stitched together with a small table.
 """
 
 from __future__ import annotations
@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitelens.session import store
+
 SEQ_BUCKET = 1 << 20      # sequence numbers per bucket in the pacing prefix
-TIME_BUCKET_MS = 60_000   # time bucket for consecutive-gap statistics
 
 
 def pacing_interval_ms(sites: DataFrame) -> DataFrame:
@@ -48,25 +49,26 @@ def epoch_ms(df: DataFrame, col: str):
     return F.unix_micros(F.col(col).cast("timestamp")) / 1000.0
 
 
-def request_intervals(log: DataFrame, bucket_ms: int = TIME_BUCKET_MS) -> DataFrame:
+def request_intervals(log: DataFrame) -> DataFrame:
     """per site n, min / avg gap between consecutive requests and total span (ms).
 
-    avg gap telescopes to span / (n - 1); the min gap is the smaller of gaps inside each time
-    bucket (window per (site, bucket)) and gaps across bucket borders (per-bucket min/max table).
+    Requests of one instant are counted together first (their gap is 0).  The instants are then split by
+    range of (site, time) into parts of about equal size, so a busy site, or one busy second of it, is
+    spread over many tasks; the gap between two parts comes from a table of one row a part and site.
+    The avg gap telescopes to span / (n - 1).
     """
-    ms = epoch_ms(log, "fetched_at")
-    t = log.select("site_id", ms.alias("_t")).withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_ms)))
-    inner = t.withColumn("_gap", F.col("_t") - F.lag("_t").over(Window.partitionBy("site_id", "_b").orderBy("_t"))) \
-        .groupBy("site_id").agg(F.min("_gap").alias("_inner_min"))
-    per_bucket = t.groupBy("site_id", "_b").agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"),
-                                               F.count(F.lit(1)).alias("_n"))
-    border = per_bucket.withColumn("_gap", F.col("_lo") - F.lag("_hi").over(Window.partitionBy("site_id").orderBy("_b"))) \
-        .groupBy("site_id").agg(F.min("_gap").alias("_border_min"), F.sum("_n").alias("n"),
-                                F.min("_lo").alias("_first"), F.max("_hi").alias("_last"))
-    j = border.join(inner, "site_id", "left")
+    instants = log.select("site_id", epoch_ms(log, "fetched_at").alias("_t")).groupBy("site_id", "_t").agg(F.count(F.lit(1)).alias("_n"))
+    parts = store(instants.repartitionByRange("site_id", "_t").withColumn("_part", F.spark_partition_id()), "instants")
+    order = Window.partitionBy("site_id", "_part").orderBy("_t")
+    gap = F.when(F.col("_n") > 1, F.lit(0.0)).otherwise(F.col("_t") - F.lag("_t").over(order))
+    per_part = parts.withColumn("_gap", gap).groupBy("site_id", "_part").agg(
+        F.min("_gap").alias("_inner"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"), F.sum("_n").alias("_n"))
+    border = F.col("_lo") - F.lag("_hi").over(Window.partitionBy("site_id").orderBy("_part"))
+    j = per_part.withColumn("_border", border).groupBy("site_id").agg(
+        F.least(F.min("_inner"), F.min("_border")).alias("min_interval_ms"), F.sum("_n").alias("n"),
+        F.min("_lo").alias("_first"), F.max("_hi").alias("_last"))
     span = F.col("_last") - F.col("_first")
-    return j.select("site_id", F.col("n").cast("long").alias("n"),
-                    F.least(F.col("_inner_min"), F.col("_border_min")).alias("min_interval_ms"),
+    return j.select("site_id", F.col("n").cast("long").alias("n"), "min_interval_ms",
                     F.when(F.col("n") > 1, span / (F.col("n") - 1)).alias("avg_interval_ms"),
                     span.alias("span_ms"))
 

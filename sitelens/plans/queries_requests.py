@@ -45,7 +45,7 @@ SELECT CAST(site_id AS VARCHAR) AS site_id, CAST(count(*) AS BIGINT) AS n, min(g
 FROM g GROUP BY site_id""")
 def request_intervals(spark, sf_dir):
     """spacing statistics per site (what the reference's pacing tests assert on)."""
-    return Q.request_intervals(_log(spark, sf_dir), bucket_ms=6 * 3600 * 1000)
+    return Q.request_intervals(_log(spark, sf_dir))
 
 
 @register("request_counts", oracle=f"""

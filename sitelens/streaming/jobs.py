@@ -2,7 +2,8 @@
 
 Every job reads files with ``readStream`` and writes parquet with ``writeStream`` (or
 ``foreachBatch`` when one micro-batch feeds several tables or needs the stored state of earlier
-batches).  ``foreachBatch`` output goes to one folder per epoch written with ``overwrite`` in one
+batches).  What a job must know of earlier batches about a key (T1, T3) lies in the state store, one row
+a key, so a batch reads the state of its own keys.  ``foreachBatch`` output goes to one folder per epoch written with ``overwrite`` in one
 commit, and a batch reads only earlier epochs of what it writes, so an epoch replayed after a failure
 gives the same rows again.  Every such table starts with an empty epoch -1: a read that fails is an
 error, never taken for a first batch.  Sinks and streaming checkpoints live under the shared folder
@@ -16,12 +17,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from sitelens.operators import extract as X
 from sitelens.operators import graph as G
 from sitelens.operators import outcomes as O
 from sitelens.operators import report as R
+from sitelens.functions import status as S
 from sitelens.functions import urls as U
 from sitelens.session import ensure_checkpoint_dir, store
 
@@ -61,46 +62,38 @@ def _run(writer) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-CLAIM_BUCKETS = 64
+def with_arrival(stream: DataFrame) -> DataFrame:
+    """``arrived``: the time of the row's micro-batch, the same for all its rows and when it is replayed."""
+    return stream.withColumn("arrived", F.current_timestamp())
 
 
-def stream_claims(stream: DataFrame, root: str, mode: str = "table", watermark: str | None = None) -> str:
+def stream_claims(stream: DataFrame, root: str, mode: str = "keyed", watermark: str | None = None) -> str:
     """First-seen (site, canonical URL) as captures arrive; returns the sink path.
 
-    ``mode="table"`` (default, skew-safe): each micro-batch first collapses its copies of a key by
-    partial aggregation (so a URL holding a third of the rows never lands whole in one task), then
-    keeps only keys absent from the claims of earlier epochs.  Claims are stored by the hash of the key
-    in ``CLAIM_BUCKETS`` folders, and a batch reads those its own keys fall into.  ``mode="state"``:
-    ``withWatermark`` + ``dropDuplicatesWithinWatermark``; the state is bounded by ``watermark``, which
-    has to be given.  Input needs (site_id, url, fetched_at); event time is cast to TIMESTAMP.
+    ``mode="keyed"`` (default): a streaming aggregation keeps each key's first capture, by batch, then time,
+    then URL, in the state store.  Copies collapse by partial aggregation before the shuffle, so a URL that
+    holds a third of the rows never lands whole in one task; a batch looks up its own keys only, however many
+    claims there are.  A key is emitted in the batch that saw it first.  The state holds one row a key for
+    good; a cluster keeps it on disk with the RocksDB provider (README).  ``mode="state"``: ``withWatermark``
+    + ``dropDuplicatesWithinWatermark``; the state is bounded by ``watermark``, which has to be given.  Input
+    needs (site_id, url, fetched_at); event time is cast to TIMESTAMP.
     """
     s = O.with_norm(stream.withColumn("fetched_at", F.col("fetched_at").cast("timestamp")))
-    out = f"{root}/claims"
+    out, keys = f"{root}/claims", ["site_id", "norm_url"]
     if mode == "state":
         if not watermark:
             raise ValueError("mode='state' needs a watermark: it bounds the state")
-        claims = s.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(["site_id", "norm_url"]) \
-            .select("site_id", "norm_url", "url", "fetched_at")
+        claims = s.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(keys) \
+            .select(*keys, "url", "fetched_at")
         _run(claims.writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", f"{root}/_ckpt_claims").outputMode("append"))
         return out
-    spark = stream.sparkSession
-    keys = ["site_id", "norm_url"]
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(CLAIM_BUCKETS)).cast("int")
-    columns = [s.schema[c] for c in (*keys, "url", "fetched_at")]
-    spark.createDataFrame([], StructType(columns)).withColumn("bucket", bucket) \
-        .write.mode("overwrite").parquet(_epoch_dir(out, -1, "bucket=0"))
-
-    def sink(batch: DataFrame, epoch: int) -> None:
-        first = store(batch.groupBy(*keys).agg(F.min(F.struct("fetched_at", "url")).alias("c"))
-                      .select(*keys, "c.url", "c.fetched_at").withColumn("bucket", bucket), "batch-claims")
-        own = [r[0] for r in first.select("bucket").distinct().collect()]
-        known = spark.read.schema(StructType(columns)).option("basePath", out).parquet(out)
-        known = known.filter((F.col("epoch") < epoch) & F.col("bucket").isin(own)).select(*keys)
-        new = first.join(known, keys, "left_anti")
-        new.write.mode("overwrite").partitionBy("bucket").parquet(_epoch_dir(out, epoch))
-
-    _run(s.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_claims"))
+    seen = with_arrival(s).groupBy(*keys).agg(
+        F.min(F.struct("arrived", "fetched_at", "url")).alias("first"), F.max("arrived").alias("last"))
+    claims = seen.filter(F.col("first.arrived") == F.col("last")).select(*keys, "first.url", "first.fetched_at")
+    _create(stream.sparkSession, out, claims.schema)
+    _run(claims.writeStream.outputMode("update").foreachBatch(lambda batch, epoch: _write(batch, out, epoch))
+         .option("checkpointLocation", f"{root}/_ckpt_claims"))
     return out
 
 
@@ -125,34 +118,25 @@ def stream_extract(stream: DataFrame, root: str, keys: list[str], url_col: str =
 def stream_broken_links(links_static: DataFrame, probes_stream: DataFrame, root: str) -> str:
     """As probe captures land, emit broken (page, link) pairs exactly once.
 
-    Each batch appends its probes to a probe table, takes from the table the probes of the URLs that it
-    touched (a GET may arrive in a later batch than its HEAD), resolves those, joins the broken ones
-    with the page links and appends the pairs not emitted before.  A URL whose HEAD failed and whose GET
-    has not come yet is not resolved and emits nothing.  The page links are stored once.
+    The first HEAD and GET of each URL are kept in the state store by a streaming aggregation (a GET may
+    arrive in a later batch than its HEAD); a batch looks up only the URLs that it touches.  The URLs whose
+    outcome turned broken in this batch are joined with the page links, which are stored once.  A URL whose
+    HEAD failed and whose GET has not come yet is not resolved and emits nothing.  Of several captures of one
+    method the first to arrive counts, and in one batch the first by time.
     """
-    probe_tbl, out = f"{root}/probes", f"{root}/broken"
+    out = f"{root}/broken"
     spark = links_static.sparkSession
-    keys, pair = ["site_id", "norm_url"], ["site_id", "page_norm", "pos", "link"]
     links = store(links_static, "page-links")
-    _create(spark, probe_tbl, O.with_norm(probes_stream).schema)
-    _create(spark, out, R.broken_links(links, O.resolve_link_probe(_as_batch(probes_stream))).schema)
+    status = O.resolve_link_probe(with_arrival(probes_stream))
+    turned = status.filter(S.is_broken(F.col("status_code"), F.col("error")) & (F.col("decided") == F.col("arrived"))) \
+        .drop("decided", "arrived")
+    _create(spark, out, R.broken_links(links, spark.createDataFrame([], turned.schema)).schema)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        _write(O.with_norm(batch), probe_tbl, epoch)
-        own = spark.read.parquet(_epoch_dir(probe_tbl, epoch))
-        touched = own.select(*keys).distinct()
-        stored = _earlier(spark, probe_tbl, epoch).join(touched, keys, "left_semi").unionByName(own)
-        broken = R.broken_links(links, O.resolve_link_probe(stored.drop("norm_url")))
-        done = _earlier(spark, out, epoch).select(*pair)
-        _write(broken.join(done, pair, "left_anti"), out, epoch)
-
-    _run(probes_stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_broken"))
-    return out
+        _write(R.broken_links(links, batch), out, epoch)
 
-
-def _as_batch(stream: DataFrame) -> DataFrame:
-    """An empty batch frame with the stream's columns."""
-    return stream.sparkSession.createDataFrame([], stream.schema)
+    _run(turned.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_broken"))
+    return out
 
 
 FRONTIER = "site_id string, norm_url string, depth int"

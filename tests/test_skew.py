@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sitelens.operators import requests as Q
+from sitelens.session import store
 
 
 def test_pacing_prefix_equals_single_window(spark):
@@ -26,10 +27,32 @@ def test_interval_stats_equal_single_window(spark):
     rows = [("hot", t0 + dt.timedelta(milliseconds=37 * i + (i % 3) * 5)) for i in range(2000)]
     rows += [("cold", t0 + dt.timedelta(seconds=s)) for s in (0, 5, 6, 60)]
     log = spark.createDataFrame(rows, "site_id string, fetched_at timestamp")
-    got = {r.site_id: r for r in Q.request_intervals(log, bucket_ms=1000).collect()}
+    got = {r.site_id: r for r in Q.request_intervals(log).collect()}
     for site in ("hot", "cold"):
         ts = sorted(t for s, t in rows if s == site)
         gaps = [(b - a).total_seconds() * 1000 for a, b in zip(ts, ts[1:])]
         assert got[site].n == len(ts)
         assert abs(got[site].min_interval_ms - min(gaps)) < 1e-6
         assert abs(got[site].span_ms - (ts[-1] - ts[0]).total_seconds() * 1000) < 1e-6
+
+
+def test_one_busy_second_is_split(spark, monkeypatch):
+    """90 % of all requests in one second of one site: many parts, none with much more than its share, same numbers."""
+    from sitelens.operators import requests
+    n = 40_000
+    t0 = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp")
+    micros = F.when(F.col("id") % 10 > 0, F.col("id") * 7 % 999_983).otherwise(F.col("id") * 60_000_000)
+    log = spark.range(n).select(F.lit("hot").alias("site_id"), F.timestamp_micros(F.unix_micros(t0) + micros).alias("fetched_at")).unionByName(
+        spark.range(1).select(F.lit("one").alias("site_id"), t0.alias("fetched_at")))
+    kept = []
+    monkeypatch.setattr(requests, "store", lambda df, name: kept.append(store(df, name)) or kept[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")    # as if the requests were many; 4 is the session's number
+    got = {r.site_id: r for r in Q.request_intervals(log).collect()}
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in kept[0].groupBy("_part").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    ref = log.filter("site_id = 'hot'").withColumn("t", F.unix_micros("fetched_at")).withColumn(
+        "gap", F.col("t") - F.lag("t").over(Window.orderBy("t"))).agg(F.min("gap").alias("gap"), (F.max("t") - F.min("t")).alias("span")).first()
+    assert (got["hot"].n, got["hot"].span_ms) == (n, ref.span / 1000)
+    assert abs(got["hot"].min_interval_ms - ref.gap / 1000) < 1e-3      # epoch milliseconds as doubles
+    assert (got["one"].n, got["one"].min_interval_ms, got["one"].avg_interval_ms, got["one"].span_ms) == (1, None, None, 0)

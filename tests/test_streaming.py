@@ -21,7 +21,7 @@ def test_stream_claims_equal_batch_first_claims(spark):
         .write.parquet(f"{root}/in")
     batch = CN.dedupe_first(O.with_norm(spark.read.parquet(f"{root}/in")), ["site_id", "norm_url"], ["fetched_at"])
     want = {(r.site_id, r.norm_url) for r in batch.collect()}
-    for mode in ("table", "state"):
+    for mode in ("keyed", "state"):
         stream = spark.readStream.schema("site_id string, url string, fetched_at timestamp") \
             .option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
         path = T.stream_claims(stream, f"{root}/{mode}", mode=mode, watermark="3650 days" if mode == "state" else None)
@@ -66,6 +66,45 @@ def test_stream_broken_links_waits_for_the_get(spark):
     assert sorted(r.link for r in batch.collect()) == sorted(r.link for r in out.collect())
 
 
+PROBE = "site_id string, url string, method string, status_code int, error string, fetched_at timestamp"
+
+
+def test_the_state_of_probes_outlives_the_query(spark):
+    """One run a batch: every pair once, whichever of HEAD and GET comes first, and nothing stored but state and result."""
+    root = T.scratch(spark, "t-state")
+    late = T0 + dt.timedelta(seconds=9)
+    batches = [[("s", "http://h.com/0", "GET", 404, None, T0), ("s", "http://h.com/1", "HEAD", 501, None, T0),
+                ("s", "http://h.com/2", "HEAD", 404, None, T0), ("s", "http://h.com/4", "GET", 200, None, T0),
+                ("s", "http://h.com/5", "GET", 410, None, T0), ("s", "http://h.com/6", "HEAD", None, "reset", T0)],
+               [("s", "http://h.com/0", "HEAD", 405, None, T0), ("s", "http://h.com/1", "GET", None, "reset", T0),
+                ("s", "http://h.com/2", "HEAD", 404, None, late), ("s", "http://h.com/2", "GET", 404, None, T0),
+                ("s", "http://h.com/4", "HEAD", 500, None, T0), ("s", "http://h.com/5", "HEAD", 410, None, T0)],
+               [("s", f"http://h.com/{k}", m, 404, None, late) for k in (0, 1, 2, 4, 5) for m in ("HEAD", "GET")]]
+    links = spark.createDataFrame([("s", "http://h.com", k, f"http://h.com/{k}", f"http://h.com/{k}") for k in range(7)],
+                                  "site_id string, page_norm string, pos int, link string, link_norm string")
+    seen = []
+    for b in batches:
+        spark.createDataFrame(b, PROBE).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        out = T.stream_broken_links(links, spark.readStream.schema(PROBE).parquet(f"{root}/in"), root)
+        seen.append(sorted((r.link[-1], r.status_code) for r in T.read_epochs(spark, out).collect()))
+    first = [("0", 404), ("2", 404), ("5", 410)]
+    assert seen == [first, sorted(first + [("1", 0), ("4", 500)]), sorted(first + [("1", 0), ("4", 500)])]
+
+
+def test_claims_of_a_hot_url_over_restarts(spark):
+    root = T.scratch(spark, "t-hot")
+    schema = "site_id string, url string, fetched_at timestamp"
+    for run in range(3):
+        rows = spark.range(3000).select(F.lit("s").alias("site_id"), F.when(F.col("id") % 3 > 0, F.lit("http://a.com/hot")).otherwise(
+            F.concat(F.lit("http://a.com/"), (F.col("id") % 50 + 25 * run).cast("string"))).alias("url"),
+            F.lit(T0 + dt.timedelta(seconds=-run)).cast("timestamp").alias("fetched_at"))
+        rows.write.mode("append").parquet(f"{root}/in")
+        out = T.stream_claims(spark.readStream.schema(schema).parquet(f"{root}/in"), root)
+    claims = T.read_epochs(spark, out).collect()
+    assert len(claims) == len({r.norm_url for r in claims}) == 101          # the hot one and 0..99
+    assert {r.fetched_at for r in claims if r.url.endswith("hot")} == {T0}    # the first batch has it, later ones with earlier times don't
+
+
 def test_a_replayed_frontier_epoch_writes_the_same_rows(spark):
     root = T.scratch(spark, "t-replay")
     sites = spark.createDataFrame([("s", 5)], "site_id string, depth int")
