@@ -28,9 +28,13 @@ from sitelens.llm import common
 
 LEAF = 16            # bytes of a leaf of the encoding tree
 FANOUT = 256         # children of a node of the decoding tree
-CACHED_PIECES = 150_000
+CACHED_PAIRS = 150_000
+CACHED_BYTES = 64 << 20      # of each of the three caches: nodes, pieces, cuts
+ENTRY_BYTES = 250            # of an entry besides its text and ids
+LONGEST_CUT = 1024           # characters; a longer one is matched piece by piece and not remembered
 PIECES_AT_ONCE = 1 << 16
 TEXTS_AT_ONCE = 512
+CHARACTERS_AT_ONCE = 4 << 20
 NO_PAIR = np.uint64((1 << 64) - 1)
 
 
@@ -45,6 +49,7 @@ class TreeBpe:
         self.none = max(ranks.values(), default=0) + 1
         self.token = {i: b for b, i in ranks.items()}
         self._nodes: dict[bytes, list[int]] = {}
+        self._nodes_bytes = 0
         self._stable: dict[tuple[int, int], bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
@@ -165,12 +170,19 @@ class TreeBpe:
 
     def prepare(self, pieces: list[bytes]) -> None:
         """Encode the leaves of many pieces at once, so that ``tree`` finds them."""
-        if len(self._nodes) + len(pieces) >= CACHED_PIECES:
-            self._nodes.clear()
+        self._trim()
         leaves = {leaf for p in pieces for leaf in (self._leaves(p) if len(p) > LEAF else (p,)) if len(leaf) > 1}
         leaves = sorted(leaves.difference(self._nodes), key=len)
         for k in range(0, len(leaves), 8192):
-            self._nodes.update(zip(leaves[k:k + 8192], self.merge_many(leaves[k:k + 8192])))
+            some = leaves[k:k + 8192]
+            ids = self.merge_many(some)
+            self._nodes.update(zip(some, ids))
+            self._nodes_bytes += len(some) * ENTRY_BYTES + sum(map(len, some)) + 36 * sum(map(len, ids))
+
+    def _trim(self) -> None:
+        if self._nodes_bytes >= CACHED_BYTES:
+            self._nodes.clear()
+            self._nodes_bytes = 0
 
     def _leaves(self, data: bytes) -> list[bytes]:
         return [data[k:k + LEAF] for k in range(0, len(data), LEAF)]
@@ -179,7 +191,7 @@ class TreeBpe:
         """Encoded together, the neighbours a and b give a and b again."""
         known = self._stable.get((a, b))
         if known is None:
-            if len(self._stable) >= CACHED_PIECES:
+            if len(self._stable) >= CACHED_PAIRS:
                 self._stable.clear()
             known = self._stable[a, b] = self.merge(self.token[a] + self.token[b]) == [a, b]
         return known
@@ -211,9 +223,9 @@ class TreeBpe:
             half = LEAF << max(0, (len(data) - 1).bit_length() - LEAF.bit_length())   # whole leaves to the left
             out = self.join(self.tree(data[:half]), self.tree(data[half:]))
         if len(data) <= 2 * LEAF:
-            if len(self._nodes) >= CACHED_PIECES:
-                self._nodes.clear()
+            self._trim()
             self._nodes[data] = out
+            self._nodes_bytes += ENTRY_BYTES + len(data) + 36 * len(out)
         return out
 
     def piece(self, data: bytes) -> list[int]:
@@ -232,7 +244,9 @@ class Encoder:
     """Whole texts to ids.
 
     A match of the pattern never runs over a blank that stands alone between two other characters:
-    it ends before that blank.  Texts are therefore cut there, and the ids of a cut are remembered.
+    it ends before that blank.  Texts are therefore cut there, and the ids of a cut are remembered,
+    up to ``CACHED_BYTES``.  Text without blanks, as many scripts write it, makes long cuts: it is matched
+    piece by piece.
     That needs every alternative of the pattern to take white space only in front; ``encode`` says so.
     """
 
@@ -242,25 +256,30 @@ class Encoder:
         self.find = regex.compile(pattern)
         self.piece: dict[str, bytes] = {}
         self.cut: dict[str, bytes | None] = {}     # None: it begins or ends with white space
+        self.piece_bytes = self.cut_bytes = 0
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.piece) >= CACHED_PIECES:
+        if self.piece_bytes >= CACHED_BYTES:
             self.piece.clear()
+            self.piece_bytes = 0
         data = {p: p.encode("utf-8") for p in pieces.difference(self.piece)}
         self.bpe.prepare([d for d in data.values() if d not in self.bpe.ranks])
         for p, d in data.items():
-            self.piece[p] = array("I", self.bpe.piece(d)).tobytes()
+            self.piece[p] = ids = array("I", self.bpe.piece(d)).tobytes()
+            self.piece_bytes += ENTRY_BYTES + 2 * len(d) + len(ids)
 
     def _learn_cuts(self, cuts: set[str], firsts: set[str]) -> None:
         """``firsts``: texts' beginnings, which no blank precedes; they are kept with a blank behind."""
-        if len(self.cut) >= CACHED_PIECES:
+        if self.cut_bytes >= CACHED_BYTES:
             self.cut.clear()
+            self.cut_bytes = 0
         found = {c: None if not c or c[0].isspace() or c[-1].isspace() else self.find.findall(" " + c)
                  for c in cuts.difference(self.cut)}
         found |= {f: None if f == " " or f[-2].isspace() else self.find.findall(f[:-1]) for f in firsts}
         self._learn({p for m in found.values() if m for p in m})
         for c, m in found.items():
-            self.cut[c] = m and b"".join([self.piece[p] for p in m])
+            self.cut[c] = ids = m and b"".join([self.piece[p] for p in m])
+            self.cut_bytes += ENTRY_BYTES + 4 * len(c) + len(ids or b"")
 
     def _matches(self, text: str) -> bytes:
         """Match by match, at most ``PIECES_AT_ONCE`` of them at a time."""
@@ -274,15 +293,28 @@ class Encoder:
         cuts = [t.split(" ") for t in texts]
         for c in cuts:
             c[0] += " "
-        firsts = {c[0] for c in cuts}
-        self._learn_cuts(set(chain.from_iterable(cuts)) - firsts, firsts)
+        firsts = {c[0] for c in cuts if len(c[0]) <= LONGEST_CUT}
+        others = {c for c in set(chain.from_iterable(cuts)).difference(firsts) if len(c) <= LONGEST_CUT}
+        self._learn_cuts(others, firsts)
         out = []
         for text, cut in zip(texts, cuts):
-            ids = list(map(self.cut.__getitem__, cut))
+            ids = list(map(self.cut.get, cut))
             out.append(self._matches(text) if None in ids else b"".join(ids))
         return out
 
 
+def slices(texts: list[str]):
+    """(from, to): at most ``TEXTS_AT_ONCE`` texts and, but for a single longer one, ``CHARACTERS_AT_ONCE`` characters."""
+    start = size = 0
+    for k, text in enumerate(texts):
+        if k > start and (k - start == TEXTS_AT_ONCE or size + len(text) > CHARACTERS_AT_ONCE):
+            yield start, k
+            start, size = k, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
 @lru_cache(maxsize=1)
 def worker_encoder(blob: bytes, pattern: str) -> Encoder:
     """One for each Python worker; it outlives a task, and so do the remembered pieces."""
@@ -318,14 +350,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, lists: bool = False)
     def task(batches):
         encoder = worker_encoder(blob.value, pattern)
         for ids, texts in common.arrow_rows(batches, ("doc_id", "text")):
-            for k in range(0, len(texts), TEXTS_AT_ONCE):
-                packed = encoder.batch(texts[k:k + TEXTS_AT_ONCE])
+            for a, b in slices(texts):
+                packed = encoder.batch(texts[a:b])
                 if not lists:
-                    yield common.record_batch(ENCODED, ids[k:k + TEXTS_AT_ONCE], packed)
+                    yield common.record_batch(ENCODED, ids[a:b], packed)
                 else:
                     ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
                     values = np.frombuffer(b"".join(packed), "<i4")
-                    yield common.record_batch(TOKEN_LISTS, ids[k:k + TEXTS_AT_ONCE],
+                    yield common.record_batch(TOKEN_LISTS, ids[a:b],
                                               pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
                                               decoded_digests(encoder.bpe, values, ends))
 

@@ -47,6 +47,34 @@ def test_merge_many_is_merge(blob):
     assert tree.merge_many(leaves) == [tree.merge(x) for x in leaves]
 
 
+def test_caches_are_bounded_in_bytes(blob, library, monkeypatch):
+    """Texts without blanks, thousands of different long cuts: caches stay within their bytes, ids stay right."""
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 200_000)
+    r = random.Random(4)
+    alphabet = "日本語文字列漢字仮名交文章一二三四五六七八九十。、abcdefghij0123456789"
+    encoder = bpe.Encoder(blob, public_tokenizers.PATTERN)
+    largest = 0
+    for _ in range(60):
+        texts = ["".join(r.choices(alphabet, k=r.choice((30, 900, 3000)))) for _ in range(20)] + ["short words here", "a" * 2000 + " b"]
+        for text, ids in zip(texts, encoder.batch(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
+        assert max(map(len, encoder.cut)) <= bpe.LONGEST_CUT
+        held = sum(len(k.encode()) + len(v or b"") for c in (encoder.cut, encoder.piece) for k, v in c.items())
+        held += sum(len(k) + 36 * len(v) for k, v in encoder.bpe._nodes.items())
+        largest = max(largest, held)
+    one_batch = 20 * 3000 * 3
+    assert largest < 3 * (200_000 + 4 * one_batch)
+    assert encoder.cut_bytes < 200_000 + 4 * one_batch
+
+
+def test_slices_bound_texts_and_characters(monkeypatch):
+    monkeypatch.setattr(bpe, "TEXTS_AT_ONCE", 3)
+    monkeypatch.setattr(bpe, "CHARACTERS_AT_ONCE", 10)
+    texts = ["a" * n for n in (1, 1, 1, 1, 9, 2, 30, 0, 0, 10)]
+    assert list(bpe.slices(texts)) == [(0, 3), (3, 5), (5, 6), (6, 7), (7, 10)]
+    assert list(bpe.slices([])) == []
+
+
 def test_odd_documents(spark, library):
     docs = cases.odd_docs(spark)
     got = bpe.digests(bpe.decode(bpe.encode(docs, queries.ranks_path(), public_tokenizers.PATTERN), queries.ranks_path())).collect()
