@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions import urls as U
 from sitelens.operators.canonical import dedupe_first
+from sitelens.operators.skew import with_site
 from sitelens.session import ensure_checkpoint_dir, store
 
 def _site_opts(sites: DataFrame) -> DataFrame:
@@ -32,15 +33,20 @@ def crawlable_edges(edges: DataFrame, sites: DataFrame, num_partitions: int | No
     With ``num_partitions`` the result is hash-partitioned by (site_id, src) and deduplicated inside
     that partitioning (one exchange; links are already distinct per page, so few duplicates travel).
     """
-    e = edges.join(_site_opts(sites), "site_id")
-    e = e.filter(_same_host())
-    dst = F.col("link_norm") if "link_norm" in edges.columns else F.coalesce(U.normalize_url("link"), F.lit(""))
-    e = e.select("site_id", "src", dst.alias("dst"))
+    e = same_host_edges(edges, sites).select("site_id", "src", "dst")
     if num_partitions:
         e = e.repartition(num_partitions, "site_id", "src")
     return e.distinct()
 
 
+def same_host_edges(edges: DataFrame, sites: DataFrame) -> DataFrame:
+    """(site_id, src, dst, from_root): the edges on their site's host, repeats included; map-only but for the join with the sites."""
+    roots = _site_opts(sites).withColumn("root_norm", F.coalesce(U.normalize_url("root_url"), F.lit("")))
+    e = with_site(edges, roots, ["link"]).filter(_same_host())
+    dst = F.col("link_norm") if "link_norm" in edges.columns else F.coalesce(U.normalize_url("link"), F.lit(""))
+    return e.select("site_id", "src", dst.alias("dst"), (F.col("src") == F.col("root_norm")).alias("from_root"))
+
+
 def crawl_depths(edges: DataFrame, sites: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """(site_id, norm_url, depth) reachable from the root within the site's depth limit.
 
@@ -104,8 +110,7 @@ def classify_links(links: DataFrame, depths: DataFrame, sites: DataFrame) -> Dat
 
     ``links``: (site_id, page_norm, pos, link[, link_norm]).
     """
-    j = links.join(depths.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"]) \
-        .join(_site_opts(sites), "site_id")
+    j = with_site(links.join(depths.withColumnRenamed("norm_url", "page_norm"), ["site_id", "page_norm"]), _site_opts(sites), ["page_norm"])
     crawl = (F.col("limit") > F.col("depth") + 1) & _same_host()
     return j.withColumn("action", F.when(crawl, F.lit("crawl")).otherwise(F.lit("check"))).drop("root_url", "root_host", "limit")
 
@@ -133,7 +138,7 @@ def asset_worklist(assets: DataFrame, depths: DataFrame) -> DataFrame:
 
 def external_links(links: DataFrame, sites: DataFrame) -> DataFrame:
     """Links whose host differs from the root's host (checked, never crawled)."""
-    j = links.join(_site_opts(sites).drop("limit", "root_url"), "site_id")
+    j = with_site(links, _site_opts(sites).drop("limit", "root_url"), ["link"])
     return j.filter(~_same_host()).drop("root_host")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions import status as S
 from sitelens.functions import urls as U
+from sitelens.operators.skew import with_site
 
 _KEYS = ["site_id", "norm_url"]
 CANCELLED = "context canceled"   # fixed value: the error of work that a deadline cut off
@@ -38,7 +39,7 @@ def resolve_attempts(attempts: DataFrame, sites: DataFrame) -> DataFrame:
     ``deadline`` in ``sites``, a URL whose retries were not used up by then is cancelled.
     """
     opt = sites.select("site_id", "retries", *(["deadline"] if "deadline" in sites.columns else []))
-    a = with_norm(attempts).join(opt, "site_id").filter(F.col("attempt") <= F.col("retries"))
+    a = with_site(with_norm(attempts), opt, ["url"]).filter(F.col("attempt") <= F.col("retries"))
     carry = [c for c in ("status_code", "fetched_at", "final_url", "content_type", "body", "url", "error") if c in a.columns]
     a = a.groupBy(*_KEYS, "attempt").agg(
         F.min_by(F.struct(*carry), capture_order(a)).alias("c"), F.first("retries").alias("retries"),

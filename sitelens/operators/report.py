@@ -8,34 +8,44 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructField, Stru
 
 from sitelens import schemas
 from sitelens.functions import status as S
+from sitelens.operators.skew import hot_keys, spread_join
 from sitelens.session import store
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
-def broken_links(page_links: DataFrame, link_status: DataFrame, match: str = "exact") -> DataFrame:
+def link_key(match: str) -> list[str]:
+    """The columns of a page link that R2 looks up."""
+    return ["site_id", "link" if match == "exact" else "link_norm"]
+
+
+def broken_links(page_links: DataFrame, link_status: DataFrame, match: str = "exact", hot: DataFrame | None = None) -> DataFrame:
     """R2: page links whose checked status is broken, in page link order.
 
     ``match='exact'`` probes the status table (keyed by canonical URL) with the page's *raw* link
     string, as the reference does, so a link spelled differently from its canonical form is never
     reported; ``match='normalized'`` joins on the canonical link instead.  The broken side is
-    filtered before the join, which keeps it small.
+    filtered before the join, which keeps it small.  A link that most pages have is split over many tasks;
+    ``hot``: its hot keys, where they are known (``skew.hot_keys`` over ``link_key``), else counted here.
     """
-    key = "link" if match == "exact" else "link_norm"
+    keys = link_key(match)
     bad = link_status.filter(S.is_broken(F.col("status_code"), F.col("error"))) \
         .select(F.col("site_id").alias("_s"), F.col("norm_url").alias("_k"), F.col("url").alias("status_url"),
                 "status_code", "error")
-    j = page_links.join(bad, (F.col("site_id") == F.col("_s")) & (F.col(key) == F.col("_k")))
+    hot = hot_keys(page_links, keys) if hot is None else hot
+    j = spread_join(page_links, bad, keys, ["_s", "_k"], ["page_norm"], hot)
     return j.select("site_id", "page_norm", "pos", "link", "status_url", "status_code", "error")
 
 
 def asset_inventory(page_assets: DataFrame, asset_status: DataFrame) -> DataFrame:
     """Left lookup by canonical asset URL; a hit replaces the whole asset (URL becomes the
-    status row's URL), a miss keeps the page's asset with status 0 / size 0."""
-    st = asset_status.select("site_id", F.col("norm_url").alias("asset_norm"), F.col("url").alias("s_url"),
+    status row's URL), a miss keeps the page's asset with status 0 / size 0.  An asset that most pages have is
+    split over many tasks."""
+    st = asset_status.select(F.col("site_id").alias("_s"), F.col("norm_url").alias("_k"), F.col("url").alias("s_url"),
                              F.col("type").alias("s_type"), F.col("status_code").alias("s_status"),
                              F.col("size_bytes").alias("s_size"), F.col("error").alias("s_error"))
-    j = page_assets.join(st, ["site_id", "asset_norm"], "left")
+    keys = ["site_id", "asset_norm"]
+    j = spread_join(page_assets, st, keys, ["_s", "_k"], ["page_norm"], hot_keys(page_assets, keys), "left")
     hit = F.col("s_url").isNotNull()
     return j.select(
         "site_id", "page_norm", "pos",

@@ -22,6 +22,7 @@ from sitelens.operators import extract as X
 from sitelens.operators import graph as G
 from sitelens.operators import outcomes as O
 from sitelens.operators import report as R
+from sitelens.operators.skew import hot_keys, with_site
 from sitelens.functions import status as S
 from sitelens.functions import urls as U
 from sitelens.session import ensure_checkpoint_dir, store
@@ -130,75 +131,71 @@ def stream_broken_links(links_static: DataFrame, probes_stream: DataFrame, root:
     status = O.resolve_link_probe(with_arrival(probes_stream))
     turned = status.filter(S.is_broken(F.col("status_code"), F.col("error")) & (F.col("decided") == F.col("arrived"))) \
         .drop("decided", "arrived")
-    _create(spark, out, R.broken_links(links, spark.createDataFrame([], turned.schema)).schema)
+    hot = hot_keys(links, R.link_key("exact"))
+    _create(spark, out, R.broken_links(links, spark.createDataFrame([], turned.schema), hot=hot).schema)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        _write(R.broken_links(links, batch), out, epoch)
+        _write(R.broken_links(links, batch, hot=hot), out, epoch)
 
     _run(turned.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_broken"))
     return out
 
 
 FRONTIER = "site_id string, norm_url string, depth int"
-EDGES = "site_id string, src string, dst string"
+# A link of a page that came (depth 0 where it is the root's page, else null), or without ``dst`` a message.
+STEP = "site_id string, norm_url string, dst string, depth int"
 
 
-def frontier_batch(spark: SparkSession, sites: DataFrame, root: str, batch_edges: DataFrame, epoch: int) -> None:
-    """One micro-batch of T4: from the frontier of earlier epochs, this batch's edges and all edges so far.
-
-    All rounds of the batch are written in one commit at its end, so a replay starts from the same
-    frontier and writes the same rows.
-    """
-    edges_tbl, out, keys = f"{root}/edges", f"{root}/frontier", ["site_id", "norm_url"]
-    opts = sites.select("site_id", F.col("depth").alias("limit"))
-    max_rounds = sites.agg(F.max("depth")).first()[0] or 0
-    _write(batch_edges, edges_tbl, epoch)
-    own = spark.read.schema(EDGES).parquet(_epoch_dir(edges_tbl, epoch))
-    edges = _earlier(spark, edges_tbl, epoch).unionByName(own)
-    reached = store(_earlier(spark, out, epoch).groupBy(*keys).agg(F.min("depth").alias("depth")), "reached")
-
-    def expand(level: DataFrame, along: DataFrame) -> DataFrame:
-        """Children of reached URLs whose site still allows one more level."""
-        lv = level.join(opts, "site_id").filter(F.col("limit") > F.col("depth") + 1)
-        return lv.join(along.withColumnRenamed("src", "norm_url"), keys) \
-            .select("site_id", F.col("dst").alias("norm_url"), (F.col("depth") + 1).alias("depth"))
-
-    levels: list[DataFrame] = []
-
-    def improved(cand: DataFrame) -> DataFrame:
-        best = cand.groupBy(*keys).agg(F.min("depth").alias("depth"))
-        for known in (reached, *levels):
-            known = known.withColumnRenamed("depth", "cur")
-            best = best.join(known, keys, "left").filter(F.col("cur").isNull() | (F.col("depth") < F.col("cur"))).drop("cur")
-        return store(best, "level")
-
-    level = improved(expand(reached, own))
-    while len(levels) < max_rounds and not level.isEmpty():
-        levels.append(level)
-        level = improved(expand(level, edges))
-    new = spark.createDataFrame([], FRONTIER)
-    for x in levels:
-        new = new.unionByName(x.select(*keys, F.col("depth").cast("int").alias("depth")))
-    _write(new, out, epoch)
+def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys: list[str]) -> str:
+    """T4: incremental BFS by messages; returns the frontier's path.
 
+    One stream turns pages into links as they come.  A second keeps in the state store, a URL, its least depth and the
+    links of its page (bounded by the page).  It reads those links and its own messages "this URL is at depth d": a URL
+    whose depth fell, or whose page came, sends d + 1 along its links while the site's limit allows it; what is
+    already known at that depth or less answers nothing.  So a batch touches the URLs that its links and messages name,
+    however many were reached before.  Copies of a message are combined before they are written and again before the shuffle.
 
-def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys: list[str]) -> str:
-    """T4: incremental BFS.  Each micro-batch appends the crawlable edges of newly captured pages and
-    relaxes depths from there: edges whose source is already reached seed candidates, and every URL
-    that becomes reachable (or reachable at a smaller depth) is appended to the frontier table and
-    propagated over the stored edges, at most ``depth`` rounds.  min(depth) per URL over the table
-    equals the batch BFS.  The roots are in the table from the start.
+    Every URL is in the table once for each fall of its depth: min(depth) over it equals the batch BFS.  The roots
+    are in it from the start.  A run ends when a pass over all that has come sends no more messages; a trigger without
+    end needs no passes.  A replayed batch has the time, input and state that it had, and overwrites its own rows.
     """
     spark = sites.sparkSession
-    ex = X.extract_pages(pages_stream, ctype_col=None)
-    _create(spark, f"{root}/edges", EDGES)
+    out, found, inbox, key = f"{root}/frontier", f"{root}/links", f"{root}/messages", ["site_id", "norm_url"]
+    limits = sites.select("site_id", F.col("depth").alias("limit"))
     seeds = sites.select("site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"), F.lit(0).alias("depth"))
-    _write(seeds, f"{root}/frontier", -1)
+    _write(seeds, out, -1)
+    # never written again: an unfinished batch may have to read it
+    spark.createDataFrame([], STEP).write.mode("ignore").parquet(_epoch_dir(inbox, -1))
 
-    def sink(batch: DataFrame, epoch: int) -> None:
-        e = O.with_norm(batch.select(*keys, "url", "links")).select(
-            *keys, F.col("norm_url").alias("src"), F.explode_outer("links").alias("link")).filter(F.col("link").isNotNull())
-        frontier_batch(spark, sites, root, G.crawlable_edges(e, sites), epoch)
+    ex = X.extract_pages(pages_stream, ctype_col=None)
+    links = O.with_norm(ex.select(*keys, "url", "links")).select(
+        *keys, F.col("norm_url").alias("src"), F.explode_outer("links").alias("link")).filter(F.col("link").isNotNull())
+    edges = G.same_host_edges(links, sites).select(
+        "site_id", F.col("src").alias("norm_url"), "dst", F.when(F.col("from_root"), F.lit(0)).alias("depth"))
+    _run(edges.writeStream.format("parquet").option("path", found).option("checkpointLocation", f"{root}/_ckpt_links"))
+
+    steps = spark.readStream.schema(STEP).parquet(found).unionByName(
+        spark.readStream.schema(STEP).option("recursiveFileLookup", "true").parquet(inbox))
+    state = with_arrival(steps).groupBy(*key).agg(
+        F.min(F.when(F.col("depth").isNotNull(), F.struct("depth", "arrived"))).alias("best"),
+        F.collect_set("dst").alias("dsts"),
+        F.max(F.struct("arrived", F.col("dst").isNotNull().alias("came"))).alias("last")).filter("best IS NOT NULL")
+    sent = []
 
-    _run(ex.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_frontier"))
-    return f"{root}/frontier"
+    def sink(batch: DataFrame, epoch: int) -> None:
+        fell = F.col("best.arrived") == F.col("last.arrived")
+        b = batch.select(*key, F.col("best.depth").alias("depth"), "dsts", fell.alias("fell"), "last.came").persist()
+        onward = with_site(b.filter("fell OR came"), limits, ["norm_url"]).filter(F.col("limit") > F.col("depth") + 1)
+        onward = onward.select("site_id", F.explode("dsts").alias("norm_url"), (F.col("depth") + 1).alias("depth")) \
+            .groupBy(*key).agg(F.min("depth").alias("depth"))
+        _write(onward.select(*key, F.lit(None).cast("string").alias("dst"), "depth"), inbox, epoch)
+        _write(b.filter("fell AND depth > 0").select(*key, "depth"), out, epoch)
+        b.unpersist()
+        if not spark.read.schema(STEP).parquet(_epoch_dir(inbox, epoch)).isEmpty():
+            sent.append(epoch)
+
+    while True:
+        sent.clear()
+        _run(state.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_frontier"))
+        if not sent:
+            return out

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sitelens.operators import requests as Q
+from sitelens.operators import skew as K
 from sitelens.session import store
 
 
@@ -56,3 +57,49 @@ def test_one_busy_second_is_split(spark, monkeypatch):
     assert (got["hot"].n, got["hot"].span_ms) == (n, ref.span / 1000)
     assert abs(got["hot"].min_interval_ms - ref.gap / 1000) < 1e-3      # epoch milliseconds as doubles
     assert (got["one"].n, got["one"].min_interval_ms, got["one"].avg_interval_ms, got["one"].span_ms) == (1, None, None, 0)
+
+
+def test_a_hot_key_is_split_over_tasks(spark):
+    """One link on 90 % of the pages: no task of the join above its share, same rows as the plain join; left rows are kept."""
+    n = 20_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = spark.range(n).select(F.lit("s").alias("site_id"), F.col("id").cast("string").alias("page"),
+                                      F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 1000)).alias("link"))
+        status = links.select(F.col("site_id").alias("_s"), F.col("link").alias("_k")).distinct().filter("_k <> 'k0'") \
+            .withColumn("code", F.length("_k"))
+        hot = K.hot_keys(links, ["site_id", "link"], least=100)
+        assert [r._salts for r in hot.collect()] == [116]      # 18,000 rows, 156.25 a salt
+        for how in ("inner", "left"):
+            got = K.spread_join(links, status, ["site_id", "link"], ["_s", "_k"], ["page"], hot, how)
+            plain = links.join(status, (F.col("site_id") == F.col("_s")) & (F.col("link") == F.col("_k")), how)
+            assert got.columns == plain.columns
+            assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+            sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) == 4 and max(sizes) < 1.6 * n / 4
+            assert max(r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()) > 0.85 * n
+        none = K.hot_keys(links.filter("link <> 'hot'"), ["site_id", "link"], least=100)
+        assert none.isEmpty() and K.hot_keys(links.limit(0), ["site_id", "link"]).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_site_is_split_over_tasks(spark):
+    """One site with 90 % of the rows meets its options in all tasks."""
+    n = 20_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(n).select(F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 70)).alias("site_id"), "id")
+        site = rows.select("site_id").distinct().withColumn("limit", F.length("site_id"))
+        assert "BroadcastHashJoin" in K.with_site(rows, site, ["id"])._jdf.queryExecution().executedPlan().toString()
+        got = K.with_site(rows, site, ["id"], chars=100)
+        assert got.columns == ["site_id", "id", "limit"]
+        assert got.exceptAll(rows.join(site, "site_id")).isEmpty() and got.count() == n
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 1.6 * n / 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -1,6 +1,7 @@
 """Streaming replays (Trigger.AvailableNow) equal the batch operators."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -105,19 +106,66 @@ def test_claims_of_a_hot_url_over_restarts(spark):
     assert {r.fetched_at for r in claims if r.url.endswith("hot")} == {T0}    # the first batch has it, later ones with earlier times don't
 
 
-def test_a_replayed_frontier_epoch_writes_the_same_rows(spark):
-    root = T.scratch(spark, "t-replay")
-    sites = spark.createDataFrame([("s", 5)], "site_id string, depth int")
-    T._create(spark, f"{root}/edges", T.EDGES)
-    T._write(spark.createDataFrame([("s", "a", 0)], T.FRONTIER), f"{root}/frontier", -1)
-    batches = [[("s", "b", "c"), ("s", "c", "d")], [("s", "a", "b")], [("s", "a", "d"), ("s", "d", "e")]]
-    for epoch, rows in enumerate(batches):
-        edges = spark.createDataFrame(rows, T.EDGES)
-        T.frontier_batch(spark, sites, root, edges, epoch)
-        once = sorted(map(tuple, T.read_epochs(spark, f"{root}/frontier").collect()))
-        T.frontier_batch(spark, sites, root, edges, epoch)
-        assert sorted(map(tuple, T.read_epochs(spark, f"{root}/frontier").collect())) == once
-    least = {}
-    for _, u, d in once:
-        least[u] = min(d, least.get(u, 99))
-    assert least == {"a": 0, "b": 1, "c": 2, "d": 1, "e": 2}
+SITE = "http://s.example"
+
+
+def _page(name, *links):
+    return "s", f"{SITE}/{name}", "".join(f'<a href="/{x}">x</a>' for x in links)
+
+
+def _levels(pages, limit):
+    """Least depths by breadth-first search over the pages."""
+    at, level = {"": 0}, [""]
+    out = {name: links for name, *links in pages}
+    for d in range(1, limit):
+        level = sorted({x for p in level for x in out.get(p, ())} - at.keys())
+        at.update(dict.fromkeys(level, d))
+    return at
+
+
+def _frontier(spark, root, sites):
+    stream = spark.readStream.schema("site_id string, url string, body string").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    rows = T.read_epochs(spark, T.frontier_rounds(stream, sites, root, ["site_id"])).collect()
+    return sorted((r.norm_url[len(SITE):].strip("/"), r.depth) for r in rows)
+
+
+def test_frontier_over_restarts_late_pages_and_replays(spark):
+    root = T.scratch(spark, "t-frontier")
+    sites = spark.createDataFrame([("s", f"{SITE}/", 5)], "site_id string, root_url string, depth int")
+    # pages before what leads to them, a long way first, a shorter way later, a cycle, repeats and the depth limit
+    batches = [[("b", "c"), ("c", "d", "b")], [("", "a", "a"), ("a", "b", "hot")], [("d", "e"), ("e", "f")],
+               [("hot", "d", ""), ("x", "y")], [("", "d")]]
+    so_far = []
+    for pages in batches:
+        spark.createDataFrame([_page(*p) for p in pages], "site_id string, url string, body string").write.mode("append").parquet(f"{root}/in")
+        rows = _frontier(spark, root, sites)
+        for name, *links in pages:
+            so_far.append((name, *links, *[x for p in so_far if p[0] == name for x in p[1:]]))
+        least = {}
+        for name, depth in rows:
+            least[name] = min(depth, least.get(name, 99))
+        assert least == _levels(so_far, 5)
+        # a URL is there once for each fall of its depth
+        assert len(rows) == len(set(rows))
+    assert ("d", 4) in rows and ("d", 1) in rows and ("f", 3) in rows
+
+    # the last batch's commit is lost: it runs again and writes the same rows
+    commits = f"{root}/_ckpt_frontier/commits".removeprefix("file:")
+    last = max(int(x) for x in os.listdir(commits) if x.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        if os.path.exists(f"{commits}/{name}"):
+            os.remove(f"{commits}/{name}")
+    assert _frontier(spark, root, sites) == rows
+
+
+def test_a_frontier_batch_answers_for_its_own_pages_only(spark):
+    """What a batch writes does not grow with what was reached before it."""
+    root = T.scratch(spark, "t-delta")
+    sites = spark.createDataFrame([("s", f"{SITE}/", 9)], "site_id string, root_url string, depth int")
+    schema = "site_id string, url string, body string"
+    spark.createDataFrame([_page("", *[f"p{i}" for i in range(300)])], schema).write.parquet(f"{root}/in")
+    assert len(_frontier(spark, root, sites)) == 301
+    before = spark.read.parquet(f"{root}/messages").agg(F.max("epoch")).first()[0]
+    spark.createDataFrame([_page("p7", "p8", "new")], schema).write.mode("append").parquet(f"{root}/in")
+    assert len(_frontier(spark, root, sites)) == 302
+    assert spark.read.parquet(f"{root}/messages").filter(F.col("epoch") > before).count() == 2
