@@ -69,10 +69,10 @@ def run_audit(captures: DataFrame, sites: DataFrame, match: str = "exact", missi
                          F.lit(False).alias("has_h1"))
     pages = rows.join(seo, ["site_id", "norm_url"], "left").withColumn("seo", F.coalesce(F.col("seo"), empty_seo))
 
-    crawled_links = links.join(depths.select("site_id", F.col("norm_url").alias("page_norm")), ["site_id", "page_norm"],
-                               "left_semi")
-    crawled_assets = assets.join(depths.select("site_id", F.col("norm_url").alias("page_norm")),
-                                 ["site_id", "page_norm"], "left_semi")
+    # stored: the work lists, the counts of hot keys and the joins read them, each its own columns
+    crawled = depths.select("site_id", F.col("norm_url").alias("page_norm"))
+    crawled_links = store(links.join(crawled, ["site_id", "page_norm"], "left_semi"), "links")
+    crawled_assets = store(assets.join(crawled, ["site_id", "page_norm"], "left_semi"), "assets")
     classified = G.classify_links(crawled_links, depths, sites)
     lw = G.link_worklist(classified)
     aw = G.asset_worklist(crawled_assets, depths)
