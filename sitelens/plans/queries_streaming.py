@@ -13,10 +13,19 @@ from sitelens.sources import fixtures as FX
 from sitelens.streaming import jobs as T
 
 
-def _replay(spark, df, path, *keys, batches=3):
-    """``df`` as a stream of ``batches`` micro-batches: one file each."""
-    df.repartition(batches, *keys).write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+FILE_ROWS = 1000   # rows of a table from which a micro-batch has another file
+
+
+def _replay(spark, df, path, *keys, source, batches=3):
+    """``df`` as a stream of ``batches`` micro-batches.
+
+    A batch's files grow with the rows of the table ``source`` up to a shuffle's partitions: a file of one row group is
+    read, and was written, by one task, however many rows it has.
+    """
+    files = min(source.count() // (batches * FILE_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.repartition(batches * max(files, 1), *keys).write.parquet(path)
+    written = len(spark.read.parquet(path).inputFiles())
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", -(-written // batches)).parquet(path)
 
 
 @register("stream_claims", oracle="""
@@ -27,7 +36,7 @@ def stream_claims(spark, sf_dir):
     """First claim per (site, canonical URL) over a replay of the request log."""
     root = T.scratch(spark, "claims")
     log = _replay(spark, FX.request_log(spark, sf_dir).select(F.col("site_id").cast("string").alias("site_id"), "url", "fetched_at", "seq"),
-                  f"{root}/incoming", "seq")
+                  f"{root}/incoming", "seq", source=FX.table(spark, sf_dir, "events"))
     path = T.stream_claims(log, root)
     return T.read_epochs(spark, path).select("site_id", "norm_url")
 
@@ -39,7 +48,8 @@ GROUP BY page_id, link""")
 def stream_extract(spark, sf_dir):
     """Extraction on arrival (links, assets, SEO tables per micro-batch); links compared."""
     root = T.scratch(spark, "extract")
-    pages = _replay(spark, FX.table(spark, sf_dir, "pages"), f"{root}/incoming", "page_id")
+    table = FX.table(spark, sf_dir, "pages")
+    pages = _replay(spark, table, f"{root}/incoming", "page_id", source=table)
     paths = T.stream_extract(pages.withColumnRenamed("html", "body"), root, ["page_id"], ctype_col=None)
     return T.read_epochs(spark, paths["links"]).select("page_id", "pos", "link")
 
@@ -62,7 +72,7 @@ def stream_broken_links(spark, sf_dir):
     """Stream of probe captures joined with static page links; broken pairs emitted once."""
     root = T.scratch(spark, "broken")
     caps = FX.captures(spark, sf_dir).filter(F.col("kind") == "link").select("site_id", "url", "method", "status_code", "error", "fetched_at")
-    stream = _replay(spark, caps, f"{root}/incoming", "method", "url")  # a HEAD and its GET land in different batches
+    stream = _replay(spark, caps, f"{root}/incoming", "method", "url", source=FX.table(spark, sf_dir, "pages"))  # a HEAD and its GET land in different batches
     links = X.page_links(site_links(spark, sf_dir), ["site_id", "page_norm"])
     out = T.stream_broken_links(links, stream, root)
     return T.read_epochs(spark, out).select("page_norm", "pos", "link", "status_code", "error")
@@ -75,6 +85,6 @@ def frontier_rounds(spark, sf_dir):
     """T4: micro-batches of page captures grow the edge table; newly reachable URLs emitted per round."""
     root = T.scratch(spark, "frontier")
     wp = FX.web_pages(spark, sf_dir).select("site_id", "page_id", "url", F.col("html").alias("body"))
-    stream = _replay(spark, wp, f"{root}/incoming", "page_id")
+    stream = _replay(spark, wp, f"{root}/incoming", "page_id", source=FX.table(spark, sf_dir, "pages"))
     out = T.frontier_rounds(stream, FX.sites(spark, sf_dir), root, ["site_id"])
     return T.read_epochs(spark, out).groupBy("norm_url").agg(F.min("depth").alias("depth"))

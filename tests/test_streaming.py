@@ -9,6 +9,7 @@ from sitelens.operators import canonical as CN
 from sitelens.operators import extract as X
 from sitelens.operators import outcomes as O
 from sitelens.operators import report as R
+from sitelens.plans import queries_streaming as Q
 from sitelens.streaming import jobs as T
 from tests.helpers import T0
 
@@ -169,3 +170,20 @@ def test_a_frontier_batch_answers_for_its_own_pages_only(spark):
     spark.createDataFrame([_page("p7", "p8", "new")], schema).write.mode("append").parquet(f"{root}/in")
     assert len(_frontier(spark, root, sites)) == 302
     assert spark.read.parquet(f"{root}/messages").filter(F.col("epoch") > before).count() == 2
+
+
+def test_a_replayed_batch_is_read_by_many_tasks(spark):
+    """Three batches whatever the size, and a large one's rows are not one file of one row group."""
+    for n, least in ((40_000, 4), (50, 1)):
+        root = T.scratch(spark, "t-replay")
+        rows = spark.range(n).select("id", F.col("id").cast("string").alias("url"))
+        seen = []
+        stream = Q._replay(spark, rows, f"{root}/in", "id", source=rows)
+
+        def sink(batch, epoch):
+            files = batch.groupBy(F.input_file_name()).count().collect()
+            seen.append((len(files), sum(r["count"] for r in files), max(r["count"] for r in files)))
+
+        T._run(stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/ckpt"))
+        assert len(seen) == 3 and sum(x[1] for x in seen) == n
+        assert all(x[0] == least and x[2] < 1.2 * x[1] / least for x in seen)
