@@ -13,7 +13,8 @@ brought together by content:
    shard of the anchor, one row for all equal segments of a block.  Segments of a hot anchor go as
    single windows to the shards of the windows' own hashes, one row for all equal windows of a block,
    so neither an anchor nor a window fills one task.
-4. A shard holds an index of its segments and reports the windows that occur earlier (``judge``).
+4. A shard holds an index of its segments that share their anchor with a different one, and reports the windows that occur
+   earlier (``judge``).
 5. Blocks apply the reported ranges to their documents.
 
 Nothing is capped or sampled: every window that occurs twice has a repeated anchor, and all its
@@ -25,6 +26,7 @@ documents one after the other.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import chain
@@ -132,7 +134,7 @@ def _local_counts(found: list, units: Units) -> tuple[np.ndarray, np.ndarray]:
 
 ANCHORS = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("anchors", pa.binary()), ("counts", pa.binary())])
 REPEATED = pa.schema([("block", pa.int32()), ("anchors", pa.binary()), ("hot", pa.binary())])
-SEGMENTS = pa.schema([("shard", pa.int64()), ("block", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()),
+SEGMENTS = pa.schema([("shard", pa.int64()), ("anchor", pa.int64()), ("block", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()),
                       ("places", pa.binary()), ("segment", pa.binary()), ("ranges", pa.binary())])
 RANGES = pa.schema([("block", pa.int32()), ("ranges", pa.binary())])
 
@@ -235,10 +237,10 @@ def send_segments(units: Units, shards: int, limit: int):
         rows = []
         for a, places, part, _ in chain(sent, window_at.values()):
             doc_id, text_hash, _ = docs[places[0][0]]
-            shard = (xxhash.xxh64_intdigest(part) if a is None else a) % shards
-            rows.append((shard, nr, doc_id, text_hash, np.array(places, np.int64).tobytes(), part, None))
+            key = xxhash.xxh64_intdigest(part) if a is None else a
+            rows.append((key % shards, key >> 1, nr, doc_id, text_hash, np.array(places, np.int64).tobytes(), part, None))
         if local:
-            rows.append((nr % shards, nr, None, None, None, None, np.array(local, np.int64).tobytes()))
+            rows.append((nr % shards, None, nr, None, None, None, None, np.array(local, np.int64).tobytes()))
         return pa.table([list(c) for c in zip(*rows)] if rows else [[] for _ in SEGMENTS], schema=SEGMENTS)
     return task
 
@@ -246,24 +248,33 @@ def send_segments(units: Units, shards: int, limit: int):
 def judge_shard(units: Units, judge: Callable):
     """``judge``: (different segments as bytes, doc_ids of their first rows), in document order -> for each
     an array; see ``Units.same_document``: the windows of the first row that occur earlier, or every window's
-    first doc_id.  Equal segments of several blocks are judged once."""
+    first doc_id.  Equal segments of several blocks are judged once.  Equal windows have equal anchors at equal places, so a
+    segment that is the only one of its anchor shares no window with another, nor has it one twice: it needs no index."""
     def task(shard: pa.Table) -> pa.Table:
         ranges: dict[int, list[int]] = {}
         rows = []
-        for block, doc_id, text_hash, places, segment, done in zip(*[c.to_pylist() for c in shard.columns[1:]]):
+        for anchor, block, doc_id, text_hash, places, segment, done in zip(*[c.to_pylist() for c in shard.columns[1:]]):
             if segment is None:
                 ranges.setdefault(block, []).extend(np.frombuffer(done, np.int64).tolist())
             else:
-                rows.append((doc_id, text_hash, np.frombuffer(places, np.int64).reshape(-1, 2).tolist(), segment, block))
+                rows.append((doc_id, text_hash, np.frombuffer(places, np.int64).reshape(-1, 2).tolist(), segment, block, anchor))
         rows.sort(key=lambda r: (r[0], r[1], r[2][0]))
         first: dict[bytes, tuple] = {}
         for r in rows:
             first.setdefault(r[3], r)
-        found = dict(zip(first, judge(list(first), [r[0] for r in first.values()]))) if first else {}
         sizes = {x: units.windows(x) for x in first}
+        different = Counter(r[5] for r in first.values())
+        found, shared = {}, []
+        for x, r in first.items():
+            if different[r[5]] > 1:
+                shared.append(x)
+            else:
+                found[x] = np.zeros(0, np.int64) if units.same_document else np.full(sizes[x], r[0])
+        if shared:
+            found.update(zip(shared, judge(shared, [first[x][0] for x in shared])))
         last = {} if units.same_document else {x: int(f.max()) for x, f in found.items()}
         for r in rows:
-            doc_id, _, places, segment, block = r
+            doc_id, _, places, segment, block, _ = r
             out = ranges.setdefault(block, [])
             if first[segment] is not r if units.same_document else doc_id > last[segment]:
                 for nr, s in places:                   # all its windows

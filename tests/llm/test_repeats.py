@@ -161,3 +161,33 @@ def test_hot_windows_of_rows_with_one_id_or_none(spark, monkeypatch, hot):
             for k, i in enumerate([None] * 6 + [1, 1, 1, 2, 3, 3, 4, 5, 5, 5])]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert sort_rows(automaton_dedup.remove_repeated_words(docs).collect()) == sort_rows(brute_words(rows))
+
+
+@pytest.mark.parametrize("module", [run_index_dedup, automaton_dedup])
+def test_the_index_gets_only_segments_that_share_an_anchor(module):
+    """Copies of whole documents are decided by lookups; only where two contexts meet a passage the index has work."""
+    units, passage = module.UNITS, cases.prose(7, 40)
+    whole = cases.prose(9, 400)
+    texts = [whole, f"{cases.prose(11, 40)} {passage} {cases.prose(12, 40)}", f"{cases.prose(13, 40)} {passage} {cases.prose(14, 40)}"]
+    parts = [pa.table({"block": [b] * 3, "doc_id": [3 * b + k for k in range(3)], "text_hash": [0, 1, 2], "text": texts}) for b in range(2)]
+    anchors = [np.unique(np.concatenate([repeats.segments(units.hashes(units.tokens(t)), units)[2] for t in texts]))] * 2
+    repeated = [pa.table({"block": [b], "anchors": [a.tobytes()], "hot": [np.zeros(len(a), bool).tobytes()]}, repeats.REPEATED)
+                for b, a in enumerate(anchors)]
+    sent = pa.concat_tables([repeats.send_segments(units, 1, 9)(p, r) for p, r in zip(parts, repeated)])
+    indexed = []
+
+    def judge(segments, doc_ids):
+        indexed.extend(segments)
+        return module.judge(segments, doc_ids)
+
+    ranges = repeats.judge_shard(units, judge)(sent)
+    different = {p for p in sent.column("segment").to_pylist() if p is not None}
+    assert 0 < len(indexed) < len(different) / 4 and len(indexed) == len(set(indexed))
+    # the second block is a copy of the first: every token of it goes
+    gone = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 3) for b, x in
+                           zip(ranges.column("block").to_pylist(), ranges.column("ranges").to_pylist()) if b == 1])
+    for k, t in enumerate(texts):
+        mask = np.zeros(len(units.tokens(t)), bool)
+        for _, lo, hi in gone[gone[:, 0] == k]:
+            mask[lo:hi] = True
+        assert mask.all()
