@@ -147,7 +147,9 @@ def _spark(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
 
 
 def web_pages(spark, sf_dir):
-    return _spark(spark, WEB_PAGES_SQL, pages=table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    """The pages are dealt out first: a row group is read by one task, which would extract all its pages, too."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return _spark(spark, WEB_PAGES_SQL, pages=pages.repartition("page_id"))
 
 
 def _page_urls(spark, sf_dir):

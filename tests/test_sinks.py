@@ -9,6 +9,7 @@ from sitelens import schemas
 from sitelens.operators import extract as X
 from sitelens.operators import report as R
 from sitelens.plans.audit import audit
+from sitelens.sources import fixtures as FX
 from sitelens.streaming.jobs import scratch
 from tests.helpers import cap, html
 
@@ -112,3 +113,19 @@ def test_read_captures_json_and_clean_text(spark):
     assert (html_.count(), xml.count(), other.count()) == (1, 1, 1)
     got = spark.createDataFrame([("  A &amp; B\t",)], "t string").select(H.clean_text(F.col("t")).alias("c")).first().c
     assert got == "A & B"
+
+
+def test_pages_of_one_row_group_are_extracted_by_many_tasks(spark, tmp_path):
+    """One file of one row group is one scan task; the pages meet the extraction in more."""
+    body = F.concat(*[F.sha2(F.concat(F.col("id"), F.lit(f"/{k}")), 512) for k in range(8)])
+    spark.range(9000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h.example/"), F.col("id")).alias("url"), body.alias("html")) \
+        .coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    pages = FX.web_pages(spark, str(tmp_path)).select("page_id", F.upper("html").alias("html"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")     # less than the pages, more than their ids
+    try:
+        pages.withColumn("task", F.spark_partition_id()).write.parquet(f"{tmp_path}/out")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    tasks = spark.read.parquet(f"{tmp_path}/out").groupBy("task").count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 9000
