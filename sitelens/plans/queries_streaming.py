@@ -14,6 +14,7 @@ from sitelens.streaming import jobs as T
 
 
 FILE_ROWS = 1000   # rows of a table from which a micro-batch has another file
+STATE_PAGES = 16384   # pages of the crawl from which its state has another partition, once each core has one
 
 
 def _replay(spark, df, path, *keys, source, batches=3):
@@ -28,6 +29,12 @@ def _replay(spark, df, path, *keys, source, batches=3):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", -(-written // batches)).parquet(path)
 
 
+def _state_partitions(spark, pages):
+    """Partitions of the state of so many pages: by their number, not the shuffle's, as each costs the same in every round."""
+    least = max(spark.sparkContext.defaultParallelism, -(-pages.count() // STATE_PAGES))
+    return min(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 @register("stream_claims", oracle="""
 SELECT DISTINCT CAST(user_id AS VARCHAR) AS site_id,
        'http://site' || CAST(user_id AS VARCHAR) || '.example/' || event_type || '/' || CAST(event_id % 200 AS VARCHAR) AS norm_url
@@ -86,5 +93,5 @@ def frontier_rounds(spark, sf_dir):
     root = T.scratch(spark, "frontier")
     wp = FX.web_pages(spark, sf_dir).select("site_id", "page_id", "url", F.col("html").alias("body"))
     stream = _replay(spark, wp, f"{root}/incoming", "page_id", source=FX.table(spark, sf_dir, "pages"))
-    out = T.frontier_rounds(stream, FX.sites(spark, sf_dir), root, ["site_id"])
+    out = T.frontier_rounds(stream, FX.sites(spark, sf_dir), root, ["site_id"], _state_partitions(spark, FX.table(spark, sf_dir, "pages")))
     return T.read_epochs(spark, out).groupBy("norm_url").agg(F.min("depth").alias("depth"))

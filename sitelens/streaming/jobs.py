@@ -8,12 +8,14 @@ commit, and a batch reads only earlier epochs of what it writes, so an epoch rep
 gives the same rows again.  Every such table starts with an empty epoch -1: a read that fails is an
 error, never taken for a first batch.  Sinks and streaming checkpoints live under the shared folder
 named by ``spark.checkpoint.dir``; nothing is collected to the driver.  ``Trigger.AvailableNow``
-processes what is there and stops, however long that takes.
+processes what is there and stops, however long that takes; T4, whose batches are each other's input, stops
+when nothing is left to process.
 """
 
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +65,18 @@ def _run(writer) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession, n: int | None):
+    """A query first started inside has ``n`` state partitions (None: the session's shuffle partitions), for good."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n or before))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def with_arrival(stream: DataFrame) -> DataFrame:
     """``arrived``: the time of the row's micro-batch, the same for all its rows and when it is replayed."""
     return stream.withColumn("arrived", F.current_timestamp())
@@ -146,7 +160,7 @@ FRONTIER = "site_id string, norm_url string, depth int"
 STEP = "site_id string, norm_url string, dst string, depth int"
 
 
-def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys: list[str]) -> str:
+def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys: list[str], partitions: int | None = None) -> str:
     """T4: incremental BFS by messages; returns the frontier's path.
 
     One stream turns pages into links as they come.  A second keeps in the state store, a URL, its least depth and the
@@ -156,10 +170,15 @@ def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys:
     however many were reached before.  Copies of a message are combined before they are written and again before the shuffle.
 
     Every URL is in the table once for each fall of its depth: min(depth) over it equals the batch BFS.  The roots
-    are in it from the start.  A run ends when a pass over all that has come sends no more messages; a trigger without
-    end needs no passes.  A replayed batch has the time, input and state that it had, and overwrites its own rows.
+    are in it from the start.  All rounds are batches of one query, which keeps its state at hand between them; a run ends
+    when a batch sends no message and nothing else has come.  A replayed batch has the time, input and state that it had,
+    and overwrites its own rows.
+
+    A round costs a state file and a few tasks for each of ``partitions`` (default: the session's shuffle partitions),
+    however few its messages are.  The number is set by the first run on ``root``: give it for all pages that are to come.
     """
     spark = sites.sparkSession
+    sites = store(sites.select("site_id", "root_url", "depth"), "sites")    # every batch reads them
     out, found, inbox, key = f"{root}/frontier", f"{root}/links", f"{root}/messages", ["site_id", "norm_url"]
     limits = sites.select("site_id", F.col("depth").alias("limit"))
     seeds = sites.select("site_id", F.coalesce(U.normalize_url("root_url"), F.lit("")).alias("norm_url"), F.lit(0).alias("depth"))
@@ -180,22 +199,22 @@ def frontier_rounds(pages_stream: DataFrame, sites: DataFrame, root: str, keys:
         F.min(F.when(F.col("depth").isNotNull(), F.struct("depth", "arrived"))).alias("best"),
         F.collect_set("dst").alias("dsts"),
         F.max(F.struct("arrived", F.col("dst").isNotNull().alias("came"))).alias("last")).filter("best IS NOT NULL")
-    sent = []
 
     def sink(batch: DataFrame, epoch: int) -> None:
         fell = F.col("best.arrived") == F.col("last.arrived")
         b = batch.select(*key, F.col("best.depth").alias("depth"), "dsts", fell.alias("fell"), "last.came").persist()
-        onward = with_site(b.filter("fell OR came"), limits, ["norm_url"]).filter(F.col("limit") > F.col("depth") + 1)
-        onward = onward.select("site_id", F.explode("dsts").alias("norm_url"), (F.col("depth") + 1).alias("depth")) \
-            .groupBy(*key).agg(F.min("depth").alias("depth"))
-        _write(onward.select(*key, F.lit(None).cast("string").alias("dst"), "depth"), inbox, epoch)
         _write(b.filter("fell AND depth > 0").select(*key, "depth"), out, epoch)
+        onward = with_site(b.filter("(fell OR came) AND size(dsts) > 0"), limits, ["norm_url"]).filter(F.col("limit") > F.col("depth") + 1)
+        if not onward.isEmpty():    # else no file: an empty one would be input of another round
+            onward = onward.select("site_id", F.explode("dsts").alias("norm_url"), (F.col("depth") + 1).alias("depth")) \
+                .groupBy(*key).agg(F.min("depth").alias("depth"))
+            _write(onward.select(*key, F.lit(None).cast("string").alias("dst"), "depth"), inbox, epoch)
         b.unpersist()
-        if not spark.read.schema(STEP).parquet(_epoch_dir(inbox, epoch)).isEmpty():
-            sent.append(epoch)
-
-    while True:
-        sent.clear()
-        _run(state.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_frontier"))
-        if not sent:
-            return out
+
+    with _state_partitions(spark, partitions):
+        rounds = state.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{root}/_ckpt_frontier").start()
+    try:
+        rounds.processAllAvailable()
+    finally:
+        rounds.stop()
+    return out

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from sitelens.operators import canonical as CN
 from sitelens.operators import extract as X
@@ -187,3 +188,23 @@ def test_a_replayed_batch_is_read_by_many_tasks(spark):
         T._run(stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/ckpt"))
         assert len(seen) == 3 and sum(x[1] for x in seen) == n
         assert all(x[0] == least and x[2] < 1.2 * x[1] / least for x in seen)
+
+
+def test_all_rounds_are_one_query_whose_state_fits_the_pages(spark, monkeypatch):
+    """A round costs each state partition: their number goes by the pages, and a further round starts no query and reads no sites."""
+    root, data, started = T.scratch(spark, "t-rounds"), T.scratch(spark, "t-data"), []
+    spark.range(60).select(F.col("id").alias("page_id"), F.concat(F.lit("http://s.example/"), F.col("id").cast("string")).alias("url"),
+                           F.lit("<p>x</p>").alias("html")).write.parquet(f"{data}/pages.parquet")
+    monkeypatch.setattr(T, "scratch", lambda spark, name: root)
+    start = DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self: started.append(start(self)) or started[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rows = {r.norm_url: r.depth for r in Q.frontier_rounds(spark, data).collect()}
+    assert rows == {f"http://s.example/p/{k}": (k + 1).bit_length() - 1 for k in range(60)}
+    assert len(started) == 2 and not any(q.isActive for q in started)
+    state = os.listdir(f"{root}/_ckpt_frontier/state/0".removeprefix("file:"))
+    assert len([x for x in state if x.isdigit()]) == spark.sparkContext.defaultParallelism < int(before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    # only a batch that sends messages writes some: each file in the inbox is input of the next round
+    messages = spark.read.parquet(f"{root}/messages").groupBy("epoch").count().collect()
+    assert len(messages) == len([x for x in os.listdir(f"{root}/messages".removeprefix("file:")) if x.startswith("epoch=")]) - 1
